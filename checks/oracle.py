@@ -368,6 +368,65 @@ def oracle_sql() -> dict[str, str]:
         "normalize_url": r"""SELECT page_id, CASE WHEN u = '' OR starts_with(u, 'https://') THEN u ELSE 'https://' || u END AS url
             FROM (SELECT page_id, trim(replace(regexp_replace(coalesce(url, ''), '^\s+|\s+$', '', 'g'), '\', '/'), '/') AS u FROM pages) q""",
     }
+    sql.update(_file_sql())
     for field in model.NAME_SV_FIELDS:
         sql[f"add_{field.removeprefix('sample_')}_name_sv"] = add_name_sv(field)
     return sql
+
+
+# -- files -----------------------------------------------------------------------------------
+
+OBSERVED_TEXT = [
+    "dataset_name", "data_type_internal", "row_number", "parameter", "value", "quality_flag", "scientific_name",
+    "reported_scientific_name", "bottom_depth_m", "sample_min_depth_m", "sample_max_depth_m", "secchi_depth_m",
+    "visit_Secchi_note", "secchi_comment", "sample_substrate_comnt_rock", "substrate", "substrate_extra",
+    "shark_sample_id_md5", "sample_project_code", "sample_orderer_code", "sampling_laboratory_code",
+    "analytical_laboratory_code", "reporting_institute_code", "visit_date", "sample_date", "sample_time",
+    "sample_latitude_dd", "sample_longitude_dd",
+]
+PUBLISHED_EXTRA = [f"{f}_name_sv" for f in model.NAME_SV_FIELDS] + [
+    "reported_visit_date", "reported_sample_date", "location_rc", "location_rg", "location_ro",
+    "sample_sweref99tm_x", "sample_sweref99tm_y",
+]
+
+
+def as_text(columns: list[str]) -> str:
+    return ", ".join(f"coalesce(cast({c} AS varchar), '') AS {c}" for c in columns)
+
+
+def _file_sql() -> dict[str, str]:
+    package = "dataset_name || '_version_2024-05-01.zip'"
+    length = " + ".join(f"length(coalesce(cast({c} AS varchar), ''))" for c in OBSERVED_TEXT)
+    published = [c for c in OBSERVED_TEXT if c != "row_number"] + PUBLISHED_EXTRA
+    publish_sql = restricted("masked", "data_type_internal <> 'sealpathology'", DROP_PUBLISHED)
+    # a data type that no plankton package has gets no such column of its own: blank when read together
+    return {
+        "list_packages": _obs(f"SELECT DISTINCT {package} AS package, dataset_name AS base_name, '2024-05-01' AS version FROM observations"),
+        "read_members": _obs(
+            f"""SELECT p.package, m.member FROM (SELECT DISTINCT {package} AS package FROM observations) p CROSS JOIN
+            (VALUES ('shark_data.txt'), ('shark_metadata.txt'), ('processed_data/data.txt'), ('received_data/raw.csv'), ('README.txt')) AS m(member)"""
+        ),
+        "package_info": _obs(f"SELECT DISTINCT {package} AS package, data_type_internal, {len(OBSERVED_TEXT)} AS n_columns FROM observations"),
+        "read_data_table": _obs(f"SELECT {package} AS package, {as_text(OBSERVED_TEXT)} FROM observations"),
+        "failed_packages": _obs(
+            "SELECT DISTINCT dataset_name || '_version_broken.zip -> BadZipFile: File is not a zip file' AS msg FROM observations"
+        ),
+        "write_packages": _obs(
+            f"SELECT {package} AS package, count(*) AS n, cast(sum({length} + {len(OBSERVED_TEXT) - 1}) AS bigint) AS n_chars FROM observations GROUP BY 1"
+        ),
+        "write_data_table": _obs(f"SELECT {package} AS package, {as_text(OBSERVED_TEXT)} FROM observations"),
+        "publish_archives": with_tables(
+            "observations codes areas",
+            f"SELECT {package} AS package, delivery_datatype, {as_text(published)} FROM published",
+            f"{PUBLISHED_CTES}, published AS ({publish_sql})",
+        ),
+        "write_removal_list": with_tables("packages removals", "SELECT name FROM removals UNION SELECT name FROM packages WHERE slot = 'stored'"),
+        "update_stores": _obs(
+            """SELECT 'data sets' AS place, name || '_version_2024-05-01.zip' AS name FROM datasets
+            UNION ALL SELECT 'store', name || '_version_2025-01-01.zip' FROM datasets WHERE data_type_internal <> 'profile'
+            UNION ALL SELECT 'log', 'Copied package: ' || name || '_version_2025-01-01.zip' FROM datasets
+            UNION ALL SELECT 'log', 'Removing old package: ' || name || '_version_2024-05-01.zip' FROM datasets
+            UNION ALL SELECT 'log', 'Removing old package: ' || name || '_version_2025-01-01.zip' FROM datasets WHERE data_type_internal = 'profile'""",
+            DATASETS,
+        ),
+    }

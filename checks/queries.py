@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks import archives as ar
 from checks import fixtures as fx
 from kelpline import model
 from kelpline.functions.names import base_name
@@ -16,7 +17,13 @@ from kelpline.operators import enrichment as en
 from kelpline.operators import geo, members, report
 from kelpline.operators import masks as mk
 from kelpline.plans import steps
+from kelpline.plans.archives import publish_archives
 from kelpline.policy import Policy
+from kelpline.session import scratch_folder, ship_package
+from kelpline.sinks.packages import write_data_table
+from kelpline.sinks.stores import copy_to_store, remove_from_store, update_store, write_removal_list
+from kelpline.sources import archives as src
+from kelpline.sources.tables import read_name_list
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -329,6 +336,92 @@ def q_normalize_url(spark, sf):
     return fx.table(spark, sf, "pages").select("page_id", normalize_url(F.col("url")).alias("url"))
 
 
+# -- files -----------------------------------------------------------------------------------
+
+
+def _staged(spark, paths) -> DataFrame:
+    ship_package(spark)
+    return src.stage_packages(src.list_packages(spark, paths), scratch_folder(spark))
+
+
+def q_list_packages(spark, sf):
+    return src.list_packages(spark, ar.built_packages(spark, sf)).select("package", "base_name", "version")
+
+
+def q_read_members(spark, sf):
+    return src.read_members(_staged(spark, ar.built_packages(spark, sf)))
+
+
+def q_package_info(spark, sf):
+    info = src.package_info(_staged(spark, ar.built_packages(spark, sf)))
+    return info.select("package", "data_type_internal", F.size("header").alias("n_columns"))
+
+
+def q_read_data_table(spark, sf):
+    table = src.read_data_table(_staged(spark, ar.built_packages(spark, sf)))
+    return table.drop("layout", "_line")
+
+
+def q_failed_packages(spark, sf):
+    return src.failed_packages(_staged(spark, ar.built_with_corrupt(spark, sf))).select("msg")
+
+
+def q_write_packages(spark, sf):
+    """Archives written from the table, read back and summed up per package."""
+    staged = _staged(spark, ar.built_packages(spark, sf))
+    lines = staged.where(F.col("kind") == "line")
+    return lines.groupBy("package").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("n_chars"))
+
+
+def q_write_data_table(spark, sf):
+    folder = scratch_folder(spark)
+    write_data_table(ar.package_rows(spark, sf), folder)
+    back = spark.read.csv(folder, sep=model.SEPARATOR, header=True, encoding="ISO-8859-1", quote="", inferSchema=False)
+    return back.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in back.columns])
+
+
+def q_publish_archives(spark, sf):
+    folder = scratch_folder(spark)
+    codes, areas, rules = fx.codes(spark, sf), fx.areas(spark), fx.rules(spark)
+    publish_archives(spark, ar.built_packages(spark, sf), folder, codes, areas, PUBLISHING, rules)
+    table = src.read_data_table(_staged(spark, folder))
+    return table.drop("layout", "_line")
+
+
+def q_write_reports(spark, sf):
+    folder = scratch_folder(spark)
+    report.write_reports(fx.log(spark, sf), folder)
+    return spark.read.parquet(folder)
+
+
+def q_write_removal_list(spark, sf):
+    ship_package(spark)
+    folder = scratch_folder(spark)
+    write_removal_list(cat.merge_removal_names(fx.removals(spark, sf), fx.packages(spark, sf, "stored")), folder, scratch_folder(spark))
+    return read_name_list(spark, f"{folder}/{model.REMOVAL_FILE}")
+
+
+def _listed(spark, folder: str) -> DataFrame:
+    return src.list_packages(spark, folder).select(F.col("package").alias("name"), "path")
+
+
+def q_update_stores(spark, sf):
+    """Archives copied to a data set folder and to a store of newest versions, then some removed."""
+    data_sets, store = scratch_folder(spark), scratch_folder(spark)
+    incoming = _listed(spark, ar.built_packages(spark, sf))
+    copy_to_store(incoming, data_sets, scratch_folder(spark))
+    copy_to_store(incoming, store, scratch_folder(spark))
+    newer = incoming.withColumn("name", F.regexp_replace("name", "2024-05-01", "2025-01-01"))
+    log = update_store(newer, store, scratch_folder(spark))
+    removals = datasets(spark, sf).where(F.col("data_type_internal") == "profile").select("name")
+    removed = remove_from_store(removals, store, scratch_folder(spark))
+    left = _listed(spark, data_sets).withColumn("place", F.lit("data sets")).unionByName(
+        _listed(spark, store).withColumn("place", F.lit("store"))
+    )
+    logged = log.unionByName(removed).select(F.lit("log").alias("place"), F.col("msg").alias("name"))
+    return left.select("place", "name").unionByName(logged)
+
+
 def queries() -> dict[str, Query]:
     found = {name.removeprefix("q_"): f for name, f in globals().items() if name.startswith("q_") and name not in ("q_add_name_sv", "q_manual")}
     found["manual_seal_pathology"] = q_manual(model.SEAL_PATHOLOGY, "parameter")

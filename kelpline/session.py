@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+import pathlib
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -36,3 +39,19 @@ def scratch_folder(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="kelpline-")
     return f"{root.rstrip('/')}/kelpline-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, unless the session was given it."""
+    _ship(spark.sparkContext.applicationId, spark)
+
+
+@functools.cache
+def _ship(app: str, spark: SparkSession) -> None:
+    here = pathlib.Path(__file__).resolve().parent
+    target = pathlib.Path(tempfile.mkdtemp(prefix="kelpline-")) / f"{here.name}.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for file in sorted(here.rglob("*.py")):
+            archive.write(file, file.relative_to(here.parent))
+    # the driver serves the file to executors, so a folder of its own will do
+    spark.sparkContext.addPyFile(str(target))
