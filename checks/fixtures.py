@@ -127,6 +127,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {t: table(spark, sf_dir, t) for t in ("lineitem", "orders", "part")}
+    # the partitioning the join with orders needs anyway, and all cores even for a single file
+    tables["lineitem"] = tables["lineitem"].repartition("l_orderkey")
     return spark.sql(OBSERVATIONS, **tables)
 
 

@@ -281,6 +281,9 @@ def oracle_sql() -> dict[str, str]:
         "manual_epibenthos": _obs(f"SELECT row_number, parameter, {RULED_SUBSTRATE} AS substrate FROM observations"),
         "add_datatype_plankton_barcoding": _obs(f"SELECT row_number, {DELIVERY} AS delivery_datatype FROM observations"),
         "enrich": with_tables("observations codes", "SELECT * FROM enriched", ENRICHED),
+        "add_names_sv_joined": with_tables(
+            "observations codes", "SELECT row_number, " + ", ".join(f"{f}_name_sv" for f in model.NAME_SV_FIELDS) + " FROM enriched", ENRICHED
+        ),
         # positions
         "add_position_sweref99tm": _obs(
             """SELECT row_number, gx AS sample_sweref99tm_x, gy AS sample_sweref99tm_y FROM observations

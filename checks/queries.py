@@ -134,6 +134,12 @@ def q_add_name_sv(field: str) -> Query:
     return query
 
 
+def q_add_names_sv_joined(spark, sf):
+    """All five names by join, as for long code lists."""
+    df = en.add_names_sv(fx.observations(spark, sf), fx.codes(spark, sf), max_folded=0)
+    return df.select("row_number", *[en.name_sv_column(f) for f in model.NAME_SV_FIELDS])
+
+
 def q_fix_time_format(spark, sf):
     return en.fix_time_format(fx.observations(spark, sf).select("row_number", "sample_time"))
 
@@ -359,7 +365,7 @@ def q_package_info(spark, sf):
 
 def q_read_data_table(spark, sf):
     table = src.read_data_table(_staged(spark, ar.built_packages(spark, sf)))
-    return table.drop("layout", "_line")
+    return table.drop("layout", "_line", "_type")
 
 
 def q_failed_packages(spark, sf):
@@ -385,7 +391,7 @@ def q_publish_archives(spark, sf):
     codes, areas, rules = fx.codes(spark, sf), fx.areas(spark), fx.rules(spark)
     publish_archives(spark, ar.built_packages(spark, sf), folder, codes, areas, PUBLISHING, rules)
     table = src.read_data_table(_staged(spark, folder))
-    return table.drop("layout", "_line")
+    return table.drop("layout", "_line", "_type")
 
 
 def q_write_reports(spark, sf):

@@ -73,16 +73,15 @@ def with_grid_position(
 ) -> DataFrame:
     """Add plane coordinates in metres, to the millimetre.
 
-    Works row by row in generated code, with no shuffle; the helper columns keep each
-    function evaluated once.
+    Works row by row in generated code, with no shuffle. Repeated terms are evaluated once: the
+    conformal pair as two helper columns, the rest by the code generator.
     """
-    temp = ["_phi", "_dlon", "_conformal", "_xi", "_eta"]
-    sin, cos = F.sin(F.col("_phi")), F.cos(F.col("_phi"))
+    phi, dlon = F.radians(latitude), F.radians(longitude - F.lit(grid.central_meridian))
     a, b, c, d = (F.lit(t) for t in grid.latitude_terms)
-    s2 = sin * sin
-    conformal = F.col("_phi") - sin * cos * (a + s2 * (b + s2 * (c + s2 * d)))
-    xi = F.atan(F.tan(F.col("_conformal")) / F.cos(F.col("_dlon")))
-    eta = F.atanh(F.cos(F.col("_conformal")) * F.sin(F.col("_dlon")))
+    s2 = F.sin(phi) * F.sin(phi)
+    conformal = phi - F.sin(phi) * F.cos(phi) * (a + s2 * (b + s2 * (c + s2 * d)))
+    xi = F.atan(F.tan(conformal) / F.cos(dlon))
+    eta = F.atanh(F.cos(conformal) * F.sin(dlon))
     north, east = F.col("_xi"), F.col("_eta")
     for i, beta in enumerate(grid.series, start=1):
         angle, stretch = F.lit(2.0 * i) * F.col("_xi"), F.lit(2.0 * i) * F.col("_eta")
@@ -95,15 +94,12 @@ def with_grid_position(
         return F.when(F.abs(value) < 1e8, value).try_cast("decimal(12,3)")
 
     return (
-        df.withColumn("_phi", F.radians(latitude))
-        .withColumn("_dlon", F.radians(longitude - F.lit(grid.central_meridian)))
-        .withColumn("_conformal", conformal)
-        .withColumns({"_xi": xi, "_eta": eta})
+        df.withColumns({"_xi": xi, "_eta": eta})
         .withColumns(
             {
                 easting: metres(size * east + F.lit(grid.false_easting)),
                 northing: metres(size * north + F.lit(grid.false_northing)),
             }
         )
-        .drop(*temp)
+        .drop("_xi", "_eta")
     )

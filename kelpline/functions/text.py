@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from kelpline import model
 
-# The characters of the output encoding beyond ASCII and Latin-1.
+# White space, and the characters of the output encoding beyond ASCII and Latin-1.
+WHITE_SPACE = " \t\n\r\u000b\u000c\u001c\u001d\u001e\u001f\u0085\u00a0"
 CP1252_EXTRA = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
 UNMAPPABLE = "[^\\u0000-\\u007f\\u00a0-\\u00ff" + CP1252_EXTRA + "]"
 
@@ -18,8 +19,8 @@ def cell(col: Column) -> Column:
 
 
 def strip(col: Column) -> Column:
-    """Remove white space of every kind at both ends."""
-    return F.regexp_replace(col, r"^\s+|\s+$", "")
+    """Remove white space at both ends."""
+    return F.trim(col, F.lit(WHITE_SPACE))
 
 
 def is_blank(col: Column) -> Column:
@@ -43,7 +44,7 @@ def is_encodable(col: Column) -> Column:
 def normalize_url(url: Column) -> Column:
     """Forward slashes, none at the ends, and the secure scheme in front unless it is there."""
     bare = F.regexp_replace(F.translate(strip(cell(url)), "\\", "/"), "^/+|/+$", "")
-    return F.when((bare == "") | bare.startswith("https://"), bare).otherwise(
+    return F.when((bare == "") | F.startswith(bare, F.lit("https://")), bare).otherwise(
         F.concat(F.lit("https://"), bare)
     )
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -10,11 +11,13 @@ from pyspark.sql import functions as F
 from kelpline import model
 from kelpline.functions.text import cell, is_blank, strip
 from kelpline.functions.times import fix_time, full_date, is_bad_time
-from kelpline.operators.lookups import fits_broadcast, lookup_join, unique_per_key
+from kelpline.operators.lookups import lookup_join, measured, unique_per_key
 
 TIME_COLUMNS = ["sample_time"]
 DATE_COLUMNS = ["visit_date", "sample_date"]
 MAX_FOLDED_RULES = 200
+# a map expression is searched from its start, so it pays for short lists only
+MAX_FOLDED_CODES = 1000
 
 
 def code_column(field: str) -> str:
@@ -25,37 +28,64 @@ def name_sv_column(field: str) -> str:
     return f"{field}_name_sv"
 
 
-def add_name_sv(
+def _names_of(codes: DataFrame, fields: Iterable[str]) -> dict[str, dict[str, str]] | None:
+    """Code to name per field, if the lists are short enough for an expression."""
+    wanted = codes.where(F.col("field").isin(*fields)).select("field", "code", "name_sv")
+    rows = wanted.limit(MAX_FOLDED_CODES + 1).collect()
+    if len(rows) > MAX_FOLDED_CODES:
+        return None
+    names: dict[str, dict[str, str]] = {f: {} for f in fields}
+    # as in the joined form, the least name stays where a code comes twice, and NULL before any
+    for r in sorted(rows, key=lambda r: (r.name_sv is not None, r.name_sv), reverse=True):
+        if r.code is not None:
+            names[r.field][r.code] = r.name_sv
+    return names
+
+
+def add_names_sv(
     df: DataFrame,
     codes: DataFrame,
-    field: str,
-    src: str | None = None,
-    dst: str | None = None,
-    small: bool | None = None,
+    fields: Iterable[str] = tuple(model.NAME_SV_FIELDS),
+    max_folded: int = MAX_FOLDED_CODES,
 ) -> DataFrame:
-    """Add the Swedish name of a code; a code without one, or none at all, gives a blank."""
-    src, dst = src or code_column(field), dst or name_sv_column(field)
-    if src not in df.columns:
-        return df.withColumn(dst, F.lit(""))
-    if small is None:
-        small = fits_broadcast(codes)
+    """Add the Swedish names of code fields; a code without one, or none at all, gives a blank.
+
+    Short code lists become one map expression per field, so the rows are not touched by
+    any join. Longer ones are joined, broadcast or salted by their measured size.
+    """
+    fields = list(fields)
+    names = _names_of(codes, fields) if max_folded else None
+    if names is not None:
+        return df.withColumns({name_sv_column(f): _mapped(df, f, names[f]) for f in fields})
+    codes, small = measured(codes)
+    for field in fields:
+        df = _join_name_sv(df, codes, field, small)
+    return df
+
+
+def _mapped(df: DataFrame, field: str, names: dict[str, str]) -> Column:
+    if code_column(field) not in df.columns:
+        return F.lit("")
+    # folded into a constant map when the plan is optimised
+    table = F.from_json(F.lit(json.dumps(names)), "map<string,string>")
+    return cell(F.try_element_at(table, strip(cell(F.col(code_column(field))))))
+
+
+def _join_name_sv(df: DataFrame, codes: DataFrame, field: str, small: bool) -> DataFrame:
+    if code_column(field) not in df.columns:
+        return df.withColumn(name_sv_column(field), F.lit(""))
     names = unique_per_key(
         codes.where(F.col("field") == field).select(F.col("code").alias("_code"), F.col("name_sv").alias("_name")),
         ["_code"],
     )
-    keyed = df.drop(dst).withColumn("_code", strip(cell(F.col(src))))
+    keyed = df.drop(name_sv_column(field)).withColumn("_code", strip(cell(F.col(code_column(field)))))
     joined = lookup_join(keyed, names, ["_code"], small=small)
-    return joined.withColumn(dst, cell(F.col("_name"))).drop("_code", "_name")
+    return joined.withColumn(name_sv_column(field), cell(F.col("_name"))).drop("_code", "_name")
 
 
-def add_names_sv(
-    df: DataFrame, codes: DataFrame, fields: Iterable[str] = tuple(model.NAME_SV_FIELDS)
-) -> DataFrame:
-    """Add the names of several code fields; the code table is measured once for all."""
-    small = fits_broadcast(codes)
-    for field in fields:
-        df = add_name_sv(df, codes, field, small=small)
-    return df
+def add_name_sv(df: DataFrame, codes: DataFrame, field: str, max_folded: int = MAX_FOLDED_CODES) -> DataFrame:
+    """Add the Swedish name of one code field."""
+    return add_names_sv(df, codes, [field], max_folded)
 
 
 def unmatched_codes(
@@ -136,19 +166,22 @@ def apply_value_rules(
     Each cell is compared as it was on entry. A short rule list becomes one expression per
     column; a longer one is joined column by column.
     """
-    wanted = rules.where(F.col("data_type").isin(*data_types) & F.col("column_name").isin(*df.columns))
-    keys = ["data_type", "column_name", "match_value"]
-    wanted = unique_per_key(
-        wanted.select("data_type", "column_name", cell(F.col("match_value")).alias("match_value"), cell(F.col("new_value")).alias("new_value")),
-        keys,
+    chosen = F.col("data_type").isin(*data_types) & F.col("column_name").isin(*df.columns)
+    wanted = rules.where(chosen).select(
+        "data_type",
+        "column_name",
+        cell(F.col("match_value")).alias("match_value"),
+        cell(F.col("new_value")).alias("new_value"),
     )
-    head = wanted.orderBy(*keys).limit(max_folded + 1).collect()
+    head = sorted(wanted.limit(max_folded + 1).collect(), reverse=True)
     if len(head) <= max_folded:
-        return df.withColumns(
-            {c: _folded(c, [r for r in head if r.column_name == c], data_type) for c in dict.fromkeys(r.column_name for r in head)}
-        )
-    small = fits_broadcast(wanted)
-    columns = [r.column_name for r in wanted.select("column_name").distinct().collect()]
+        # the least new value stays where a key comes twice
+        found = {(r.column_name, r.data_type, r.match_value): r.new_value for r in head}
+        columns = sorted({c for c, _, _ in found})
+        return df.withColumns({c: _folded(c, found, data_type) for c in columns})
+    wanted, small = measured(wanted)
+    wanted = unique_per_key(wanted, ["data_type", "column_name", "match_value"])
+    columns = sorted(r.column_name for r in wanted.select("column_name").distinct().collect())
     entered = df.withColumn("_type", F.col(data_type)).withColumns({f"_was_{c}": cell(F.col(c)) for c in columns})
     for c in columns:
         table = wanted.where(F.col("column_name") == c).select(
@@ -159,11 +192,12 @@ def apply_value_rules(
     return entered.select(*df.columns)
 
 
-def _folded(column: str, rows: list, data_type: str) -> Column:
+def _folded(column: str, rules: dict[tuple[str, str, str], str], data_type: str) -> Column:
     value = F.col(column)
-    for r in reversed(rows):
-        hit = (F.col(data_type) == r.data_type) & (cell(F.col(column)) == r.match_value)
-        value = F.when(hit, F.lit(r.new_value)).otherwise(value)
+    for (name, kind, match), new in sorted(rules.items(), reverse=True):
+        if name == column:
+            hit = (F.col(data_type) == kind) & (cell(F.col(column)) == match)
+            value = F.when(hit, F.lit(new)).otherwise(value)
     return value
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kelpline import model
 from kelpline.functions.geodesy import degrees, with_grid_position
-from kelpline.operators.lookups import lookup_join
+from kelpline.operators.lookups import lookup_join, measured
 
 CELL_DEGREES = 1.0
 # cells are cut a little wide, so rounding at a cell border cannot lose an edge
@@ -114,7 +114,8 @@ def add_locations(
     half-open rule ``(y1 > y) <> (y2 > y)``.
     """
     names = list(names)
-    cells = area_cells(areas, names, cell_degrees)
+    # few vertices are indexed in one partition; the index itself is measured before it is broadcast
+    cells = area_cells(measured(areas)[0], names, cell_degrees)
     lat, lon = F.col("_lat"), F.col("_lon")
     size = F.lit(float(cell_degrees))
     positioned = df.withColumns({"_lat": degrees(F.col(latitude)), "_lon": degrees(F.col(longitude))}).withColumns(

@@ -23,6 +23,13 @@ def fits_broadcast(
     return row[0] <= max_rows and row[1] <= max_bytes
 
 
+def measured(table: DataFrame) -> tuple[DataFrame, bool]:
+    """A lookup table and whether it is small; a small one is put in one partition, so that
+    grouping or sorting it needs no shuffle."""
+    small = fits_broadcast(table)
+    return (table.coalesce(1) if small else table), small
+
+
 def lookup_join(
     df: DataFrame,
     table: DataFrame,

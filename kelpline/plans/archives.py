@@ -39,6 +39,15 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def _plans(headers: Mapping[str, list[str]], policy: Policy) -> list[tuple[list[str], list[str]]]:
+    """Data types that share their columns and steps, with those columns: one plan each."""
+    groups: dict[tuple, list[str]] = {}
+    for data_type, columns in sorted(headers.items()):
+        alike = (tuple(columns), data_type == model.PLANKTON_BARCODING, data_type in policy.unrestricted)
+        groups.setdefault(alike, []).append(data_type)
+    return [(types, list(alike[0])) for alike, types in groups.items()]
+
+
 def publish_archives(
     spark: SparkSession,
     paths: str | Iterable[str],
@@ -52,8 +61,8 @@ def publish_archives(
 ) -> Published:
     """Read zip packages, publish their rows and write them again under the same names.
 
-    One plan per data type, as each has its own columns; the lines of all types are then
-    compressed and placed together. A package that cannot be read is reported and left out;
+    Data types with the same columns share one plan; the lines of all are then compressed and
+    placed together. A package that cannot be read is reported and left out;
     one without rows is still written.
     """
     scratch = scratch_folder(spark)
@@ -65,22 +74,20 @@ def publish_archives(
     refused = info.where(~F.col("allowed")).select(
         "package", format_refusal(F.col("package"), F.col("data_type_internal")).alias("msg")
     )
-    types = [r[0] for r in allowed.select("data_type_internal").distinct().orderBy("data_type_internal").collect()]
     lines, logs = [], [src.undecodable_lines(staged)]
-    for data_type in types:
-        of_type = allowed.where(F.col("data_type_internal") == data_type)
-        columns = src.union_header(of_type)
-        table = src.read_data_table(staged, data_type, columns)
-        typed = table.withColumn(model.DATA_TYPE, F.lit(data_type)) if model.DATA_TYPE not in columns else table
-        rows = steps.enrich(typed, codes, rules, [data_type])
-        if data_type not in policy.unrestricted:
+    for types, columns in _plans(src.union_headers(allowed), policy):
+        of_types = allowed.where(F.col("data_type_internal").isin(*types))
+        table = src.read_data_table(staged, types, columns, of_types)
+        own_type = model.DATA_TYPE in columns
+        table = table.drop("_type") if own_type else table.withColumnRenamed("_type", model.DATA_TYPE)
+        rows = steps.enrich(table, codes, rules, types)
+        if types[0] not in policy.unrestricted:
             rows = steps.restrict(rows, areas, policy)
         rows = drop_columns(rows)
-        logs += [en.unmatched_codes(typed, codes)] + [v(rows) for v in validators]
+        logs += [en.unmatched_codes(table, codes)] + [v(rows) for v in validators]
         if en.TIME_COLUMNS[0] in columns:
-            logs.append(en.unreadable_times(typed))
-        written = rows if model.DATA_TYPE in columns else rows.drop(model.DATA_TYPE)
-        lines.append(pk.render_lines(written, of_type, columns))
+            logs.append(en.unreadable_times(table))
+        lines.append(pk.render_lines(rows if own_type else rows.drop(model.DATA_TYPE), of_types, columns))
     if not lines:
         none = spark.createDataFrame([], "file string, size long")
         return Published(none, refused, src.failed_packages(staged), _union(logs))

@@ -14,10 +14,11 @@ from pyspark.sql import types as T
 
 from kelpline import model
 from kelpline.functions.text import encodable, printable_cell
-from kelpline.operators.lookups import lookup_join
+from kelpline.operators.lookups import fits_broadcast, lookup_join
 from kelpline.sinks.placed import sums_before, write_placed
 
 SEGMENT_BYTES = 1024 * 1024
+BLOCK_LINES = 16_384
 INTERNAL_COLUMNS = ["package", "layout", "_line"]
 
 # ---------------------------------------------------------------------------
@@ -105,8 +106,9 @@ def render_lines(df: DataFrame, info: DataFrame, read_columns: list[str] | None
     def line(values: Column) -> Column:
         return F.array_join(F.transform("_places", lambda i: F.get(values, i)), model.SEPARATOR)
 
-    body = lookup_join(rows, layouts, ["layout"], how="inner")
-    head = lookup_join(info.select("package", "layout"), layouts, ["layout"], how="inner")
+    small = fits_broadcast(layouts)
+    body = lookup_join(rows, layouts, ["layout"], how="inner", small=small)
+    head = lookup_join(info.select("package", "layout"), layouts, ["layout"], how="inner", small=small)
     return body.select("package", "seq", line(F.col("_cells")).alias("text")).unionByName(
         head.select("package", F.lit(0).cast("long").alias("seq"), line(names).alias("text"))
     )
@@ -144,8 +146,8 @@ def _emit(rows: list[dict]) -> pa.RecordBatch:
 
 
 def _compress_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lines in order to segments; a segment ends with its package or at a bounded size."""
-    package, first, lines, size = None, 0, [], 0
+    """Sorted lines to segments; a segment ends with its block of lines or at a bounded size."""
+    package, block, first, lines, size = None, 0, 0, [], 0
 
     def close() -> dict:
         data = ("\n".join(lines) + "\n").encode(model.ENCODING, errors="replace")
@@ -154,11 +156,11 @@ def _compress_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in batches:
         done: list[dict] = []
         for name, seq, text in zip(batch["package"].to_pylist(), batch["seq"].to_pylist(), batch["text"].to_pylist()):
-            if lines and (name != package or size >= SEGMENT_BYTES):
+            if lines and (seq // BLOCK_LINES != block or name != package or size >= SEGMENT_BYTES):
                 done.append(close())
                 lines, size = [], 0
             if not lines:
-                package, first = name, seq
+                package, block, first = name, seq // BLOCK_LINES, seq
             lines.append(text)
             size += len(text) + 1
         if done:
@@ -315,14 +317,14 @@ def write_packages(
     """Write zip packages and list them: ``(file, size)``.
 
     ``lines(package, seq, text)`` becomes the data table of each package, in order; ``files``
-    are the other members, in parts. Sorted line ranges are compressed where they lie, places
-    follow from the sizes alone, and the checksum of a member is put together from those of its
-    segments; so a package of any size is the work of many tasks.
+    are the other members, in parts. Blocks of lines are spread by hash, sorted and compressed
+    where they lie; places follow from the sizes alone, and the checksum of a member is put
+    together from those of its segments; so a package of any size is the work of many tasks.
     """
     spark = lines.sparkSession
     segments = (
         lines.select("package", "seq", "text")
-        .repartitionByRange("package", "seq")
+        .repartition("package", F.floor(F.col("seq") / BLOCK_LINES))
         .sortWithinPartitions("package", "seq")
         .mapInArrow(_compress_lines, SEGMENT_SCHEMA)
     )

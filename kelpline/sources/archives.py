@@ -12,7 +12,7 @@ import zipfile
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kelpline import model
@@ -224,41 +224,53 @@ def read_files(staged: DataFrame) -> DataFrame:
     return _readable(staged, _kind(staged, "file").select("package", "member", "seq", "content"))
 
 
-def union_header(info: DataFrame) -> list[str]:
-    """All column names of some packages, by first place in a header."""
-    names = info.select(F.posexplode("header").alias("pos", "name")).groupBy("name").agg(F.min("pos").alias("pos"))
-    return [r.name for r in names.orderBy("pos", "name").collect()]
+def union_headers(info: DataFrame) -> dict[str, list[str]]:
+    """Per data type all column names of its packages, by first place in a header."""
+    names = info.select("data_type_internal", F.posexplode("header").alias("pos", "name"))
+    first = names.groupBy("data_type_internal", "name").agg(F.min("pos").alias("pos"))
+    found: dict[str, list[str]] = {}
+    # as many rows as there are column names, however many packages
+    for row in first.orderBy("data_type_internal", "pos", "name").collect():
+        found.setdefault(row.data_type_internal, []).append(row.name)
+    return found
 
 
 def read_data_table(
-    staged: DataFrame, data_type: str | None = None, columns: list[str] | None = None, only: DataFrame | None = None
+    staged: DataFrame,
+    data_types: Iterable[str] | None = None,
+    columns: list[str] | None = None,
+    info: DataFrame | None = None,
 ) -> DataFrame:
-    """The data tables of all readable packages, or of one data type, as one table of text cells.
+    """The data tables of all readable packages, or of some data types, as one table of text cells.
 
-    ``package``, ``layout`` (the header line as it was) and ``_line`` come with the named
-    columns. Cells a line lacks, and columns a package lacks, are blank. ``only`` limits the
-    packages. Cells are cut in generated code; the place of each column is looked up per header.
+    ``package``, ``layout`` (the header line as it was), ``_line`` and ``_type`` come with the
+    named columns. Cells a line lacks, and columns a package lacks, are blank. With ``info``
+    only its packages are read. Cells are cut in generated code; the place of each column is
+    looked up per header.
     """
-    info = package_info(staged)
     lines = _kind(staged, "line")
-    if data_type is not None:
-        info, lines = (d.where(F.col("data_type_internal") == data_type) for d in (info, lines))
+    if info is None:
+        info, lines = package_info(staged), _readable(staged, lines)
+    else:
+        lines = lookup_join(lines, info.select("package"), ["package"], how="left_semi")
+    if data_types is not None:
+        chosen = F.col("data_type_internal").isin(*data_types)
+        info, lines = info.where(chosen), lines.where(chosen)
     if columns is None:
-        columns = union_header(info)
-    lines = _readable(staged, lines)
-    if only is not None:
-        lines = lookup_join(lines, only.select("package").distinct(), ["package"], how="left_semi")
+        columns = list(dict.fromkeys(c for names in union_headers(info).values() for c in names))
     places = F.transform(F.array(*map(F.lit, columns)), lambda c: F.array_position(F.col("header"), c).cast("int"))
     layouts = info.select("layout", "header").distinct().select("layout", places.alias("_places"))
-    joined = lookup_join(
-        lines.select("package", "layout", F.col("seq").alias("_line"), "text"), layouts, ["layout"], how="inner"
-    ).withColumn("_cells", F.split("text", model.SEPARATOR, -1))
+    named = lines.select(
+        "package", "layout", F.col("data_type_internal").alias("_type"), F.col("seq").alias("_line"), "text"
+    )
+    joined = lookup_join(named, layouts, ["layout"], how="inner")
+    joined = joined.withColumn("_cells", F.split("text", model.SEPARATOR, -1))
 
-    def cell(i: int):
+    def cell(i: int) -> Column:
         place = F.get("_places", F.lit(i))
         return F.coalesce(F.get("_cells", place - 1), F.lit(""))
 
-    return joined.select("package", "layout", "_line", *[cell(i).alias(c) for i, c in enumerate(columns)])
+    return joined.select("package", "layout", "_type", "_line", *[cell(i).alias(c) for i, c in enumerate(columns)])
 
 
 def undecodable_lines(staged: DataFrame) -> DataFrame:
