@@ -10,6 +10,7 @@ from kelpline import model
 # White space, and the characters of the output encoding beyond ASCII and Latin-1.
 WHITE_SPACE = " \t\n\r\u000b\u000c\u001c\u001d\u001e\u001f\u0085\u00a0"
 CP1252_EXTRA = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
+NO_CHARACTER = "\uffff"
 UNMAPPABLE = "[^\\u0000-\\u007f\\u00a0-\\u00ff" + CP1252_EXTRA + "]"
 
 
@@ -32,9 +33,13 @@ def printable_cell(col: Column) -> Column:
     return F.translate(cell(col), "\t\r\n", "   ")
 
 
-def encodable(col: Column) -> Column:
-    """Characters the output encoding lacks, written as question marks."""
-    return F.regexp_replace(col, UNMAPPABLE, "?")
+def separated_line(cells: Column) -> Column:
+    """Cells to one line, control characters in cells that would end them becoming blanks.
+
+    The cells are first joined by a code point that is no character, so that one pass over the
+    line serves all of them.
+    """
+    return F.translate(F.array_join(cells, NO_CHARACTER), "\t\r\n" + NO_CHARACTER, "   " + model.SEPARATOR)
 
 
 def is_encodable(col: Column) -> Column:

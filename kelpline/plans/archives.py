@@ -88,6 +88,7 @@ def publish_archives(
         if en.TIME_COLUMNS[0] in columns:
             logs.append(en.unreadable_times(table))
         lines.append(pk.render_lines(rows if own_type else rows.drop(model.DATA_TYPE), of_types, columns))
+        logs.append(pk.unencodable_lines(lines[-1]))
     if not lines:
         none = spark.createDataFrame([], "file string, size long")
         return Published(none, refused, src.failed_packages(staged), _union(logs))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kelpline import model
-from kelpline.functions.text import encodable, printable_cell
+from kelpline.functions.text import cell, is_encodable, printable_cell, separated_line
 from kelpline.operators.lookups import fits_broadcast, lookup_join
 from kelpline.sinks.placed import sums_before, write_placed
 
@@ -48,7 +48,7 @@ def write_data_table(df: DataFrame, path: str, package: str = "package") -> None
     """
     spark = df.sparkSession
     columns = [c for c in df.columns if c not in (package, "layout", "_line")]
-    cells = df.select(package, *[encodable(printable_cell(F.col(c))).alias(c) for c in columns])
+    cells = df.select(package, *[printable_cell(F.col(c)).alias(c) for c in columns])
     # the encoding is only accepted with this setting
     key = "spark.sql.legacy.javaCharsets"
     before = spark.conf.get(key)
@@ -88,10 +88,10 @@ def render_lines(df: DataFrame, info: DataFrame, read_columns: list[str] | None
     without ``read_columns`` every package gets all columns.
     """
     columns = [c for c in df.columns if c not in INTERNAL_COLUMNS]
-    cells = F.array(*[encodable(printable_cell(F.col(c))) for c in columns])
+    cells = F.array(*[cell(F.col(c)) for c in columns])
     if read_columns is None:
         everything = F.lit(model.SEPARATOR.join(columns))
-        body = df.select("package", F.col("_line").alias("seq"), F.array_join(cells, model.SEPARATOR).alias("text"))
+        body = df.select("package", F.col("_line").alias("seq"), separated_line(cells).alias("text"))
         return body.unionByName(info.select("package", F.lit(0).cast("long").alias("seq"), everything.alias("text")))
     names = F.array(*map(F.lit, columns))
     added = F.array(*[F.lit(c) for c in columns if c not in read_columns]).cast("array<string>")
@@ -104,7 +104,7 @@ def render_lines(df: DataFrame, info: DataFrame, read_columns: list[str] | None
     rows = df.select("package", "layout", F.col("_line").alias("seq"), cells.alias("_cells"))
 
     def line(values: Column) -> Column:
-        return F.array_join(F.transform("_places", lambda i: F.get(values, i)), model.SEPARATOR)
+        return separated_line(F.transform("_places", lambda i: F.get(values, i)))
 
     small = fits_broadcast(layouts)
     body = lookup_join(rows, layouts, ["layout"], how="inner", small=small)
@@ -114,6 +114,17 @@ def render_lines(df: DataFrame, info: DataFrame, read_columns: list[str] | None
     )
 
 
+def unencodable_lines(lines: DataFrame) -> DataFrame:
+    """Log rows for packages with characters the output encoding lacks; question marks replace them."""
+    hit = lines.where(~is_encodable(F.col("text")))
+    return hit.groupBy("package").agg(F.count("*").alias("n")).select(
+        "package",
+        F.lit("warning").alias("level"),
+        F.lit("transformation").alias("log_type"),
+        F.concat(F.lit("Replaced characters in "), F.col("n"), F.lit(" lines")).alias("msg"),
+    )
+
+
 # -- compressed segments ---------------------------------------------------------------------
 
 SEGMENT_SCHEMA = "package string, member string, seq long, raw long, comp long, crc long, content binary"
