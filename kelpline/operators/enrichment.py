@@ -96,9 +96,10 @@ def unmatched_codes(
 ) -> DataFrame:
     """Log rows for codes without a name: one per package and code, with how many rows use it."""
     present = [f for f in fields if code_column(f) in df.columns]
-    used = F.explode(
-        F.array(*[F.struct(F.lit(f).alias("field"), strip(cell(F.col(code_column(f)))).alias("code")) for f in present])
-    )
+    pairs = [
+        F.struct(F.lit(f).alias("field"), strip(cell(F.col(code_column(f)))).alias("code")) for f in present
+    ]
+    used = F.explode(F.array(*pairs).cast("array<struct<field:string,code:string>>"))
     counted = (
         df.select(package, used.alias("u"))
         .where(F.col("u.code") != "")

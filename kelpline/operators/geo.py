@@ -98,6 +98,10 @@ def _inside(polygons: Column, y: Column, x: Column) -> Column:
     return F.coalesce(F.exists(polygons, holds), F.lit(False))
 
 
+def _position(df: DataFrame, column: str) -> Column:
+    return degrees(F.col(column)) if column in df.columns else F.lit(None).cast("double")
+
+
 def add_locations(
     df: DataFrame,
     areas: DataFrame,
@@ -118,7 +122,7 @@ def add_locations(
     cells = area_cells(measured(areas)[0], names, cell_degrees)
     lat, lon = F.col("_lat"), F.col("_lon")
     size = F.lit(float(cell_degrees))
-    positioned = df.withColumns({"_lat": degrees(F.col(latitude)), "_lon": degrees(F.col(longitude))}).withColumns(
+    positioned = df.withColumns({"_lat": _position(df, latitude), "_lon": _position(df, longitude)}).withColumns(
         {
             # no position on Earth, no cell
             "cy": F.when(F.abs(lat) <= 90, F.floor(lat / size).cast("int")),
@@ -136,8 +140,8 @@ def add_position_sweref99tm(
     """Add SWEREF 99 TM coordinates: x east, y north."""
     return with_grid_position(
         df,
-        degrees(F.col(latitude)),
-        degrees(F.col(longitude)),
+        _position(df, latitude),
+        _position(df, longitude),
         easting="sample_sweref99tm_x",
         northing="sample_sweref99tm_y",
     )
