@@ -45,8 +45,10 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     found = queries()
     chosen = sys.argv[1:] or HEADLINE
-    # start the session's machinery outside the first measurement
-    found["base_name"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    # start the session's machinery outside the first measurement, on the least tables
+    least = str(pathlib.Path(sf_dir).parent / "sf0.001")
+    for name in ("publish", "summarize_log"):
+        found[name](spark, least if os.path.isdir(least) else sf_dir).write.format("noop").mode("overwrite").save()
     seconds = {}
     for name in chosen:
         start = time.perf_counter()

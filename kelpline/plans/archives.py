@@ -59,14 +59,29 @@ def publish_archives(
     validators: Iterable[report.Validator] = (),
     prune: bool = False,
 ) -> Published:
-    """Read zip packages, publish their rows and write them again under the same names.
+    """Read zip packages, publish their rows and write them again under the same names."""
+    staged = src.stage_packages(src.list_packages(spark, paths), scratch_folder(spark))
+    return publish_staged(staged, folder, codes, areas, policy, rules, validators, prune)
+
+
+def publish_staged(
+    staged: DataFrame,
+    folder: str,
+    codes: DataFrame,
+    areas: DataFrame,
+    policy: Policy,
+    rules: DataFrame | None = None,
+    validators: Iterable[report.Validator] = (),
+    prune: bool = False,
+) -> Published:
+    """Publish packages that are staged already.
 
     Data types with the same columns share one plan; the lines of all are then compressed and
     placed together. A package that cannot be read is reported and left out;
     one without rows is still written.
     """
+    spark = staged.sparkSession
     scratch = scratch_folder(spark)
-    staged = src.stage_packages(src.list_packages(spark, paths), f"{scratch}/staged")
     # a small table of packages is used by every step below
     src.package_info(staged).write.parquet(f"{scratch}/info")
     info = cat.publish_gate(spark.read.parquet(f"{scratch}/info"), policy)
@@ -76,6 +91,7 @@ def publish_archives(
     )
     lines, logs = [], [src.undecodable_lines(staged)]
     for types, columns in _plans(src.union_headers(allowed), policy):
+        # the gate is by data type, so the lines of allowed packages are found without a join
         of_types = allowed.where(F.col("data_type_internal").isin(*types))
         table = src.read_data_table(staged, types, columns, of_types)
         own_type = model.DATA_TYPE in columns
@@ -92,8 +108,7 @@ def publish_archives(
     if not lines:
         none = spark.createDataFrame([], "file string, size long")
         return Published(none, refused, src.failed_packages(staged), _union(logs))
-    names = allowed.select("package", "data_type_internal")
-    files = src.read_files(staged).join(names, "package")
+    files = src.read_files(staged).where(policy.allows(F.col("data_type_internal")))
     if prune:
         files = mb.prune_members(files, policy)
         left = files.where(F.col("seq") == 0).select("package", "member")
@@ -122,11 +137,15 @@ def publish_to_environment(
     policy: Policy,
     **options,
 ) -> dict[str, Published]:
-    """Publish to every target of an environment; a following target gets unmasked data."""
+    """Publish to every target of an environment; a following target gets unmasked data.
+
+    The archives are opened once for all targets.
+    """
     results = {}
+    staged = src.stage_packages(src.list_packages(spark, paths), scratch_folder(spark))
     for name, restrict in cat.publish_targets(environment, policy.restricting):
         folder = f"{work.rstrip('/')}/{scratch_folder(spark).rsplit('/', 1)[-1]}/{name}"
-        done = publish_archives(spark, paths, folder, codes, areas, policy.with_restrict(restrict), **options)
+        done = publish_staged(staged, folder, codes, areas, policy.with_restrict(restrict), **options)
         archives = done.archives.select(F.col("file").alias("name"), F.concat(F.lit(folder + "/"), "file").alias("path"))
         target = targets[name]
         copied = stores.copy_to_store(archives, target.datasets, scratch_folder(spark))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import pathlib
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -31,6 +33,20 @@ def builder(app: str = "kelpline") -> SparkSession.Builder:
     return found
 
 
+@contextlib.contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for the length of one write."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder name under the shared folder the cluster sets in ``spark.checkpoint.dir``.
 

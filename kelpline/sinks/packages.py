@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from kelpline import model
 from kelpline.functions.text import cell, is_encodable, printable_cell, separated_line
 from kelpline.operators.lookups import fits_broadcast, lookup_join
+from kelpline.session import setting
 from kelpline.sinks.placed import sums_before, write_placed
 
 SEGMENT_BYTES = 1024 * 1024
@@ -46,14 +47,10 @@ def write_data_table(df: DataFrame, path: str, package: str = "package") -> None
     Small packages are gathered into few files and large ones split over many by the
     adaptive planner.
     """
-    spark = df.sparkSession
     columns = [c for c in df.columns if c not in (package, "layout", "_line")]
     cells = df.select(package, *[printable_cell(F.col(c)).alias(c) for c in columns])
     # the encoding is only accepted with this setting
-    key = "spark.sql.legacy.javaCharsets"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "true")
-    try:
+    with setting(df.sparkSession, "spark.sql.legacy.javaCharsets", "true"):
         cells.hint("rebalance", F.col(package)).write.partitionBy(package).csv(
             path,
             sep=model.SEPARATOR,
@@ -66,8 +63,6 @@ def write_data_table(df: DataFrame, path: str, package: str = "package") -> None
             ignoreLeadingWhiteSpace=False,
             ignoreTrailingWhiteSpace=False,
         )
-    finally:
-        spark.conf.set(key, before)
 
 
 # -- lines -----------------------------------------------------------------------------------

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from kelpline import model
 from kelpline.functions.names import base_name, version
 from kelpline.operators.lookups import lookup_join
+from kelpline.session import setting
 
 PART_BYTES = 1024 * 1024
 BATCH_BYTES = 8 * 1024 * 1024
@@ -125,19 +126,24 @@ def _table_rows(package: str, lines: Iterable[list[str]]) -> Iterator[dict]:
 
 def _archive_rows(package: str, path: str) -> Iterator[dict]:
     with _open(path) as body, zipfile.ZipFile(body) as archive:
-        infos = sorted((i for i in archive.infolist() if not i.is_dir()), key=lambda i: i.filename)
-        if model.DATA_FILE not in (i.filename for i in infos):
+        # the data table first, as its data type goes with the other members
+        infos = sorted(
+            (i for i in archive.infolist() if not i.is_dir()), key=lambda i: (i.filename != model.DATA_FILE, i.filename)
+        )
+        if not infos or infos[0].filename != model.DATA_FILE:
             raise ValueError(f"no {model.DATA_FILE}")
-        for info in infos:
+        kind = ""
+        with archive.open(infos[0]) as stream:
+            for columns in _table_rows(package, _text_lines(stream)):
+                kind = columns["data_type_internal"][0]
+                yield columns
+        for info in infos[1:]:
             with archive.open(info) as stream:
-                if info.filename == model.DATA_FILE:
-                    yield from _table_rows(package, _text_lines(stream))
-                    continue
                 part, data = 0, stream.read(PART_BYTES)
                 while data or part == 0:
                     yield {
-                        "kind": ["file"], "package": [package], "member": [info.filename],
-                        "seq": [part], "content": [data],
+                        "kind": ["file"], "package": [package], "data_type_internal": [kind],
+                        "member": [info.filename], "seq": [part], "content": [data],
                     }
                     part, data = part + 1, stream.read(PART_BYTES)
 
@@ -177,8 +183,10 @@ def stage_packages(packages: DataFrame, folder: str) -> DataFrame:
     parts of bounded size), ``error`` (the package could not be read to its end).
     """
     rows = packages.select("package", "path").mapInArrow(_unzip, STAGED_SCHEMA)
-    rows.write.partitionBy("kind").parquet(folder)
     spark = packages.sparkSession
+    # a writer per kind, so that no task sorts its rows by kind
+    with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "8"):
+        rows.write.partitionBy("kind").parquet(folder)
     return spark.read.schema(STAGED_SCHEMA).parquet(folder)
 
 
@@ -221,7 +229,8 @@ def read_members(staged: DataFrame) -> DataFrame:
 
 def read_files(staged: DataFrame) -> DataFrame:
     """The bodies of all members but the data table, in parts."""
-    return _readable(staged, _kind(staged, "file").select("package", "member", "seq", "content"))
+    files = _kind(staged, "file").select("package", "data_type_internal", "member", "seq", "content")
+    return _readable(staged, files)
 
 
 def union_headers(info: DataFrame) -> dict[str, list[str]]:
@@ -244,15 +253,12 @@ def read_data_table(
     """The data tables of all readable packages, or of some data types, as one table of text cells.
 
     ``package``, ``layout`` (the header line as it was), ``_line`` and ``_type`` come with the
-    named columns. Cells a line lacks, and columns a package lacks, are blank. With ``info``
-    only its packages are read. Cells are cut in generated code; the place of each column is
-    looked up per header.
+    named columns. Cells a line lacks, and columns a package lacks, are blank. ``info`` may be
+    given if it is at hand. Cells are cut in generated code; the place of each column is looked
+    up per header.
     """
-    lines = _kind(staged, "line")
-    if info is None:
-        info, lines = package_info(staged), _readable(staged, lines)
-    else:
-        lines = lookup_join(lines, info.select("package"), ["package"], how="left_semi")
+    info = package_info(staged) if info is None else info
+    lines = _readable(staged, _kind(staged, "line"))
     if data_types is not None:
         chosen = F.col("data_type_internal").isin(*data_types)
         info, lines = info.where(chosen), lines.where(chosen)
