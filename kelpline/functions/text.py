@@ -33,13 +33,18 @@ def printable_cell(col: Column) -> Column:
     return F.translate(cell(col), "\t\r\n", "   ")
 
 
-def separated_line(cells: Column) -> Column:
-    """Cells to one line, control characters in cells that would end them becoming blanks.
+def joined_cells(cells: Column) -> Column:
+    """Cells joined by a code point that is no character, for ``separated_line``."""
+    return F.array_join(cells, NO_CHARACTER)
 
-    The cells are first joined by a code point that is no character, so that one pass over the
-    line serves all of them.
+
+def separated_line(joined: Column) -> Column:
+    """Joined cells as one line; control characters in cells that would end them become blanks.
+
+    Lines that hold any are rare, so the slow replacement only meets those.
     """
-    return F.translate(F.array_join(cells, NO_CHARACTER), "\t\r\n" + NO_CHARACTER, "   " + model.SEPARATOR)
+    clean = F.when(joined.rlike("[\t\r\n]"), F.translate(joined, "\t\r\n", "   ")).otherwise(joined)
+    return F.replace(clean, F.lit(NO_CHARACTER), F.lit(model.SEPARATOR))
 
 
 def is_encodable(col: Column) -> Column:

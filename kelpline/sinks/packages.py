@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kelpline import model
-from kelpline.functions.text import cell, is_encodable, printable_cell, separated_line
+from kelpline.functions.text import cell, is_encodable, joined_cells, printable_cell, separated_line
 from kelpline.operators.lookups import fits_broadcast, lookup_join
 from kelpline.session import setting
 from kelpline.sinks.placed import sums_before, write_placed
@@ -86,8 +86,8 @@ def render_lines(df: DataFrame, info: DataFrame, read_columns: list[str] | None
     cells = F.array(*[cell(F.col(c)) for c in columns])
     if read_columns is None:
         everything = F.lit(model.SEPARATOR.join(columns))
-        body = df.select("package", F.col("_line").alias("seq"), separated_line(cells).alias("text"))
-        return body.unionByName(info.select("package", F.lit(0).cast("long").alias("seq"), everything.alias("text")))
+        body = df.select("package", F.col("_line").alias("seq"), joined_cells(cells).alias("text"))
+        return body.withColumn("text", separated_line(F.col("text"))).unionByName(info.select("package", F.lit(0).cast("long").alias("seq"), everything.alias("text")))
     names = F.array(*map(F.lit, columns))
     added = F.array(*[F.lit(c) for c in columns if c not in read_columns]).cast("array<string>")
     own = F.split("layout", model.SEPARATOR, -1)
@@ -99,14 +99,15 @@ def render_lines(df: DataFrame, info: DataFrame, read_columns: list[str] | None
     rows = df.select("package", "layout", F.col("_line").alias("seq"), cells.alias("_cells"))
 
     def line(values: Column) -> Column:
-        return separated_line(F.transform("_places", lambda i: F.get(values, i)))
+        return joined_cells(F.transform("_places", lambda i: F.get(values, i)))
 
     small = fits_broadcast(layouts)
     body = lookup_join(rows, layouts, ["layout"], how="inner", small=small)
     head = lookup_join(info.select("package", "layout"), layouts, ["layout"], how="inner", small=small)
-    return body.select("package", "seq", line(F.col("_cells")).alias("text")).unionByName(
+    joined = body.select("package", "seq", line(F.col("_cells")).alias("text")).unionByName(
         head.select("package", F.lit(0).cast("long").alias("seq"), line(names).alias("text"))
     )
+    return joined.withColumn("text", separated_line(F.col("text")))
 
 
 def unencodable_lines(lines: DataFrame) -> DataFrame:
