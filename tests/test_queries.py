@@ -4,10 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from checks import oracle, queries
 from checks.compare import compare, connect
 from checks.queries import q_mask_columns, q_mask_parameter_rows, q_replace_with_mask, q_select_removed
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = queries.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +18,7 @@ def con(sf_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
