@@ -7,10 +7,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kelpline.llm import host_rules
+from kelpline.llm import host_rules, mixing, token_counts, warc
 from kelpline.llm.tables import table
 
 
+def vocabulary(name: str) -> str:
+    """The place of a public tokenizer's file, the same on all machines."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.page_records(table(spark, sf, "pages").select("page_id", "url", "html"))
+
+
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    counted = token_counts.count_tokens(docs, vocabulary("byte_bpe_50k.json"), ranks=vocabulary("byte_bpe_50k.tiktoken"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > token_counts.LIMIT)
+
+
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.plan_mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "source", "text")
     judged = host_rules.quality_rules(docs)
@@ -21,5 +42,8 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_seekable_warc": op1,
+        "op2_token_counts": op2,
+        "op5_source_mix": op5,
         "op8_host_quality_rules": op8,
     }
