@@ -85,26 +85,32 @@ def judge_hosts(measured: DataFrame, host: str, max_rate: float = MAX_HOST_RATE)
         )
     )
     rate = F.floor(F.col("n_failed") * SCALE / F.col("n_docs")).cast("decimal(38,0)")
-    sums = hosts.agg(F.count("*").alias("_n"), F.sum(rate).alias("_r"), F.sum(rate * rate).alias("_rr"))
-    n, r, rr = (F.col(c).cast("double") for c in ("_n", "_r", "_rr"))
-    moments = sums.select(F.lit(1).alias("_one"), (r / n / SCALE).alias("_mean"), (rr / n / SCALE / SCALE).alias("_square"))
-    # one row of three numbers
-    found = hosts.withColumn("_one", F.lit(1)).join(F.broadcast(moments), "_one")
-    mean = F.col("_mean")
-    spread = F.col("_square") - mean * mean
-    # the prior weighs one document at least; if all rates are equal there is nothing to tell hosts apart
-    weight = F.greatest(mean * (1 - mean) / spread - 1, F.lit(1.0))
-    shrunk = F.when(spread <= 0, mean).otherwise((F.col("n_failed") + mean * weight) / (F.col("n_docs") + weight))
+    # three numbers, however many hosts
+    n, r, rr = (float(x or 0) for x in hosts.agg(F.count("*"), F.sum(rate), F.sum(rate * rate)).first())
+    mean = r / n / SCALE if n else 0.0
+    spread = (rr / n / SCALE / SCALE if n else 0.0) - mean * mean
+    if spread <= 0:
+        # all rates are equal: nothing tells hosts apart
+        shrunk = F.lit(mean)
+    else:
+        # the prior weighs one document at least
+        weight = max(mean * (1 - mean) / spread - 1, 1.0)
+        shrunk = (F.col("n_failed") + F.lit(mean * weight)) / (F.col("n_docs") + F.lit(weight))
+    found = hosts
     found = found.withColumn("rate", shrunk)
-    return found.withColumn("rejected", F.col("rate") > max_rate).drop("_one", "_mean", "_square")
+    return found.withColumn("rejected", F.col("rate") > max_rate)
 
 
-def quality_rules(docs: DataFrame, host: str = "source", text: str = "text", max_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """``docs`` with the measures, ``base_failed`` and ``kept``.
+def quality_rules(
+    docs: DataFrame, host: str = "source", text: str = "text", max_rate: float = MAX_HOST_RATE, with_text: bool = True
+) -> DataFrame:
+    """``docs`` (without the text, if not ``with_text``) with the measures, ``base_failed`` and ``kept``.
 
     The texts are measured once, into a staged table; only the hosts are aggregated.
     """
     measured = measure(docs, text)
+    if not with_text:
+        measured = measured.drop(text)
     failed = F.lit(False)
     for rule in base_rules().values():
         failed = failed | rule

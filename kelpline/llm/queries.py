@@ -34,7 +34,7 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
 
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "source", "text")
-    judged = host_rules.quality_rules(docs)
+    judged = host_rules.quality_rules(docs, with_text=False)
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
