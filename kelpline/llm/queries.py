@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kelpline.llm import host_rules, mixing, token_counts, warc
+from kelpline.llm import host_rules, mixing, near_dedup, token_counts, warc
 from kelpline.llm.tables import table
 
 
@@ -32,6 +32,10 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.plan_mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "source", "text")
     judged = host_rules.quality_rules(docs, with_text=False)
@@ -45,5 +49,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_seekable_warc": op1,
         "op2_token_counts": op2,
         "op5_source_mix": op5,
+        "op7_minhash_near_dedup": op7,
         "op8_host_quality_rules": op8,
     }

@@ -265,7 +265,9 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
     that its rows name are opened, each once per task."""
     ship_package(index.sparkSession)
     rows = index.select("bundle", "frame", "offset", "length")
-    by_frame = rows.repartition("bundle", "frame").sortWithinPartitions("bundle", "frame", "offset")
+    # a few bytes of index stand for a whole frame: the number of tasks must not follow the index's size
+    tasks = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by_frame = rows.repartition(tasks, "bundle", "frame").sortWithinPartitions("bundle", "frame", "offset")
     return by_frame.mapInArrow(_record_reader(folder), RECORD_SCHEMA)
 
 

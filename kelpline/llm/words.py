@@ -12,12 +12,10 @@ SEGMENT = 4 * 1024 * 1024
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
-_random = np.random.Generator(np.random.PCG64(64))
-_EXACT = _random.integers(0, 2**64, 256, np.uint64)
-_FOLDED = _EXACT.copy()
-_FOLDED[65:91] = _EXACT[97:123]
-_STEP = np.uint64(0x9E3779B97F4A7C13)
-_powers = np.ones(1, np.uint64)
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[65:91] += 32
+#: Which of the eight bytes of a block belong to a word, by their number.
+_KEEP = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -29,15 +27,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _power_table(n: int) -> np.ndarray:
-    global _powers
-    if len(_powers) < n:
-        steps = np.full(max(n, 2 * len(_powers)), _STEP, np.uint64)
-        steps[0] = 1
-        _powers = np.cumprod(steps, dtype=np.uint64)
-    return _powers
-
-
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts, one after another, and the offsets of the texts; null is empty."""
     texts = texts.cast(pa.large_string()).fill_null("")
@@ -60,6 +49,21 @@ def _segments(data: np.ndarray) -> Iterator[tuple[int, int]]:
         begin = end
 
 
+def _hashes(part: np.ndarray, firsts: np.ndarray, sizes: np.ndarray, fold: bool) -> np.ndarray:
+    """Words to hashes, eight bytes of all words at a time."""
+    padded = np.zeros(len(part) + 8, np.uint8)
+    padded[: len(part)] = _FOLD[part] if fold else part
+    blocks = np.ndarray((len(part) + 1,), "<u8", padded, strides=(1,))
+    out = mix(sizes.astype(np.uint64))
+    rows, done = np.arange(len(firsts)), 0
+    while len(rows):
+        left = sizes[rows] - done
+        block = blocks[firsts[rows] + done] & _KEEP[np.minimum(left, 8)]
+        out[rows] = mix(out[rows] ^ block)
+        rows, done = rows[left > 8], done + 8
+    return out
+
+
 def split_words(data: np.ndarray, starts: np.ndarray, fold: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash, first byte and byte after the last of every word of ``data``.
 
@@ -67,28 +71,22 @@ def split_words(data: np.ndarray, starts: np.ndarray, fold: bool = False) -> tup
     text); ``fold`` takes A to Z as a to z. Words that differ have different hashes but for
     the chance of 64 bits.
     """
-    table = _FOLDED if fold else _EXACT
     hashes, firsts, ends = [], [], []
     for low, high in _segments(data):
         part = data[low:high]
-        solid = ~_BLANK[part]
-        begins = solid.copy()
-        begins[1:] &= ~solid[:-1]
-        own = starts[np.searchsorted(starts, low) : np.searchsorted(starts, high)] - low
-        begins[own] |= solid[own]
-        if low and solid[0] and not _BLANK[data[low - 1]] and not (len(own) and own[0] == 0):
-            raise AssertionError("a segment must begin after a blank")
-        where = np.flatnonzero(solid)
-        if not len(where):
+        solid = np.zeros(len(part) + 2, bool)
+        np.logical_not(_BLANK[part], out=solid[1:-1])
+        edges = np.flatnonzero(solid[1:] != solid[:-1])
+        own = starts[np.searchsorted(starts, low, "right") : np.searchsorted(starts, high)] - low
+        own = np.unique(own[solid[own] & solid[own + 1]])
+        # a text that begins where another ends without a blank: one word ends and one begins
+        edges = np.sort(np.concatenate([edges, own, own])) if len(own) else edges
+        first, end = edges[::2], edges[1::2]
+        if not len(first):
             continue
-        first = np.flatnonzero(begins[where])
-        sizes = np.diff(np.append(first, len(where)))
-        inside = np.arange(len(where)) - np.repeat(first, sizes)
-        values = table[part[where]] * _power_table(int(sizes.max()))[inside]
-        sums = np.add.reduceat(values, first)
-        hashes.append(mix(sums + sizes.astype(np.uint64)))
-        firsts.append(where[first] + low)
-        ends.append(where[np.append(first[1:], len(where)) - 1] + low + 1)
+        hashes.append(_hashes(part, first, end - first, fold))
+        firsts.append(first + low)
+        ends.append(end + low)
     if not hashes:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     return np.concatenate(hashes), np.concatenate(firsts), np.concatenate(ends)
