@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kelpline.llm import host_rules, mixing, near_dedup, token_counts, warc
+from kelpline.llm import host_rules, line_dedup, mixing, near_dedup, token_counts, warc
 from kelpline.llm.tables import table
 
 
@@ -44,6 +44,16 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    found = line_dedup.similar_lines(table(spark, sf, "documents").select("doc_id", "text"))
+    doc = lambda c: F.nullif(F.col(c), F.lit(line_dedup.LAST))
+    return found.select(
+        doc("at").alias("doc_id"), F.col("line").alias("line_no"), F.col("n").alias("n_tokens"),
+        doc("first.at").alias("class_doc"), F.col("first.line").alias("class_line"),
+        doc("match.at").alias("match_doc"), F.col("match.line").alias("match_line"), "kept",
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_seekable_warc": op1,
@@ -51,4 +61,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_source_mix": op5,
         "op7_minhash_near_dedup": op7,
         "op8_host_quality_rules": op8,
+        "op10_line_dedup": op10,
     }
