@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kelpline.llm import host_rules, line_dedup, mixing, near_dedup, token_counts, warc
+from kelpline.llm import host_rules, line_dedup, mixing, near_dedup, token_counts, warc, word_bpe
 from kelpline.llm.tables import table
 
 
@@ -32,6 +32,18 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.plan_mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    path = vocabulary("byte_bpe_50k.json")
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    decoded = word_bpe.decode(word_bpe.encode(docs, path), path)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op7(spark: SparkSession, sf: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf, "documents").select("doc_id", "text"))
 
@@ -59,6 +71,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_seekable_warc": op1,
         "op2_token_counts": op2,
         "op5_source_mix": op5,
+        "op6_word_bpe": op6,
         "op7_minhash_near_dedup": op7,
         "op8_host_quality_rules": op8,
         "op10_line_dedup": op10,
