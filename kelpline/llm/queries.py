@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kelpline.llm import host_rules, line_dedup, mixing, near_dedup, token_counts, warc, word_bpe
+from kelpline.llm import hamming_search, host_rules, line_dedup, mixing, near_dedup, token_counts, warc, word_bpe
 from kelpline.llm.tables import table
 
 
@@ -56,6 +56,10 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    return hamming_search.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     found = line_dedup.similar_lines(table(spark, sf, "documents").select("doc_id", "text"))
     doc = lambda c: F.nullif(F.col(c), F.lit(line_dedup.LAST))
@@ -74,5 +78,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_word_bpe": op6,
         "op7_minhash_near_dedup": op7,
         "op8_host_quality_rules": op8,
+        "op9_hamming_search": op9,
         "op10_line_dedup": op10,
     }
