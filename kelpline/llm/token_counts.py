@@ -90,7 +90,9 @@ def boundaries(path: str, text: str) -> tuple[np.ndarray, np.ndarray, int]:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), 0
     # an added token has no word; it is a unit of its own
     first = np.flatnonzero(np.r_[True, (words[1:] != words[:-1]) | (words[1:] < 0)])
-    starts = np.fromiter((found.offsets[i][0] for i in first), np.int64, len(first))
+    # the library makes a new list at every access
+    offsets = found.offsets
+    starts = np.fromiter((offsets[i][0] for i in first), np.int64, len(first))
     return starts, first, len(words)
 
 
