@@ -139,7 +139,7 @@ def count_table(counted: DataFrame) -> np.ndarray:
     ranks = np.zeros(PLACES, np.uint8)
     # one row per place at most, a number that does not follow the data; 4,096 places in one row
     chunks = sums.select(F.floor(F.col("place") / 4096).cast("int").alias("c"), F.struct((F.col("place") % 4096).alias("p"), rank.alias("r")).alias("x"))
-    for row in chunks.groupBy("c").agg(F.collect_list("x.p").alias("p"), F.collect_list("x.r").alias("r")).toLocalIterator():
+    for row in chunks.groupBy("c").agg(F.collect_list("x.p").alias("p"), F.collect_list("x.r").alias("r")).collect():
         ranks[row.c * 4096 + np.array(row.p)] = row.r
     return ranks
 

@@ -19,7 +19,8 @@ def id_filter(ids: DataFrame, column: str) -> np.ndarray:
     bit = F.expr("shiftleft(1L, cast(_p % 64 as int))")
     words = ids.select(place.alias("_p")).groupBy(F.floor(F.col("_p") / 64).alias("w")).agg(F.bit_or(bit).alias("bits"))
     found = np.zeros(BITS // 64, np.int64)
-    for row in words.toLocalIterator():
+    # as many rows as the filter has words, at most
+    for row in words.collect():
         found[row.w] = row.bits
     return found
 

@@ -29,15 +29,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kelpline.llm.components import components
+from kelpline.llm.components import components, joined_by
 from kelpline.llm.marks import id_filter, passes
-from kelpline.llm.tables import staged
+from kelpline.llm.tables import fitted, staged
 from kelpline.llm.words import hashed_words, mix, shingles, small_slices
 from kelpline.session import ship_package
 
 SHINGLE_WORDS = 5
 ROWS, BANDS = 3, 40
 BINS = ROWS * BANDS
+#: So many sets at most are one partition.
+FEW_SETS = 10_000
 #: Similarity in percent.
 PERCENT = 75
 EMPTY = np.uint64(2**64 - 1)
@@ -147,7 +149,7 @@ def _confirmed(texts: DataFrame, classes: DataFrame, pairs: DataFrame, percent:
     sets = texts.mapInArrow(read, "doc_id long, f1 long, items array<long>")
     # rows that share an id may have several sets: the class's own is the one with its fingerprint
     own = classes.select("doc_id", "f1").join(ids, "doc_id", "left_semi")
-    sets = staged(sets.join(own, ["doc_id", "f1"], "left_semi").dropDuplicates(["doc_id", "f1"]))
+    sets = fitted(sets.join(own, ["doc_id", "f1"], "left_semi").dropDuplicates(["doc_id", "f1"]), FEW_SETS)
     of = lambda c: sets.select(F.col("doc_id").alias(c), F.col("f1").alias(f"f_{c}"), F.col("items").alias(f"s_{c}"))
     both = pairs.join(of("a"), ["a", "f_a"]).join(of("b"), ["b", "f_b"])
     shared = F.size(F.array_intersect("s_a", "s_b"))
@@ -181,8 +183,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     met = staged(buckets.join(shared, "key"))
     degrees = met.groupBy("doc_id", "f1").agg(F.sum(F.col("_size") - 1).alias("degree"))
     members = staged(met.drop("_size").join(degrees, ["doc_id", "f1"]))
-    tried = staged(_star(members, percent))
-    links = staged(_confirmed(texts, classes, tried, percent))
+    tried = fitted(_star(members, percent))
+    links = fitted(_confirmed(texts, classes, tried, percent))
     # rows that share an id are one document
     joined = components(links)
     while True:
@@ -190,28 +192,27 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         labelled = labelled.withColumn("component", F.coalesce("component", "doc_id"))
         top = F.max(F.struct("degree", (-F.col("doc_id")).alias("order"), "component")).alias("c")
         centred = labelled.groupBy("key").agg(top).select("key", F.col("c.component").alias("_taken"))
-        members = staged(labelled.join(centred, "key").where("component <> _taken").drop("component", "_taken"))
-        fresh = staged(_star(members, percent).join(tried, ["a", "f_a", "b", "f_b"], "left_anti"))
+        members = fitted(labelled.join(centred, "key").where("component <> _taken").drop("component", "_taken"))
+        fresh = fitted(_star(members, percent).join(tried, ["a", "f_a", "b", "f_b"], "left_anti"))
         if fresh.isEmpty():
             break
         tried = tried.unionByName(fresh)
-        more = staged(_confirmed(texts, classes, fresh, percent))
+        more = fitted(_confirmed(texts, classes, fresh, percent))
         if more.isEmpty():
             break
-        links = links.unionByName(more)
-        joined = components(links)
+        joined = joined_by(joined, more)
     # a class of several documents is linked to its representative, and so are documents of several classes
     sets = named.select(*key, "doc_id").distinct().join(classes.select(*key, F.col("doc_id").alias("first")), key)
-    return _result(signed, sets, links, joined, key)
+    return _result(signed, sets, joined, key)
 
 
-def _result(signed: DataFrame, sets: DataFrame, links: DataFrame, joined: DataFrame, key: list[str]) -> DataFrame:
+def _result(signed: DataFrame, sets: DataFrame, joined: DataFrame, key: list[str]) -> DataFrame:
     twice = sets.groupBy("doc_id").agg(F.count("*").alias("_n"), F.min("first").alias("first"), F.max("first").alias("last")).where("_n > 1")
     bridges = twice.where("first <> last").select(F.col("first").alias("a"), F.col("last").alias("b"))
     if not bridges.isEmpty():
         # a document that is named with several sets ties their classes together
         ties = sets.join(twice.select("doc_id", F.col("first").alias("_low")), "doc_id")
-        joined = components(links.unionByName(ties.select(F.col("_low").alias("a"), F.col("first").alias("b"))))
+        joined = joined_by(joined, ties.select(F.col("_low").alias("a"), F.col("first").alias("b")))
     label = sets.join(joined.withColumnRenamed("node", "first"), "first", "left")
     label = label.select(*key, "doc_id", F.coalesce("component", "first").alias("component_id"))
     found = signed.select("doc_id", *key).join(label, [*key, "doc_id"], "left")
