@@ -13,19 +13,19 @@ from pyspark.sql import functions as F
 BITS = 1 << 24
 
 
-def id_filter(ids: DataFrame, column: str) -> np.ndarray:
-    """One bit per id modulo ``BITS``, at most 2 MB, put together by the executors."""
-    place = F.pmod(F.col(column), F.lit(BITS))
+def id_filter(ids: DataFrame, column: str, bits: int = BITS) -> np.ndarray:
+    """One bit per id modulo ``bits``, 2 MB unless told otherwise, put together by the executors."""
+    place = F.pmod(F.col(column), F.lit(bits))
     bit = F.expr("shiftleft(1L, cast(_p % 64 as int))")
     words = ids.select(place.alias("_p")).groupBy(F.floor(F.col("_p") / 64).alias("w")).agg(F.bit_or(bit).alias("bits"))
-    found = np.zeros(BITS // 64, np.int64)
+    found = np.zeros(bits // 64, np.int64)
     # as many rows as the filter has words, at most
-    for row in words.collect():
-        found[row.w] = row.bits
+    rows = words.toArrow()
+    found[rows["w"].to_numpy()] = rows["bits"].to_numpy()
     return found
 
 
 def passes(marks: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """For each id whether it may be one of those marked."""
-    places = ids.astype(np.int64) % BITS
+    places = ids.astype(np.int64) % (64 * len(marks))
     return (marks[places // 64].view(np.uint64) >> (places % 64).astype(np.uint64)) & np.uint64(1) == 1

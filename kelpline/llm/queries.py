@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kelpline.llm import hamming_search, host_rules, html_text, line_dedup, mixing, near_dedup, token_counts, warc, word_bpe
+from kelpline.llm import hamming_search, host_rules, html_text, line_dedup, mixing, near_dedup, substrings, token_counts, warc, word_bpe
 from kelpline.llm.tables import table
 
 
@@ -28,6 +28,10 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > token_counts.LIMIT)
 
 
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    return substrings.repeated_passages(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     found = html_text.visible_text(table(spark, sf, "pages").select("page_id", "html"))
     return found.select("page_id", "text", F.length("text").cast("long").alias("n_chars"))
@@ -79,6 +83,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_seekable_warc": op1,
         "op2_token_counts": op2,
+        "op3_compact_windows": op3,
         "op4_html_text": op4,
         "op5_source_mix": op5,
         "op6_word_bpe": op6,
