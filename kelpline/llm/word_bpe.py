@@ -159,19 +159,33 @@ def _blocks(batches: Iterable[pa.RecordBatch], path: str, keep: bool, block_byte
         yield block
 
 
-SENT = "block long, part int, words array<string>"
+SENT = "block long, part int, sizes binary, words binary"
+
+
+def pack_words(words: list[bytes]) -> tuple[bytes, bytes]:
+    """Lengths and bytes of words, compressed."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    return pack(sizes), zstandard.ZstdCompressor(level=LEVEL).compress(b"".join(words))
+
+
+def unpack_words(sizes: bytes, words: bytes) -> list[str]:
+    data = zstandard.ZstdDecompressor().decompress(words)
+    ends = np.cumsum(unpack(sizes)).tolist()
+    return [data[a:b].decode() for a, b in zip([0, *ends], ends)]
 
 
 def _send_words(path: str, parts: int, block_bytes: int):
     def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches, path, False, block_bytes):
-            words, part = pa.array(list(block.numbers), pa.string()), block.partitions(parts)
-            order = np.argsort(part, kind="stable")
-            used, begins = np.unique(part[order], return_index=True)
-            ends = np.r_[begins, len(order)].astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), words.take(pa.array(order))) if len(used) else pa.array([], pa.list_(pa.string()))
-            keys = pa.array(np.full(len(used), block.key()), pa.int64())
-            yield pa.RecordBatch.from_arrays([keys, pa.array(used, pa.int32()), lists], names=["block", "part", "words"])
+            by_part: dict[int, list[bytes]] = {}
+            for word in block.numbers:
+                data = word.encode()
+                by_part.setdefault(zlib.crc32(data) % parts, []).append(data)
+            key = block.key()
+            rows = [(key, part, *pack_words(words)) for part, words in by_part.items()]
+            types = [pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+            columns = zip(*rows) if rows else [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["block", "part", "sizes", "words"])
 
     return send
 
@@ -186,16 +200,16 @@ def _answer(path: str):
         encoder, table = tokenizer(path), {}
         for batch in batches:
             out = {"block": [], "part": [], "sizes": [], "ids": []}
-            for block, part, words in zip(batch["block"].to_pylist(), batch["part"].to_pylist(), batch["words"]):
-                words = words.as_py()
+            for block, part, lengths, packed in zip(*(batch[c].to_pylist() for c in ("block", "part", "sizes", "words"))):
+                words = unpack_words(lengths, packed)
                 new = [w for w in words if w not in table]
                 for word, code in zip(new, encoder.encode_batch_fast(new, add_special_tokens=False)):
                     table[word] = np.array(code.ids, np.uint32).tobytes()
                 codes = [table[w] for w in words]
                 out["block"].append(block)
                 out["part"].append(part)
-                out["sizes"].append(np.fromiter(map(len, codes), np.uint32, len(codes)).tobytes())
-                out["ids"].append(b"".join(codes))
+                out["sizes"].append(pack(np.fromiter(map(len, codes), np.int64, len(codes)) // 4))
+                out["ids"].append(pack(np.frombuffer(b"".join(codes), np.uint32).astype(np.int64)))
             types = {"block": pa.int64(), "part": pa.int32(), "sizes": pa.binary(), "ids": pa.binary()}
             yield pa.RecordBatch.from_arrays([pa.array(v, types[k]) for k, v in out.items()], names=list(out))
 
@@ -228,16 +242,16 @@ def _word_ids(parts: np.ndarray, answers: pa.Table) -> tuple[np.ndarray, np.ndar
     seen = 0
     for part, size, ids in zip(answers["part"].to_pylist(), answers["sizes"].to_pylist(), answers["ids"].to_pylist()):
         own = np.flatnonzero(parts == part)
-        n = np.frombuffer(size, np.uint32).astype(np.int64) // 4
+        n = unpack(size)
         if len(own) != len(n):
             raise ValueError("the words of a block were not answered as they were sent")
         sizes[own], starts[own] = n, total + np.cumsum(n) - n
-        flat.append(np.frombuffer(ids, np.uint32))
+        flat.append(unpack(ids))
         total += len(flat[-1])
         seen += len(own)
     if seen != len(parts):
         raise ValueError("a block has no answer: its table was read in another order the second time")
-    ids = np.concatenate(flat) if flat else np.zeros(0, np.uint32)
+    ids = np.concatenate(flat) if flat else np.zeros(0, np.int64)
     ends = np.cumsum(sizes)
     take = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
     return ids[take].astype(np.int32), sizes
