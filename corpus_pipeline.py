@@ -1,21 +1,52 @@
-"""The corpus pipeline: quality rules, line dedup, near-dedup, mixing, token encoding."""
+"""The corpus pipeline: quality rules, line dedup, near-dedup, mixing to target weights, token encoding."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kelpline.llm import host_rules
-from kelpline.llm.tables import DOCUMENT_COLUMNS, staged, table
+from kelpline.llm import host_rules, line_dedup, mixing, near_dedup, word_bpe
+from kelpline.llm.queries import vocabulary
+from kelpline.llm.tables import DOCUMENT_COLUMNS, WORD, staged, table
+
+
+def _documents(docs: DataFrame) -> DataFrame:
+    """The columns of documents, with the length of the text as it is now."""
+    return docs.withColumn("n_chars", F.length("text").cast("long")).select(*DOCUMENT_COLUMNS)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the rules keep."""
+    """Documents that neither fail a rule themselves nor come from a host that does too often."""
     return host_rules.quality_rules(docs.select(*DOCUMENT_COLUMNS)).where("kept").select(*DOCUMENT_COLUMNS)
 
 
-STAGES = [("quality", quality)]
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that repeat an earlier one; a document of which no word is left goes."""
+    return _documents(line_dedup.dedup_lines(docs.select(*DOCUMENT_COLUMNS)).where(F.col("text").rlike(WORD)))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates; rows that repeat a document stay once."""
+    docs = docs.select(*DOCUMENT_COLUMNS)
+    gone = staged(near_dedup.near_duplicates(docs).where("not kept").select("doc_id").distinct())
+    return docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*DOCUMENT_COLUMNS)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of sources to their target weights: a document comes as often as it is taken."""
+    return _documents(mixing.mix(docs.select(*DOCUMENT_COLUMNS)))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, and the text that they decode to."""
+    path = vocabulary("byte_bpe_50k.json")
+    encoded = word_bpe.decode(word_bpe.encode(docs.select("doc_id", "text"), path), path)
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "text")
+
+
+STAGES = [("quality rules", quality), ("line dedup", lines), ("near dedup", near_duplicates), ("source mix", mixed), ("tokens", tokens)]
 
-#: The last stages cannot be expressed in SQL; the tests hold the pipeline against a brute-force version.
+#: Near-dedup, the mix and the tokenizer cannot be expressed in SQL; tests hold the pipeline against a brute-force version.
 ORACLE_SQL = None
 
 

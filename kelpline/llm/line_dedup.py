@@ -10,9 +10,9 @@ or not, has a Jaccard similarity of ``PERCENT`` or more with it; the order is th
    are in one line only are left out.
 4. Lines that share a prefix token are paired if their sizes, the places of the token, and a 64-bit parity of
    their tokens (which bounds the symmetric difference) allow the similarity.
-5. First each line meets only the first line that has the token (a star, as many pairs as members). What is verified is done
-   with: a group of any number of variants costs one pair each. Only lines without a match go on
-   to the full join with all earlier lines.
+5. A token of up to ``DENSE`` lines pairs them all. With a token of more lines, each line first meets only the
+   first line that has it (a star, as many pairs as members). Lines with a match are done with: a group of any number of
+   variants costs one pair each. Only lines without any go on to meet all earlier lines of such tokens.
 6. Pairs are verified on all their tokens, which are read from the texts again for these lines only.
 
 Defined results: a line without a word is no line: it is neither counted nor removed; a null text has no
@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kelpline.llm.marks import id_filter, passes
-from kelpline.llm.tables import staged
+from kelpline.llm.tables import fitted, staged
 from kelpline.llm.words import mix, small_slices, split_words, text_bytes
 from kelpline.session import ship_package
 
@@ -42,7 +42,14 @@ TOKEN_BITS = 48
 _TOKEN = np.uint64((1 << TOKEN_BITS) - 1)
 _LOW = np.uint64((1 << 40) - 1)
 LINES_AT_ONCE = 1 << 16
+#: The low bits of a fingerprint are the size of the set, as far as it goes; longer lines are all of this size to the filters of pairs,
+#: which then only let more pairs pass.
+SIZE_BITS = 24
+#: The rank of a count (see ``count_table``) from which a token is dense: 64 lines.
+DENSE = 48
 LAST = (1 << 63) - 1
+#: So many lists of tokens at most are one partition.
+FEW_LISTS = 20_000
 
 
 class Lines:
@@ -85,7 +92,28 @@ class Lines:
         mixed = mix(self.tokens + np.uint64(0x9E3779B97F4A7C15))
         total = np.add.reduceat(mixed, self.begin)
         parity = np.bitwise_xor.reduceat(np.uint64(1) << (mixed >> np.uint64(58)), self.begin)
-        return mix(total ^ self.size.astype(np.uint64)).view(np.int64), parity.view(np.int64)
+        size = np.minimum(self.size, (1 << SIZE_BITS) - 1).astype(np.uint64)
+        return ((mix(total ^ self.size.astype(np.uint64)) >> np.uint64(SIZE_BITS) << np.uint64(SIZE_BITS)) | size).view(np.int64), parity.view(np.int64)
+
+    def prefixes(self, chosen: np.ndarray, ranks: np.ndarray, percent: int) -> tuple[np.ndarray, ...]:
+        """Line, token in the order of rarity, its place, and its rank, of the prefixes of some lines."""
+        parts = []
+        for low in range(0, len(chosen), LINES_AT_ONCE):
+            lines = chosen[low : low + LINES_AT_ONCE]
+            size = self.size[lines]
+            ends = np.cumsum(size)
+            take = np.arange(ends[-1]) + np.repeat(self.begin[lines] - (ends - size), size)
+            tokens = self.tokens[take]
+            keys = (ranks[(tokens & np.uint64(PLACES - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(40)) | (tokens & _LOW)
+            keys |= np.repeat(np.arange(len(lines), dtype=np.uint64), size) << np.uint64(TOKEN_BITS)
+            keys.sort()
+            place = np.arange(len(keys)) - np.repeat(ends - size, size)
+            use = place < np.repeat(prefix_sizes(size, percent), size)
+            keys, place = keys[use], place[use]
+            parts.append((lines[(keys >> np.uint64(TOKEN_BITS)).astype(np.int64)], keys & _TOKEN, place, (keys & _TOKEN) >> np.uint64(40)))
+        if not parts:
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return tuple(np.concatenate(c) for c in zip(*parts))
 
 
 def _documents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -149,10 +177,14 @@ def prefix_sizes(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return n - -(-n * percent // 100) + 1
 
 
-INDEX = f"token long, place int, n int, f long, sig long, {LINE_COLUMNS}"
+INDEX = "t long, place int, sig long, f long"
+DENSE_INDEX = f"{INDEX}, {LINE_COLUMNS}"
+
 
+def _prefixes(ranks: np.ndarray, percent: int, dense: bool):
+    """Prefix tokens ``t`` of each class of a slice with their places, the parity, and the class's fingerprint.
+    Dense tokens come with the place of the class's first line."""
 
-def _prefixes(ranks: np.ndarray, percent: int):
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in small_slices(whole, "text"):
@@ -165,29 +197,23 @@ def _prefixes(ranks: np.ndarray, percent: int):
                 chosen[order[first]] = True
                 # in a shorter line only equal sets are similar
                 chosen &= lines.size * 100 >= percent * (lines.size + 1)
-                if chosen.any():
-                    yield from _prefix_rows(batch, lines, chosen, f, sig, ranks, percent)
+                own, token, place, rank = lines.prefixes(np.flatnonzero(chosen), ranks, percent)
+                use = (rank >= DENSE) if dense else (rank > 0) & (rank < DENSE)
+                own, token, place = own[use], token[use], place[use]
+                columns = {
+                    "t": pa.array(token.view(np.int64)),
+                    "place": pa.array(place.astype(np.int32)),
+                    "sig": pa.array(sig[own]),
+                    "f": pa.array(f[own]),
+                }
+                if dense:
+                    rows = _rows("", batch, lines, own, f, sig)
+                    columns |= {c: rows[c] for c in ("at", "key", "line")}
+                yield pa.RecordBatch.from_pydict(columns)
 
     return read
 
 
-def _prefix_rows(batch, lines: Lines, chosen: np.ndarray, f, sig, ranks: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
-    own = np.repeat(np.arange(len(lines.size)), lines.size)
-    held = chosen[own]
-    own, tokens = own[held], lines.tokens[held]
-    rank = ranks[(tokens & np.uint64(PLACES - 1)).astype(np.int64)]
-    rarest = np.lexsort(((rank.astype(np.uint64) << np.uint64(40)) | (tokens & _LOW), own))
-    own, tokens, rank = own[rarest], tokens[rarest], rank[rarest]
-    size = lines.size[own]
-    begins = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-    place = np.arange(len(own)) - np.repeat(begins, np.diff(np.append(begins, len(own))))
-    use = (place < prefix_sizes(size, percent)) & (rank > 0)
-    own, place = own[use], place[use]
-    rows = _rows("", batch, lines, own, f, sig)
-    columns = [pa.array(tokens[use].view(np.int64)), pa.array(place.astype(np.int32))] + [rows[c] for c in ("n", "f", "sig", "at", "key", "line")]
-    yield pa.RecordBatch.from_arrays(columns, names=["token", "place", "n", "f", "sig", "at", "key", "line"])
-
-
 def _token_lists(marks: np.ndarray):
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -195,7 +221,7 @@ def _token_lists(marks: np.ndarray):
                 lines = Lines(batch["text"])
                 f, sig = lines.fingerprints()
                 _, first = np.unique(f, return_index=True)
-                chosen = first[passes(marks, f[first])]
+                chosen = first[passes(marks, f[first] >> SIZE_BITS)]
                 if not len(chosen):
                     continue
                 size = lines.size[chosen]
@@ -207,38 +233,55 @@ def _token_lists(marks: np.ndarray):
     return read
 
 
-def _possible(a: str, b: str, percent: int) -> Column:
+def _possible(percent: int) -> Column:
     """Whether the sizes, the places of the shared token and the parities allow the similarity."""
-    n, m, i, j = (F.col(f"{x}.{c}") for c in ("n", "place") for x in (a, b))
+    size = lambda x: F.col(f"{x}.f").bitwiseAND((1 << SIZE_BITS) - 1)
+    n, m = size("x"), size("y")
+    long = (n == (1 << SIZE_BITS) - 1) | (m == (1 << SIZE_BITS) - 1)
     # the least overlap: t / (1 + t) of both sizes
     need = F.ceil(F.lit(percent) * (n + m) / F.lit(100 + percent))
     sizes = (F.lit(100) * n >= F.lit(percent) * m) & (F.lit(100) * m >= F.lit(percent) * n)
-    reach = F.least(n - i, m - j) >= need
-    parity = F.bit_count(F.col(f"{a}.sig").bitwiseXOR(F.col(f"{b}.sig"))) <= n + m - 2 * need
-    return sizes & reach & parity
+    reach = F.least(n - F.col("x.place"), m - F.col("y.place")) >= need
+    parity = F.bit_count(F.col("x.sig").bitwiseXOR(F.col("y.sig"))) <= n + m - 2 * need
+    return long | (sizes & reach & parity)
+
 
+def _different() -> Column:
+    return (F.col("x.f") != F.col("y.f")) | (F.col("x.sig") != F.col("y.sig"))
 
-def _pairs(joined: DataFrame, percent: int) -> DataFrame:
-    """Later line ``x`` and earlier line ``y``, each pair once, with the place of ``y``."""
-    found = joined.where(_possible("x", "y", percent))
-    return found.select(
-        F.col("x.f").alias("f"), F.col("x.sig").alias("sig"), F.col("y.f").alias("g"), F.col("y.sig").alias("gsig"),
-        F.struct("y.at", "y.key", "y.line").alias("earlier"),
-    ).distinct()
+
+def _pairs(joined: DataFrame) -> DataFrame:
+    """Pairs of classes, each once, the lesser first."""
+    ids = lambda x: F.struct(F.col(f"{x}.f").alias("f"), F.col(f"{x}.sig").alias("sig"))
+    found = joined.select(F.least(ids("x"), ids("y")).alias("a"), F.greatest(ids("x"), ids("y")).alias("b"))
+    return found.select(F.col("a.f").alias("f"), F.col("a.sig").alias("sig"), F.col("b.f").alias("g"), F.col("b.sig").alias("gsig")).distinct()
 
 
 def _verified(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """``f, sig`` of lines with the first of their earlier lines that is similar."""
+    """Pairs whose sets are similar. Only the lines of pairs are read again."""
     ids = pairs.select("f", "sig").union(pairs.select("g", "gsig")).distinct()
-    marks = texts.sparkSession.sparkContext.broadcast(id_filter(ids, "f"))
+    marks = texts.sparkSession.sparkContext.broadcast(id_filter(ids.select(F.shiftright("f", SIZE_BITS).alias("h")), "h"))
     read = lambda batches: _token_lists(marks.value)(batches)
     lists = texts.mapInArrow(read, "f long, sig long, items array<long>")
-    lists = staged(lists.join(ids, ["f", "sig"], "left_semi").dropDuplicates(["f", "sig"]))
+    lists = lists.join(ids, ["f", "sig"], "left_semi").dropDuplicates(["f", "sig"])
+    lists = fitted(lists, FEW_LISTS)
     other = lists.select(F.col("f").alias("g"), F.col("sig").alias("gsig"), F.col("items").alias("others"))
     both = pairs.join(lists, ["f", "sig"]).join(other, ["g", "gsig"])
     shared = F.size(F.array_intersect("items", "others"))
     similar = F.lit(100) * shared >= F.lit(percent) * (F.size("items") + F.size("others") - shared)
-    return both.where(similar).groupBy("f", "sig").agg(F.min("earlier").alias("earlier"))
+    return both.where(similar).select("f", "sig", "g", "gsig")
+
+
+def _matches(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """``f, sig`` of classes with the first line of the earliest class that is similar and earlier."""
+    firsts = classes.select("f", "sig", "first")
+    ends = links.join(firsts, ["f", "sig"]).join(firsts.toDF("g", "gsig", "other"), ["g", "gsig"])
+    later = F.col("first") > F.col("other")
+    told = ends.select(
+        F.when(later, F.struct("f", "sig")).otherwise(F.struct(F.col("g").alias("f"), F.col("gsig").alias("sig"))).alias("id"),
+        F.least("first", "other").alias("earlier"),
+    )
+    return told.groupBy("id.f", "id.sig").agg(F.min("earlier").alias("earlier"))
 
 
 def similar_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -250,27 +293,30 @@ def similar_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     texts = _documents(docs, doc_id, text)
     listed = staged(texts.mapInArrow(_list_lines, LISTED))
     lines = listed.where("kind = 'line'").drop("kind")
-    ranks = spark.sparkContext.broadcast(count_table(listed.where("kind = 'count'")))
-    read = lambda batches: _prefixes(ranks.value, percent)(batches)
     place = F.struct("at", "key", "line")
-    index = texts.mapInArrow(read, INDEX).groupBy("token", "place", "n", "f", "sig").agg(F.min(place).alias("p"))
-    index = staged(index.select("token", "place", "n", "f", "sig", "p.*"))
+    classes = staged(lines.groupBy("f", "sig", "n").agg(F.min(place).alias("first")))
+    ranks = spark.sparkContext.broadcast(count_table(listed.where("kind = 'count'")))
+    same = F.col("x.t") == F.col("y.t")
+    # sparse tokens: all pairs, a bounded number for each line
+    sparse = texts.mapInArrow(lambda b: _prefixes(ranks.value, percent, False)(b), INDEX)
+    met = sparse.alias("x").join(sparse.alias("y"), same).where(_possible(percent) & (F.struct("x.f", "x.sig") < F.struct("y.f", "y.sig")))
+    # dense tokens: the star of every line and the first line that has the token
+    dense = staged(texts.mapInArrow(lambda b: _prefixes(ranks.value, percent, True)(b), DENSE_INDEX))
     here = lambda x: F.struct(f"{x}.at", f"{x}.key", f"{x}.line")
-    members = index.select("token", F.struct(*[c for c in index.columns if c != "token"]).alias("x"))
-    # the star: every line and the first line that has the token
-    firsts = index.groupBy("token").agg(F.min_by(F.struct(*[c for c in index.columns if c != "token"]), place).alias("y"), F.count("*").alias("_n"))
-    star = members.join(firsts.where("_n > 1").drop("_n"), "token").where(here("y") < here("x"))
-    near = staged(_pairs(star, percent))
-    found = staged(_verified(texts, near, percent))
-    # the others: all earlier lines that share a token
-    rest = members.join(found.select(F.struct("f", "sig").alias("_done")), F.struct("x.f", "x.sig") == F.col("_done"), "left_anti")
-    full = rest.join(members.select("token", F.col("x").alias("y")), "token").where(here("y") < here("x"))
-    more = _pairs(full, percent).join(near.select("f", "sig", "g", "gsig"), ["f", "sig", "g", "gsig"], "left_anti")
-    more = staged(more)
+    first = F.min_by(F.struct("place", "sig", "f"), place).alias("y")
+    firsts = dense.groupBy("t").agg(first, F.count("*").alias("_n")).where("_n > 1").select("t", "y.*")
+    star = dense.alias("x").join(firsts.alias("y"), same).where(_possible(percent) & _different())
+    near = fitted(_pairs(met).union(_pairs(star)).distinct())
+    links = fitted(_verified(texts, near, percent))
+    found = fitted(_matches(classes, links))
+    # lines without a match meet all earlier lines of their dense tokens
+    rest = dense.join(found, ["f", "sig"], "left_anti")
+    full = rest.alias("x").join(dense.alias("y"), same).where(_possible(percent) & _different() & (here("y") < here("x")))
+    more = fitted(_pairs(full).join(near, ["f", "sig", "g", "gsig"], "left_anti"))
     if not more.isEmpty():
-        found = found.unionByName(staged(_verified(texts, more, percent)))
-    classes = lines.groupBy("f", "sig", "n").agg(F.min(place).alias("first"))
-    classes = staged(classes.join(found, ["f", "sig"], "left"))
+        links = links.union(_verified(texts, more, percent))
+        found = fitted(_matches(classes, links))
+    classes = classes.join(found, ["f", "sig"], "left")
     told = lines.join(classes, ["f", "sig", "n"])
     match = F.when(place != F.col("first"), F.col("first")).otherwise(F.col("earlier"))
     return told.select("at", "key", "line", "n", "first", match.alias("match"), match.isNull().alias("kept"))

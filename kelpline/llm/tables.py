@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kelpline.session import scratch_folder
+from kelpline.session import scratch_folder, setting
 
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Word separators: blank, tab, line feed, vertical tab, form feed, carriage return.
@@ -22,9 +22,11 @@ def staged(df: DataFrame) -> DataFrame:
     Cuts the lineage, so a lost executor costs no more than the tasks after this point, and
     makes keys such as ``monotonically_increasing_id`` final.
     """
-    folder = scratch_folder(df.sparkSession)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    spark, folder = df.sparkSession, scratch_folder(df.sparkSession)
+    # nobody needs the shuffles of a plan that ends here
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 #: A staged table of at most so many rows is read as one partition.
