@@ -6,8 +6,8 @@ parameters come from the hosts themselves (method of moments), so that a host of
 bad document is not condemned and a large bad one is. The verdict goes back to the documents.
 
 Defined results: a null or blank text has no words and fails; a null host is a host of its own;
-repeated rows count as often as they occur; an empty table gives no rows; columns other than the
-two named ones are ignored whatever their names. Memory follows the longest single text.
+repeated rows count as often as they occur; an empty table gives no rows; other columns are carried whatever their
+names, except that those of the names of results are replaced. Memory follows the longest single text.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: A host with a higher shrunken failure rate loses all its documents.
 MAX_HOST_RATE = 0.5
+RESULTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
 #: Host rates are summed in millionths, so that sums do not depend on the order of rows.
 SCALE = 1_000_000
 
@@ -108,14 +109,14 @@ def quality_rules(
 
     The texts are measured once, into a staged table; only the hosts are aggregated.
     """
-    measured = measure(docs, text)
-    if not with_text:
-        measured = measured.drop(text)
+    carried = [c for c in docs.columns if c.lower() not in RESULTS and (with_text or c != text)]
+    wrapped = docs.select(F.struct(F.lit(0), *carried).alias("_doc"), F.col(host).alias("host"), F.col(text).alias("text"))
     failed = F.lit(False)
     for rule in base_rules().values():
         failed = failed | rule
-    measured = staged(measured.withColumn("base_failed", failed))
-    bad = staged(judge_hosts(measured, host, max_rate).where("rejected").select(F.struct("host").alias("_host"), F.lit(True).alias("_bad")))
+    measured = staged(measure(wrapped).drop("text").withColumn("base_failed", failed))
+    bad = staged(judge_hosts(measured, "host", max_rate).where("rejected").select(F.struct("host").alias("_host"), F.lit(True).alias("_bad")))
     # a struct of the host, so that a null host meets a null host
-    judged = lookup_join(measured.withColumn("_host", F.struct(F.col(host).alias("host"))), bad, ["_host"])
-    return judged.withColumn("kept", ~F.col("base_failed") & F.col("_bad").isNull()).drop("_host", "_bad")
+    judged = lookup_join(measured.withColumn("_host", F.struct("host")), bad, ["_host"])
+    judged = judged.withColumn("kept", ~F.col("base_failed") & F.col("_bad").isNull())
+    return judged.select(*[F.col("_doc")[c].alias(c) for c in carried], *RESULTS)

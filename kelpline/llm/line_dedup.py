@@ -325,16 +325,15 @@ def similar_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """``docs`` with removed lines taken out of the text; a document of which nothing is left has an empty text.
 
-    Blank lines stay where they are. ``docs`` must have no column ``_at``, ``_key``, ``_gone`` or ``_lines``.
+    Blank lines stay where they are; other columns are carried whatever their names.
     """
     # the numbers of a document's lines are never more than its text
-    gone = similar_lines(docs, doc_id, text, percent).where("not kept").groupBy("at", "key").agg(F.collect_set("line").alias("_gone"))
-    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    number = F.col(doc_id).cast("long")
-    keyed = docs.withColumns({"_at": F.coalesce(number, F.lit(LAST)), "_key": F.xxhash64(number, body)})
-    joined = keyed.join(staged(gone).withColumnsRenamed({"at": "_at", "key": "_key"}), ["_at", "_key"], "left")
-    lines = F.split(body, "\n", -1)
-    joined = joined.withColumn("_lines", F.when(F.col("_gone").isNotNull(), lines))
-    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_gone")
-    cut = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(F.transform(left, lambda i: F.get("_lines", i)), "\n"))
-    return joined.select(*[cut.alias(c) if c == text else F.col(c) for c in docs.columns])
+    gone = similar_lines(docs, doc_id, text, percent).where("not kept").groupBy("at", "key").agg(F.collect_set("line").alias("gone"))
+    body, number = F.coalesce(F.col(text).cast("string"), F.lit("")), F.col(doc_id).cast("long")
+    wrapped = docs.select(F.struct(*docs.columns).alias("doc"), F.coalesce(number, F.lit(LAST)).alias("at"), F.xxhash64(number, body).alias("key"))
+    joined = wrapped.join(staged(gone), ["at", "key"], "left")
+    whole = F.col("doc")[text]
+    joined = joined.withColumn("lines", F.when(F.col("gone").isNotNull(), F.split(whole, "\n", -1)))
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")
+    cut = F.when(F.col("gone").isNull(), whole).otherwise(F.array_join(F.transform(left, lambda i: F.get("lines", i)), "\n"))
+    return joined.select(*[(cut if c == text else F.col("doc")[c]).alias(c) for c in docs.columns])

@@ -225,15 +225,18 @@ def mix(
     """The mixed documents: ``docs``' columns, ``shard`` and ``place``, a row for every time a document is taken.
 
     A shard in the order of ``place`` is the shuffled output. A document taken in part has its first words, joined by
-    blanks. Documents without words, of which there is nothing to take, are left out. ``docs`` must have no
-    columns of the names ``_row``, ``_key``, ``shard`` and ``place``.
+    blanks. Documents without words, of which there is nothing to take, are left out. Columns of ``docs`` of the
+    names ``shard`` and ``place`` are replaced.
     """
-    rows = staged(docs.withColumn("_row", F.monotonically_increasing_id()))
-    plan = _plan(_sizes(rows, text, "_row", seed), weights, shards, max_repeats, seed, block_words)
+    carried = [c for c in docs.columns if c.lower() not in ("shard", "place")]
+    rows = staged(docs.select(F.struct(*carried).alias("_doc"), F.monotonically_increasing_id().alias("_row")))
+    named = rows.select(F.col("_doc")["doc_id"].alias("doc_id"), F.col("_doc")["source"].alias("source"), F.col("_doc")[text].alias("text"), "_row")
+    plan = _plan(_sizes(named, "text", "_row", seed), weights, shards, max_repeats, seed, block_words)
     drawn = plan.where(F.size("draws") > 0).select("_row", "_key", F.col("size").alias("_size"), F.posexplode("draws").alias("_turn", "_draw"))
     joined = rows.join(drawn, "_row")
-    first = F.concat_ws(" ", F.slice(F.array_remove(F.split(text, BLANKS + "+", -1), ""), 1, F.col("_draw.words").cast("int")))
-    body = F.when(F.col("_draw.words") < F.col("_size"), first).otherwise(F.col(text))
+    whole = F.col("_doc")[text]
+    first = F.concat_ws(" ", F.slice(F.array_remove(F.split(whole, BLANKS + "+", -1), ""), 1, F.col("_draw.words").cast("int")))
+    body = F.when(F.col("_draw.words") < F.col("_size"), first).otherwise(whole)
     place = _hashed("_draw.shard", "_key", "_turn", seed=seed, salt="place")
-    columns = [body.alias(text) if c == text else F.col(c) for c in docs.columns]
+    columns = [(body if c == text else F.col("_doc")[c]).alias(c) for c in carried]
     return joined.select(*columns, F.col("_draw.shard").alias("shard"), place.alias("place"))
