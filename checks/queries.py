@@ -102,7 +102,7 @@ def q_discard_names(spark, sf):
 
 
 def q_count_waiting_removals(spark, sf):
-    return fx.removals(spark, sf).agg(F.count("*").alias("n"))
+    return spark.createDataFrame([(cat.count_waiting_removals(fx.removals(spark, sf)),)], "n long")
 
 
 def q_publish_gate(spark, sf):

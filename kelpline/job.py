@@ -8,6 +8,8 @@ The settings name an action and its inputs::
      "targets": {"PROD": {"datasets": "/shared/prod", "store": "/shared/prod_zip"},
                  "UTVTST": {"datasets": "/shared/test", "store": "/shared/test_zip"}}}
 
+    {"action": "copy", "environment": "PROD", "packages": [...], "allow_all": false, "policy": {...}, "targets": {...}}
+
     {"action": "remove", "environment": "PROD", "names": "/shared/names.txt", "targets": {...}}
 """
 
@@ -20,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kelpline.operators import report
-from kelpline.plans.archives import Target, publish_to_environment, remove_from_stores, write_removals
+from kelpline.plans.archives import Target, copy_to_environment, publish_to_environment, remove_from_stores, write_removals
 from kelpline.policy import Policy
 from kelpline.session import builder, ship_package
 from kelpline.sources.tables import read_areas, read_codes, read_name_list, read_rules
@@ -30,8 +32,8 @@ def run(spark: SparkSession, settings: dict) -> None:
     ship_package(spark)
     targets = {name: Target(**t) for name, t in settings["targets"].items()}
     environment = settings["environment"]
+    policy = Policy(**{k: tuple(v) if isinstance(v, list) else v for k, v in settings.get("policy", {}).items()})
     if settings["action"] == "publish":
-        policy = Policy(**{k: tuple(v) if isinstance(v, list) else v for k, v in settings.get("policy", {}).items()})
         rules = read_rules(spark, settings["rules"]) if "rules" in settings else None
         results = publish_to_environment(
             spark,
@@ -44,13 +46,12 @@ def run(spark: SparkSession, settings: dict) -> None:
             policy,
             rules=rules,
             prune=settings.get("prune", False),
+            allow_all=settings.get("allow_all", False),
         )
-        if "reports" in settings:
-            for name, done in results.items():
-                report.write_reports(done.log, f"{settings['reports']}/{name}")
-                for kind in ("refused", "failed"):
-                    frame: DataFrame = getattr(done, kind)
-                    frame.select(F.col("msg").alias("value")).write.text(f"{settings['reports']}/{name}_{kind}")
+        _report(results, settings)
+    elif settings["action"] == "copy":
+        allow_all = settings.get("allow_all", False)
+        _report(copy_to_environment(spark, settings["packages"], environment, targets, policy, allow_all), settings)
     elif settings["action"] == "remove":
         names = read_name_list(spark, settings["names"])
         if names is None:
@@ -63,6 +64,15 @@ def run(spark: SparkSession, settings: dict) -> None:
         raise ValueError(settings["action"])
 
 
+def _report(results: dict, settings: dict) -> None:
+    if "reports" in settings:
+        for name, done in results.items():
+            report.write_reports(done.log, f"{settings['reports']}/{name}")
+            for kind in ("refused", "failed"):
+                frame: DataFrame = getattr(done, kind)
+                frame.select(F.col("msg").alias("value")).write.text(f"{settings['reports']}/{name}_{kind}")
+
+
 def main() -> None:
     with open(sys.argv[1], encoding="utf-8") as file:
         settings = json.load(file)

@@ -32,12 +32,15 @@ def publish_gate(packages: DataFrame, policy: Policy, data_type: str = model.DAT
     return packages.withColumn("allowed", policy.allows(F.col(data_type)))
 
 
-def refused_packages(packages: DataFrame, policy: Policy, name: str = "name", data_type: str = model.DATA_TYPE) -> DataFrame:
-    """The distinct refusal messages of a run."""
+def refused_packages(
+    packages: DataFrame, policy: Policy, name: str = "name", data_type: str = model.DATA_TYPE, display: str = "data_type"
+) -> DataFrame:
+    """The distinct refusal messages of a run; they name the data type as it is shown, where that is known."""
+    told = display if display in packages.columns else data_type
     return (
         publish_gate(packages, policy, data_type)
         .where(~F.col("allowed"))
-        .select(format_refusal(F.col(name), F.col(data_type)).alias("msg"))
+        .select(format_refusal(F.col(name), F.col(told)).alias("msg"))
         .distinct()
     )
 

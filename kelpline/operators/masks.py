@@ -9,13 +9,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kelpline import model
+from kelpline.functions.headers import shown
 from kelpline.functions.text import cell
 
 
 def select_columns_like(columns: Iterable[str], patterns: Iterable[str]) -> list[str]:
     """Existing columns named by a list of names and patterns: whole names, case-sensitive."""
     compiled = [re.compile(p) for p in patterns]
-    return [c for c in columns if any(p.fullmatch(c) for p in compiled)]
+    return [c for c in columns if any(p.fullmatch(shown(c)) for p in compiled)]
 
 
 def _flag(df: DataFrame, column: str) -> Column:

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kelpline import model
-from kelpline.functions.text import format_refusal
+from kelpline.functions.headers import HeaderColumn
+from kelpline.functions.text import cell, format_refusal
 from kelpline.operators import catalog as cat
 from kelpline.operators import enrichment as en
 from kelpline.operators import members as mb
@@ -39,8 +40,11 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _plans(headers: Mapping[str, list[str]], policy: Policy) -> list[tuple[list[str], list[str]]]:
-    """Data types that share their columns and steps, with those columns: one plan each."""
+def _plans(headers: Mapping[str, list[HeaderColumn]], policy: Policy) -> list[tuple[list[str], list[HeaderColumn]]]:
+    """Data types that share their columns and steps, with those columns: one plan each.
+
+    A column of data types may name any type in any row, so only the columns tell such plans apart.
+    """
     groups: dict[tuple, list[str]] = {}
     for data_type, columns in sorted(headers.items()):
         alike = (tuple(columns), data_type == model.PLANKTON_BARCODING, data_type in policy.unrestricted)
@@ -48,6 +52,23 @@ def _plans(headers: Mapping[str, list[str]], policy: Policy) -> list[tuple[list[
     return [(types, list(alike[0])) for alike, types in groups.items()]
 
 
+def _typed(table: DataFrame, own: bool) -> DataFrame:
+    """The data type each row counts as: its own cell, or if that is blank the type of its package.
+
+    What the cell held is kept aside, since steps may change the type and a blank cell must stay blank.
+    """
+    kind = F.when(cell(F.col(model.DATA_TYPE)) != "", F.col(model.DATA_TYPE)).otherwise(F.col("_type")) if own else F.col("_type")
+    cells = F.col(model.DATA_TYPE) if own else F.lit("")
+    return table.withColumns({"_own": cells, "_was": kind, model.DATA_TYPE: kind}).drop("_type")
+
+
+def _untyped(rows: DataFrame, own: bool) -> DataFrame:
+    if not own:
+        return rows.drop(model.DATA_TYPE, "_own", "_was")
+    same = F.col(model.DATA_TYPE).eqNullSafe(F.col("_was"))
+    return rows.withColumn(model.DATA_TYPE, F.when(same, F.col("_own")).otherwise(F.col(model.DATA_TYPE))).drop("_own", "_was")
+
+
 def publish_archives(
     spark: SparkSession,
     paths: str | Iterable[str],
@@ -58,9 +79,10 @@ def publish_archives(
     rules: DataFrame | None = None,
     validators: Iterable[report.Validator] = (),
     prune: bool = False,
+    data_type: src.TypeRule = src.default_data_type,
 ) -> Published:
     """Read zip packages, publish their rows and write them again under the same names."""
-    staged = src.stage_packages(src.list_packages(spark, paths), scratch_folder(spark))
+    staged = src.stage_packages(src.list_packages(spark, paths), scratch_folder(spark), data_type)
     return publish_staged(staged, folder, codes, areas, policy, rules, validators, prune)
 
 
@@ -86,35 +108,34 @@ def publish_staged(
     src.package_info(staged).write.parquet(f"{scratch}/info")
     info = cat.publish_gate(spark.read.parquet(f"{scratch}/info"), policy)
     allowed = info.where("allowed")
-    refused = info.where(~F.col("allowed")).select(
-        "package", format_refusal(F.col("package"), F.col("data_type_internal")).alias("msg")
-    )
-    lines, logs = [], [src.undecodable_lines(staged)]
+    refused = info.where(~F.col("allowed")).select("package", format_refusal(F.col("package"), F.col("data_type")).alias("msg"))
+    told = refused.select("package", F.lit("error").alias("level"), F.lit("workflow").alias("log_type"), "msg")
+    lines, logs = [], [src.reading_notes(staged), told]
     for types, columns in _plans(src.union_headers(allowed), policy):
         # the gate is by data type, so the lines of allowed packages are found without a join
         of_types = allowed.where(F.col("data_type_internal").isin(*types))
-        table = src.read_data_table(staged, types, columns, of_types)
-        own_type = model.DATA_TYPE in columns
-        table = table.drop("_type") if own_type else table.withColumnRenamed("_type", model.DATA_TYPE)
-        rows = steps.enrich(table, codes, rules, types)
-        if types[0] not in policy.unrestricted:
+        own = any(c.column == model.DATA_TYPE for c in columns)
+        table = _typed(src.read_data_table(staged, types, columns, of_types), own)
+        # a column of types may name others than those of the packages
+        rows = steps.enrich(table, codes, rules, None if own else types)
+        if own or types[0] not in policy.unrestricted:
             rows = steps.restrict(rows, areas, policy)
         rows = drop_columns(rows)
-        logs += [en.unmatched_codes(table, codes)] + [v(rows) for v in validators]
-        if en.TIME_COLUMNS[0] in columns:
+        logs += [en.unmatched_codes(table, codes)] + [v(rows.drop("_own", "_was")) for v in validators]
+        if any(c.column == en.TIME_COLUMNS[0] for c in columns):
             logs.append(en.unreadable_times(table))
-        lines.append(pk.render_lines(rows if own_type else rows.drop(model.DATA_TYPE), of_types, columns))
-        logs.append(pk.unencodable_lines(lines[-1]))
+        lines.append(pk.render_lines(_untyped(rows, own), of_types, columns))
     if not lines:
         none = spark.createDataFrame([], "file string, size long")
         return Published(none, refused, src.failed_packages(staged), _union(logs))
     files = src.read_files(staged).where(policy.allows(F.col("data_type_internal")))
     if prune:
         files = mb.prune_members(files, policy)
-        left = files.where(F.col("seq") == 0).select("package", "member")
+        left = files.where((F.col("seq") == 0) & ~F.endswith("member", F.lit("/"))).select("package", "member")
         with_data = left.unionByName(allowed.select("package", F.lit(model.DATA_FILE).alias("member")))
         logs.append(mb.check_members_left(with_data).select("package", "level", "log_type", "msg"))
     written = pk.write_packages(_union(lines), folder, scratch, files)
+    logs.append(pk.replaced_characters(spark, scratch))
     return Published(written, refused, src.failed_packages(staged), _union(logs))
 
 
@@ -142,16 +163,54 @@ def publish_to_environment(
     The archives are opened once for all targets.
     """
     results = {}
-    staged = src.stage_packages(src.list_packages(spark, paths), scratch_folder(spark))
+    allow_all = options.pop("allow_all", False)
+    staged = src.stage_packages(src.list_packages(spark, paths), scratch_folder(spark), options.pop("data_type", src.default_data_type))
+    originals = src.list_packages(spark, paths).select(F.col("package").alias("name"), "path")
     for name, restrict in cat.publish_targets(environment, policy.restricting):
         folder = f"{work.rstrip('/')}/{scratch_folder(spark).rsplit('/', 1)[-1]}/{name}"
         done = publish_staged(staged, folder, codes, areas, policy.with_restrict(restrict), **options)
         archives = done.archives.select(F.col("file").alias("name"), F.concat(F.lit(folder + "/"), "file").alias("path"))
-        target = targets[name]
-        copied = stores.copy_to_store(archives, target.datasets, scratch_folder(spark))
-        replaced = stores.update_store(archives, target.store, scratch_folder(spark))
-        log = _union([done.log, copied, replaced])
-        results[name] = Published(done.archives, done.refused, done.failed, log)
+        if allow_all:
+            # what was refused is copied as it came
+            refused = done.refused.select(F.col("package").alias("name"))
+            archives = archives.unionByName(originals.join(refused, "name", "left_semi"))
+        results[name] = _copied(done, archives, targets[name])
+    return results
+
+
+def _copied(done: Published, archives: DataFrame, target: Target) -> Published:
+    spark = archives.sparkSession
+    copied = stores.copy_to_store(archives, target.datasets, scratch_folder(spark))
+    replaced = stores.update_store(archives, target.store, scratch_folder(spark))
+    return Published(done.archives, done.refused, done.failed, _union([done.log, copied, replaced]))
+
+
+def copy_to_environment(
+    spark: SparkSession,
+    paths: str | Iterable[str],
+    environment: str,
+    targets: Mapping[str, Target],
+    policy: Policy,
+    allow_all: bool = False,
+    data_type: src.TypeRule = src.default_data_type,
+) -> dict[str, Published]:
+    """Copy packages as they are to every target of an environment, without updating them.
+
+    Packages that may not be published are left out where the target restricts, unless ``allow_all``.
+    """
+    results = {}
+    packages = src.list_packages(spark, paths)
+    staged = src.stage_packages(packages, scratch_folder(spark), data_type)
+    info = src.package_info(staged).select(F.col("package").alias("name"), model.DATA_TYPE, "data_type")
+    originals = packages.groupBy(F.col("package").alias("name")).agg(F.max("path").alias("path"))
+    for name, restrict in cat.publish_targets(environment, policy.restricting):
+        own = policy.with_restrict(restrict)
+        refused = cat.publish_gate(info, own).where(~F.col("allowed"))
+        chosen = cat.ordered_packages(cat.filter_not_allowed(originals, refused, own, allow_all))
+        told = refused.select(F.col("name").alias("package"), format_refusal(F.col("name"), F.col("data_type")).alias("msg"))
+        log = told.select("package", F.lit("error").alias("level"), F.lit("workflow").alias("log_type"), "msg")
+        done = Published(chosen.select(F.col("name").alias("file")), told, src.failed_packages(staged), log)
+        results[name] = _copied(done, chosen, targets[name])
     return results
 
 

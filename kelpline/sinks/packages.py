@@ -8,18 +8,21 @@ from collections.abc import Iterable, Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kelpline import model
-from kelpline.functions.text import cell, is_encodable, joined_cells, printable_cell, separated_line
-from kelpline.operators.lookups import fits_broadcast, lookup_join
+from kelpline.functions.headers import HeaderColumn, shown
+from kelpline.functions.text import cell, joined_cells, printable_cell, separated_line
+from kelpline.operators.lookups import lookup_join
 from kelpline.session import setting
 from kelpline.sinks.placed import sums_before, write_placed
 
 SEGMENT_BYTES = 1024 * 1024
 BLOCK_LINES = 16_384
+#: Parts in which the members of a package are placed.
+MEMBER_CUTS = 4096
 INTERNAL_COLUMNS = ["package", "layout", "_line"]
 
 # ---------------------------------------------------------------------------
@@ -39,6 +42,8 @@ DEFLATE = 8
 DOS_EPOCH_DATE = 33
 LAST_BLOCK = b"\x03\x00"
 CRC_POLYNOMIAL = 0xEDB88320
+FILE_MODE = 0o100644 << 16
+FOLDER_MODE = (0o40755 << 16) | 0x10
 
 
 def write_data_table(df: DataFrame, path: str, package: str = "package") -> None:
@@ -75,45 +80,63 @@ def number_lines(df: DataFrame, order: list[str], package: str = "package") -> D
     return placed.withColumn("_line", F.monotonically_increasing_id() + 1)
 
 
-def render_lines(df: DataFrame, info: DataFrame, read_columns: list[str] | None = None) -> DataFrame:
+def render_lines(df: DataFrame, info: DataFrame, read_columns: list[HeaderColumn] | None = None) -> DataFrame:
     """Rows to numbered text lines ``(package, seq, text)``, the header being line 0.
 
     A package gets its own columns in their own order, less those dropped and followed by those
-    the steps added. ``info`` has one row per package, with or without rows, and its ``layout``;
+    the steps added. ``info`` has one row per package, with or without rows, and its ``layout`` and ``header``;
     without ``read_columns`` every package gets all columns.
     """
     columns = [c for c in df.columns if c not in INTERNAL_COLUMNS]
+    names = F.array(*[F.lit(shown(c)) for c in columns])
     cells = F.array(*[cell(F.col(c)) for c in columns])
     if read_columns is None:
-        everything = F.lit(model.SEPARATOR.join(columns))
+        everything = F.lit(model.SEPARATOR.join(map(shown, columns)))
         body = df.select("package", F.col("_line").alias("seq"), joined_cells(cells).alias("text"))
         return body.withColumn("text", separated_line(F.col("text"))).unionByName(info.select("package", F.lit(0).cast("long").alias("seq"), everything.alias("text")))
-    names = F.array(*map(F.lit, columns))
-    added = F.array(*[F.lit(c) for c in columns if c not in read_columns]).cast("array<string>")
-    own = F.split("layout", model.SEPARATOR, -1)
-    kept = F.filter(F.array_distinct(own), lambda c: F.array_contains(names, c))
-    order = F.concat(kept, F.array_except(added, own))
-    layouts = info.select("layout").distinct().withColumn(
-        "_places", F.transform(order, lambda c: F.array_position(names, c).cast("int") - 1)
-    )
+    read = {c.column: c for c in read_columns}
+    own = [F.struct(_header_place(read[c]).alias("pos"), F.lit(i).alias("i")) for i, c in enumerate(columns) if c in read]
+    added = F.array(*[F.lit(i) for i, c in enumerate(columns) if c not in read]).cast("array<int>")
+    kept = F.sort_array(F.filter(F.array(*own), lambda x: x["pos"].isNotNull())) if own else F.array().cast("array<struct<pos:int,i:int>>")
+    order = F.concat(F.transform(kept, lambda x: x["i"]), added)
+    layouts = info.select("layout", "header").dropDuplicates(["layout"]).select("layout", "header", order.alias("_places"))
     rows = df.select("package", "layout", F.col("_line").alias("seq"), cells.alias("_cells"))
 
     def line(values: Column) -> Column:
         return joined_cells(F.transform("_places", lambda i: F.get(values, i)))
 
-    small = fits_broadcast(layouts)
-    body = lookup_join(rows, layouts, ["layout"], how="inner", small=small)
-    head = lookup_join(info.select("package", "layout"), layouts, ["layout"], how="inner", small=small)
+    body = lookup_join(rows, layouts.drop("header"), ["layout"], how="inner")
+    head = lookup_join(info.select("package", "layout"), layouts.drop("header"), ["layout"], how="inner")
     joined = body.select("package", "seq", line(F.col("_cells")).alias("text")).unionByName(
         head.select("package", F.lit(0).cast("long").alias("seq"), line(names).alias("text"))
     )
     return joined.withColumn("text", separated_line(F.col("text")))
 
 
-def unencodable_lines(lines: DataFrame) -> DataFrame:
-    """Log rows for packages with characters the output encoding lacks; question marks replace them."""
-    hit = lines.where(~is_encodable(F.col("text")))
-    return hit.groupBy("package").agg(F.count("*").alias("n")).select(
+def _header_place(column: HeaderColumn) -> Column:
+    """Where a header names a column, NULL if it does not."""
+    places = F.transform("header", lambda c, i: F.when(c == column.name, i))
+    return F.get(F.filter(places, lambda i: i.isNotNull()), F.lit(column.number - 1))
+
+
+def write_package_tables(lines: DataFrame, path: str) -> None:
+    """``(package, seq, text)`` as text files, a folder per package with its own columns.
+
+    The files of a folder follow each other in the order of their names; the first begins with the header.
+    """
+    placed = lines.repartitionByRange("package", "seq").sortWithinPartitions("package", "seq").select("package", "text")
+    with setting(lines.sparkSession, "spark.sql.legacy.javaCharsets", "true"):
+        placed.write.partitionBy("package").csv(
+            path, sep="\x01", header=False, encoding=model.JAVA_ENCODING, quote="", escapeQuotes=False, emptyValue="",
+            ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+        )
+
+
+def replaced_characters(spark: SparkSession, scratch: str) -> DataFrame:
+    """Log rows for packages with characters the output encoding lacks; question marks replace them. Counted
+    when the packages of ``scratch`` were written."""
+    counted = spark.read.parquet(f"{scratch}/segments").groupBy("package").agg(F.sum("replaced").alias("n")).where("n > 0")
+    return counted.select(
         "package",
         F.lit("warning").alias("level"),
         F.lit("transformation").alias("log_type"),
@@ -123,7 +146,7 @@ def unencodable_lines(lines: DataFrame) -> DataFrame:
 
 # -- compressed segments ---------------------------------------------------------------------
 
-SEGMENT_SCHEMA = "package string, member string, seq long, raw long, comp long, crc long, content binary"
+SEGMENT_SCHEMA = "package string, member string, seq long, raw long, comp long, crc long, replaced long, content binary"
 _SEGMENT_ARROW = pa.schema(
     [
         ("package", pa.string()),
@@ -132,19 +155,20 @@ _SEGMENT_ARROW = pa.schema(
         ("raw", pa.int64()),
         ("comp", pa.int64()),
         ("crc", pa.int64()),
+        ("replaced", pa.int64()),
         ("content", pa.binary()),
     ]
 )
 
 
-def _segment(package: str, member: str, seq: int, data: bytes) -> dict:
+def _segment(package: str, member: str, seq: int, data: bytes, replaced: int = 0) -> dict:
     """A stretch of a member, compressed by itself and ending on a byte, so that stretches
     put one after the other are one valid stream."""
     packer = zlib.compressobj(6, zlib.DEFLATED, -zlib.MAX_WBITS)
     content = packer.compress(data) + packer.flush(zlib.Z_SYNC_FLUSH) if data else b""
     return {
         "package": package, "member": member, "seq": seq, "raw": len(data), "comp": len(content),
-        "crc": zlib.crc32(data), "content": content,
+        "crc": zlib.crc32(data), "replaced": replaced, "content": content,
     }
 
 
@@ -157,8 +181,13 @@ def _compress_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     package, block, first, lines, size = None, 0, 0, [], 0
 
     def close() -> dict:
-        data = ("\n".join(lines) + "\n").encode(model.ENCODING, errors="replace")
-        return _segment(package, model.DATA_FILE, first, data)
+        text, replaced = "\n".join(lines) + "\n", 0
+        try:
+            data = text.encode(model.ENCODING)
+        except UnicodeEncodeError:
+            data = text.encode(model.ENCODING, errors="replace")
+            replaced = sum(line.encode(model.ENCODING, errors="replace") != line.encode(model.ENCODING, errors="ignore") for line in lines)
+        return _segment(package, model.DATA_FILE, first, data, replaced)
 
     for batch in batches:
         done: list[dict] = []
@@ -238,7 +267,7 @@ def _central_record(e) -> bytes:
         raw = comp = start = LIMIT_32
     fixed = struct.pack(
         "<4sBBHHHHHLLLHHHHHLL", b"PK\1\2", needed, 3, needed, UTF8_FLAG, DEFLATE, 0, DOS_EPOCH_DATE, e["crc"],
-        comp, raw, len(name), len(extra), 0, 0, 0, 0o100644 << 16, start,
+        comp, raw, len(name), len(extra), 0, 0, 0, FOLDER_MODE if name.endswith(b"/") else FILE_MODE, start,
     )
     return fixed + name + extra
 
@@ -298,21 +327,28 @@ def _entries(sized: DataFrame) -> DataFrame:
     )
     name = F.octet_length("member")
     big = (F.col("raw") >= LIMIT_32) | (F.col("comp") >= LIMIT_32)
-    by_member = Window.partitionBy("package").orderBy("member").rowsBetween(Window.unboundedPreceding, -1)
-
-    def before(column: str) -> Column:
-        return F.coalesce(F.sum(column).over(by_member), F.lit(0).cast("long"))
-
-    placed = (
+    # any order of members will do: that of a hash cuts a package of any number of members into even blocks
+    ranked = (
         members.withColumn("big", big)
         .withColumn("head", LOCAL_HEADER + name + F.when(F.col("big"), LOCAL_EXTRA_64).otherwise(0))
         .withColumn("span", F.col("head") + F.col("comp"))
-        .withColumn("start", before("span"))
-        .withColumn("far", F.col("big") | (F.col("start") >= LIMIT_32))
-        .withColumn("central", (CENTRAL_HEADER + name + F.when(F.col("far"), CENTRAL_EXTRA_64).otherwise(0)).cast("long"))
-        .withColumn("central_before", before("central"))
+        .withColumn("_cut", F.pmod(F.xxhash64("member"), F.lit(MEMBER_CUTS)))
+    )
+    placed = _before(ranked, "span", "start")
+    placed = placed.withColumn("far", F.col("big") | (F.col("start") >= LIMIT_32)).withColumn(
+        "central", (CENTRAL_HEADER + name + F.when(F.col("far"), CENTRAL_EXTRA_64).otherwise(0)).cast("long")
     )
-    return placed
+    return _before(placed, "central", "central_before").drop("_cut")
+
+
+def _before(df: DataFrame, value: str, total: str) -> DataFrame:
+    """The sum of ``value`` over the earlier members of a package: inside a cut, and over the cuts before."""
+    inside = Window.partitionBy("package", "_cut").orderBy("member").rowsBetween(Window.unboundedPreceding, -1)
+    over = Window.partitionBy("package").orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
+    cuts = df.groupBy("package", "_cut").agg(F.sum(value).alias("_sum"))
+    bases = cuts.select("package", "_cut", F.coalesce(F.sum("_sum").over(over), F.lit(0).cast("long")).alias("_base"))
+    own = F.coalesce(F.sum(value).over(inside), F.lit(0).cast("long"))
+    return df.withColumn(total, own).join(bases, ["package", "_cut"]).withColumn(total, F.col(total) + F.col("_base")).drop("_base")
 
 
 def write_packages(

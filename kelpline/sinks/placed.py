@@ -7,6 +7,7 @@ writes the same bytes to the same place, so a repeated task does no harm.
 
 from __future__ import annotations
 
+import contextlib
 import os
 from collections.abc import Iterable, Iterator
 
@@ -70,24 +71,41 @@ def _writer(folder: str, run: str):
 
 
 def _finisher(folder: str, run: str):
+    """Give complete files their names. A file is complete if it has as many bytes as its parts; one that
+    stands already counts only if this run has marked it so."""
+
     def finish(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for file in batch["file"].to_pylist():
-                part, whole = f"{folder}/.{run}.{file}", f"{folder}/{file}"
-                try:
+            for file, size in zip(batch["file"].to_pylist(), batch["size"].to_pylist()):
+                part, whole, mark = f"{folder}/.{run}.{file}", f"{folder}/{file}", f"{folder}/.{run}.{file}.done"
+                if os.path.exists(part):
+                    found = os.path.getsize(part)
+                    if found != size:
+                        raise OSError(f"{part} has {found} bytes of {size}: is {folder} mounted on all executors?")
+                    open(mark, "w").close()
                     os.replace(part, whole)
-                except FileNotFoundError:  # a lost attempt of this task had done it
-                    if not os.path.exists(whole):
-                        raise
+                elif not (os.path.exists(mark) and os.path.exists(whole) and os.path.getsize(whole) == size):
+                    raise FileNotFoundError(f"{part} was not written: is {folder} mounted on all executors?")
             yield batch
 
     return finish
 
 
+def _unmarker(folder: str, run: str):
+    def unmark(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file in batch["file"].to_pylist():
+                with contextlib.suppress(FileNotFoundError):
+                    os.remove(f"{folder}/.{run}.{file}.done")
+            yield batch
+
+    return unmark
+
+
 def write_placed(parts: DataFrame, folder: str, scratch: str) -> DataFrame:
     """Write ``parts(file, offset, content)`` as files of ``folder`` and list them with their sizes.
 
-    Files get their names only when complete; a file that exists is replaced.
+    Files get their names only when complete; a file that exists is replaced. Parts must not overlap.
     """
     spark, folder = parts.sparkSession, local_folder(folder)
     run = scratch.rstrip("/").rsplit("/", 1)[-1]
@@ -95,5 +113,7 @@ def write_placed(parts: DataFrame, folder: str, scratch: str) -> DataFrame:
     written = parts.select("file", "offset", "content").mapInArrow(_writer(folder, run), "file string, size long")
     written.groupBy("file").agg(F.sum("size").alias("size")).write.parquet(f"{scratch}/written")
     sizes = spark.read.parquet(f"{scratch}/written")
-    sizes.mapInArrow(_finisher(folder, run), "file string, size long").write.parquet(f"{scratch}/manifest")
+    sizes.mapInArrow(_finisher(folder, run), "file string, size long").write.parquet(f"{scratch}/named")
+    named = spark.read.parquet(f"{scratch}/named")
+    named.mapInArrow(_unmarker(folder, run), "file string, size long").write.parquet(f"{scratch}/manifest")
     return spark.read.parquet(f"{scratch}/manifest")

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
-import shutil
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -16,24 +16,47 @@ from kelpline.operators.catalog import select_removed, store_actions
 from kelpline.sinks.placed import local_folder, write_placed
 from kelpline.sources.archives import list_packages
 
-ACTION_SCHEMA = "action string, name string, path string"
 TEXT_BYTES = 1024 * 1024
+RANGE_BYTES = 8 * 1024 * 1024
 
 
-def _applier(folder: str):
-    def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _reader(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ranges of files to their bytes, one at a time."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            with open(local_folder(row["path"]), "rb") as file:
+                file.seek(row["offset"])
+                data = file.read(row["size"])
+            if len(data) != row["size"]:
+                raise OSError(f"{row['path']} changed while it was copied")
+            yield pa.RecordBatch.from_pydict({"file": [row["name"]], "offset": pa.array([row["offset"]], pa.int64()), "content": pa.array([data], pa.binary())})
+
+
+def _remover(folder: str):
+    def remove(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                target = f"{folder}/{row['name']}"
-                if row["action"] == "copy":
-                    part = f"{folder}/.{uuid.uuid4().hex}.{row['name']}"
-                    shutil.copyfile(local_folder(row["path"]), part)
-                    os.replace(part, target)
-                elif os.path.exists(target):
-                    os.remove(target)
+            for name in batch["name"].to_pylist():
+                with contextlib.suppress(FileNotFoundError):
+                    os.remove(f"{folder}/{name}")
             yield batch
 
-    return apply
+    return remove
+
+
+def _sized(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sizes = [os.path.getsize(local_folder(p)) for p in batch["path"].to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch["name"], batch["path"], pa.array(sizes, pa.int64())], names=["name", "path", "length"])
+
+
+def copy_ranges(copies: DataFrame) -> DataFrame:
+    """Files ``(name, path)`` cut into ranges, dealt by a hash over as many tasks as the session shuffles to:
+    neither many files nor a large one are the work of one task."""
+    sized = copies.select("name", "path").mapInArrow(_sized, "name string, path string, length long")
+    last = F.greatest(F.lit(0).cast("long"), F.ceil(F.col("length") / RANGE_BYTES) - 1)
+    ranges = sized.select("name", "path", "length", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), last), lambda i: i * RANGE_BYTES)).alias("offset"))
+    ranges = ranges.withColumn("size", F.least(F.lit(RANGE_BYTES).cast("long"), F.col("length") - F.col("offset")))
+    return ranges.repartition(int(copies.sparkSession.conf.get("spark.sql.shuffle.partitions")), "name", "offset")
 
 
 def _apply(actions: DataFrame, folder: str, scratch: str) -> DataFrame:
@@ -41,9 +64,11 @@ def _apply(actions: DataFrame, folder: str, scratch: str) -> DataFrame:
     spark = actions.sparkSession
     actions.select("action", "name", "path").write.parquet(f"{scratch}/actions")
     planned = spark.read.parquet(f"{scratch}/actions")
-    for action in ("copy", "remove"):
-        chosen = planned.where(F.col("action") == action)
-        chosen.mapInArrow(_applier(folder), ACTION_SCHEMA).write.parquet(f"{scratch}/done/step={action}")
+    parts = copy_ranges(planned.where("action = 'copy'")).mapInArrow(_reader, "file string, offset long, content binary")
+    write_placed(parts, folder, f"{scratch}/{uuid.uuid4().hex}")
+    stale = planned.where("action = 'remove'").select("name")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stale.repartition(tasks, "name").mapInArrow(_remover(folder), "name string").write.parquet(f"{scratch}/removed")
     return planned
 
 

@@ -1,21 +1,27 @@
 """Zip packages to tables.
 
-Each archive is opened once, by path, in the task that holds it, and streamed into one staged
+Each archive is opened once, in the task that holds it, and streamed into one staged
 table in the shared scratch folder. From there on every read is a Parquet scan that
-splits, so one large package no longer means one long task.
+splits, so one large package no longer means one long task. Archives on mounted folders are opened by
+path; those on other file systems are read by Spark itself.
+
+What cannot be kept as it is gets told: a package whose lines hold more cells than the header names, or that names a column
+with a meaning twice, fails; line ends inside cells and characters outside the encoding are counted in the log.
 """
 
 from __future__ import annotations
 
-import contextlib
+import hashlib
+import io
 import zipfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kelpline import model
+from kelpline.functions.headers import HeaderColumn, column_names, repeated_known
 from kelpline.functions.names import base_name, version
 from kelpline.operators.lookups import lookup_join
 from kelpline.session import setting
@@ -24,15 +30,16 @@ PART_BYTES = 1024 * 1024
 BATCH_BYTES = 8 * 1024 * 1024
 
 STAGED_SCHEMA = (
-    "kind string, package string, layout string, data_type_internal string, member string, "
+    "kind string, package string, layout long, data_type_internal string, data_type string, member string, "
     "seq long, text string, content binary"
 )
 _ARROW = pa.schema(
     [
         ("kind", pa.string()),
         ("package", pa.string()),
-        ("layout", pa.string()),
+        ("layout", pa.int64()),
         ("data_type_internal", pa.string()),
+        ("data_type", pa.string()),
         ("member", pa.string()),
         ("seq", pa.int64()),
         ("text", pa.string()),
@@ -40,6 +47,9 @@ _ARROW = pa.schema(
     ]
 )
 
+#: Header and first row to the internal data type and the one that is shown.
+TypeRule = Callable[[list[str], list[str]], tuple[str, str]]
+
 
 def list_packages(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     """Zip files of folders or by name; the bodies are not read. A missing path raises."""
@@ -54,16 +64,15 @@ def list_packages(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
         version(name).alias("version"),
         "path",
         "length",
+        # read only where it is used
+        "content",
     )
 
 
-def _open(path: str):
-    if path.startswith("file:"):
-        return open("/" + path[len("file:") :].lstrip("/"), "rb")
-    from pyarrow import fs
-
-    system, inner = fs.FileSystem.from_uri(path)
-    return system.open_input_file(inner)
+def _open(path: str, content: bytes | None):
+    if content is not None:
+        return io.BytesIO(content)
+    return open("/" + path[len("file:") :].lstrip("/"), "rb")
 
 
 def _text_lines(stream) -> Iterator[list[str]]:
@@ -80,71 +89,95 @@ def _text_lines(stream) -> Iterator[list[str]]:
 
 
 def _decode(data: bytes) -> str:
-    return data.decode(model.ENCODING, errors="replace").replace("\r", "")
+    text = data.decode(model.ENCODING, errors="replace").replace("\r\n", "\n")
+    return text.removesuffix("\r")
 
 
-def default_data_type(header: list[str], row: list[str]) -> str:
-    """The internal data type of a package, from its first row: its own column, or the
-    delivery data type in lower case without blanks."""
+def default_data_type(header: list[str], row: list[str]) -> tuple[str, str]:
+    """The data types of a package, from its first row. Internal: its own column, or the
+    delivery data type in lower case without blanks. Shown: the delivery data type, or the internal one."""
     cells = dict(zip(header, row))
     named = cells.get(model.DATA_TYPE) or cells.get("delivery_datatype") or ""
-    return named.replace(" ", "").lower()
-
-
-def _table_rows(package: str, lines: Iterable[list[str]]) -> Iterator[dict]:
-    """Columns for one batch: the header once, and the numbered lines that are not blank."""
-    header: str | None = None
-    described = False
-    common: dict[str, str] = {}
-    seq = 0
-    for block in lines:
-        block = [line for line in block if line]
-        if header is None and block:
-            header, block = block[0], block[1:]
-        if header is None:
-            continue
-        if not described and block:
-            kind = default_data_type(header.split(model.SEPARATOR), block[0].split(model.SEPARATOR))
-            common = {"package": package, "layout": header, "data_type_internal": kind}
-            yield {"kind": ["header"], **{k: [v] for k, v in common.items()}, "seq": [0], "text": [header]}
-            described = True
-        if block:
-            n = len(block)
-            yield {
-                "kind": ["line"] * n,
-                **{k: [v] * n for k, v in common.items()},
-                "seq": list(range(seq + 1, seq + n + 1)),
-                "text": block,
-            }
-            seq += n
-    if header is not None and not described:
-        yield {
-            "kind": ["header"], "package": [package], "layout": [header], "data_type_internal": [""],
-            "seq": [0], "text": [header],
-        }
-
-
-def _archive_rows(package: str, path: str) -> Iterator[dict]:
-    with _open(path) as body, zipfile.ZipFile(body) as archive:
+    internal = named.replace(" ", "").lower()
+    return internal, cells.get("delivery_datatype") or internal
+
+
+def layout_id(header: str) -> int:
+    """A number for a header line, so that the line itself need not go with every row."""
+    return int.from_bytes(hashlib.blake2b(header.encode(), digest_size=8).digest(), "big", signed=True)
+
+
+class _Table:
+    """Columns for one batch at a time: the header once, and the numbered lines that are not blank."""
+
+    def __init__(self, package: str, rule: TypeRule):
+        self.package, self.rule = package, rule
+        self.common: dict = {}
+        self.notes = {"Unreadable characters": 0, "Line ends inside cells": 0, "Blank cells beyond the header": 0}
+
+    def rows(self, blocks: Iterable[list[str]]) -> Iterator[dict]:
+        header, described, seq = None, False, 0
+        for block in blocks:
+            block = [line for line in block if line]
+            if header is None and block:
+                header, block = block[0], block[1:]
+                names = header.split(model.SEPARATOR)
+                if repeated := repeated_known(names):
+                    raise ValueError(f"the header names {', '.join(repeated)} more than once")
+            if header is None:
+                continue
+            if not described and block:
+                yield self._header(header, *self.rule(names, block[0].split(model.SEPARATOR)))
+                described = True
+            if block:
+                self._check(block, seq, len(names))
+                n = len(block)
+                yield {
+                    "kind": ["line"] * n,
+                    **{k: [v] * n for k, v in self.common.items()},
+                    "seq": list(range(seq + 1, seq + n + 1)),
+                    "text": block,
+                }
+                seq += n
+        if header is not None and not described:
+            yield self._header(header, "", "")
+        for text, n in self.notes.items():
+            if n:
+                yield {"kind": ["note"], "package": [self.package], "seq": [n], "text": [text]}
+
+    def _header(self, header: str, internal: str, display: str) -> dict:
+        self.common = {"package": self.package, "layout": layout_id(header), "data_type_internal": internal}
+        return {"kind": ["header"], **{k: [v] for k, v in self.common.items()}, "data_type": [display], "seq": [0], "text": [header]}
+
+    def _check(self, block: list[str], seq: int, width: int) -> None:
+        for i, line in enumerate(block):
+            if line.count(model.SEPARATOR) >= width:
+                if any(line.split(model.SEPARATOR)[width:]):
+                    raise ValueError(f"line {seq + i + 1} has more cells than the header names")
+                self.notes["Blank cells beyond the header"] += 1
+            self.notes["Line ends inside cells"] += "\r" in line
+            self.notes["Unreadable characters"] += "\ufffd" in line
+
+
+def _archive_rows(package: str, body, rule: TypeRule) -> Iterator[dict]:
+    with body, zipfile.ZipFile(body) as archive:
         # the data table first, as its data type goes with the other members
-        infos = sorted(
-            (i for i in archive.infolist() if not i.is_dir()), key=lambda i: (i.filename != model.DATA_FILE, i.filename)
-        )
+        infos = sorted(archive.infolist(), key=lambda i: (i.filename != model.DATA_FILE, i.filename))
         if not infos or infos[0].filename != model.DATA_FILE:
             raise ValueError(f"no {model.DATA_FILE}")
-        kind = ""
+        table = _Table(package, rule)
         with archive.open(infos[0]) as stream:
-            for columns in _table_rows(package, _text_lines(stream)):
-                kind = columns["data_type_internal"][0]
-                yield columns
+            yield from table.rows(_text_lines(stream))
+        kind = table.common.get("data_type_internal", "")
         for info in infos[1:]:
+            common = {"package": [package], "data_type_internal": [kind], "member": [info.filename]}
+            if info.is_dir():
+                yield {"kind": ["folder"], **common, "seq": [0], "content": [b""]}
+                continue
             with archive.open(info) as stream:
                 part, data = 0, stream.read(PART_BYTES)
                 while data or part == 0:
-                    yield {
-                        "kind": ["file"], "package": [package], "data_type_internal": [kind],
-                        "member": [info.filename], "seq": [part], "content": [data],
-                    }
+                    yield {"kind": ["file"], **common, "seq": [part], "content": [data]}
                     part, data = part + 1, stream.read(PART_BYTES)
 
 
@@ -155,38 +188,57 @@ def _batch(columns: dict) -> pa.RecordBatch:
     )
 
 
-def _unzip(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for package, path in zip(batch["package"].to_pylist(), batch["path"].to_pylist()):
-            pending, size = [], 0
-            try:
-                for columns in _archive_rows(package, path):
-                    pending.append(_batch(columns))
-                    size += pending[-1].nbytes
-                    if size >= BATCH_BYTES:
-                        yield from _joined(pending)
-                        pending, size = [], 0
-            except Exception as e:
-                pending.append(_batch({"kind": ["error"], "package": [package], "text": [f"{type(e).__name__}: {e}"]}))
-            yield from _joined(pending)
+def _unzipper(rule: TypeRule):
+    def unzip(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for package, path, content in zip(batch["package"].to_pylist(), batch["path"].to_pylist(), batch["content"]):
+                pending, size = [], 0
+                try:
+                    for columns in _archive_rows(package, _open(path, content.as_py()), rule):
+                        pending.append(_batch(columns))
+                        size += pending[-1].nbytes
+                        if size >= BATCH_BYTES:
+                            yield from _joined(pending)
+                            pending, size = [], 0
+                except Exception as e:
+                    pending.append(_batch({"kind": ["error"], "package": [package], "text": [f"{type(e).__name__}: {e}"]}))
+                yield from _joined(pending)
+
+    return unzip
 
 
 def _joined(pending: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    with contextlib.suppress(StopIteration):
-        yield next(iter(pa.Table.from_batches(pending, _ARROW).combine_chunks().to_batches()))
+    yield from pa.Table.from_batches(pending, _ARROW).combine_chunks().to_batches()
+
+
+def _opened(packages: DataFrame) -> DataFrame:
+    """Packages with their bodies where they are not on a mounted folder."""
+    mounted = F.startswith("path", F.lit("file:")) | F.startswith("path", F.lit("/"))
+    by_path = packages.select("package", "path", F.lit(None).cast("binary").alias("content"))
+    if "content" not in packages.columns or packages.where(~mounted).isEmpty():
+        return by_path
+    return packages.select("package", "path", "content")
 
 
-def stage_packages(packages: DataFrame, folder: str) -> DataFrame:
+def stage_packages(packages: DataFrame, folder: str, data_type: TypeRule = default_data_type) -> DataFrame:
     """Unzip packages into a table, one pass over each archive.
 
     Rows by ``kind``: ``header`` and ``line`` of the data table, ``file`` (other members, in
-    parts of bounded size), ``error`` (the package could not be read to its end).
+    parts of bounded size), ``folder``, ``note`` (what the log should tell), ``error`` (the package could not be read to its end),
+    ``replaced``. Of several archives of one name, as of several folders, the one with the greatest path counts, as if they
+    had been published one after the other; the others are told.
     """
-    rows = packages.select("package", "path").mapInArrow(_unzip, STAGED_SCHEMA)
     spark = packages.sparkSession
+    last = packages.groupBy("package").agg(F.max("path").alias("path"), F.count("*").alias("n"))
+    repeated = last.where("n > 1").select("package", F.col("path").alias("_last"))
+    other = packages.select("package", "path").join(repeated, "package").where("path <> _last")
+    chosen = packages.join(other.select("path"), "path", "left_anti")
+    rows = _opened(chosen).mapInArrow(_unzipper(data_type), STAGED_SCHEMA)
+    missing = {"layout": "long", "data_type_internal": "string", "data_type": "string", "member": "string", "seq": "long", "content": "binary"}
+    told = other.select(F.lit("replaced").alias("kind"), "package", F.col("path").alias("text"), *[F.lit(None).cast(t).alias(c) for c, t in missing.items()])
     # a writer per kind, so that no task sorts its rows by kind
     with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "8"):
-        rows.write.partitionBy("kind").parquet(folder)
+        rows.unionByName(told).write.partitionBy("kind").parquet(folder)
     return spark.read.schema(STAGED_SCHEMA).parquet(folder)
 
 
@@ -208,15 +260,16 @@ def _readable(staged: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def package_info(staged: DataFrame) -> DataFrame:
-    """One row per readable package: its names, data type and header."""
+    """One row per readable package: its names, data types, layout and header."""
     rows = _readable(staged, _kind(staged, "header"))
     return rows.select(
         "package",
         base_name(F.col("package")).alias("base_name"),
         version(F.col("package")).alias("version"),
         "data_type_internal",
+        "data_type",
         "layout",
-        F.split("layout", model.SEPARATOR, -1).alias("header"),
+        F.split("text", model.SEPARATOR, -1).alias("header"),
     )
 
 
@@ -228,34 +281,45 @@ def read_members(staged: DataFrame) -> DataFrame:
 
 
 def read_files(staged: DataFrame) -> DataFrame:
-    """The bodies of all members but the data table, in parts."""
-    files = _kind(staged, "file").select("package", "data_type_internal", "member", "seq", "content")
-    return _readable(staged, files)
+    """The bodies of all members but the data table, in parts; a folder is an empty member whose name ends in a slash."""
+    files = staged.where(F.col("kind").isin("file", "folder"))
+    return _readable(staged, files.select("package", "data_type_internal", "member", "seq", "content"))
+
+
+def numbered_header(header: Column) -> Column:
+    """Names of a header with their places from 0, and which of equal names each is."""
+    return F.transform(
+        header,
+        lambda c, i: F.struct(
+            c.alias("name"), i.alias("pos"), (F.size(F.filter(F.slice(header, 1, i + 1), lambda x: x == c))).alias("number")
+        ),
+    )
 
 
-def union_headers(info: DataFrame) -> dict[str, list[str]]:
-    """Per data type all column names of its packages, by first place in a header."""
-    names = info.select("data_type_internal", F.posexplode("header").alias("pos", "name"))
-    first = names.groupBy("data_type_internal", "name").agg(F.min("pos").alias("pos"))
-    found: dict[str, list[str]] = {}
+def union_headers(info: DataFrame) -> dict[str, list[HeaderColumn]]:
+    """Per data type the columns of all its packages, by first place in a header."""
+    layouts = info.select("data_type_internal", "layout", "header").dropDuplicates(["data_type_internal", "layout"])
+    names = layouts.select("data_type_internal", F.explode(numbered_header(F.col("header"))).alias("h")).select("data_type_internal", "h.*")
+    first = names.groupBy("data_type_internal", "name", "number").agg(F.min("pos").alias("pos"))
+    found: dict[str, list[tuple[str, int]]] = {}
     # as many rows as there are column names, however many packages
-    for row in first.orderBy("data_type_internal", "pos", "name").collect():
-        found.setdefault(row.data_type_internal, []).append(row.name)
-    return found
+    for row in first.orderBy("data_type_internal", "pos", "name", "number").collect():
+        found.setdefault(row.data_type_internal, []).append((row.name, row.number))
+    return {t: column_names(names) for t, names in found.items()}
 
 
 def read_data_table(
     staged: DataFrame,
     data_types: Iterable[str] | None = None,
-    columns: list[str] | None = None,
+    columns: list[HeaderColumn] | None = None,
     info: DataFrame | None = None,
 ) -> DataFrame:
     """The data tables of all readable packages, or of some data types, as one table of text cells.
 
-    ``package``, ``layout`` (the header line as it was), ``_line`` and ``_type`` come with the
-    named columns. Cells a line lacks, and columns a package lacks, are blank. ``info`` may be
-    given if it is at hand. Cells are cut in generated code; the place of each column is looked
-    up per header.
+    ``package``, ``layout`` (a number for the header as it was), ``_line`` and ``_type`` (of the package) come with the
+    named columns; see ``functions.headers`` for names that Spark could not take. Cells a line lacks, and columns a
+    package lacks, are blank. ``info`` may be given if it is at hand. Cells are cut in generated code; the place of
+    each column is looked up per header.
     """
     info = package_info(staged) if info is None else info
     lines = _readable(staged, _kind(staged, "line"))
@@ -263,9 +327,12 @@ def read_data_table(
         chosen = F.col("data_type_internal").isin(*data_types)
         info, lines = info.where(chosen), lines.where(chosen)
     if columns is None:
-        columns = list(dict.fromkeys(c for names in union_headers(info).values() for c in names))
-    places = F.transform(F.array(*map(F.lit, columns)), lambda c: F.array_position(F.col("header"), c).cast("int"))
-    layouts = info.select("layout", "header").distinct().select("layout", places.alias("_places"))
+        every = {(c.name, c.number) for names in union_headers(info).values() for c in names}
+        order = {key: i for i, key in enumerate((c.name, c.number) for names in union_headers(info).values() for c in names)}
+        columns = column_names(sorted(every, key=order.__getitem__))
+    places = F.array(*[_place(c) for c in columns]).cast("array<int>")
+    headers = info.select("layout", "header").dropDuplicates(["layout"]).withColumn("_h", numbered_header(F.col("header")))
+    layouts = headers.select("layout", places.alias("_places"))
     named = lines.select(
         "package", "layout", F.col("data_type_internal").alias("_type"), F.col("seq").alias("_line"), "text"
     )
@@ -273,18 +340,25 @@ def read_data_table(
     joined = joined.withColumn("_cells", F.split("text", model.SEPARATOR, -1))
 
     def cell(i: int) -> Column:
-        place = F.get("_places", F.lit(i))
-        return F.coalesce(F.get("_cells", place - 1), F.lit(""))
+        return F.coalesce(F.get("_cells", F.get("_places", F.lit(i))), F.lit(""))
 
-    return joined.select("package", "layout", "_type", "_line", *[cell(i).alias(c) for i, c in enumerate(columns)])
+    return joined.select("package", "layout", "_type", "_line", *[cell(i).alias(c.column) for i, c in enumerate(columns)])
 
 
-def undecodable_lines(staged: DataFrame) -> DataFrame:
-    """Log rows for packages with characters the input encoding does not define."""
-    hit = _kind(staged, "line").where(F.contains("text", F.lit("�")))
-    return hit.groupBy("package").agg(F.count("*").alias("n")).select(
-        "package",
-        F.lit("warning").alias("level"),
-        F.lit("validation").alias("log_type"),
-        F.concat(F.lit("Unreadable characters in "), F.col("n"), F.lit(" lines")).alias("msg"),
-    )
+def _place(column: HeaderColumn) -> Column:
+    own = F.filter("_h", lambda h: (h["name"] == column.name) & (h["number"] == column.number))
+    return F.get(own, F.lit(0))["pos"]
+
+
+def reading_notes(staged: DataFrame) -> DataFrame:
+    """Log rows for what reading changed or left out, counted when the archives were opened."""
+    notes = _readable(staged, _kind(staged, "note")).select(
+        "package", F.lit("warning").alias("level"), F.lit("validation").alias("log_type"),
+        F.concat("text", F.lit(" in "), F.col("seq"), F.lit(" lines")).alias("msg"),
+    )
+    failed = failed_packages(staged).select("package", F.lit("error").alias("level"), F.lit("workflow").alias("log_type"), "msg")
+    replaced = _kind(staged, "replaced").select(
+        "package", F.lit("warning").alias("level"), F.lit("workflow").alias("log_type"),
+        F.concat(F.lit("Another package of this name is used instead of "), "text").alias("msg"),
+    )
+    return notes.unionByName(failed).unionByName(replaced)
