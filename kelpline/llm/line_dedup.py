@@ -8,8 +8,8 @@ or not, has a Jaccard similarity of ``PERCENT`` or more with it; the order is th
    then the hash: any one order is correct, and this one puts rare tokens first. A token whose place counts 1 is in one line only.
 3. The prefix of a line is its first n - ceil(t n) + 1 tokens. Similar lines share a prefix token; tokens that
    are in one line only are left out.
-4. Lines that share a prefix token are paired if their sizes, the places of the token, and a 64-bit parity of
-   their tokens (which bounds the symmetric difference) allow the similarity.
+4. Lines that share a prefix token are paired if their sizes, the places of the token, and the parities of
+   their tokens over 128 places (which bound the symmetric difference) allow the similarity.
 5. A token of up to ``DENSE`` lines pairs them all. With a token of more lines, each line first meets only the
    first line that has it (a star, as many pairs as members). Lines with a match are done with: a group of any number of
    variants costs one pair each. Only lines without any go on to meet all earlier lines of such tokens.
@@ -45,8 +45,12 @@ LINES_AT_ONCE = 1 << 16
 #: The low bits of a fingerprint are the size of the set, as far as it goes; longer lines are all of this size to the filters of pairs,
 #: which then only let more pairs pass.
 SIZE_BITS = 24
-#: The rank of a count (see ``count_table``) from which a token is dense: 64 lines.
-DENSE = 48
+#: The rank of a count (see ``count_table``) from which a token is dense: 1,024 lines.
+DENSE = 80
+#: Tokens are counted when so many have come together.
+TOKENS_AT_ONCE = 1 << 22
+#: Pairs of lines that are looked at together.
+PAIRS_AT_ONCE = 1 << 20
 LAST = (1 << 63) - 1
 #: So many lists of tokens at most are one partition.
 FEW_LISTS = 20_000
@@ -62,16 +66,18 @@ class Lines:
     def __init__(self, texts: pa.Array):
         data, offsets = text_bytes(texts)
         hashes, firsts, _ = split_words(data, offsets[:-1], fold=True)
+        # a line begins with its text, or after a line feed; where its words begin follows from few places
         feeds = np.flatnonzero(data == 10)
-        doc = np.searchsorted(offsets, firsts, "right") - 1
-        before = np.searchsorted(feeds, firsts)
-        begins = np.ones(len(firsts), bool)
-        begins[1:] = (doc[1:] != doc[:-1]) | (before[1:] != before[:-1])
-        first = np.flatnonzero(begins)
-        self.text = doc[first]
-        self.number = before[first] - np.searchsorted(feeds, offsets[:-1])[self.text]
+        cuts = np.concatenate([offsets[:-1], feeds + 1])
+        text = np.concatenate([np.arange(len(offsets) - 1), np.searchsorted(offsets, feeds, "right") - 1])
+        number = np.concatenate([np.zeros(len(offsets) - 1, np.int64), np.arange(1, len(feeds) + 1)])
+        number[len(offsets) - 1 :] -= np.searchsorted(feeds, offsets[:-1])[text[len(offsets) - 1 :]]
+        order = np.lexsort((number, text))
+        first = np.searchsorted(firsts, cuts[order])
+        held = np.diff(np.append(first, len(firsts))) > 0
+        first, self.text, self.number = first[held], text[order][held], number[order][held]
+        line = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(firsts))))
         # the order of tokens in a line is that of their numbers: sorted with the line as the high bits
-        line = np.cumsum(begins) - 1
         parts, sizes = [], []
         for low in range(0, len(first), LINES_AT_ONCE):
             high = min(low + LINES_AT_ONCE, len(first))
@@ -85,15 +91,19 @@ class Lines:
         self.size = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
         self.begin = np.cumsum(self.size) - self.size
 
-    def fingerprints(self) -> tuple[np.ndarray, np.ndarray]:
-        """A hash of the set, and the parity of its tokens over 64 places."""
+    def fingerprints(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A hash of the set with its size in the low bits, and the parities of its tokens over 2 x 64 places."""
         if not len(self.size):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+            return (np.zeros(0, np.int64),) * 3
         mixed = mix(self.tokens + np.uint64(0x9E3779B97F4A7C15))
         total = np.add.reduceat(mixed, self.begin)
-        parity = np.bitwise_xor.reduceat(np.uint64(1) << (mixed >> np.uint64(58)), self.begin)
+        bit = np.uint64(1) << (mixed & np.uint64(63))
+        side = (mixed >> np.uint64(63)).astype(bool)
+        one = np.bitwise_xor.reduceat(np.where(side, bit, np.uint64(0)), self.begin)
+        two = np.bitwise_xor.reduceat(np.where(side, np.uint64(0), bit), self.begin)
         size = np.minimum(self.size, (1 << SIZE_BITS) - 1).astype(np.uint64)
-        return ((mix(total ^ self.size.astype(np.uint64)) >> np.uint64(SIZE_BITS) << np.uint64(SIZE_BITS)) | size).view(np.int64), parity.view(np.int64)
+        f = (mix(total ^ self.size.astype(np.uint64)) >> np.uint64(SIZE_BITS) << np.uint64(SIZE_BITS)) | size
+        return f.view(np.int64), one.view(np.int64), two.view(np.int64)
 
     def prefixes(self, chosen: np.ndarray, ranks: np.ndarray, percent: int) -> tuple[np.ndarray, ...]:
         """Line, token in the order of rarity, its place, and its rank, of the prefixes of some lines."""
@@ -129,15 +139,20 @@ LISTED = f"kind string, {LINE_COLUMNS}, n int, f long, sig long"
 
 def _list_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Every line with its fingerprints, and at the end the task's counts of tokens."""
-    counts = np.zeros(PLACES, np.int64)
+    counts, waiting = np.zeros(PLACES, np.int64), []
     for whole in batches:
         for batch in small_slices(whole, "text"):
             lines = Lines(batch["text"])
             if not len(lines.size):
                 continue
-            counts += np.bincount((lines.tokens & np.uint64(PLACES - 1)).astype(np.int64), minlength=PLACES)
-            f, sig = lines.fingerprints()
+            waiting.append((lines.tokens & np.uint64(PLACES - 1)).astype(np.int32))
+            if sum(map(len, waiting)) >= TOKENS_AT_ONCE:
+                counts += np.bincount(np.concatenate(waiting), minlength=PLACES)
+                waiting = []
+            f, sig, _ = lines.fingerprints()
             yield _rows("line", batch, lines, np.arange(len(lines.size)), f, sig)
+    if waiting:
+        counts += np.bincount(np.concatenate(waiting), minlength=PLACES)
     place = np.flatnonzero(counts)
     for low in range(0, len(place), 100_000):
         some = place[low : low + 100_000]
@@ -177,7 +192,7 @@ def prefix_sizes(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return n - -(-n * percent // 100) + 1
 
 
-INDEX = "t long, place int, sig long, f long"
+INDEX = "t long, place int, sig long, sig2 long, f long"
 DENSE_INDEX = f"{INDEX}, {LINE_COLUMNS}"
 
 
@@ -189,7 +204,7 @@ def _prefixes(ranks: np.ndarray, percent: int, dense: bool):
         for whole in batches:
             for batch in small_slices(whole, "text"):
                 lines = Lines(batch["text"])
-                f, sig = lines.fingerprints()
+                f, sig, sig2 = lines.fingerprints()
                 # the first line of each class of this slice stands for it
                 order = np.lexsort((lines.number, batch["key"].to_numpy()[lines.text], batch["at"].to_numpy()[lines.text]))
                 _, first = np.unique(f[order], return_index=True)
@@ -204,6 +219,7 @@ def _prefixes(ranks: np.ndarray, percent: int, dense: bool):
                     "t": pa.array(token.view(np.int64)),
                     "place": pa.array(place.astype(np.int32)),
                     "sig": pa.array(sig[own]),
+                    "sig2": pa.array(sig2[own]),
                     "f": pa.array(f[own]),
                 }
                 if dense:
@@ -219,7 +235,7 @@ def _token_lists(marks: np.ndarray):
         for whole in batches:
             for batch in small_slices(whole, "text"):
                 lines = Lines(batch["text"])
-                f, sig = lines.fingerprints()
+                f, sig, _ = lines.fingerprints()
                 _, first = np.unique(f, return_index=True)
                 chosen = first[passes(marks, f[first] >> SIZE_BITS)]
                 if not len(chosen):
@@ -242,10 +258,61 @@ def _possible(percent: int) -> Column:
     need = F.ceil(F.lit(percent) * (n + m) / F.lit(100 + percent))
     sizes = (F.lit(100) * n >= F.lit(percent) * m) & (F.lit(100) * m >= F.lit(percent) * n)
     reach = F.least(n - F.col("x.place"), m - F.col("y.place")) >= need
-    parity = F.bit_count(F.col("x.sig").bitwiseXOR(F.col("y.sig"))) <= n + m - 2 * need
+    odd = [F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in ("sig", "sig2")]
+    parity = odd[0] + odd[1] <= n + m - 2 * need
     return long | (sizes & reach & parity)
 
 
+PAIRS = "f long, sig long, g long, gsig long"
+
+
+def _sparse_pairs(percent: int):
+    """The possible pairs of a partition by token: rows are sorted by token and size, so that a row's partners
+    are the next ones, as far as the size allows. A token has few rows, whatever the number of lines."""
+
+    def pair(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [[b[c].to_numpy() for c in ("t", "place", "sig", "sig2", "f")] for b in batches]
+        if not parts:
+            return
+        t, place, sig, sig2, f = (np.concatenate(c) for c in zip(*parts))
+        parts = None
+        size = f & ((1 << SIZE_BITS) - 1)
+        order = np.lexsort((size, t))
+        t, place, sig, sig2, f, size = (c[order] for c in (t, place, sig, sig2, f, size))
+        # where a row's partners end: the next token, or a size too large
+        group = np.cumsum(np.r_[False, t[1:] != t[:-1]])
+        longest = size.max() + 1
+        reach = np.minimum(size * 100 // percent, longest - 1)
+        reach[size == (1 << SIZE_BITS) - 1] = longest - 1
+        end = np.searchsorted(group * longest + size, group * longest + reach, "right")
+        partners = end - np.arange(len(t)) - 1
+        ends = np.cumsum(partners)
+        low = 0
+        while low < len(t):
+            base = ends[low] - partners[low]
+            high = max(low + 1, int(np.searchsorted(ends, base + PAIRS_AT_ONCE, "right")))
+            n = partners[low:high]
+            x = np.repeat(np.arange(low, high), n)
+            y = x + 1 + np.arange(len(x)) - np.repeat(ends[low:high] - n - base, n)
+            both = size[x] + size[y]
+            need = -(-percent * both // (100 + percent))
+            # of a signed number the bits of its magnitude would be counted
+            odd = sum(np.bitwise_count((s[x] ^ s[y]).view(np.uint64)).astype(np.int64) for s in (sig, sig2))
+            possible = (np.minimum(size[x] - place[x], size[y] - place[y]) >= need) & (odd <= both - 2 * need)
+            possible |= size[y] == (1 << SIZE_BITS) - 1
+            x, y = x[possible], y[possible]
+            other = (f[x] != f[y]) | (sig[x] != sig[y])
+            x, y = x[other], y[other]
+            swap = (f[x] > f[y]) | ((f[x] == f[y]) & (sig[x] > sig[y]))
+            x, y = np.where(swap, y, x), np.where(swap, x, y)
+            _, first = np.unique(np.stack([f[x], f[y]], axis=1), axis=0, return_index=True) if len(x) else (None, x)
+            x, y = x[first], y[first]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (f[x], sig[x], f[y], sig[y])], names=["f", "sig", "g", "gsig"])
+            low = high
+
+    return pair
+
+
 def _different() -> Column:
     return (F.col("x.f") != F.col("y.f")) | (F.col("x.sig") != F.col("y.sig"))
 
@@ -299,14 +366,15 @@ def similar_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     same = F.col("x.t") == F.col("y.t")
     # sparse tokens: all pairs, a bounded number for each line
     sparse = texts.mapInArrow(lambda b: _prefixes(ranks.value, percent, False)(b), INDEX)
-    met = sparse.alias("x").join(sparse.alias("y"), same).where(_possible(percent) & (F.struct("x.f", "x.sig") < F.struct("y.f", "y.sig")))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    met = sparse.repartition(tasks, "t").mapInArrow(_sparse_pairs(percent), PAIRS)
     # dense tokens: the star of every line and the first line that has the token
     dense = staged(texts.mapInArrow(lambda b: _prefixes(ranks.value, percent, True)(b), DENSE_INDEX))
     here = lambda x: F.struct(f"{x}.at", f"{x}.key", f"{x}.line")
-    first = F.min_by(F.struct("place", "sig", "f"), place).alias("y")
+    first = F.min_by(F.struct("place", "sig", "sig2", "f"), place).alias("y")
     firsts = dense.groupBy("t").agg(first, F.count("*").alias("_n")).where("_n > 1").select("t", "y.*")
     star = dense.alias("x").join(firsts.alias("y"), same).where(_possible(percent) & _different())
-    near = fitted(_pairs(met).union(_pairs(star)).distinct())
+    near = fitted(met.union(_pairs(star)).distinct())
     links = fitted(_verified(texts, near, percent))
     found = fitted(_matches(classes, links))
     # lines without a match meet all earlier lines of their dense tokens
