@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import functools
+import zipfile
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,13 +28,68 @@ def package_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.observations(spark, sf_dir).withColumn("package", F.concat("dataset_name", F.lit(VERSION)))
 
 
+def rendered(rows: DataFrame) -> DataFrame:
+    return render_lines(number_lines(rows, ["row_number"]), rows.select("package").distinct())
+
+
+def with_members(packages: DataFrame, members: dict[str, bytes]) -> DataFrame:
+    member = F.explode(F.array(*[F.struct(F.lit(k).alias("member"), F.lit(v).alias("content")) for k, v in members.items()]))
+    return packages.withColumn("m", member).select("package", "m.member", F.lit(0).cast("long").alias("seq"), "m.content")
+
+
 def _write(spark: SparkSession, sf_dir: str, folder: str) -> None:
     rows = package_rows(spark, sf_dir)
-    info = rows.select("package").distinct()
-    lines = render_lines(number_lines(rows, ["row_number"]), info)
-    member = F.explode(F.array(*[F.struct(F.lit(k).alias("member"), F.lit(v).alias("content")) for k, v in OTHER_MEMBERS.items()]))
-    files = info.withColumn("m", member).select("package", "m.member", F.lit(0).cast("long").alias("seq"), "m.content")
-    write_packages(lines, folder, scratch_folder(spark), files)
+    files = with_members(rows.select("package").distinct(), OTHER_MEMBERS)
+    write_packages(rendered(rows), folder, scratch_folder(spark), files)
+
+
+def built_mixed(spark: SparkSession, sf_dir: str) -> str:
+    """Archives of which those of odd years name their type in ``delivery_datatype`` only."""
+    rows = package_rows(spark, sf_dir)
+    odd = F.right("dataset_name", F.lit(1)).isin("1", "3", "5", "7", "9")
+    other = rows.where(odd).withColumnRenamed("data_type_internal", "delivery_datatype")
+    folder = scratch_folder(spark)
+    write_packages(rendered(rows.where(~odd)).unionByName(rendered(other)), folder, scratch_folder(spark))
+    return folder
+
+
+def built_twice(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Two folders with archives of the same names; the values of the first are others."""
+    rows = package_rows(spark, sf_dir)
+    root = scratch_folder(spark)
+    write_packages(rendered(rows.withColumn("value", F.lit("old"))), f"{root}/a", scratch_folder(spark))
+    write_packages(rendered(rows), f"{root}/b", scratch_folder(spark))
+    return [f"{root}/b", f"{root}/a"]
+
+
+def built_lines(spark: SparkSession, sf_dir: str, header: str, columns: list, members: dict[str, bytes] | None = None) -> str:
+    """Archives with a header and lines as they are given."""
+    rows = number_lines(package_rows(spark, sf_dir), ["row_number"])
+    text = F.concat_ws("\t", *[F.coalesce(c.cast("string"), F.lit("")) for c in columns])
+    names = rows.select("package").distinct()
+    lines = rows.select("package", F.col("_line").alias("seq"), text.alias("text"))
+    lines = lines.unionByName(names.select("package", F.lit(0).cast("long").alias("seq"), F.lit(header).alias("text")))
+    folder = scratch_folder(spark)
+    write_packages(lines, folder, scratch_folder(spark), with_members(names, members) if members else None)
+    return folder
+
+
+def _members_by_zipfile(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for package, path in zip(batch["package"].to_pylist(), batch["path"].to_pylist()):
+            with zipfile.ZipFile("/" + path.removeprefix("file:").lstrip("/")) as archive:
+                if archive.testzip() is not None:
+                    raise ValueError(f"{package} is damaged")
+                for name in archive.namelist():
+                    lines = archive.read(name).decode("cp1252").split("\n")
+                    if len(lines) > 1 and not lines[-1]:
+                        lines.pop()
+                    yield pa.RecordBatch.from_pydict({"package": [package] * len(lines), "member": [name] * len(lines), "line": lines})
+
+
+def read_by_zipfile(packages: DataFrame) -> DataFrame:
+    """Lines of all members as Python's own reader finds them; a damaged archive raises."""
+    return packages.select("package", "path").mapInArrow(_members_by_zipfile, "package string, member string, line string")
 
 
 @functools.cache

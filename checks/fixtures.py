@@ -64,6 +64,15 @@ SELECT * FROM (VALUES
 ) AS t(area, seq, lat, lon)
 """
 
+#: Three areas like the others, with coasts of 20,000 vertices.
+DENSE_AREAS = """
+SELECT a.area, i + 1 AS seq,
+  a.lat + (2.5e0 + 0.4e0 * sin(37e0 * i * 6.283185307179586e0 / 20000e0)) * sin(i * 6.283185307179586e0 / 20000e0) AS lat,
+  a.lon + (3.5e0 + 0.6e0 * sin(53e0 * i * 6.283185307179586e0 / 20000e0)) * cos(i * 6.283185307179586e0 / 20000e0) AS lon
+FROM (VALUES ('RC', 58e0, 14e0), ('RG', 60e0, 17e0), ('RO', 56e0, 19e0)) AS a(area, lat, lon)
+CROSS JOIN (SELECT cast({i} AS int) AS i FROM {series}) AS s
+"""
+
 CODES = """
 SELECT f.field, cast(n_nationkey AS string) AS code, n_name || ' SV' AS name_sv
 FROM nation CROSS JOIN (VALUES ('sample_project'), ('sample_orderer'), ('sampling_laboratory'),
@@ -112,6 +121,7 @@ _TABLES = {t: t for t in ("lineitem", "orders", "part", "events")}
 SQL = {
     "observations": OBSERVATIONS.format(**_TABLES),
     "areas": AREAS,
+    "dense_areas": DENSE_AREAS.format(i="r", series="(SELECT unnest(range(20000)) AS r) AS q"),
     "codes": CODES,
     "packages": PACKAGES.format(**_TABLES),
     "removals": REMOVALS.format(**_TABLES),
@@ -136,6 +146,10 @@ def areas(spark: SparkSession) -> DataFrame:
     return spark.sql(AREAS)
 
 
+def dense_areas(spark: SparkSession) -> DataFrame:
+    return spark.sql(DENSE_AREAS.format(i="id", series="range(20000)"))
+
+
 def codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = F.explode(F.array(*map(F.lit, model.NAME_SV_FIELDS)))
     return table(spark, sf_dir, "nation").select(

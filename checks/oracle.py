@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from checks.fixtures import SQL
-from kelpline import model
 
-NEEDS = {"codes": (), "areas": (), "rules": (), "members": ("packages",)}
+NAME_FIELDS = ["sample_project", "sample_orderer", "sampling_laboratory", "analytical_laboratory", "reporting_institute"]
+NEEDS = {"codes": (), "areas": (), "dense_areas": (), "rules": (), "members": ("packages",)}
 
 
 def with_tables(names: str, body: str, extra: str = "") -> str:
@@ -66,9 +66,9 @@ RULED_SUBSTRATE = """CASE WHEN data_type_internal <> 'epibenthos' THEN substrate
 DELIVERY = "CASE WHEN data_type_internal = 'planktonbarcoding' THEN 'Plankton Barcoding' ELSE '' END"
 
 _NAME_JOINS = "\n".join(
-    f"LEFT JOIN codes c{i} ON c{i}.field = '{f}' AND c{i}.code = trim(o.{f}_code)" for i, f in enumerate(model.NAME_SV_FIELDS)
+    f"LEFT JOIN codes c{i} ON c{i}.field = '{f}' AND c{i}.code = trim(o.{f}_code)" for i, f in enumerate(NAME_FIELDS)
 )
-_NAME_COLUMNS = ",\n".join(f"coalesce(c{i}.name_sv, '') AS {f}_name_sv" for i, f in enumerate(model.NAME_SV_FIELDS))
+_NAME_COLUMNS = ",\n".join(f"coalesce(c{i}.name_sv, '') AS {f}_name_sv" for i, f in enumerate(NAME_FIELDS))
 ENRICHED = f"""enriched AS (
 SELECT o.* REPLACE (
     {FIXED_TIME} AS sample_time,
@@ -134,7 +134,77 @@ grid AS (SELECT y, x,
 
 # -- masks -----------------------------------------------------------------------------------
 
-PARAMETERS = ", ".join("'" + p + "'" for p in dict.fromkeys(model.RESTRICTED_PARAMETERS))
+# The parameters whose values are masked, each once.
+MASKED_PARAMETERS = [
+    "Secchi depth",
+    "Section sediment cover",
+    "Section hard clay cover",
+    "Section soft clay cover",
+    "Section silt cover",
+    "Section silt clay cover",
+    "Section silt soft clay cover",
+    "Section sand cover",
+    "Section gravel fine medium cover",
+    "Section gravel coarse cover",
+    "Section cobble medium cover",
+    "Section cobble coarse cover",
+    "Section large boulder cover",
+    "Section rock cover",
+    "Section shell gravel cover",
+    "Section shell cover",
+    "Section bare substrate cover",
+    "Section debris cover",
+    "Section detritus cover",
+    "Section unidentified substrate cover",
+    "Section epi zostera cover",
+    "Section unidentified plantae cover",
+    "Section nassarius tracks cover",
+    "Section paguridae tracks cover",
+    "Section animalia burrows cover",
+    "Section animalia tracks cover",
+    "Section unidentified algae cover",
+    "Sediment depos cover",
+    "Section boulder cover",
+    "Section gravel cover",
+    "Section stone cover",
+    "Loss on ignition",
+    "Sediment dry weight content",
+    "Sediment water content",
+    "Redox potential",
+    "Sediment colour code",
+    "Sediment sieve fraction",
+    "Depth distribution (max depth)",
+    "Large boulder cover",
+    "Rock cove",
+    "Sand cover",
+    "Silt cover",
+    "QFLAG Secchi depth",
+    "H2S smell",
+    "Substrate",
+    "Substrate cover",
+    "Section substrate",
+    "Section substrate cover",
+    "Sediment deposition cover",
+    "Species distribution min depth",
+    "Species distribution max depth",
+    "Substrate specific cover",
+    "Sediment cover",
+    "Hard clay cover",
+    "Soft clay cover",
+    "Silt clay cover",
+    "Gravel fine medium cover",
+    "Gravel coarse cover",
+    "Cobble medium cover",
+    "Cobble coarse cover",
+    "Shell gravel cover",
+    "Shell cover",
+    "Bare substrate cover",
+    "Debris cover",
+    "Detritus cover",
+    "Unidentified substrate cover",
+    "Total cover of all species",
+]
+PARAMETERS = ", ".join("'" + p + "'" for p in MASKED_PARAMETERS)
 
 
 def when(mask: str, value: str, col: str) -> str:
@@ -198,7 +268,7 @@ pruned AS (SELECT * FROM typed WHERE data_type_internal = 'profile' OR NOT (memb
 ISSUES = """used AS (SELECT dataset_name AS package, unnest([{pairs}]) AS u FROM observations),
 counted AS (SELECT package, u.field AS field, trim(u.code) AS code, count(*) AS n FROM used
   WHERE trim(coalesce(u.code, '')) <> '' GROUP BY ALL)""".format(
-    pairs=", ".join(f"{{'field': '{f}', 'code': {f}_code}}" for f in model.NAME_SV_FIELDS)
+    pairs=", ".join(f"{{'field': '{f}', 'code': {f}_code}}" for f in NAME_FIELDS)
 )
 
 
@@ -282,7 +352,7 @@ def oracle_sql() -> dict[str, str]:
         "add_datatype_plankton_barcoding": _obs(f"SELECT row_number, {DELIVERY} AS delivery_datatype FROM observations"),
         "enrich": with_tables("observations codes", "SELECT * FROM enriched", ENRICHED),
         "add_names_sv_joined": with_tables(
-            "observations codes", "SELECT row_number, " + ", ".join(f"{f}_name_sv" for f in model.NAME_SV_FIELDS) + " FROM enriched", ENRICHED
+            "observations codes", "SELECT row_number, " + ", ".join(f"{f}_name_sv" for f in NAME_FIELDS) + " FROM enriched", ENRICHED
         ),
         # positions
         "add_position_sweref99tm": _obs(
@@ -372,7 +442,7 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT page_id, trim(replace(regexp_replace(coalesce(url, ''), '^\s+|\s+$', '', 'g'), '\', '/'), '/') AS u FROM pages) q""",
     }
     sql.update(_file_sql())
-    for field in model.NAME_SV_FIELDS:
+    for field in NAME_FIELDS:
         sql[f"add_{field.removeprefix('sample_')}_name_sv"] = add_name_sv(field)
     return sql
 
@@ -387,7 +457,7 @@ OBSERVED_TEXT = [
     "analytical_laboratory_code", "reporting_institute_code", "visit_date", "sample_date", "sample_time",
     "sample_latitude_dd", "sample_longitude_dd",
 ]
-PUBLISHED_EXTRA = [f"{f}_name_sv" for f in model.NAME_SV_FIELDS] + [
+PUBLISHED_EXTRA = [f"{f}_name_sv" for f in NAME_FIELDS] + [
     "reported_visit_date", "reported_sample_date", "location_rc", "location_rg", "location_ro",
     "sample_sweref99tm_x", "sample_sweref99tm_y",
 ]
@@ -401,6 +471,8 @@ def _file_sql() -> dict[str, str]:
     package = "dataset_name || '_version_2024-05-01.zip'"
     length = " + ".join(f"length(coalesce(cast({c} AS varchar), ''))" for c in OBSERVED_TEXT)
     published = [c for c in OBSERVED_TEXT if c != "row_number"] + PUBLISHED_EXTRA
+    odd = "(right(dataset_name, 1) IN ('1', '3', '5', '7', '9'))"
+    v = lambda c: f"coalesce(cast({c} AS varchar), '')"
     publish_sql = restricted("masked", "data_type_internal <> 'sealpathology'", DROP_PUBLISHED)
     # a data type that no plankton package has gets no such column of its own: blank when read together
     return {
@@ -418,6 +490,46 @@ def _file_sql() -> dict[str, str]:
             f"SELECT {package} AS package, count(*) AS n, cast(sum({length} + {len(OBSERVED_TEXT) - 1}) AS bigint) AS n_chars FROM observations GROUP BY 1"
         ),
         "write_data_table": _obs(f"SELECT {package} AS package, {as_text(OBSERVED_TEXT)} FROM observations"),
+        "publish_archives_mixed_headers": with_tables(
+            "observations codes areas",
+            f"""SELECT {package} AS package,
+            CASE WHEN NOT {odd} OR data_type_internal = 'planktonbarcoding' THEN delivery_datatype ELSE data_type_internal END AS delivery_datatype,
+            CASE WHEN {odd} THEN '' ELSE data_type_internal END AS data_type_internal,
+            {as_text([c for c in published if c != 'data_type_internal'])} FROM published""",
+            f"{PUBLISHED_CTES}, published AS ({publish_sql})",
+        ),
+        "publish_archives_two_folders": with_tables(
+            "observations codes areas",
+            f"SELECT {package} AS package, delivery_datatype, {as_text(published)} FROM published",
+            f"{PUBLISHED_CTES}, published AS ({publish_sql})",
+        ),
+        "round_trip_ragged": _obs(
+            f"""SELECT package, member, line, count(*) AS n FROM (
+            SELECT {package} AS package, 'shark_data.txt' AS member, {v('parameter')} || chr(9) || {v('value')} || chr(9) || 'n' || {v('value')}
+              || chr(9) || {v('value')} || ' ' || {v('value')} || repeat(chr(9), 5) AS line FROM observations
+            UNION ALL SELECT package, t.member, t.line FROM (SELECT DISTINCT {package} AS package FROM observations) p CROSS JOIN (VALUES
+              ('shark_data.txt', concat_ws(chr(9), 'parameter', 'note', 'note', 'ends', {', '.join(repr(f + '_name_sv') for f in NAME_FIELDS)})),
+              ('empty/', ''), ('a/b.txt', 'x'), ('a/b.txt', 'y')) AS t(member, line)) q GROUP BY 1, 2, 3"""
+        ),
+        "read_data_table_odd_headers": _obs(
+            f"SELECT {package} AS package, " + ", ".join(f"'{i}-' || {v('value')} AS c{i}" for i in range(8)) + " FROM observations"
+        ),
+        "write_package_tables": _obs(
+            f"""SELECT {package} AS package, count(*) + 1 AS n,
+            cast(sum({length} + {len(OBSERVED_TEXT) - 1}) + {len(chr(9).join(OBSERVED_TEXT))} AS bigint) AS n_chars FROM observations GROUP BY 1"""
+        ),
+        "read_codes": with_tables("codes", "SELECT field, code, name_sv FROM codes"),
+        "read_areas": _obs("SELECT row_number, location_rc, location_rg, location_ro FROM located", OBS_MASKED, "observations areas"),
+        "read_rules": _obs(f"SELECT row_number, {RULED_PARAMETER} AS parameter, {RULED_SUBSTRATE} AS substrate FROM observations"),
+        "add_locations_dense": _obs(
+            "SELECT row_number, location_rc, location_rg, location_ro FROM located", OBS_MASKED.replace("areas", "dense_areas"), "observations dense_areas"
+        ),
+        "publish_log": _obs(
+            f"""SELECT {package} AS package, 'workflow' AS log_type, {package} || ' (data type sealpathology not allowed)' AS msg
+            FROM datasets d(dataset_name, data_type_internal) WHERE data_type_internal = 'sealpathology'
+            UNION ALL SELECT name || '_version_broken.zip', 'workflow', name || '_version_broken.zip -> BadZipFile: File is not a zip file' FROM datasets""",
+            DATASETS,
+        ),
         "publish_archives": with_tables(
             "observations codes areas",
             f"SELECT {package} AS package, delivery_datatype, {as_text(published)} FROM published",

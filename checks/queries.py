@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from checks import archives as ar
 from checks import fixtures as fx
 from kelpline import model
+from kelpline.functions.headers import shown
 from kelpline.functions.names import base_name
 from kelpline.functions.text import format_log_line, is_blank, normalize_url
 from kelpline.operators import catalog as cat
@@ -20,10 +21,11 @@ from kelpline.plans import steps
 from kelpline.plans.archives import publish_archives
 from kelpline.policy import Policy
 from kelpline.session import scratch_folder, ship_package
+from kelpline.sinks import packages as pk
 from kelpline.sinks.packages import write_data_table
 from kelpline.sinks.stores import copy_to_store, remove_from_store, update_store, write_removal_list
 from kelpline.sources import archives as src
-from kelpline.sources.tables import read_name_list
+from kelpline.sources.tables import read_areas, read_codes, read_name_list, read_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -394,6 +396,83 @@ def q_publish_archives(spark, sf):
     return table.drop("layout", "_line", "_type")
 
 
+def _published(spark, sf, paths):
+    folder = scratch_folder(spark)
+    publish_archives(spark, paths, folder, fx.codes(spark, sf), fx.areas(spark), PUBLISHING, fx.rules(spark))
+    return src.read_data_table(_staged(spark, folder)).drop("layout", "_line", "_type")
+
+
+def q_publish_archives_mixed_headers(spark, sf):
+    """Packages of one type with different headers: all are masked by the type they are of."""
+    return _published(spark, sf, ar.built_mixed(spark, sf))
+
+
+def q_publish_archives_two_folders(spark, sf):
+    """The later of two archives of one name counts."""
+    return _published(spark, sf, ar.built_twice(spark, sf))
+
+
+def q_round_trip_ragged(spark, sf):
+    """Repeated column names, blank cells beyond the header, folders, and line ends inside cells."""
+    columns = [F.col("parameter"), F.col("value"), F.concat(F.lit("n"), "value"), F.concat("value", F.lit("\r"), "value"), F.lit("")]
+    folder = ar.built_lines(spark, sf, "parameter\tnote\tnote\tends", columns, {"empty/": b"", "a/b.txt": b"x\ny"})
+    out = scratch_folder(spark)
+    publish_archives(spark, folder, out, fx.codes(spark, sf), fx.areas(spark), Policy())
+    return ar.read_by_zipfile(src.list_packages(spark, out)).groupBy("package", "member", "line").agg(F.count("*").alias("n"))
+
+
+def q_read_data_table_odd_headers(spark, sf):
+    """Names that differ in case only, with dots and back-ticks, blank, and those the library uses."""
+    names = ["Secchi_note", "secchi_note", "a.b", "x`y", "", "package", "_line", "Parameter"]
+    columns = [F.concat(F.lit(f"{i}-"), "value") for i in range(len(names))]
+    staged = _staged(spark, ar.built_lines(spark, sf, "\t".join(names), columns))
+    table = src.read_data_table(staged)
+    own = [c for c in table.columns if c not in ("package", "layout", "_line", "_type")]
+    assert [shown(c) for c in own] == names
+    return table.select("package", *[F.col(c).alias(f"c{i}") for i, c in enumerate(own)])
+
+
+def q_write_package_tables(spark, sf):
+    """Text files of each package's own columns."""
+    folder = scratch_folder(spark)
+    pk.write_package_tables(ar.rendered(ar.package_rows(spark, sf)), folder)
+    back = spark.read.option("wholetext", False).text(folder)
+    return back.groupBy("package").agg(F.count("*").alias("n"), F.sum(F.length("value")).alias("n_chars"))
+
+
+def _written(df, folder: str) -> str:
+    df.write.csv(folder, sep="\t", header=True, emptyValue="")
+    return folder
+
+
+def q_read_codes(spark, sf):
+    return read_codes(spark, _written(fx.codes(spark, sf), scratch_folder(spark)))
+
+
+def q_read_areas(spark, sf):
+    """Areas read from a file, met by all positions."""
+    areas = read_areas(spark, _written(fx.areas(spark).withColumn("polygon_id", F.lit(1)).select("area", "polygon_id", "seq", "lat", "lon"), scratch_folder(spark)))
+    df = fx.observations(spark, sf).select("row_number", model.LATITUDE, model.LONGITUDE)
+    return geo.add_locations(df, areas).drop(model.LATITUDE, model.LONGITUDE)
+
+
+def q_read_rules(spark, sf):
+    rules = read_rules(spark, _written(fx.rules(spark), scratch_folder(spark)))
+    return en.apply_value_rules(fx.observations(spark, sf), rules).select("row_number", "parameter", "substrate")
+
+
+def q_publish_log(spark, sf):
+    """What the log tells of packages that are refused or cannot be read."""
+    done = publish_archives(spark, ar.built_with_corrupt(spark, sf), scratch_folder(spark), fx.codes(spark, sf), fx.areas(spark), PUBLISHING, fx.rules(spark))
+    return done.log.where("level = 'error'").select("package", "log_type", "msg")
+
+
+def q_add_locations_dense(spark, sf):
+    """Areas of 20,000 vertices each."""
+    df = fx.observations(spark, sf).select("row_number", model.LATITUDE, model.LONGITUDE)
+    return geo.add_locations(df, fx.dense_areas(spark)).drop(model.LATITUDE, model.LONGITUDE)
+
+
 def q_write_reports(spark, sf):
     folder = scratch_folder(spark)
     report.write_reports(fx.log(spark, sf), folder)

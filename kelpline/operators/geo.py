@@ -9,11 +9,18 @@ from pyspark.sql import functions as F
 
 from kelpline import model
 from kelpline.functions.geodesy import degrees, with_grid_position
-from kelpline.operators.lookups import lookup_join, measured
-
-CELL_DEGREES = 1.0
+from kelpline.operators.lookups import lookup_join
+from kelpline.session import scratch_folder
+
+#: How many cells a degree is cut into, at most; and how many edges a cell should hold.
+MOST_CELLS = 64
+EDGES_PER_CELL = 32
+#: Areas of more vertices than this are indexed by many tasks and staged.
+FEW_VERTICES = 2_000
 # cells are cut a little wide, so rounding at a cell border cannot lose an edge
 MARGIN = 1e-9
+#: Where cells begin: at no round number, so that neither vertices nor upright edges lie on a border.
+ORIGIN = 0.000123456789012
 
 
 def location_column(area: str) -> str:
@@ -39,58 +46,97 @@ def polygon_edges(areas: DataFrame) -> DataFrame:
     )
 
 
-def area_cells(areas: DataFrame, names: Iterable[str], cell_degrees: float = CELL_DEGREES) -> DataFrame:
-    """One row per grid cell, with what a point in the cell must test per area.
+def cells_per_degree(edges: DataFrame) -> int:
+    """Cells to a degree that hold a bounded number of edges on the average: by the edges' number and length."""
+    length = F.sum(F.abs(F.col("y2") - F.col("y1")) + F.abs(F.col("x2") - F.col("x1")))
+    row = edges.agg(F.count("*").alias("n"), length.alias("length")).first()
+    if not row.n or not row.length:
+        return 1
+    return max(1, min(MOST_CELLS, round(row.n / row.length / EDGES_PER_CELL)))
 
-    A point is inside a polygon if the ray to its east crosses an odd number of edges. For each
-    cell the edges a ray from within cannot meet are left out, and those every such ray crosses
-    become a parity; only the rest stays as an edge list. Unique per ``(cy, cx)``.
-    """
-    names = list(names)
-    size = F.lit(float(cell_degrees))
-    margin = F.lit(MARGIN)
-    edges = (
-        polygon_edges(areas)
-        .where(F.col("area").isin(*names) & (F.col("y1") != F.col("y2")))
-        .withColumn("west", F.min(F.least("x1", "x2")).over(Window.partitionBy("area", "polygon_id")))
-    )
 
-    def index(degree: Column) -> Column:
-        return F.floor(degree / size).cast("int")
+def _index(degree: Column, per_degree: int) -> Column:
+    return F.floor((degree - ORIGIN) * per_degree).cast("int")
+
+
+def _border(index: Column, per_degree: int) -> Column:
+    return index / F.lit(float(per_degree)) + ORIGIN
+
 
+def _pieces(edges: DataFrame, k: int) -> DataFrame:
+    """Each edge once per cell that it touches."""
     low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
-    near, far = F.least("x1", "x2"), F.greatest("x1", "x2")
-    pieces = (
-        edges.withColumn("cy", F.explode(F.sequence(index(low), index(high))))
-        .withColumn("cx", F.explode(F.sequence(index(F.col("west") - margin), index(far + margin))))
-        .where((high > F.col("cy") * size) & (low < (F.col("cy") + 1) * size))
-    )
-    always = (
-        (low <= F.col("cy") * size)
-        & (high >= (F.col("cy") + 1) * size)
-        & (near > (F.col("cx") + 1) * size + margin)
-    )
-    per_polygon = (
-        pieces.withColumn("always", always)
-        .groupBy("cy", "cx", "area", "polygon_id")
-        .agg(
-            (F.count_if("always") % 2).cast("int").alias("parity"),
-            F.collect_list(F.when(~F.col("always"), F.struct("y1", "x1", "y2", "x2"))).alias("edges"),
+    rows = edges.withColumn("cy", F.explode(F.sequence(_index(low - MARGIN, k), _index(high + MARGIN, k))))
+    # the stretch of the edge in the row; of a level edge it is the whole
+    slope = F.when(F.col("y1") != F.col("y2"), (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1")))
+    bottom, top = _border(F.col("cy"), k), _border(F.col("cy") + 1, k)
+    ends = [F.col("x1") + slope * (F.least(F.greatest(y, low), high) - F.col("y1")) for y in (bottom, top)]
+    west = F.coalesce(F.least(*ends), F.least("x1", "x2"))
+    east = F.coalesce(F.greatest(*ends), F.greatest("x1", "x2"))
+    return rows.withColumn("cx", F.explode(F.sequence(_index(west - MARGIN, k), _index(east + MARGIN, k))))
+
+
+def area_cells(areas: DataFrame, names: Iterable[str], per_degree: int | None = None) -> tuple[DataFrame, DataFrame | None, int]:
+    """Cells with what a point in them must test per area; uniform whole degrees; and the cells to a degree.
+
+    A point is inside a polygon if the ray to its east crosses an odd number of edges. For a cell that edges touch the index
+    holds these edges and whether the cell's north-east corner is inside; the crossings of a way from the
+    point east to the border and north to the corner tell the rest. Other cells are inside as a whole or not listed. Where cells
+    are smaller than a degree, degrees without any edge are listed by themselves, so that the inside of an area is few rows.
+    """
+    names = list(names)
+    edges = polygon_edges(areas).where(F.col("area").isin(*names) & ((F.col("y1") != F.col("y2")) | (F.col("x1") != F.col("x2"))))
+    k = cells_per_degree(edges) if per_degree is None else per_degree
+    polygon = ["area", "polygon_id"]
+    bounded = _pieces(edges, k).groupBy(*polygon, "cy", "cx").agg(F.collect_list(F.struct("y1", "x1", "y2", "x2")).alias("edges"))
+    # crossings of the grid lines above the rows, by column
+    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
+    lines = edges.withColumn("cy", F.explode(F.sequence(_index(low, k) - 1, _index(high, k) + 1)))
+    line = _border(F.col("cy") + 1, k)
+    crossed = lines.where((F.col("y1") > line) != (F.col("y2") > line))
+    at = (F.col("x2") - F.col("x1")) * (line - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1")
+    crossings = crossed.groupBy(*polygon, "cy", _index(at, k).alias("cx")).agg(F.count("*").alias("n"))
+    # the parity at a cell's corner: crossings in the columns to its east
+    cells = bounded.select(*polygon, "cy", "cx", F.lit(0).cast("long").alias("n"), "edges")
+    both = cells.unionByName(crossings.withColumn("edges", F.lit(None).cast("array<struct<y1:double,x1:double,y2:double,x2:double>>")))
+    row = Window.partitionBy(*polygon, "cy")
+    east = row.orderBy(F.col("cx").desc()).rangeBetween(Window.unboundedPreceding, -1)
+    parity = (F.coalesce(F.sum("n").over(east), F.lit(0)) % 2).cast("int")
+    corners = both.withColumn("parity", parity).where(F.col("edges").isNotNull())
+    # between two cells with edges all cells are alike
+    following = F.lead("cx").over(row.orderBy("cx"))
+    runs = corners.withColumn("upto", following).where((F.col("parity") == 1) & (F.col("upto") > F.col("cx") + 1))
+    runs = runs.select(*polygon, "cy", (F.col("cx") + 1).alias("from"), (F.col("upto") - 1).alias("to"))
+    empty = F.array().cast("array<struct<y1:double,x1:double,y2:double,x2:double>>")
+    if k == 1:
+        whole = None
+        inside = runs.select(*polygon, "cy", F.explode(F.sequence("from", "to")).alias("cx"))
+    else:
+        degree = lambda c: F.floor(F.col(c) / k).cast("int")
+        marked = bounded.select(degree("cy").alias("dy"), degree("cx").alias("dx")).distinct().withColumn("_cut", F.lit(True))
+        parts = runs.withColumn("dy", degree("cy")).withColumn("dx", F.explode(F.sequence(degree("from"), degree("to"))))
+        parts = parts.join(marked, ["dy", "dx"], "left")
+        first, last = F.greatest("from", F.col("dx") * k), F.least("to", F.col("dx") * k + k - 1)
+        inside = parts.where("_cut").select(*polygon, "cy", F.explode(F.sequence(first, last)).alias("cx"))
+        whole = parts.where(F.col("_cut").isNull() & (F.col("cy") == F.col("dy") * k)).groupBy("dy", "dx").agg(
+            *[F.coalesce(F.max(F.col("area") == a), F.lit(False)).alias(f"_whole_{a}") for a in names]
         )
-        .where((F.col("parity") == 1) | (F.size("edges") > 0))
-    )
-    return per_polygon.groupBy("cy", "cx").agg(
-        *[
-            F.collect_list(F.when(F.col("area") == a, F.struct("parity", "edges"))).alias(f"_cell_{a}")
-            for a in names
-        ]
+    tested = corners.select(*polygon, "cy", "cx", "parity", "edges").unionByName(inside.withColumns({"parity": F.lit(1), "edges": empty}))
+    found = tested.groupBy("cy", "cx").agg(
+        *[F.collect_list(F.when(F.col("area") == a, F.struct("parity", "edges"))).alias(f"_cell_{a}") for a in names]
     )
+    return found, whole, k
 
 
-def _inside(polygons: Column, y: Column, x: Column) -> Column:
+def _inside(polygons: Column, y: Column, x: Column, north: Column, east: Column) -> Column:
     def crosses(e: Column) -> Column:
         y1, x1, y2, x2 = (e[c] for c in ("y1", "x1", "y2", "x2"))
-        return ((y1 > y) != (y2 > y)) & (x < (x2 - x1) * (y - y1) / (y2 - y1) + x1)
+        level = (x2 - x1) * (y - y1) / F.nullif(y2 - y1, F.lit(0.0)) + x1
+        upright = (y2 - y1) * (east - x1) / F.nullif(x2 - x1, F.lit(0.0)) + y1
+        ahead = ((y1 > y) != (y2 > y)) & (x < level) & (level <= east)
+        above = ((x1 > east) != (x2 > east)) & (y < upright) & (upright <= north)
+        # one of the two ways, or both: then the edge cuts the corner off and counts for nothing
+        return F.coalesce(ahead, F.lit(False)) != F.coalesce(above, F.lit(False))
 
     def holds(p: Column) -> Column:
         return (p["parity"] + F.size(F.filter(p["edges"], crosses))) % 2 == 1
@@ -108,30 +154,44 @@ def add_locations(
     names: Iterable[str] = tuple(model.RESTRICTING_AREAS),
     latitude: str = model.LATITUDE,
     longitude: str = model.LONGITUDE,
-    cell_degrees: float = CELL_DEGREES,
+    per_degree: int | None = None,
     small: bool | None = None,
 ) -> DataFrame:
     """Add one boolean ``location_*`` column per area; without a position all are FALSE.
 
-    One equi-join on the grid cell serves all areas and keeps every row where it is: the cell
-    index is broadcast when its size allows, and salted otherwise. Points on an edge follow the
+    An equi-join on the grid cell, and one on the degree where cells are smaller, serve all areas and keep every row where it is: the
+    cell index is broadcast when its size allows, and salted otherwise; degrees are no more than the Earth has. Points on an edge follow the
     half-open rule ``(y1 > y) <> (y2 > y)``.
     """
     names = list(names)
-    # few vertices are indexed in one partition; the index itself is measured before it is broadcast
-    cells = area_cells(measured(areas)[0], names, cell_degrees)
+    spark = df.sparkSession
+    few = areas.limit(FEW_VERTICES + 1).count() <= FEW_VERTICES
+    # few vertices are indexed in one partition; an index of many is staged, measured, and joined as it lies
+    cells, whole, k = area_cells(areas.coalesce(1) if few else areas, names, per_degree)
+    if not few:
+        folder = scratch_folder(spark)
+        cells.write.parquet(f"{folder}/cells")
+        cells = spark.read.parquet(f"{folder}/cells")
+        if whole is not None:
+            whole.write.parquet(f"{folder}/degrees")
+            whole = spark.read.parquet(f"{folder}/degrees")
     lat, lon = F.col("_lat"), F.col("_lon")
-    size = F.lit(float(cell_degrees))
     positioned = df.withColumns({"_lat": _position(df, latitude), "_lon": _position(df, longitude)}).withColumns(
         {
             # no position on Earth, no cell
-            "cy": F.when(F.abs(lat) <= 90, F.floor(lat / size).cast("int")),
-            "cx": F.when(F.abs(lon) <= 360, F.floor(lon / size).cast("int")),
+            "cy": F.when(F.abs(lat) <= 90, _index(lat, k)),
+            "cx": F.when(F.abs(lon) <= 360, _index(lon, k)),
         }
     )
     joined = lookup_join(positioned, cells, ["cy", "cx"], small=small)
-    flags = {location_column(a): _inside(F.col(f"_cell_{a}"), lat, lon) for a in names}
-    return joined.withColumns(flags).drop("_lat", "_lon", "cy", "cx", *[f"_cell_{a}" for a in names])
+    north, east = _border(F.col("cy") + 1, k), _border(F.col("cx") + 1, k)
+    flags = {location_column(a): _inside(F.col(f"_cell_{a}"), lat, lon, north, east) for a in names}
+    if whole is not None:
+        degrees_of = joined.withColumns({"dy": F.floor(F.col("cy") / k).cast("int"), "dx": F.floor(F.col("cx") / k).cast("int")})
+        # as many rows as there are degrees on Earth, at most
+        joined = degrees_of.join(F.broadcast(whole), ["dy", "dx"], "left").drop("dy", "dx")
+        flags = {c: f | F.coalesce(F.col(f"_whole_{a}"), F.lit(False)) for (c, f), a in zip(flags.items(), names)}
+    return joined.withColumns(flags).select(*[c for c in df.columns if c not in flags], *flags)
 
 
 def add_position_sweref99tm(

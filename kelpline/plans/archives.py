@@ -124,7 +124,7 @@ def publish_staged(
         logs += [en.unmatched_codes(table, codes)] + [v(rows.drop("_own", "_was")) for v in validators]
         if any(c.column == en.TIME_COLUMNS[0] for c in columns):
             logs.append(en.unreadable_times(table))
-        lines.append(pk.render_lines(_untyped(rows, own), of_types, columns))
+        lines.append(pk.render_lines(_untyped(rows, own), of_types, columns, steps.added_columns(policy, types)))
     if not lines:
         none = spark.createDataFrame([], "file string, size long")
         return Published(none, refused, src.failed_packages(staged), _union(logs))

@@ -37,6 +37,18 @@ def enrich(
     return df
 
 
+def added_columns(policy: Policy, data_types: Iterable[str]) -> dict[str, str | None]:
+    """Columns the steps add to a package that lacks them, with the column a package must have for that."""
+    found: dict[str, str | None] = {en.name_sv_column(f): None for f in model.NAME_SV_FIELDS}
+    found |= {f"reported_{c}": c for c in en.DATE_COLUMNS} | {"sample_date": "visit_date"}
+    if model.PLANKTON_BARCODING in data_types:
+        found["delivery_datatype"] = None
+    if policy.restricting:
+        located = ["sample_sweref99tm_x", "sample_sweref99tm_y", *map(geo.location_column, model.RESTRICTING_AREAS)]
+        found |= dict.fromkeys(located)
+    return found
+
+
 def _locate(df: DataFrame, areas: DataFrame) -> DataFrame:
     return geo.add_locations(geo.add_position_sweref99tm(df), areas)
 

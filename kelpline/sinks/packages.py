@@ -80,12 +80,15 @@ def number_lines(df: DataFrame, order: list[str], package: str = "package") -> D
     return placed.withColumn("_line", F.monotonically_increasing_id() + 1)
 
 
-def render_lines(df: DataFrame, info: DataFrame, read_columns: list[HeaderColumn] | None = None) -> DataFrame:
+def render_lines(
+    df: DataFrame, info: DataFrame, read_columns: list[HeaderColumn] | None = None, adds: dict[str, str | None] | None = None
+) -> DataFrame:
     """Rows to numbered text lines ``(package, seq, text)``, the header being line 0.
 
     A package gets its own columns in their own order, less those dropped and followed by those
     the steps added. ``info`` has one row per package, with or without rows, and its ``layout`` and ``header``;
-    without ``read_columns`` every package gets all columns.
+    without ``read_columns`` every package gets all columns. ``adds`` names columns that steps add to packages that lack
+    them, with the column that a package must have for that: another package may bring the same column itself.
     """
     columns = [c for c in df.columns if c not in INTERNAL_COLUMNS]
     names = F.array(*[F.lit(shown(c)) for c in columns])
@@ -97,6 +100,13 @@ def render_lines(df: DataFrame, info: DataFrame, read_columns: list[HeaderColumn
     read = {c.column: c for c in read_columns}
     own = [F.struct(_header_place(read[c]).alias("pos"), F.lit(i).alias("i")) for i, c in enumerate(columns) if c in read]
     added = F.array(*[F.lit(i) for i, c in enumerate(columns) if c not in read]).cast("array<int>")
+    lacking = [
+        F.when(~F.array_contains("header", c) & (F.array_contains("header", needs) if needs else F.lit(True)), F.lit(i))
+        for i, c in enumerate(columns)
+        if c in read and c in (adds or {})
+        for needs in [adds[c]]
+    ]
+    added = F.concat(F.filter(F.array(*lacking).cast("array<int>"), lambda i: i.isNotNull()), added)
     kept = F.sort_array(F.filter(F.array(*own), lambda x: x["pos"].isNotNull())) if own else F.array().cast("array<struct<pos:int,i:int>>")
     order = F.concat(F.transform(kept, lambda x: x["i"]), added)
     layouts = info.select("layout", "header").dropDuplicates(["layout"]).select("layout", "header", order.alias("_places"))

@@ -221,8 +221,8 @@ def inside(ring, y, x):
     return hit
 
 
-@pytest.mark.parametrize("cell,small", [(1.0, True), (0.25, None), (5.0, False)])
-def test_locations_against_brute_force(spark, cell, small):
+@pytest.mark.parametrize("per_degree,small", [(1, True), (4, None), (7, False), (None, None)])
+def test_locations_against_brute_force(spark, per_degree, small):
     rng = random.Random(3)
     rings = {}
     for area in ("RC", "RG"):
@@ -238,7 +238,7 @@ def test_locations_against_brute_force(spark, cell, small):
     points += [(float(y), float(x)) for y in range(56, 60) for x in range(14, 19)]
     points += [v for ring in rings.values() for v in ring]
     df = spark.createDataFrame(points, "sample_latitude_dd double, sample_longitude_dd double")
-    found = geo.add_locations(df, areas, cell_degrees=cell, small=small).collect()
+    found = geo.add_locations(df, areas, per_degree=per_degree, small=small).collect()
     assert len(found) == len(points)
     for r in found:
         y, x = r.sample_latitude_dd, r.sample_longitude_dd
