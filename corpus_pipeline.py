@@ -2,12 +2,35 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kelpline.llm import host_rules, line_dedup, mixing, near_dedup, word_bpe
 from kelpline.llm.queries import vocabulary
-from kelpline.llm.tables import DOCUMENT_COLUMNS, WORD, staged, table
+from kelpline.llm.tables import DOCUMENT_COLUMNS, WORD, remove_tables, staged, table, watched
+
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+#: Tables that the last stage staged. Its result is written before the next stage begins, so they go then.
+_left: list[str] = []
+
+
+def _stage(function: Stage) -> Stage:
+    """A stage that first removes the staged tables of the one before."""
+
+    @functools.wraps(function)
+    def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        remove_tables(spark, _left)
+        with watched() as folders:
+            found = function(spark, docs, sf_dir)
+        _left.extend(folders)
+        return found
+
+    return stage
 
 
 def _documents(docs: DataFrame) -> DataFrame:
@@ -15,16 +38,19 @@ def _documents(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.length("text").cast("long")).select(*DOCUMENT_COLUMNS)
 
 
+@_stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither fail a rule themselves nor come from a host that does too often."""
     return host_rules.quality_rules(docs.select(*DOCUMENT_COLUMNS)).where("kept").select(*DOCUMENT_COLUMNS)
 
 
+@_stage
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that repeat an earlier one; a document of which no word is left goes."""
     return _documents(line_dedup.dedup_lines(docs.select(*DOCUMENT_COLUMNS)).where(F.col("text").rlike(WORD)))
 
 
+@_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates; rows that repeat a document stay once."""
     docs = docs.select(*DOCUMENT_COLUMNS)
@@ -32,11 +58,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*DOCUMENT_COLUMNS)
 
 
+@_stage
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix of sources to their target weights: a document comes as often as it is taken."""
     return _documents(mixing.mix(docs.select(*DOCUMENT_COLUMNS)))
 
 
+@_stage
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of all documents, and the text that they decode to."""
     path = vocabulary("byte_bpe_50k.json")

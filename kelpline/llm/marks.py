@@ -10,6 +10,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kelpline.llm.tables import shuffles_removed
+
 BITS = 1 << 24
 
 
@@ -20,7 +22,8 @@ def id_filter(ids: DataFrame, column: str, bits: int = BITS) -> np.ndarray:
     words = ids.select(place.alias("_p")).groupBy(F.floor(F.col("_p") / 64).alias("w")).agg(F.bit_or(bit).alias("bits"))
     found = np.zeros(bits // 64, np.int64)
     # as many rows as the filter has words, at most
-    rows = words.toArrow()
+    with shuffles_removed(ids.sparkSession):
+        rows = words.toArrow()
     found[rows["w"].to_numpy()] = rows["bits"].to_numpy()
     return found
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 
 from kelpline.session import scratch_folder, setting
@@ -16,6 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shuffles_removed(spark: SparkSession) -> contextlib.AbstractContextManager:
+    """Inside, the shuffles of a plan go when the plan has run."""
+    return setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
+_watched: list[list[str]] = []
+
+
 def staged(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read again.
 
@@ -23,12 +34,34 @@ def staged(df: DataFrame) -> DataFrame:
     makes keys such as ``monotonically_increasing_id`` final.
     """
     spark, folder = df.sparkSession, scratch_folder(df.sparkSession)
+    for folders in _watched:
+        folders.append(folder)
     # nobody needs the shuffles of a plan that ends here
-    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+    with shuffles_removed(spark):
         df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
+@contextlib.contextmanager
+def watched() -> Iterator[list[str]]:
+    """The folders of the tables that are staged inside."""
+    folders: list[str] = []
+    _watched.append(folders)
+    try:
+        yield folders
+    finally:
+        _watched.remove(folders)
+
+
+def remove_tables(spark: SparkSession, folders: list[str]) -> None:
+    """Delete staged tables that no plan needs any more."""
+    jvm = spark.sparkContext._jvm
+    for folder in folders:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    folders.clear()
+
+
 #: A staged table of at most so many rows is read as one partition.
 SMALL = 100_000
 
