@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kelpline.llm.marks import id_filter, passes
-from kelpline.llm.tables import fitted, staged
+from kelpline.llm.tables import fitted, shuffles_removed, staged
 from kelpline.llm.words import mix, small_slices, split_words, text_bytes
 from kelpline.session import ship_package
 
@@ -50,7 +50,9 @@ DENSE = 80
 #: Tokens are counted when so many have come together.
 TOKENS_AT_ONCE = 1 << 22
 #: Pairs of lines that are looked at together.
-PAIRS_AT_ONCE = 1 << 20
+PAIRS_AT_ONCE = 1 << 17
+#: Places of the count table in one row.
+CHUNK = 4096
 LAST = (1 << 63) - 1
 #: So many lists of tokens at most are one partition.
 FEW_LISTS = 20_000
@@ -134,7 +136,7 @@ def _documents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 LINE_COLUMNS = "at long, key long, line int"
-LISTED = f"kind string, {LINE_COLUMNS}, n int, f long, sig long"
+LISTED = f"kind string, {LINE_COLUMNS}, n int, f long, sig long, counts binary"
 
 
 def _list_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,12 +155,11 @@ def _list_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _rows("line", batch, lines, np.arange(len(lines.size)), f, sig)
     if waiting:
         counts += np.bincount(np.concatenate(waiting), minlength=PLACES)
-    place = np.flatnonzero(counts)
-    for low in range(0, len(place), 100_000):
-        some = place[low : low + 100_000]
-        none = pa.nulls(len(some), pa.int64())
-        columns = [pa.array(["count"] * len(some)), pa.array(some), pa.array(counts[some]), *[pa.nulls(len(some), pa.int32())] * 2, none, none]
-        yield pa.RecordBatch.from_arrays(columns, names=["kind", "at", "key", "line", "n", "f", "sig"])
+    chunks = counts.reshape(-1, CHUNK)
+    used = np.flatnonzero(chunks.any(axis=1))
+    nulls = {c: pa.nulls(len(used), t) for c, t in (("key", pa.int64()), ("line", pa.int32()), ("n", pa.int32()), ("f", pa.int64()), ("sig", pa.int64()))}
+    packed = pa.array([chunks[c].tobytes() for c in used], pa.binary())
+    yield pa.RecordBatch.from_pydict({"kind": pa.array(["count"] * len(used), pa.string()), "at": pa.array(used, pa.int64()), **nulls, "counts": packed})
 
 
 def _rows(kind: str, batch: pa.RecordBatch, lines: Lines, chosen: np.ndarray, f: np.ndarray, sig: np.ndarray) -> pa.RecordBatch:
@@ -171,19 +172,31 @@ def _rows(kind: str, batch: pa.RecordBatch, lines: Lines, chosen: np.ndarray, f:
         "n": pa.array(lines.size[chosen].astype(np.int32)),
         "f": pa.array(f[chosen]),
         "sig": pa.array(sig[chosen]),
+        "counts": pa.nulls(len(chosen), pa.binary()),
     }
     return pa.RecordBatch.from_pydict(columns)
 
 
+def _add_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sum of each chunk over all tasks, as ranks of one byte; a partition holds a share of the table, however many tasks."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for chunk, counts in zip(batch["at"].to_pylist(), batch["counts"]):
+            own = sums.setdefault(chunk, np.zeros(CHUNK, np.int64))
+            own += np.frombuffer(counts.as_buffer(), np.int64)
+    ranks = [np.minimum(255, np.floor(np.log2(np.maximum(own, 1)) * 8)).astype(np.uint8).tobytes() for own in sums.values()]
+    yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array(ranks, pa.binary())], names=["at", "ranks"])
+
+
 def count_table(counted: DataFrame) -> np.ndarray:
     """The sum of all tasks' counts as ranks of one byte: 0 for places that count 1, then by the logarithm."""
-    sums = counted.groupBy(F.col("at").cast("int").alias("place")).agg(F.sum("key").alias("n"))
-    rank = F.least(F.lit(255), F.floor(F.log2("n") * 8)).cast("int")
+    summed = counted.select("at", "counts").repartition(int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions")), "at")
     ranks = np.zeros(PLACES, np.uint8)
-    # one row per place at most, a number that does not follow the data; 4,096 places in one row
-    chunks = sums.select(F.floor(F.col("place") / 4096).cast("int").alias("c"), F.struct((F.col("place") % 4096).alias("p"), rank.alias("r")).alias("x"))
-    for row in chunks.groupBy("c").agg(F.collect_list("x.p").alias("p"), F.collect_list("x.r").alias("r")).collect():
-        ranks[row.c * 4096 + np.array(row.p)] = row.r
+    # a table of fixed size, whatever the data
+    with shuffles_removed(counted.sparkSession):
+        rows = summed.mapInArrow(_add_counts, "at long, ranks binary").toArrow()
+    for chunk, some in zip(rows["at"].to_pylist(), rows["ranks"].to_pylist()):
+        ranks[chunk * CHUNK : (chunk + 1) * CHUNK] = np.frombuffer(some, np.uint8)
     return ranks
 
 
@@ -192,39 +205,35 @@ def prefix_sizes(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return n - -(-n * percent // 100) + 1
 
 
-INDEX = "t long, place int, sig long, sig2 long, f long"
-DENSE_INDEX = f"{INDEX}, {LINE_COLUMNS}"
+INDEX = "d long, t long, place int, sig long, sig2 long, f long"
 
 
-def _prefixes(ranks: np.ndarray, percent: int, dense: bool):
-    """Prefix tokens ``t`` of each class of a slice with their places, the parity, and the class's fingerprint.
-    Dense tokens come with the place of the class's first line."""
+def _prefixes(ranks: np.ndarray, percent: int, limit: int = DENSE):
+    """Prefix tokens ``t`` of each class of a slice with their places, the parities, and the class's fingerprint.
+    ``d`` says where a row is dealt: rows of a sparse token together, those of a dense one anywhere."""
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in small_slices(whole, "text"):
                 lines = Lines(batch["text"])
                 f, sig, sig2 = lines.fingerprints()
-                # the first line of each class of this slice stands for it
-                order = np.lexsort((lines.number, batch["key"].to_numpy()[lines.text], batch["at"].to_numpy()[lines.text]))
-                _, first = np.unique(f[order], return_index=True)
+                # one line of each class of this slice stands for it
+                _, first = np.unique(f, return_index=True)
                 chosen = np.zeros(len(f), bool)
-                chosen[order[first]] = True
+                chosen[first] = True
                 # in a shorter line only equal sets are similar
                 chosen &= lines.size * 100 >= percent * (lines.size + 1)
                 own, token, place, rank = lines.prefixes(np.flatnonzero(chosen), ranks, percent)
-                use = (rank >= DENSE) if dense else (rank > 0) & (rank < DENSE)
-                own, token, place = own[use], token[use], place[use]
+                use = rank > 0
+                own, token, place, rank = own[use], token[use].view(np.int64), place[use], rank[use]
                 columns = {
-                    "t": pa.array(token.view(np.int64)),
+                    "d": pa.array(np.where(rank >= limit, f[own] ^ token, token)),
+                    "t": pa.array(np.where(rank >= limit, -token - 1, token)),
                     "place": pa.array(place.astype(np.int32)),
                     "sig": pa.array(sig[own]),
                     "sig2": pa.array(sig2[own]),
                     "f": pa.array(f[own]),
                 }
-                if dense:
-                    rows = _rows("", batch, lines, own, f, sig)
-                    columns |= {c: rows[c] for c in ("at", "key", "line")}
                 yield pa.RecordBatch.from_pydict(columns)
 
     return read
@@ -263,7 +272,11 @@ def _possible(percent: int) -> Column:
     return long | (sizes & reach & parity)
 
 
-PAIRS = "f long, sig long, g long, gsig long"
+#: Pairs; and, with their (negative) token and place, rows of dense tokens, whose second parity stands in ``gsig``.
+PAIRS = "f long, sig long, g long, gsig long, t long, place int"
+
+
+_PAIR_NAMES = ["f", "sig", "g", "gsig", "t", "place"]
 
 
 def _sparse_pairs(percent: int):
@@ -276,6 +289,13 @@ def _sparse_pairs(percent: int):
             return
         t, place, sig, sig2, f = (np.concatenate(c) for c in zip(*parts))
         parts = None
+        dense = t < 0
+        if dense.any():
+            columns = [f[dense], sig[dense], np.zeros(dense.sum(), np.int64), sig2[dense], t[dense], place[dense]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=_PAIR_NAMES)
+            t, place, sig, sig2, f = (c[~dense] for c in (t, place, sig, sig2, f))
+        if not len(t):
+            return
         size = f & ((1 << SIZE_BITS) - 1)
         order = np.lexsort((size, t))
         t, place, sig, sig2, f, size = (c[order] for c in (t, place, sig, sig2, f, size))
@@ -307,7 +327,8 @@ def _sparse_pairs(percent: int):
             x, y = np.where(swap, y, x), np.where(swap, x, y)
             _, first = np.unique(np.stack([f[x], f[y]], axis=1), axis=0, return_index=True) if len(x) else (None, x)
             x, y = x[first], y[first]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (f[x], sig[x], f[y], sig[y])], names=["f", "sig", "g", "gsig"])
+            columns = [pa.array(c) for c in (f[x], sig[x], f[y], sig[y])] + [pa.nulls(len(x), pa.int64()), pa.nulls(len(x), pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=_PAIR_NAMES)
             low = high
 
     return pair
@@ -351,7 +372,7 @@ def _matches(classes: DataFrame, links: DataFrame) -> DataFrame:
     return told.groupBy("id.f", "id.sig").agg(F.min("earlier").alias("earlier"))
 
 
-def similar_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+def similar_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, dense_rank: int = DENSE) -> DataFrame:
     """A row per line with a word: ``at, key, line`` (document order and key, line from 0), ``n`` distinct tokens,
     ``first`` (the place of the first line of equal tokens), ``match`` (the place of an earlier line that it repeats, null
     if there is none) and ``kept``."""
@@ -364,16 +385,19 @@ def similar_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     classes = staged(lines.groupBy("f", "sig", "n").agg(F.min(place).alias("first")))
     ranks = spark.sparkContext.broadcast(count_table(listed.where("kind = 'count'")))
     same = F.col("x.t") == F.col("y.t")
-    # sparse tokens: all pairs, a bounded number for each line
-    sparse = texts.mapInArrow(lambda b: _prefixes(ranks.value, percent, False)(b), INDEX)
+    # sparse tokens: all pairs, a bounded number for each line; rows of dense tokens go through
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    met = sparse.repartition(tasks, "t").mapInArrow(_sparse_pairs(percent), PAIRS)
+    index = texts.mapInArrow(lambda b: _prefixes(ranks.value, percent, dense_rank)(b), INDEX).repartition(tasks, "d").drop("d")
+    met = staged(index.mapInArrow(_sparse_pairs(percent), PAIRS))
     # dense tokens: the star of every line and the first line that has the token
-    dense = staged(texts.mapInArrow(lambda b: _prefixes(ranks.value, percent, True)(b), DENSE_INDEX))
+    same = F.col("x.t") == F.col("y.t")
+    dense = met.where("t is not null").select("t", "place", "sig", F.col("gsig").alias("sig2"), "f").distinct()
+    dense = fitted(dense.join(classes.select("f", "sig", "first.*"), ["f", "sig"]))
     here = lambda x: F.struct(f"{x}.at", f"{x}.key", f"{x}.line")
     first = F.min_by(F.struct("place", "sig", "sig2", "f"), place).alias("y")
     firsts = dense.groupBy("t").agg(first, F.count("*").alias("_n")).where("_n > 1").select("t", "y.*")
     star = dense.alias("x").join(firsts.alias("y"), same).where(_possible(percent) & _different())
+    met = met.where("t is null").select("f", "sig", "g", "gsig")
     near = fitted(met.union(_pairs(star)).distinct())
     links = fitted(_verified(texts, near, percent))
     found = fitted(_matches(classes, links))

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes handled at once; more only if a single word is longer.
-SEGMENT = 4 * 1024 * 1024
+SEGMENT = 2 * 1024 * 1024
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True

@@ -181,8 +181,10 @@ def test_dense_tokens(spark):
         if i % 5 == 0:
             line = line[: 3 + i % 4]
         rows.append((i, " ".join(line) + f"\nline {i} alone"))
-    found = line_dedup.similar_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    check_lines(found, rows, collections.Counter((r.at, r.line) for r in found))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for rank in (line_dedup.DENSE, 24, 1):
+        found = line_dedup.similar_lines(df, dense_rank=rank).collect()
+        check_lines(found, rows, collections.Counter((r.at, r.line) for r in found))
 
 
 def test_dedup_lines(odd, empty):
