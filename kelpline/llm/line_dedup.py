@@ -10,9 +10,10 @@ or not, has a Jaccard similarity of ``PERCENT`` or more with it; the order is th
    are in one line only are left out.
 4. Lines that share a prefix token are paired if their sizes, the places of the token, and the parities of
    their tokens over 128 places (which bound the symmetric difference) allow the similarity.
-5. A token of up to ``DENSE`` lines pairs them all. With a token of more lines, each line first meets only the
-   first line that has it (a star, as many pairs as members). Lines with a match are done with: a group of any number of
-   variants costs one pair each. Only lines without any go on to meet all earlier lines of such tokens.
+5. A token of up to ``DENSE`` lines pairs them all. With a token of more lines, each line first meets only two of them: the first
+   line that has it, and the one that has the most copies, as an original has beside its variants (two stars, two pairs for
+   each member). Lines with a match are done with: a group of any number of variants costs two pairs each. Only lines
+   without any go on to meet all earlier lines of such tokens.
 6. Pairs are verified on all their tokens, which are read from the texts again for these lines only.
 
 Defined results: a line without a word is no line: it is neither counted nor removed; a null text has no
@@ -45,8 +46,8 @@ LINES_AT_ONCE = 1 << 16
 #: The low bits of a fingerprint are the size of the set, as far as it goes; longer lines are all of this size to the filters of pairs,
 #: which then only let more pairs pass.
 SIZE_BITS = 24
-#: The rank of a count (see ``count_table``) from which a token is dense: 1,024 lines.
-DENSE = 80
+#: The rank of a count (see ``count_table``) from which a token is dense: 2,048 lines.
+DENSE = 88
 #: Tokens are counted when so many have come together.
 TOKENS_AT_ONCE = 1 << 22
 #: Pairs of lines that are looked at together.
@@ -382,7 +383,7 @@ def similar_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     listed = staged(texts.mapInArrow(_list_lines, LISTED))
     lines = listed.where("kind = 'line'").drop("kind")
     place = F.struct("at", "key", "line")
-    classes = staged(lines.groupBy("f", "sig", "n").agg(F.min(place).alias("first")))
+    classes = staged(lines.groupBy("f", "sig", "n").agg(F.min(place).alias("first"), F.count("*").alias("copies")))
     ranks = spark.sparkContext.broadcast(count_table(listed.where("kind = 'count'")))
     same = F.col("x.t") == F.col("y.t")
     # sparse tokens: all pairs, a bounded number for each line; rows of dense tokens go through
@@ -392,11 +393,13 @@ def similar_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     # dense tokens: the star of every line and the first line that has the token
     same = F.col("x.t") == F.col("y.t")
     dense = met.where("t is not null").select("t", "place", "sig", F.col("gsig").alias("sig2"), "f").distinct()
-    dense = fitted(dense.join(classes.select("f", "sig", "first.*"), ["f", "sig"]))
+    dense = fitted(dense.join(classes.select("f", "sig", "copies", "first.*"), ["f", "sig"]))
     here = lambda x: F.struct(f"{x}.at", f"{x}.key", f"{x}.line")
-    first = F.min_by(F.struct("place", "sig", "sig2", "f"), place).alias("y")
-    firsts = dense.groupBy("t").agg(first, F.count("*").alias("_n")).where("_n > 1").select("t", "y.*")
-    star = dense.alias("x").join(firsts.alias("y"), same).where(_possible(percent) & _different())
+    row = F.struct("place", "sig", "sig2", "f")
+    # the latest of those with as many copies: any will do
+    centres = dense.groupBy("t").agg(F.min_by(row, place).alias("a"), F.max_by(row, F.struct("copies", "at", "key", "line")).alias("b"), F.count("*").alias("_n"))
+    centres = centres.where("_n > 1").select("t", F.explode(F.array_distinct(F.array("a", "b"))).alias("y")).select("t", "y.*")
+    star = dense.alias("x").join(centres.alias("y"), same).where(_possible(percent) & _different())
     met = met.where("t is null").select("f", "sig", "g", "gsig")
     near = fitted(met.union(_pairs(star)).distinct())
     links = fitted(_verified(texts, near, percent))
@@ -408,7 +411,7 @@ def similar_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     if not more.isEmpty():
         links = links.union(_verified(texts, more, percent))
         found = fitted(_matches(classes, links))
-    classes = classes.join(found, ["f", "sig"], "left")
+    classes = classes.drop("copies").join(found, ["f", "sig"], "left")
     told = lines.join(classes, ["f", "sig", "n"])
     match = F.when(place != F.col("first"), F.col("first")).otherwise(F.col("earlier"))
     return told.select("at", "key", "line", "n", "first", match.alias("match"), match.isNull().alias("kept"))
