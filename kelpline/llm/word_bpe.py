@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from kelpline.llm.token_counts import tokenizer
 from kelpline.session import ship_package
 
-BLOCK_BYTES = 32 * 1024 * 1024
+BLOCK_BYTES = 16 * 1024 * 1024
 #: Documents of a block are packed in groups of about so many words.
 GROUP_WORDS = 65_536
 
@@ -157,6 +157,8 @@ def _blocks(batches: Iterable[pa.RecordBatch], path: str, keep: bool, block_byte
                 block = _Block()
     if block.size or block.ids:
         yield block
+    # the worker lives on; what it holds of past blocks is of no use to it
+    pa.default_memory_pool().release_unused()
 
 
 SENT = "block long, part int, sizes binary, words binary"

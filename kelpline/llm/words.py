@@ -119,3 +119,4 @@ def small_slices(batch: pa.RecordBatch, column: str, most: int = SEGMENT) -> Ite
         end = max(begin + 1, int(np.searchsorted(offsets, offsets[begin] + most, "right")) - 1)
         yield batch.slice(begin, end - begin)
         begin = end
+    pa.default_memory_pool().release_unused()
