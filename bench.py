@@ -29,6 +29,9 @@ HEADLINE = [
     "replace_latest",
     "summarize_log",
     "publish_archives",
+    "publish_log",
+    "update_stores",
+    "add_locations_dense",
 ]
 
 
@@ -50,7 +53,7 @@ def main() -> None:
     least = str(pathlib.Path(sf_dir).parent / "sf0.001")
     for name in ("publish", "summarize_log"):
         found[name](spark, least if os.path.isdir(least) else sf_dir).write.format("noop").mode("overwrite").save()
-    if "publish_archives" in chosen:
+    if {"publish_archives", "publish_log", "update_stores"} & {*chosen}:
         # the archives are its input
         built_packages(spark, sf_dir)
     seconds = {}
