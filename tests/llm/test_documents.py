@@ -262,6 +262,24 @@ def test_planted_passages(spark):
     assert {r.doc_id for r in found} == {*range(6), 20, 21}
 
 
+@pytest.mark.parametrize("words", [50, 55, 60])
+@pytest.mark.parametrize("insert", [True, False])
+def test_passages_with_a_word_more_or_less(spark, words, insert):
+    """A word more or one less in the middle of a short passage."""
+    rows = []
+    for i in range(20):
+        one = [f"p{i}w{k}" for k in range(words + (0 if insert else 1))]
+        two = one[: words // 2] + ["more"] * insert + one[words // 2 + (not insert) :]
+        for k, passage in enumerate((one, two)):
+            around = [[f"d{i}k{k}{c}{n}" for n in range(60)] for c in "ab"]
+            rows.append((2 * i + k, " ".join(around[0] + passage + around[1])))
+    found = substrings.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    pairs = {(r.doc_id, r.other_id) for r in found}
+    # the chance of no equal min-hash is 0.0004 at most
+    assert len(pairs & {(2 * i, 2 * i + 1) for i in range(20)}) >= 19
+    check_passages(found, rows)
+
+
 # -- quality rules --------------------------------------------------------------------------
 
 
