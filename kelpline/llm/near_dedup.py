@@ -10,7 +10,9 @@
    its buckets, ties to the least id: an original meets its copies more often than they meet each other.
 4. Edges are confirmed on the full sets. Members that are not yet in the component of their centre form a new, smaller star, until
    a round confirms nothing new.
-5. Components of confirmed edges get the least document id.
+5. What is left are buckets with members in several components. All of their members of different components that have a possible size
+   and were not tried meet each other, so in the end any two members of a bucket are in one component or were compared.
+6. Components of confirmed edges get the least document id.
 
 With 40 bands of 3 of 120 bins, a pair of similarity 0.75 shares no bucket with a chance of 1e-10.
 
@@ -167,6 +169,24 @@ def _star(members: DataFrame, percent: int) -> DataFrame:
     return possible.select(F.col("c.doc_id").alias("a"), F.col("c.f1").alias("f_a"), F.col("doc_id").alias("b"), F.col("f1").alias("f_b")).distinct()
 
 
+def _labelled(members: DataFrame, joined: DataFrame) -> DataFrame:
+    found = members.join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    return found.withColumn("component", F.coalesce("component", "doc_id"))
+
+
+def _across(members: DataFrame, joined: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
+    """All pairs of a bucket in different components, of a possible size, that were not tried."""
+    labelled = _labelled(members, joined)
+    several = labelled.groupBy("key").agg(F.min("component").alias("_x"), F.max("component").alias("_y")).where("_x < _y")
+    left = staged(labelled.join(several, "key", "left_semi").select("key", F.struct("doc_id", "f1", "n", "component").alias("x")))
+    met = left.join(left.withColumnRenamed("x", "y"), "key").where("x.component < y.component")
+    small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
+    met = met.where(F.lit(100) * small >= F.lit(percent) * large)
+    met = met.select(F.col("x.doc_id").alias("a"), F.col("x.f1").alias("f_a"), F.col("y.doc_id").alias("b"), F.col("y.f1").alias("f_b")).distinct()
+    both = tried.union(tried.select("b", "f_b", "a", "f_a"))
+    return met.join(both, ["a", "f_a", "b", "f_b"], "left_anti")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept``, a row per row of ``docs``."""
     spark = docs.sparkSession
@@ -186,10 +206,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     tried = fitted(_star(members, percent))
     links = fitted(_confirmed(texts, classes, tried, percent))
     # rows that share an id are one document
-    joined = components(links)
+    joined, everyone = components(links), members
     while True:
-        labelled = members.join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        labelled = labelled.withColumn("component", F.coalesce("component", "doc_id"))
+        labelled = _labelled(members, joined)
         top = F.max(F.struct("degree", (-F.col("doc_id")).alias("order"), "component")).alias("c")
         centred = labelled.groupBy("key").agg(top).select("key", F.col("c.component").alias("_taken"))
         members = fitted(labelled.join(centred, "key").where("component <> _taken").drop("component", "_taken"))
@@ -201,6 +220,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         if more.isEmpty():
             break
         joined = joined_by(joined, more)
+    fresh = fitted(_across(everyone, joined, tried, percent))
+    if not fresh.isEmpty():
+        joined = joined_by(joined, fitted(_confirmed(texts, classes, fresh, percent)))
     # a class of several documents is linked to its representative, and so are documents of several classes
     sets = named.select(*key, "doc_id").distinct().join(classes.select(*key, F.col("doc_id").alias("first")), key)
     return _result(signed, sets, joined, key)

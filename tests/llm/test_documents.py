@@ -1,6 +1,7 @@
 """Operators on documents: odd rows, empty tables, and brute-force versions on the given tables."""
 
 import collections
+import random
 import re
 
 import brute
@@ -127,6 +128,24 @@ def test_near_duplicates_around_an_original(spark):
     assert {r.doc_id: r.component_id for r in near_dedup.near_duplicates(df).collect()} == {i: 0 for i in texts}
 
 
+def test_near_duplicates_of_a_variant(spark):
+    """An original, its variants, and a text that is similar to one of the variants only."""
+    rng, rows = random.Random(7), []
+    for g in range(12):
+        base = [f"g{g}w{k}" for k in range(1000)]
+        texts = [base]
+        for n in range(20):
+            texts.append([f"g{g}v{n}" if k == 20 + 45 * n else w for k, w in enumerate(base)])
+        changed = set(rng.sample(range(10, 990, 10), 28))
+        texts.append([f"g{g}y{k}" if k in changed else w for k, w in enumerate(texts[1 + g])])
+        ids = rng.sample(range(100), len(texts))
+        rows += [(100 * g + i, " ".join(t)) for i, t in zip(ids, texts)]
+    expected = brute.near_duplicates(rows)
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in found} == {i: c for i, (_, c) in expected.items()}
+    assert len({c for _, c in expected.values()}) == 12
+
+
 def test_densified_bins_agree_with_the_similarity():
     import numpy as np
 
