@@ -299,6 +299,24 @@ def test_passages_with_a_word_more_or_less(spark, words, insert):
     check_passages(found, rows)
 
 
+def test_passages_that_are_equal_to_a_covered_one(spark):
+    """y is similar to the first document x; z repeats another stretch of y, whose shingles are all in x but apart."""
+    own = lambda i, n: [f"d{i}w{k}" for k in range(n)]
+    a, b = [f"a{k}" for k in range(60)], [f"b{k}" for k in range(60)]
+    rows = [
+        (1, " ".join(own(1, 40) + a + own(2, 40) + b[:36] + own(3, 40) + b[24:] + own(4, 40))),
+        (2, " ".join(own(5, 40) + a + b + own(6, 40))),
+        (3, " ".join(own(7, 40) + b + own(8, 40))),
+        (4, " ".join(own(9, 40) + b + own(10, 40))),
+    ]
+    rows += [(10 + i, rows[1][1]) for i in range(3)]
+    found = substrings.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    pairs = {(r.doc_id, r.other_id) for r in found}
+    ids = [1, 2, 3, 4, 10, 11, 12]
+    assert pairs == {(i, j) for i in ids for j in ids if i != j} - {(1, 3), (3, 1), (1, 4), (4, 1)}
+    check_passages(found, rows)
+
+
 # -- quality rules --------------------------------------------------------------------------
 
 
