@@ -317,6 +317,20 @@ def test_passages_that_are_equal_to_a_covered_one(spark):
     check_passages(found, rows)
 
 
+def test_passages_repeated_inside_a_document(spark):
+    """All places of a passage, also where the first is a quote too short for one."""
+    own = lambda i, n: [f"d{i}w{k}" for k in range(n)]
+    passage = [f"p{k}" for k in range(60)]
+    rows = [(1, " ".join(own(1, 100) + passage + own(2, 90)))]
+    rows += [(2, " ".join(own(3, 300) + passage + own(4, 200) + passage + own(5, 150) + passage + own(6, 20)))]
+    rows += [(3, " ".join(own(7, 50) + passage[5:50] + own(8, 200) + passage + own(9, 100)))]
+    found = substrings.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    places = {(r.doc_id, r.begin_word, r.other_id, r.other_begin) for r in found}
+    starts = {1: [100], 2: [300, 560, 770], 3: [295]}
+    expected = {(i, a, j, b) for i in starts for j in starts if i != j for a in starts[i] for b in starts[j]}
+    assert expected <= places
+
+
 # -- quality rules --------------------------------------------------------------------------
 
 
