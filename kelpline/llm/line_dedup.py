@@ -10,10 +10,11 @@ or not, has a Jaccard similarity of ``PERCENT`` or more with it; the order is th
    are in one line only are left out.
 4. Lines that share a prefix token are paired if their sizes, the places of the token, and the parities of
    their tokens over 128 places (which bound the symmetric difference) allow the similarity.
-5. A token of up to ``DENSE`` lines pairs them all. With a token of more lines, each line first meets only two of them: the first
+5. All lines of a token that pass the filters are paired. A token of up to ``DENSE`` lines is one task's; the lines of one with more are
+   dealt over up to ``SALTS`` shares, each of which meets all of its lines.
+   Where only the removal counts (``dedup_lines``) each line with a token of more lines first meets only two of them: the first
    line that has it, and the one that has the most copies, as an original has beside its variants (two stars, two pairs for
-   each member). Lines with a match are done with: a group of any number of variants costs two pairs each. Only lines
-   without any go on to meet all earlier lines of such tokens.
+   each member). Lines with a match are done with there, and only lines without any go on to meet all earlier lines of such tokens.
 6. Pairs are verified on all their tokens, which are read from the texts again for these lines only.
 
 Defined results: a line without a word is no line: it is neither counted nor removed; a null text has no
@@ -48,6 +49,8 @@ LINES_AT_ONCE = 1 << 16
 SIZE_BITS = 24
 #: The rank of a count (see ``count_table``) from which a token is dense: 2,048 lines.
 DENSE = 88
+#: Shares of the lines of a dense token: one for so many lines, as far as the bound goes.
+SHARE, SALTS = 4096, 32
 #: Tokens are counted when so many have come together.
 TOKENS_AT_ONCE = 1 << 22
 #: Pairs of lines that are looked at together.
@@ -362,7 +365,7 @@ def _verified(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def _matches(classes: DataFrame, links: DataFrame) -> DataFrame:
-    """``f, sig`` of classes with the first line of the earliest class that is similar and earlier."""
+    """``f, sig`` of classes with the first line of the earliest class that is similar and earlier, and how many such classes there are."""
     firsts = classes.select("f", "sig", "first")
     ends = links.join(firsts, ["f", "sig"]).join(firsts.toDF("g", "gsig", "other"), ["g", "gsig"])
     later = F.col("first") > F.col("other")
@@ -370,13 +373,34 @@ def _matches(classes: DataFrame, links: DataFrame) -> DataFrame:
         F.when(later, F.struct("f", "sig")).otherwise(F.struct(F.col("g").alias("f"), F.col("gsig").alias("sig"))).alias("id"),
         F.least("first", "other").alias("earlier"),
     )
-    return told.groupBy("id.f", "id.sig").agg(F.min("earlier").alias("earlier"))
+    return told.groupBy("id.f", "id.sig").agg(F.min("earlier").alias("earlier"), F.count("*").alias("links"))
 
 
-def similar_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, dense_rank: int = DENSE) -> DataFrame:
+def _stars(dense: DataFrame, percent: int) -> DataFrame:
+    """Every line of a dense token with the first line that has it, and with the one that has the most copies."""
+    place, row = F.struct("at", "key", "line"), F.struct("place", "sig", "sig2", "f")
+    # the latest of those with as many copies: any will do
+    centres = dense.groupBy("t").agg(F.min_by(row, place).alias("a"), F.max_by(row, F.struct("copies", "at", "key", "line")).alias("b"), F.count("*").alias("_n"))
+    centres = centres.where("_n > 1").select("t", F.explode(F.array_distinct(F.array("a", "b"))).alias("y")).select("t", "y.*")
+    return dense.alias("x").join(centres.alias("y"), F.col("x.t") == F.col("y.t")).where(_possible(percent) & _different())
+
+
+def _all_met(dense: DataFrame, condition: Column) -> DataFrame:
+    """The pairs of lines of a dense token: the lines are dealt over shares by their sets, and each share meets all."""
+    shares = F.least(F.lit(SALTS), F.ceil(F.count("*") / SHARE)).cast("int")
+    dense = dense.join(dense.groupBy("t").agg(shares.alias("_n")), "t")
+    shared = dense.withColumn("_share", F.pmod(F.xxhash64("f", "sig"), F.col("_n")).cast("int"))
+    whole = dense.withColumn("_share", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    same = (F.col("x.t") == F.col("y.t")) & (F.col("x._share") == F.col("y._share"))
+    return shared.alias("x").join(whole.alias("y"), same).where(condition)
+
+
+def similar_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, dense_rank: int = DENSE, every: bool = True) -> DataFrame:
     """A row per line with a word: ``at, key, line`` (document order and key, line from 0), ``n`` distinct tokens,
     ``first`` (the place of the first line of equal tokens), ``match`` (the place of an earlier line that it repeats, null
-    if there is none) and ``kept``."""
+    if there is none), ``kept``, and ``links``, the number of other sets of tokens that are similar and stand earlier than the first line of its own.
+
+    Of lines of other sets ``match`` is the earliest similar one. Without ``every`` it is any, and ``links`` is at least 1 where there are some."""
     spark = docs.sparkSession
     ship_package(spark)
     texts = _documents(docs, doc_id, text)
@@ -385,36 +409,34 @@ def similar_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     place = F.struct("at", "key", "line")
     classes = staged(lines.groupBy("f", "sig", "n").agg(F.min(place).alias("first"), F.count("*").alias("copies")))
     ranks = spark.sparkContext.broadcast(count_table(listed.where("kind = 'count'")))
-    same = F.col("x.t") == F.col("y.t")
     # sparse tokens: all pairs, a bounded number for each line; rows of dense tokens go through
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     index = texts.mapInArrow(lambda b: _prefixes(ranks.value, percent, dense_rank)(b), INDEX).repartition(tasks, "d").drop("d")
     met = staged(index.mapInArrow(_sparse_pairs(percent), PAIRS))
-    # dense tokens: the star of every line and the first line that has the token
-    same = F.col("x.t") == F.col("y.t")
     dense = met.where("t is not null").select("t", "place", "sig", F.col("gsig").alias("sig2"), "f").distinct()
     dense = fitted(dense.join(classes.select("f", "sig", "copies", "first.*"), ["f", "sig"]))
     here = lambda x: F.struct(f"{x}.at", f"{x}.key", f"{x}.line")
-    row = F.struct("place", "sig", "sig2", "f")
-    # the latest of those with as many copies: any will do
-    centres = dense.groupBy("t").agg(F.min_by(row, place).alias("a"), F.max_by(row, F.struct("copies", "at", "key", "line")).alias("b"), F.count("*").alias("_n"))
-    centres = centres.where("_n > 1").select("t", F.explode(F.array_distinct(F.array("a", "b"))).alias("y")).select("t", "y.*")
-    star = dense.alias("x").join(centres.alias("y"), same).where(_possible(percent) & _different())
+    earlier = _possible(percent) & _different() & (here("y") < here("x"))
+    if every:
+        first = _all_met(dense, earlier)
+    else:
+        first = _stars(dense, percent)
     met = met.where("t is null").select("f", "sig", "g", "gsig")
-    near = fitted(met.union(_pairs(star)).distinct())
+    near = fitted(met.union(_pairs(first)).distinct())
     links = fitted(_verified(texts, near, percent))
     found = fitted(_matches(classes, links))
-    # lines without a match meet all earlier lines of their dense tokens
-    rest = dense.join(found, ["f", "sig"], "left_anti")
-    full = rest.alias("x").join(dense.alias("y"), same).where(_possible(percent) & _different() & (here("y") < here("x")))
-    more = fitted(_pairs(full).join(near, ["f", "sig", "g", "gsig"], "left_anti"))
-    if not more.isEmpty():
-        links = links.union(_verified(texts, more, percent))
-        found = fitted(_matches(classes, links))
+    if not every:
+        # lines without a match meet all earlier lines of their dense tokens
+        rest = dense.join(found, ["f", "sig"], "left_anti")
+        full = rest.alias("x").join(dense.alias("y"), F.col("x.t") == F.col("y.t")).where(earlier)
+        more = fitted(_pairs(full).join(near, ["f", "sig", "g", "gsig"], "left_anti"))
+        if not more.isEmpty():
+            links = links.union(_verified(texts, more, percent))
+            found = fitted(_matches(classes, links))
     classes = classes.drop("copies").join(found, ["f", "sig"], "left")
     told = lines.join(classes, ["f", "sig", "n"])
     match = F.when(place != F.col("first"), F.col("first")).otherwise(F.col("earlier"))
-    return told.select("at", "key", "line", "n", "first", match.alias("match"), match.isNull().alias("kept"))
+    return told.select("at", "key", "line", "n", "first", match.alias("match"), match.isNull().alias("kept"), F.coalesce("links", F.lit(0)).alias("links"))
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -423,7 +445,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
     Blank lines stay where they are; other columns are carried whatever their names.
     """
     # the numbers of a document's lines are never more than its text
-    gone = similar_lines(docs, doc_id, text, percent).where("not kept").groupBy("at", "key").agg(F.collect_set("line").alias("gone"))
+    gone = similar_lines(docs, doc_id, text, percent, every=False).where("not kept").groupBy("at", "key").agg(F.collect_set("line").alias("gone"))
     body, number = F.coalesce(F.col(text).cast("string"), F.lit("")), F.col(doc_id).cast("long")
     wrapped = docs.select(F.struct(*docs.columns).alias("doc"), F.coalesce(number, F.lit(LAST)).alias("at"), F.xxhash64(number, body).alias("key"))
     joined = wrapped.join(staged(gone), ["at", "key"], "left")

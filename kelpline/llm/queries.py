@@ -75,7 +75,7 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(
         doc("at").alias("doc_id"), F.col("line").alias("line_no"), F.col("n").alias("n_tokens"),
         doc("first.at").alias("class_doc"), F.col("first.line").alias("class_line"),
-        doc("match.at").alias("match_doc"), F.col("match.line").alias("match_line"), "kept",
+        doc("match.at").alias("match_doc"), F.col("match.line").alias("match_line"), "kept", F.col("links").alias("n_links"),
     )
 
 

@@ -206,6 +206,24 @@ def test_dense_tokens(spark):
         check_lines(found, rows, collections.Counter((r.at, r.line) for r in found))
 
 
+def test_links_of_dense_tokens(spark):
+    """All links and the earliest one, whatever the number of lines of a token."""
+    rows = []
+    for i in range(200):
+        line = [f"common{k}" for k in range(12)]
+        for k in {i % 12, i % 5}:
+            line[k] = f"own{i % 40}x{k}"
+        rows.append((i, " ".join(line)))
+    expected = brute.lines(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for rank in (line_dedup.DENSE, 1):
+        for r in line_dedup.similar_lines(df, dense_rank=rank).collect():
+            n, first, earlier = expected[r.at, r.line]
+            assert r.links == len(earlier)
+            match = first if first != (r.at, r.line) else min(earlier, default=None)
+            assert match == (r.match and (r.match.at, r.match.line))
+
+
 def test_dedup_lines(odd, empty):
     found = line_dedup.dedup_lines(odd)
     assert found.columns == odd.columns
