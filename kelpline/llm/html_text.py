@@ -2,7 +2,7 @@
 
 A page is read once. Tags go through a stack of open elements that closes what HTML closes by itself
 (paragraphs before blocks, list items, table rows and cells), ignores what was never opened, and puts text that stands between rows before its
-table. What a browser does not show is left out: the head, scripts, styles, templates, embedded objects, elements with
+table. What a browser does not show is left out: the head, scripts, styles, templates, embedded objects, of drawings all but their text, elements with
 ``hidden``, ``display:none`` or ``visibility:hidden``, hidden inputs. All other text is emitted: blank runs
 collapse except in preformatted text, blocks begin a line, paragraphs, headings, lists and tables are set apart by an empty line,
 list items get bullets or numbers and an indent by depth, and table cells are padded to columns, with spans.
@@ -32,7 +32,10 @@ MAX_SPAN = 1000
 # Element names by their role in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes noscript textarea title plaintext".split())
-HIDDEN = frozenset("head script style template iframe noembed noframes noscript title object audio video canvas svg datalist map".split())
+HIDDEN = frozenset("head script style template iframe noembed noframes noscript title object audio video canvas datalist".split())
+#: Of a drawing only the content of the first is shown, and of that nothing in the second.
+DRAWN = frozenset("text foreignobject".split())
+NOT_DRAWN = frozenset("defs desc metadata symbol clippath mask pattern marker".split())
 HEAD_ONLY = frozenset("base basefont bgsound link meta title style script noscript noframes template head".split())
 BLOCK = frozenset("address article aside body center details dialog dir div fieldset figcaption footer form header hgroup html legend main menu nav optgroup option search section summary dt dd li".split())
 SPACED = frozenset("blockquote dl figure h1 h2 h3 h4 h5 h6 listing ol p plaintext pre table ul xmp".split())
@@ -220,6 +223,8 @@ class Renderer:
         self.hidden += hides
 
     def pop(self) -> None:
+        if self.open[-1][1] < 0:
+            self.text(" ")
         name, hides, visible, does = self.open.pop()
         self.where[name].pop()
         if name in BARRIERS:
@@ -287,11 +292,19 @@ class Renderer:
             self.close_to(self.last("head"))
         if name in CLOSES_P:
             self.close("p")
+        drawing = self.last("svg") > self.last("foreignobject")
+        if drawing and rest and rest.rstrip().endswith("/"):
+            return
         low = rest.lower() if rest else ""
         attributes = _attributes(rest) if rest and (name in ("ol", "li", "td", "th", "input") or "hidden" in low or "style" in low) else {}
         hides = name in HIDDEN or "hidden" in attributes or (name == "input" and attributes.get("type", "").lower() == "hidden")
         style = attributes.get("style", "")
-        hides = int(hides or bool(style and NO_DISPLAY.search(style)))
+        hides = int(hides or bool(style and NO_DISPLAY.search(style)) or (drawing and name in NOT_DRAWN))
+        if name == "svg":
+            hides += 1
+        elif drawing and name in DRAWN and self.last("text") < self.last("svg"):
+            # takes back what the drawing hides
+            hides -= 1
         shows = VISIBILITY.search(style) if style else None
         if name == "br":
             if not self.hidden and self.visible:
@@ -330,6 +343,8 @@ class Renderer:
             return
         does = self.enter(name, attributes, bool(self.hidden or hides))
         self.push(name, hides, does)
+        if hides < 0:
+            self.text(" ")
         if shows:
             self.visible = shows[1].lower() == "visible"
 

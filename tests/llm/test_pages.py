@@ -136,6 +136,13 @@ def test_render(page, text):
     assert html_text.render(page) == text
 
 
+def test_text_of_drawings_and_maps():
+    drawn = "<svg><title>no</title><defs><text>no</text></defs><defs/><g>no<text>one <tspan>two</tspan><title>no</title></text><text>three</text><desc>no</desc></g></svg>"
+    assert html_text.render(f"a{drawn}b<map name=m>c<area>d</map>").split() == "a one two three bcd".split()
+    assert html_text.render("<svg style='display:none'><text>no</text></svg><svg><text hidden>no</text></svg>x").split() == ["x"]
+    assert html_text.render("<svg><foreignObject><p>shown</p></foreignObject></svg>").split() == ["shown"]
+
+
 def test_deep_and_broken_pages_take_linear_time():
     for page in ("<b>" * 50_000 + "</i>" * 50_000 + "x", "<div>" * 50_000 + "x", '<a href="' * 20_000):
         html_text.render(page)
