@@ -6,6 +6,7 @@ import contextlib
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kelpline.session import scratch_folder, setting
 
@@ -62,11 +63,15 @@ def remove_tables(spark: SparkSession, folders: list[str]) -> None:
     folders.clear()
 
 
-#: A staged table of at most so many rows is read as one partition.
+#: A staged table of at most so many rows, and of so many items in its lists (32 MB of numbers), is read as one partition.
 SMALL = 100_000
+SMALL_ITEMS = 1 << 22
 
 
 def fitted(df: DataFrame, small: int = SMALL) -> DataFrame:
-    """A staged table; one of at most ``small`` rows is one partition, so that what follows shuffles nothing."""
+    """A staged table; one of at most ``small`` rows and ``SMALL_ITEMS`` items in lists is one partition, so that what follows shuffles nothing."""
     df = staged(df)
-    return df.coalesce(1) if df.limit(small + 1).count() <= small else df
+    if df.limit(small + 1).count() > small:
+        return df
+    lists = [F.coalesce(F.sum(F.greatest(F.size(F.col(c)), F.lit(0))), F.lit(0)) for c, kind in df.dtypes if kind.startswith("array")]
+    return df if lists and sum(df.agg(*lists).first()) > SMALL_ITEMS else df.coalesce(1)

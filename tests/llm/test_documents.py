@@ -9,7 +9,7 @@ import pytest
 from conftest import ROWS
 from pyspark.sql import functions as F
 
-from kelpline.llm import host_rules, line_dedup, mixing, near_dedup, substrings, token_counts, word_bpe
+from kelpline.llm import host_rules, line_dedup, mixing, near_dedup, substrings, tables, token_counts, word_bpe
 
 
 def rows_of(docs):
@@ -95,6 +95,16 @@ def test_unknown_ids(spark, vocabulary):
     assert found == {1: "", 2: "", 3: "!<|endoftext|>"}
 
 
+# -- staged tables --------------------------------------------------------------------------
+
+
+def test_long_lists_stay_partitioned(spark):
+    """Few rows are one partition only if their lists are short."""
+    rows = spark.range(0, 100, 1, 4)
+    of = lambda n: tables.fitted(rows.select("id", F.sequence(F.lit(1), F.lit(n)).alias("items"))).rdd.getNumPartitions()
+    assert of(10) == 1 and of(60_000) > 1 and tables.fitted(rows).rdd.getNumPartitions() == 1
+
+
 # -- near duplicates ------------------------------------------------------------------------
 
 
