@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kelpline.llm import hamming_search, host_rules, html_text, line_dedup, mixing, near_dedup, substrings, token_counts, warc, word_bpe
+from kelpline.llm import hamming_search, host_rules, html_text, line_dedup, mixing, near_dedup, substrings, token_counts, warc, whitening, word_bpe
 from kelpline.llm.tables import table
 
 
@@ -79,6 +79,10 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_seekable_warc": op1,
@@ -91,4 +95,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_host_quality_rules": op8,
         "op9_hamming_search": op9,
         "op10_line_dedup": op10,
+        "op13_qdwh_whitening": op13,
     }
