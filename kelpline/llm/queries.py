@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kelpline.llm import hamming_search, host_rules, html_text, line_dedup, mixing, near_dedup, substrings, token_counts, warc, whitening, word_bpe
+from kelpline.llm import conversation_repair, hamming_search, host_rules, html_text, line_dedup, mixing, near_dedup, substrings, token_counts, warc, whitening, word_bpe
 from kelpline.llm.tables import table
 
 
@@ -79,6 +80,19 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "conversations")
+    found = conversation_repair.summarize(conversation_repair.repair(conversation_repair.damaged(rows))).drop("conv_id")
+    key = F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("key")
+    every = rows.select(F.col("conv_id").cast("long").alias("conv_id")).distinct().select(key, "conv_id")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    joined = every.join(found.withColumn("_found", F.lit(True)), "key", "left")
+    # a conversation of which no row is left has nothing to repair
+    none = lambda c, v: F.when(F.col("_found"), F.col(c)).otherwise(F.lit(v)).alias(c)
+    nothing = hashlib.sha256().hexdigest()
+    return joined.select("conv_id", *(none(c, 0) for c in counts), none("audit", ""), none("repaired_sha256", nothing))
+
+
 def op13(spark: SparkSession, sf: str) -> DataFrame:
     return whitening.whiten(table(spark, sf, "embeddings"))
 
@@ -95,5 +109,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_host_quality_rules": op8,
         "op9_hamming_search": op9,
         "op10_line_dedup": op10,
+        "op12_conversation_repair": op12,
         "op13_qdwh_whitening": op13,
     }
