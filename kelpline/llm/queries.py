@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kelpline.llm import conversation_repair, hamming_search, host_rules, html_text, line_dedup, mixing, near_dedup, substrings, token_counts, warc, whitening, word_bpe
+from kelpline.llm import conversation_repair, hamming_search, host_rules, html_text, line_dedup, mixing, near_dedup, simhash, substrings, token_counts, warc, whitening, word_bpe
 from kelpline.llm.tables import table
 
 
@@ -80,6 +80,10 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.simhash_groups(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 def op12(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "conversations")
     found = conversation_repair.summarize(conversation_repair.repair(conversation_repair.damaged(rows))).drop("conv_id")
@@ -109,6 +113,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_host_quality_rules": op8,
         "op9_hamming_search": op9,
         "op10_line_dedup": op10,
+        "op11_simhash_near_dedup": op11,
         "op12_conversation_repair": op12,
         "op13_qdwh_whitening": op13,
     }
