@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import codecs
 import functools
+import os
+import warnings
 import zipfile
 from collections.abc import Iterable, Iterator
 
@@ -13,7 +16,8 @@ from pyspark.sql import functions as F
 from checks import fixtures as fx
 from kelpline.session import scratch_folder, ship_package
 from kelpline.sinks.packages import number_lines, render_lines, write_packages
-from kelpline.sinks.placed import write_placed
+from kelpline.sinks.placed import local_folder, write_placed
+from kelpline.sources.archives import list_packages
 
 VERSION = "_version_2024-05-01.zip"
 OTHER_MEMBERS = {
@@ -74,6 +78,53 @@ def built_lines(spark: SparkSession, sf_dir: str, header: str, columns: list, me
     return folder
 
 
+def _rezip(folder: str):
+    """Each archive again, with a table and a readme before those that count."""
+
+    def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for package, path in zip(batch["package"].to_pylist(), batch["path"].to_pylist()):
+                with zipfile.ZipFile(local_folder(path)) as old, zipfile.ZipFile(f"{folder}/{package}", "w", zipfile.ZIP_DEFLATED) as new:
+                    with warnings.catch_warnings():
+                        warnings.simplefilter("ignore")
+                        new.writestr("shark_data.txt", "data_type_internal\tvalue\nepibenthos\told\n")
+                        new.writestr("README.txt", "old\nreadme\n")
+                        for name in old.namelist():
+                            new.writestr(name, old.read(name))
+            yield batch.select(["package"])
+
+    return write
+
+
+def built_repeated(spark: SparkSession, sf_dir: str) -> str:
+    """Archives in which two members are listed twice."""
+    folder = local_folder(scratch_folder(spark))
+    os.makedirs(folder)
+    packages = list_packages(spark, built_packages(spark, sf_dir)).select("package", "path")
+    packages.mapInArrow(_rezip(folder), "package string").write.format("noop").mode("overwrite").save()
+    return folder
+
+
+def built_marked(spark: SparkSession, sf_dir: str) -> str:
+    """Archives whose tables begin with the mark of UTF-8 and have blank lines; their other text is ASCII."""
+    lines = rendered(package_rows(spark, sf_dir))
+    marked = F.when(F.col("seq") == 0, F.concat(F.lit(codecs.BOM_UTF8.decode("cp1252")), "text")).otherwise(F.col("text"))
+    blank = F.when(F.col("seq") % 7 == 3, F.lit("\n\r\n")).otherwise(F.lit(""))
+    folder = scratch_folder(spark)
+    write_packages(lines.select("package", "seq", F.concat(blank, marked).alias("text")), folder, scratch_folder(spark))
+    return folder
+
+
+def built_untyped(spark: SparkSession, sf_dir: str) -> str:
+    """Archives of which those of odd years tell no data type."""
+    rows = package_rows(spark, sf_dir)
+    odd = F.right("dataset_name", F.lit(1)).isin("1", "3", "5", "7", "9")
+    folder = scratch_folder(spark)
+    untyped = rendered(rows.where(odd).drop("data_type_internal"))
+    write_packages(rendered(rows.where(~odd)).unionByName(untyped), folder, scratch_folder(spark))
+    return folder
+
+
 def _members_by_zipfile(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for package, path in zip(batch["package"].to_pylist(), batch["path"].to_pylist()):
@@ -111,5 +162,5 @@ def built_with_corrupt(spark: SparkSession, sf_dir: str) -> list[str]:
     folder = scratch_folder(spark)
     names = fx.observations(spark, sf_dir).select(F.concat("dataset_name", F.lit("_version_broken.zip")).alias("file")).distinct()
     broken = names.select("file", F.lit(0).cast("long").alias("offset"), F.lit(b"not an archive").alias("content"))
-    write_placed(broken, f"{folder}/broken", scratch_folder(spark))
+    write_placed(broken, f"{folder}/broken")
     return [good, f"{folder}/broken"]

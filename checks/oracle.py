@@ -503,6 +503,24 @@ def _file_sql() -> dict[str, str]:
             f"SELECT {package} AS package, delivery_datatype, {as_text(published)} FROM published",
             f"{PUBLISHED_CTES}, published AS ({publish_sql})",
         ),
+        "publish_archives_marked": with_tables(
+            "observations codes areas",
+            f"SELECT {package} AS package, delivery_datatype, {as_text(published)} FROM published",
+            f"{PUBLISHED_CTES}, published AS ({publish_sql})",
+        ),
+        "publish_archives_repeated_members": with_tables(
+            "observations codes areas",
+            f"""SELECT {package} AS package, 'shark_data.txt' AS text, count(*) + 1 AS n FROM published GROUP BY 1
+            UNION ALL SELECT package, m.member, m.n FROM (SELECT DISTINCT {package} AS package FROM published) p CROSS JOIN (VALUES ('shark_metadata.txt', 1),
+              ('processed_data/data.txt', 1), ('received_data/raw.csv', 2), ('README.txt', 1)) AS m(member, n)
+            UNION ALL SELECT package, 'Listed more than once, the last one is used: ' || m.member, 1
+            FROM (SELECT DISTINCT {package} AS package FROM observations) p CROSS JOIN (VALUES ('shark_data.txt'), ('README.txt')) AS m(member)""",
+            f"{PUBLISHED_CTES}, published AS ({publish_sql})",
+        ),
+        "publish_archives_untyped": _obs(
+            f"""SELECT DISTINCT {package} AS package, CASE WHEN {odd} THEN 'no data type, so it is unknown what to mask' ELSE 'written' END AS state
+            FROM observations WHERE {odd} OR data_type_internal <> 'sealpathology'"""
+        ),
         "round_trip_ragged": _obs(
             f"""SELECT package, member, line, count(*) AS n FROM (
             SELECT {package} AS package, 'shark_data.txt' AS member, {v('parameter')} || chr(9) || {v('value')} || chr(9) || 'n' || {v('value')}
@@ -518,6 +536,10 @@ def _file_sql() -> dict[str, str]:
             f"""SELECT {package} AS package, count(*) + 1 AS n,
             cast(sum({length} + {len(OBSERVED_TEXT) - 1}) + {len(chr(9).join(OBSERVED_TEXT))} AS bigint) AS n_chars FROM observations GROUP BY 1"""
         ),
+        "write_table_files": _obs(
+            f"""SELECT package, n, n_chars, n_chars + n AS n_bytes FROM (SELECT {package} AS package, count(*) + 1 AS n,
+            cast(sum({length} + {len(OBSERVED_TEXT) - 1}) + {len(chr(9).join(OBSERVED_TEXT))} AS bigint) AS n_chars FROM observations GROUP BY 1) q"""
+        ),
         "read_codes": with_tables("codes", "SELECT field, code, name_sv FROM codes"),
         "read_areas": _obs("SELECT row_number, location_rc, location_rg, location_ro FROM located", OBS_MASKED, "observations areas"),
         "read_rules": _obs(f"SELECT row_number, {RULED_PARAMETER} AS parameter, {RULED_SUBSTRATE} AS substrate FROM observations"),

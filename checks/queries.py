@@ -412,6 +412,28 @@ def q_publish_archives_two_folders(spark, sf):
     return _published(spark, sf, ar.built_twice(spark, sf))
 
 
+def q_publish_archives_repeated_members(spark, sf):
+    """Members that are listed twice: the last counts, and the log tells of it."""
+    folder = scratch_folder(spark)
+    done = publish_archives(spark, ar.built_repeated(spark, sf), folder, fx.codes(spark, sf), fx.areas(spark), PUBLISHING, fx.rules(spark))
+    lines = ar.read_by_zipfile(src.list_packages(spark, folder)).groupBy("package", F.col("member").alias("text")).agg(F.count("*").alias("n"))
+    told = done.log.where(F.startswith("msg", F.lit("Listed"))).groupBy("package", F.col("msg").alias("text")).agg(F.count("*").alias("n"))
+    return lines.unionByName(told)
+
+
+def q_publish_archives_marked(spark, sf):
+    """Tables that begin with a mark of their encoding and have blank lines are typed, gated and masked like others."""
+    return _published(spark, sf, ar.built_marked(spark, sf))
+
+
+def q_publish_archives_untyped(spark, sf):
+    """Where restriction applies, packages of unknown type fail and the others are published."""
+    folder = scratch_folder(spark)
+    done = publish_archives(spark, ar.built_untyped(spark, sf), folder, fx.codes(spark, sf), fx.areas(spark), PUBLISHING, fx.rules(spark))
+    written = src.list_packages(spark, folder).select("package", F.lit("written").alias("state"))
+    return written.unionByName(done.failed.select("package", F.col("error").alias("state")))
+
+
 def q_round_trip_ragged(spark, sf):
     """Repeated column names, blank cells beyond the header, folders, and line ends inside cells."""
     columns = [F.col("parameter"), F.col("value"), F.concat(F.lit("n"), "value"), F.concat("value", F.lit("\r"), "value"), F.lit("")]
@@ -440,6 +462,16 @@ def q_write_package_tables(spark, sf):
     return back.groupBy("package").agg(F.count("*").alias("n"), F.sum(F.length("value")).alias("n_chars"))
 
 
+def q_write_table_files(spark, sf):
+    """The tables again, each as the one file of its package that has the fixed name."""
+    folder = scratch_folder(spark)
+    written = pk.write_table_files(ar.rendered(ar.package_rows(spark, sf)), folder, scratch_folder(spark))
+    back = spark.read.text(f"{folder}/*/{model.DATA_FILE}").withColumn("package", F.element_at(F.split(F.input_file_name(), "/"), -2))
+    lines = back.groupBy("package").agg(F.count("*").alias("n"), F.sum(F.length("value")).alias("n_chars"))
+    sizes = written.select(F.substring_index("file", "/", 1).alias("package"), F.col("size").alias("n_bytes"))
+    return lines.join(sizes, "package")
+
+
 def _written(df, folder: str) -> str:
     df.write.csv(folder, sep="\t", header=True, emptyValue="")
     return folder

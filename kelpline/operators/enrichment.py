@@ -116,6 +116,47 @@ def unmatched_codes(
     )
 
 
+# -- what rows tell the log, carried with them ------------------------------------------------
+
+#: Kind of a note, and what stands between its parts.
+_CODE, _TIME, _PART, _NOTE_END = "code", "time", "\x1e", "\x1f"
+
+
+def row_notes(df: DataFrame, codes: DataFrame, fields: Iterable[str] = tuple(model.NAME_SV_FIELDS), time: str = TIME_COLUMNS[0]) -> Column:
+    """What a row gives the log, as one text that is NULL for most: codes without a name, and a time that cannot be read.
+
+    With long code lists all codes of a row are noted; ``note_log`` drops those that have a name.
+    """
+    names = _names_of(codes, list(fields))
+    notes = []
+    for f in fields:
+        if code_column(f) in df.columns:
+            code = strip(cell(F.col(code_column(f))))
+            unknown = code != ""
+            if names is not None:
+                unknown = unknown & ~F.coalesce(F.map_contains_key(F.from_json(F.lit(json.dumps(names[f])), "map<string,string>"), code), F.lit(False))
+            notes.append(F.when(unknown, F.concat(F.lit(f"{_CODE}{_PART}{f}{_PART}"), code)))
+    if time in df.columns:
+        notes.append(F.when(is_bad_time(F.col(time)), F.concat(F.lit(f"{_TIME}{_PART}{time}{_PART}"), cell(F.col(time)))))
+    return F.nullif(F.concat_ws(_NOTE_END, *notes), F.lit("")) if notes else F.lit(None).cast("string")
+
+
+def note_log(notes: DataFrame, codes: DataFrame) -> DataFrame:
+    """``package, note, n`` to log rows, one per package and code or spelling."""
+    parts = F.split("note", _PART, 3)
+    split = notes.select("package", F.get(parts, F.lit(0)).alias("kind"), F.get(parts, F.lit(1)).alias("field"), F.get(parts, F.lit(2)).alias("code"), "n")
+    known = codes.select(F.lit(_CODE).alias("kind"), "field", "code").distinct()
+    # small tables of counts: the planner measures them while it runs
+    split = split.join(known, ["kind", "field", "code"], "left_anti")
+    said = F.when(F.col("kind") == _CODE, F.concat(F.lit("No name for "), "field", F.lit(" code "))).otherwise(F.concat(F.lit("Unreadable "), "field", F.lit(" ")))
+    return split.select(
+        "package",
+        F.lit("warning").alias("level"),
+        F.lit("transformation").alias("log_type"),
+        F.concat(said, "code", F.lit(" ("), "n", F.lit(" rows)")).alias("msg"),
+    )
+
+
 def fix_time_format(df: DataFrame, columns: Iterable[str] = tuple(TIME_COLUMNS)) -> DataFrame:
     """Write times of day as ``HH:MM``; blank and unreadable ones stay."""
     return df.withColumns({c: fix_time(F.col(c)) for c in columns if c in df.columns})

@@ -166,15 +166,14 @@ def add_locations(
     names = list(names)
     spark = df.sparkSession
     few = areas.limit(FEW_VERTICES + 1).count() <= FEW_VERTICES
-    # few vertices are indexed in one partition; an index of many is staged, measured, and joined as it lies
+    # few vertices are indexed in one partition; the index is staged, so that it is made once, measured, and joined as it lies
     cells, whole, k = area_cells(areas.coalesce(1) if few else areas, names, per_degree)
-    if not few:
-        folder = scratch_folder(spark)
-        cells.write.parquet(f"{folder}/cells")
-        cells = spark.read.parquet(f"{folder}/cells")
-        if whole is not None:
-            whole.write.parquet(f"{folder}/degrees")
-            whole = spark.read.parquet(f"{folder}/degrees")
+    folder = scratch_folder(spark)
+    cells.write.parquet(f"{folder}/cells")
+    cells = spark.read.parquet(f"{folder}/cells")
+    if whole is not None:
+        whole.write.parquet(f"{folder}/degrees")
+        whole = spark.read.parquet(f"{folder}/degrees")
     lat, lon = F.col("_lat"), F.col("_lon")
     positioned = df.withColumns({"_lat": _position(df, latitude), "_lon": _position(df, longitude)}).withColumns(
         {

@@ -76,9 +76,14 @@ def replace_with_mask(
     return df.withColumn(column, F.when(hit, F.lit(value)).otherwise(F.col(column)))
 
 
+def is_removed_profile(mask: Column, data_type: str = model.DATA_TYPE) -> Column:
+    """TRUE for masked rows of profile packages."""
+    return (cell(F.col(data_type)) == model.PROFILE) & mask
+
+
 def remove_profiles(df: DataFrame, mask: Column, data_type: str = model.DATA_TYPE) -> DataFrame:
     """Drop masked rows of profile packages."""
-    return df.where(~((cell(F.col(data_type)) == model.PROFILE) & mask))
+    return df.where(~is_removed_profile(mask, data_type))
 
 
 def drop_columns(df: DataFrame, columns: Iterable[str] = tuple(model.CLEANUP_COLUMNS)) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kelpline import model
@@ -19,7 +19,7 @@ from kelpline.operators import report
 from kelpline.operators.masks import drop_columns
 from kelpline.plans import steps
 from kelpline.policy import Policy
-from kelpline.session import scratch_folder
+from kelpline.session import scratch_folder, ship_package
 from kelpline.sinks import packages as pk
 from kelpline.sinks import stores
 from kelpline.sources import archives as src
@@ -36,6 +36,17 @@ class Published:
     log: DataFrame
 
 
+#: Why a package is not published where restriction applies: nothing tells what to mask.
+NO_TYPE = "no data type, so it is unknown what to mask"
+#: Columns that go with the rows and are not part of them.
+_CARRIED = ("_own", "_was", "_type", "_notes", "_removed")
+
+
+def _untyped_package(policy: Policy) -> Column:
+    """TRUE for packages with lines that no type is known for, where the policy restricts."""
+    return F.lit(policy.restricting) & (F.coalesce("data_type_internal", F.lit("")) == "") & F.col("has_lines")
+
+
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
@@ -47,8 +58,7 @@ def _plans(headers: Mapping[str, list[HeaderColumn]], policy: Policy) -> list[tu
     """
     groups: dict[tuple, list[str]] = {}
     for data_type, columns in sorted(headers.items()):
-        alike = (tuple(columns), data_type == model.PLANKTON_BARCODING, data_type in policy.unrestricted)
-        groups.setdefault(alike, []).append(data_type)
+        groups.setdefault((tuple(columns), data_type in policy.unrestricted), []).append(data_type)
     return [(types, list(alike[0])) for alike, types in groups.items()]
 
 
@@ -59,7 +69,7 @@ def _typed(table: DataFrame, own: bool) -> DataFrame:
     """
     kind = F.when(cell(F.col(model.DATA_TYPE)) != "", F.col(model.DATA_TYPE)).otherwise(F.col("_type")) if own else F.col("_type")
     cells = F.col(model.DATA_TYPE) if own else F.lit("")
-    return table.withColumns({"_own": cells, "_was": kind, model.DATA_TYPE: kind}).drop("_type")
+    return table.withColumns({"_own": cells, "_was": kind, model.DATA_TYPE: kind})
 
 
 def _untyped(rows: DataFrame, own: bool) -> DataFrame:
@@ -103,40 +113,45 @@ def publish_staged(
     one without rows is still written.
     """
     spark = staged.sparkSession
+    ship_package(spark)
     scratch = scratch_folder(spark)
+    failed = src.unreadable(staged)
     # a small table of packages is used by every step below
-    src.package_info(staged).write.parquet(f"{scratch}/info")
+    src.package_info(staged, failed).write.parquet(f"{scratch}/info")
     info = cat.publish_gate(spark.read.parquet(f"{scratch}/info"), policy)
-    allowed = info.where("allowed")
+    untyped = info.where("allowed").where(_untyped_package(policy))
+    allowed = info.where("allowed").where(~_untyped_package(policy))
     refused = info.where(~F.col("allowed")).select("package", format_refusal(F.col("package"), F.col("data_type")).alias("msg"))
-    told = refused.select("package", F.lit("error").alias("level"), F.lit("workflow").alias("log_type"), "msg")
-    lines, logs = [], [src.reading_notes(staged), told]
+    error = lambda rows: rows.select("package", F.lit("error").alias("level"), F.lit("workflow").alias("log_type"), "msg")
+    unknown = untyped.select("package", F.lit(NO_TYPE).alias("error"), F.concat("package", F.lit(f" -> {NO_TYPE}")).alias("msg"))
+    lost = src.failed_packages(staged).unionByName(unknown)
+    lines, logs = [], [src.reading_notes(staged, failed), error(refused), error(unknown)]
     for types, columns in _plans(src.union_headers(allowed), policy):
         # the gate is by data type, so the lines of allowed packages are found without a join
         of_types = allowed.where(F.col("data_type_internal").isin(*types))
         own = any(c.column == model.DATA_TYPE for c in columns)
-        table = _typed(src.read_data_table(staged, types, columns, of_types), own)
+        table = _typed(src.read_data_table(staged, types, columns, of_types, failed), own)
         # a column of types may name others than those of the packages
-        rows = steps.enrich(table, codes, rules, None if own else types)
+        rows = steps.enrich(table.withColumn("_notes", en.row_notes(table, codes)), codes, rules, None if own else types)
         if own or types[0] not in policy.unrestricted:
-            rows = steps.restrict(rows, areas, policy)
+            rows = steps.restrict(rows, areas, policy, mark_removed=True)
         rows = drop_columns(rows)
-        logs += [en.unmatched_codes(table, codes)] + [v(rows.drop("_own", "_was")) for v in validators]
-        if any(c.column == en.TIME_COLUMNS[0] for c in columns):
-            logs.append(en.unreadable_times(table))
-        lines.append(pk.render_lines(_untyped(rows, own), of_types, columns, steps.added_columns(policy, types)))
+        left = rows.where(~F.col("_removed")) if "_removed" in rows.columns else rows
+        logs += [v(left.drop(*_CARRIED)) for v in validators]
+        lines.append(pk.render_lines(_untyped(rows, own), of_types, columns, steps.added_columns(policy, own or model.PLANKTON_BARCODING in types)))
     if not lines:
         none = spark.createDataFrame([], "file string, size long")
-        return Published(none, refused, src.failed_packages(staged), _union(logs))
-    files = src.read_files(staged).where(policy.allows(F.col("data_type_internal")))
+        return Published(none, refused, lost, _union(logs))
+    files = src.read_files(staged, allowed)
     if prune:
         files = mb.prune_members(files, policy)
         left = files.where((F.col("seq") == 0) & ~F.endswith("member", F.lit("/"))).select("package", "member")
         with_data = left.unionByName(allowed.select("package", F.lit(model.DATA_FILE).alias("member")))
         logs.append(mb.check_members_left(with_data).select("package", "level", "log_type", "msg"))
     written = pk.write_packages(_union(lines), folder, scratch, files)
-    logs.append(pk.replaced_characters(spark, scratch))
-    return Published(written, refused, src.failed_packages(staged), _union(logs))
+    # what the lines had to tell was counted while they were compressed
+    logs += [en.note_log(pk.counted_notes(spark, scratch), codes), pk.replaced_characters(spark, scratch)]
+    return Published(written, refused, lost, _union(logs))
 
 
 @dataclass(frozen=True)
@@ -201,11 +216,12 @@ def copy_to_environment(
     results = {}
     packages = src.list_packages(spark, paths)
     staged = src.stage_packages(packages, scratch_folder(spark), data_type)
-    info = src.package_info(staged).select(F.col("package").alias("name"), model.DATA_TYPE, "data_type")
+    info = src.package_info(staged).select(F.col("package").alias("name"), model.DATA_TYPE, "data_type", "has_lines")
     originals = packages.groupBy(F.col("package").alias("name")).agg(F.max("path").alias("path"))
     for name, restrict in cat.publish_targets(environment, policy.restricting):
         own = policy.with_restrict(restrict)
-        refused = cat.publish_gate(info, own).where(~F.col("allowed"))
+        # as they come, packages of unknown type may hold what should be masked
+        refused = cat.publish_gate(info, own).where(~F.col("allowed") | _untyped_package(own))
         chosen = cat.ordered_packages(cat.filter_not_allowed(originals, refused, own, allow_all))
         told = refused.select(F.col("name").alias("package"), format_refusal(F.col("name"), F.col("data_type")).alias("msg"))
         log = told.select("package", F.lit("error").alias("level"), F.lit("workflow").alias("log_type"), "msg")

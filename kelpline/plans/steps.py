@@ -37,15 +37,18 @@ def enrich(
     return df
 
 
-def added_columns(policy: Policy, data_types: Iterable[str]) -> dict[str, str | None]:
-    """Columns the steps add to a package that lacks them, with the column a package must have for that."""
-    found: dict[str, str | None] = {en.name_sv_column(f): None for f in model.NAME_SV_FIELDS}
-    found |= {f"reported_{c}": c for c in en.DATE_COLUMNS} | {"sample_date": "visit_date"}
-    if model.PLANKTON_BARCODING in data_types:
-        found["delivery_datatype"] = None
+def added_columns(policy: Policy, any_type: bool = False) -> dict[str, Column]:
+    """Columns the steps add to a package that lacks them, with the condition on its ``header`` and type for that.
+
+    ``any_type`` if rows may be of other types than their package.
+    """
+    has = lambda c: F.array_contains("header", c)
+    found = {en.name_sv_column(f): F.lit(True) for f in model.NAME_SV_FIELDS}
+    found |= {f"reported_{c}": has(c) for c in en.DATE_COLUMNS} | {"sample_date": has("visit_date")}
+    found["delivery_datatype"] = F.lit(True) if any_type else F.col(model.DATA_TYPE) == model.PLANKTON_BARCODING
     if policy.restricting:
         located = ["sample_sweref99tm_x", "sample_sweref99tm_y", *map(geo.location_column, model.RESTRICTING_AREAS)]
-        found |= dict.fromkeys(located)
+        found |= {c: F.lit(True) for c in located}
     return found
 
 
@@ -65,7 +68,7 @@ def _flag(df: DataFrame, applies: Column) -> DataFrame:
     )
 
 
-def _apply_masks(df: DataFrame) -> DataFrame:
+def _apply_masks(df: DataFrame, mark_removed: bool = False) -> DataFrame:
     main, rred = F.col("_main"), F.col("_rred")
     covers = {
         c: main & mk.mask_match_in_column(df, c, model.COVER_PATTERN)
@@ -76,7 +79,7 @@ def _apply_masks(df: DataFrame) -> DataFrame:
         & mk.mask_match_in_column(df, "quality_flag", model.NON_BLANK_PATTERN)
         & mk.mask_match_in_column(df, model.PARAMETER, model.SECCHI_PARAMETER_PATTERN)
     )
-    df = mk.remove_profiles(df, main)
+    df = df.withColumn("_removed", mk.is_removed_profile(main)) if mark_removed else mk.remove_profiles(df, main)
     df = mk.mask_columns(df, model.VALUE_COLUMNS, model.REPLACE_COLUMN_VALUE, main)
     df = mk.mask_columns(df, model.COMMENT_COLUMNS, model.REPLACE_COMMENT_VALUE, main)
     df = mk.mask_parameter_rows(df, model.RESTRICTED_PARAMETERS, model.REPLACE_PARAMETER_VALUE, main)
@@ -91,15 +94,16 @@ def _apply_masks(df: DataFrame) -> DataFrame:
     return df.drop("_main", "_rred")
 
 
-def restrict(df: DataFrame, areas: DataFrame, policy: Policy) -> DataFrame:
+def restrict(df: DataFrame, areas: DataFrame, policy: Policy, mark_removed: bool = False) -> DataFrame:
     """Positions, areas and masks, where the policy restricts; otherwise ``df`` as it is.
 
-    Both masks are computed once per row; the replacements then fold into one projection.
+    Both masks are computed once per row; the replacements then fold into one projection. ``mark_removed`` keeps
+    the rows that are removed, with TRUE in ``_removed``.
     """
     if not policy.restricting:
         return df
     applies = policy.masks(F.col(model.DATA_TYPE))
-    return _apply_masks(_flag(_locate(df, areas), applies))
+    return _apply_masks(_flag(_locate(df, areas), applies), mark_removed)
 
 
 def publish(

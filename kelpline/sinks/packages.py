@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import os
 import struct
 import zlib
-from collections.abc import Iterable, Iterator
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -15,15 +19,17 @@ from pyspark.sql import types as T
 from kelpline import model
 from kelpline.functions.headers import HeaderColumn, shown
 from kelpline.functions.text import cell, joined_cells, printable_cell, separated_line
-from kelpline.operators.lookups import lookup_join
-from kelpline.session import setting
-from kelpline.sinks.placed import sums_before, write_placed
+from kelpline.operators.lookups import lookup_join, measured
+from kelpline.session import setting, ship_package
+from kelpline.sinks.placed import BodyFile, discard, local_folder, sums_before, write_placed
 
 SEGMENT_BYTES = 1024 * 1024
 BLOCK_LINES = 16_384
 #: Parts in which the members of a package are placed.
 MEMBER_CUTS = 4096
-INTERNAL_COLUMNS = ["package", "layout", "_line"]
+INTERNAL_COLUMNS = ["package", "layout", "_line", "_type", "_notes", "_removed"]
+#: Between the notes of a line.
+NOTE_END = "\x1f"
 
 # ---------------------------------------------------------------------------
 # Fixed values of the zip and deflate formats.
@@ -81,46 +87,53 @@ def number_lines(df: DataFrame, order: list[str], package: str = "package") -> D
 
 
 def render_lines(
-    df: DataFrame, info: DataFrame, read_columns: list[HeaderColumn] | None = None, adds: dict[str, str | None] | None = None
+    df: DataFrame, info: DataFrame, read_columns: list[HeaderColumn] | None = None, adds: dict[str, Column] | None = None
 ) -> DataFrame:
-    """Rows to numbered text lines ``(package, seq, text)``, the header being line 0.
+    """Rows to numbered text lines ``(package, seq, text, notes)``, the header being line 0.
 
     A package gets its own columns in their own order, less those dropped and followed by those
-    the steps added. ``info`` has one row per package, with or without rows, and its ``layout`` and ``header``;
+    the steps added. ``info`` has one row per package, with or without rows, with its ``layout``, ``header`` and type;
     without ``read_columns`` every package gets all columns. ``adds`` names columns that steps add to packages that lack
-    them, with the column that a package must have for that: another package may bring the same column itself.
+    them, with the condition on ``info`` for that: another package may bring the same column itself. What rows carry in ``_notes`` goes
+    with their lines; a row that was ``_removed`` has no text and is left out unless it carries notes.
     """
     columns = [c for c in df.columns if c not in INTERNAL_COLUMNS]
     names = F.array(*[F.lit(shown(c)) for c in columns])
     cells = F.array(*[cell(F.col(c)) for c in columns])
+    notes = F.col("_notes") if "_notes" in df.columns else F.lit(None).cast("string")
+    head_of = F.lit(0).cast("long").alias("seq")
     if read_columns is None:
         everything = F.lit(model.SEPARATOR.join(map(shown, columns)))
-        body = df.select("package", F.col("_line").alias("seq"), joined_cells(cells).alias("text"))
-        return body.withColumn("text", separated_line(F.col("text"))).unionByName(info.select("package", F.lit(0).cast("long").alias("seq"), everything.alias("text")))
+        body = df.select("package", F.col("_line").alias("seq"), joined_cells(cells).alias("text"), notes.alias("notes"))
+        head = info.select("package", head_of, everything.alias("text"), F.lit(None).cast("string").alias("notes"))
+        return body.withColumn("text", separated_line(F.col("text"))).unionByName(head)
     read = {c.column: c for c in read_columns}
     own = [F.struct(_header_place(read[c]).alias("pos"), F.lit(i).alias("i")) for i, c in enumerate(columns) if c in read]
-    added = F.array(*[F.lit(i) for i, c in enumerate(columns) if c not in read]).cast("array<int>")
-    lacking = [
-        F.when(~F.array_contains("header", c) & (F.array_contains("header", needs) if needs else F.lit(True)), F.lit(i))
-        for i, c in enumerate(columns)
-        if c in read and c in (adds or {})
-        for needs in [adds[c]]
-    ]
-    added = F.concat(F.filter(F.array(*lacking).cast("array<int>"), lambda i: i.isNotNull()), added)
+    # columns that other packages bring come before those that only the steps know
+    added = []
+    for i, c in sorted(enumerate(columns), key=lambda x: x[1] not in read):
+        condition = (adds or {}).get(c, F.lit(c not in read))
+        added.append(F.when(condition & ~F.array_contains("header", c) if c in read else condition, F.lit(i)))
+    added = F.filter(F.array(*added).cast("array<int>"), lambda i: i.isNotNull())
     kept = F.sort_array(F.filter(F.array(*own), lambda x: x["pos"].isNotNull())) if own else F.array().cast("array<struct<pos:int,i:int>>")
     order = F.concat(F.transform(kept, lambda x: x["i"]), added)
-    layouts = info.select("layout", "header").dropDuplicates(["layout"]).select("layout", "header", order.alias("_places"))
-    rows = df.select("package", "layout", F.col("_line").alias("seq"), cells.alias("_cells"))
+    key = ["layout", "_type"] if "_type" in df.columns else ["layout"]
+    typed = info.withColumn("_type", F.col(model.DATA_TYPE)) if "_type" in key else info
+    layouts = typed.dropDuplicates(key).select(*key, order.alias("_places"))
+    removed = F.col("_removed") if "_removed" in df.columns else F.lit(False)
+    rows = df.where(~removed | notes.isNotNull()) if "_removed" in df.columns else df
+    rows = rows.select("package", *key, F.col("_line").alias("seq"), cells.alias("_cells"), notes.alias("notes"), removed.alias("_gone"))
 
     def line(values: Column) -> Column:
         return joined_cells(F.transform("_places", lambda i: F.get(values, i)))
 
-    body = lookup_join(rows, layouts.drop("header"), ["layout"], how="inner")
-    head = lookup_join(info.select("package", "layout"), layouts.drop("header"), ["layout"], how="inner")
-    joined = body.select("package", "seq", line(F.col("_cells")).alias("text")).unionByName(
-        head.select("package", F.lit(0).cast("long").alias("seq"), line(names).alias("text"))
+    layouts, small = measured(layouts)
+    body = lookup_join(rows, layouts, key, how="inner", small=small)
+    text = F.when(~F.col("_gone"), separated_line(line(F.col("_cells"))))
+    head = lookup_join(typed.select("package", *key), layouts, key, how="inner", small=small)
+    return body.select("package", "seq", text.alias("text"), "notes").unionByName(
+        head.select("package", head_of, separated_line(line(names)).alias("text"), F.lit(None).cast("string").alias("notes"))
     )
-    return joined.withColumn("text", separated_line(F.col("text")))
 
 
 def _header_place(column: HeaderColumn) -> Column:
@@ -142,10 +155,33 @@ def write_package_tables(lines: DataFrame, path: str) -> None:
         )
 
 
+def write_table_files(lines: DataFrame, folder: str, scratch: str) -> DataFrame:
+    """``(package, seq, text)`` as ``<package>/shark_data.txt`` below ``folder``, and their list ``(file, size)``.
+
+    The bytes are those of the data table in the package's archive. A table of any size is the work of many tasks; files
+    get their names together, and a run that fails leaves none.
+    """
+    run = _run(scratch)
+    with _bodies_of(folder, run):
+        segments = _staged_segments(_line_segments(lines, _segmenter(local_folder(folder), run, packed=False)), scratch)
+        sized = sums_before(segments, ["package", "member"], "seq", ["raw"])
+        file = F.concat("package", F.lit("/"), "member").alias("file")
+        parts = sized.where("raw > 0").select(file, F.col("raw_before").alias("offset"), F.col("raw").alias("size"), _no_content(), "body", "at")
+        return write_placed(parts, folder, run)
+
+
+def _no_content() -> Column:
+    return F.lit(None).cast("binary").alias("content")
+
+
+def _segments_of(spark: SparkSession, scratch: str) -> DataFrame:
+    return spark.read.parquet(f"{scratch}/segments")
+
+
 def replaced_characters(spark: SparkSession, scratch: str) -> DataFrame:
     """Log rows for packages with characters the output encoding lacks; question marks replace them. Counted
     when the packages of ``scratch`` were written."""
-    counted = spark.read.parquet(f"{scratch}/segments").groupBy("package").agg(F.sum("replaced").alias("n")).where("n > 0")
+    counted = _segments_of(spark, scratch).groupBy("package").agg(F.sum("replaced").alias("n")).where("n > 0")
     return counted.select(
         "package",
         F.lit("warning").alias("level"),
@@ -154,9 +190,18 @@ def replaced_characters(spark: SparkSession, scratch: str) -> DataFrame:
     )
 
 
+def counted_notes(spark: SparkSession, scratch: str) -> DataFrame:
+    """``package, note, n``: the notes that lines carried, counted when the packages of ``scratch`` were written."""
+    notes = _segments_of(spark, scratch).select("package", F.explode("notes").alias("x"))
+    return notes.groupBy("package", F.col("x.note").alias("note")).agg(F.sum("x.n").alias("n"))
+
+
 # -- compressed segments ---------------------------------------------------------------------
 
-SEGMENT_SCHEMA = "package string, member string, seq long, raw long, comp long, crc long, replaced long, content binary"
+SEGMENT_SCHEMA = (
+    "package string, member string, seq long, raw long, comp long, crc long, replaced long, "
+    "notes array<struct<note:string,n:long>>, body string, at long"
+)
 _SEGMENT_ARROW = pa.schema(
     [
         ("package", pa.string()),
@@ -166,59 +211,160 @@ _SEGMENT_ARROW = pa.schema(
         ("comp", pa.int64()),
         ("crc", pa.int64()),
         ("replaced", pa.int64()),
-        ("content", pa.binary()),
+        ("notes", pa.list_(pa.struct([("note", pa.string()), ("n", pa.int64())]))),
+        ("body", pa.string()),
+        ("at", pa.int64()),
     ]
 )
+#: Segments listed at once.
+LISTED = 1024
+
+
+class _Segmenter:
+    """Stretches of members, put aside in the task's body file; only what is known of them goes on as rows.
 
+    A packed stretch is compressed by itself and ends on a byte, so that stretches put one after the other are one
+    valid stream.
+    """
 
-def _segment(package: str, member: str, seq: int, data: bytes, replaced: int = 0) -> dict:
-    """A stretch of a member, compressed by itself and ending on a byte, so that stretches
-    put one after the other are one valid stream."""
-    packer = zlib.compressobj(6, zlib.DEFLATED, -zlib.MAX_WBITS)
-    content = packer.compress(data) + packer.flush(zlib.Z_SYNC_FLUSH) if data else b""
-    return {
-        "package": package, "member": member, "seq": seq, "raw": len(data), "comp": len(content),
-        "crc": zlib.crc32(data), "replaced": replaced, "content": content,
-    }
+    def __init__(self, folder: str, run: str, packed: bool):
+        self.body, self.packed, self.rows = BodyFile(folder, run), packed, []
+
+    def add(self, package: str, member: str, seq: int, data: bytes, replaced: int = 0, notes: Counter | None = None) -> None:
+        content = data
+        if self.packed and data:
+            packer = zlib.compressobj(6, zlib.DEFLATED, -zlib.MAX_WBITS)
+            content = packer.compress(data) + packer.flush(zlib.Z_SYNC_FLUSH)
+        told = [{"note": k, "n": n} for k, n in sorted(notes.items())] if notes else []
+        self.rows.append(
+            {
+                "package": package, "member": member, "seq": seq, "raw": len(data), "comp": len(content), "crc": zlib.crc32(data),
+                "replaced": replaced, "notes": told, "body": self.body.path, "at": self.body.put(content) if content else 0,
+            }
+        )
 
+    def listed(self, all_of_them: bool = False) -> Iterator[pa.RecordBatch]:
+        if self.rows and (all_of_them or len(self.rows) >= LISTED):
+            yield pa.RecordBatch.from_pylist(self.rows, schema=_SEGMENT_ARROW)
+            self.rows = []
 
-def _emit(rows: list[dict]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pylist(rows, schema=_SEGMENT_ARROW)
 
+def _segmenter(folder: str, run: str, packed: bool) -> Callable[[], contextlib.AbstractContextManager[_Segmenter]]:
+    @contextlib.contextmanager
+    def opened() -> Iterator[_Segmenter]:
+        out = _Segmenter(folder, run, packed)
+        with contextlib.closing(out.body):
+            yield out
 
-def _compress_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted lines to segments; a segment ends with its block of lines or at a bounded size."""
-    package, block, first, lines, size = None, 0, 0, [], 0
+    return opened
 
-    def close() -> dict:
-        text, replaced = "\n".join(lines) + "\n", 0
-        try:
-            data = text.encode(model.ENCODING)
-        except UnicodeEncodeError:
-            data = text.encode(model.ENCODING, errors="replace")
-            replaced = sum(line.encode(model.ENCODING, errors="replace") != line.encode(model.ENCODING, errors="ignore") for line in lines)
-        return _segment(package, model.DATA_FILE, first, data, replaced)
 
-    for batch in batches:
-        done: list[dict] = []
-        for name, seq, text in zip(batch["package"].to_pylist(), batch["seq"].to_pylist(), batch["text"].to_pylist()):
-            if lines and (seq // BLOCK_LINES != block or name != package or size >= SEGMENT_BYTES):
-                done.append(close())
-                lines, size = [], 0
-            if not lines:
-                package, block, first = name, seq // BLOCK_LINES, seq
-            lines.append(text)
-            size += len(text) + 1
-        if done:
-            yield _emit(done)
-    if lines:
-        yield _emit([close()])
-
-
-def _compress_parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        columns = (batch[c].to_pylist() for c in ("package", "member", "seq", "content"))
-        yield _emit([_segment(*row) for row in zip(*columns)])
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[str, int, int, int]]:
+    """Package, block of lines, and begin and end in the batch of lines that belong together."""
+    packages, seqs = batch["package"].dictionary_encode(), batch["seq"].to_numpy()
+    codes, blocks = packages.indices.to_numpy(), seqs // BLOCK_LINES
+    new = np.r_[True, (codes[1:] != codes[:-1]) | (blocks[1:] != blocks[:-1])]
+    begins = np.flatnonzero(new).tolist()
+    for begin, end in zip(begins, [*begins[1:], len(batch)]):
+        yield packages.dictionary[codes[begin]].as_py(), int(blocks[begin]), begin, end
+
+
+def _segment_lines(opened: Callable) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Sorted lines to segments; a segment ends with its block of lines or at a bounded size."""
+
+    def segment(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, first, lines, size, notes = None, 0, [], 0, Counter()
+        with opened() as out:
+
+            def close() -> None:
+                nonlocal lines, size, notes
+                data, replaced = b"", 0
+                if lines:
+                    text = "\n".join(lines) + "\n"
+                    try:
+                        data = text.encode(model.ENCODING)
+                    except UnicodeEncodeError:
+                        data = text.encode(model.ENCODING, errors="replace")
+                        replaced = sum(line.encode(model.ENCODING, errors="replace") != line.encode(model.ENCODING, errors="ignore") for line in lines)
+                if lines or notes:
+                    out.add(key[0], model.DATA_FILE, first, data, replaced, _single(notes))
+                lines, size, notes = [], 0, Counter()
+
+            for batch in batches:
+                if not len(batch):
+                    continue
+                seqs, texts, told = batch["seq"], batch["text"].to_pylist(), batch["notes"]
+                for package, block, begin, end in _runs(batch):
+                    if key != (package, block):
+                        close()
+                        key = (package, block)
+                    for low in range(begin, end, LISTED):
+                        high = min(low + LISTED, end)
+                        if size >= SEGMENT_BYTES:
+                            close()
+                        if not lines and not notes:
+                            first = seqs[low].as_py()
+                        found = [t for t in texts[low:high] if t is not None]
+                        lines += found
+                        size += sum(map(len, found)) + len(found)
+                        if told.null_count < len(told):
+                            notes.update(n for n in told[low:high].to_pylist() if n is not None)
+                yield from out.listed()
+            close()
+            yield from out.listed(True)
+
+    return segment
+
+
+def _single(notes: Counter) -> Counter:
+    """Counts of joined notes to counts of each."""
+    out: Counter = Counter()
+    for joined, n in notes.items():
+        for note in joined.split(NOTE_END):
+            out[note] += n
+    return out
+
+
+def _segment_parts(opened: Callable) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def segment(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with opened() as out:
+            for batch in batches:
+                for package, member, seq, content in zip(*(batch[c].to_pylist() for c in ("package", "member", "seq")), batch["content"]):
+                    out.add(package, member, seq, content.as_py() or b"")
+                    yield from out.listed()
+            yield from out.listed(True)
+
+    return segment
+
+
+def _run(scratch: str) -> str:
+    return scratch.rstrip("/").rsplit("/", 1)[-1]
+
+
+@contextlib.contextmanager
+def _bodies_of(folder: str, run: str) -> Iterator[None]:
+    """Bodies of a run that fails go with it."""
+    folder = local_folder(folder)
+    os.makedirs(folder, exist_ok=True)
+    try:
+        yield
+    except BaseException:
+        discard(folder, run)
+        raise
+
+
+def _line_segments(lines: DataFrame, opened: Callable) -> DataFrame:
+    ship_package(lines.sparkSession)
+    if "notes" not in lines.columns:
+        lines = lines.withColumn("notes", F.lit(None).cast("string"))
+    placed = lines.select("package", "seq", "text", "notes").repartition("package", F.floor(F.col("seq") / BLOCK_LINES))
+    return placed.sortWithinPartitions("package", "seq").mapInArrow(_segment_lines(opened), SEGMENT_SCHEMA)
+
+
+def _staged_segments(segments: DataFrame, scratch: str) -> DataFrame:
+    segments.write.parquet(f"{scratch}/segments")
+    # a segment without text only tells of lines that were removed
+    return _segments_of(segments.sparkSession, scratch).where("raw > 0 or seq = 0").drop("notes")
 
 
 def _advance(crc: int, power: int) -> int:
@@ -371,41 +517,34 @@ def write_packages(
 
     ``lines(package, seq, text)`` becomes the data table of each package, in order; ``files``
     are the other members, in parts. Blocks of lines are spread by hash, sorted and compressed
-    where they lie; places follow from the sizes alone, and the checksum of a member is put
-    together from those of its segments; so a package of any size is the work of many tasks.
+    where they lie, and put aside on the mount; from there on only rows of sizes and places move. Places follow from the
+    sizes alone, and the checksum of a member is put together from those of its segments; so a package of any size is the work of many tasks.
     """
-    spark = lines.sparkSession
-    segments = (
-        lines.select("package", "seq", "text")
-        .repartition("package", F.floor(F.col("seq") / BLOCK_LINES))
-        .sortWithinPartitions("package", "seq")
-        .mapInArrow(_compress_lines, SEGMENT_SCHEMA)
-    )
-    if files is not None:
-        parts = files.where(F.col("member") != model.DATA_FILE).select("package", "member", "seq", "content")
-        segments = segments.unionByName(parts.mapInArrow(_compress_parts, SEGMENT_SCHEMA))
-    segments.write.parquet(f"{scratch}/segments")
-    segments = spark.read.parquet(f"{scratch}/segments")
-
-    sized = sums_before(segments.drop("content"), ["package", "member"], "seq", ["raw", "comp"])
-    share = _crc_share("crc", F.col("raw_total") - F.col("raw_before") - F.col("raw"))
-    sized.withColumn("share", share).write.parquet(f"{scratch}/sized")
-    sized = spark.read.parquet(f"{scratch}/sized")
-    _entries(sized).write.parquet(f"{scratch}/entries")
-    entries = spark.read.parquet(f"{scratch}/entries")
+    spark, run = lines.sparkSession, _run(scratch)
+    with _bodies_of(folder, run):
+        opened = _segmenter(local_folder(folder), run, packed=True)
+        segments = _line_segments(lines, opened)
+        if files is not None:
+            parts = files.where(F.col("member") != model.DATA_FILE).select("package", "member", "seq", "content")
+            segments = segments.unionByName(parts.mapInArrow(_segment_parts(opened), SEGMENT_SCHEMA))
+        segments = _staged_segments(segments, scratch)
+        sized = sums_before(segments, ["package", "member"], "seq", ["raw", "comp"])
+        share = _crc_share("crc", F.col("raw_total") - F.col("raw_before") - F.col("raw"))
+        sized.withColumn("share", share).write.parquet(f"{scratch}/sized")
+        sized = spark.read.parquet(f"{scratch}/sized")
+        _entries(sized).write.parquet(f"{scratch}/entries")
+        entries = spark.read.parquet(f"{scratch}/entries")
+        return write_placed(_archive_parts(sized, entries), folder, run)
+
+
+def _archive_parts(sized: DataFrame, entries: DataFrame) -> DataFrame:
+    """Where everything goes: segments by reference, and the records of the archives."""
     directories = entries.groupBy("package").agg(
         F.count("*").alias("n"), F.sum("central").alias("directory"), F.sum("span").alias("directory_at")
     )
-
     starts = entries.select("package", "member", (F.col("start") + F.col("head")).alias("_start"))
-    offsets = lookup_join(sized, starts, ["package", "member"], how="inner").select(
-        "package", "member", "seq", (F.col("_start") + F.col("comp_before")).alias("offset")
-    )
-    bodies = (
-        segments.where(F.col("comp") > 0)
-        .select("package", "member", "seq", "content")
-        .join(offsets, ["package", "member", "seq"])
-        .select(F.col("package").alias("file"), "offset", "content")
+    bodies = lookup_join(sized.where("comp > 0"), starts, ["package", "member"], how="inner").select(
+        F.col("package").alias("file"), (F.col("_start") + F.col("comp_before")).alias("offset"), F.col("comp").alias("size"), _no_content(), "body", "at"
     )
     records = (
         entries.join(directories.select("package", "directory_at"), "package")
@@ -413,6 +552,6 @@ def write_packages(
         .select("package", "member", "crc", "raw", "comp", "start", "big", "far", "central_at")
         .mapInArrow(_records, PLACED_SCHEMA)
     )
-    ends = directories.mapInArrow(_ends, PLACED_SCHEMA)
-    placed = bodies.unionByName(records).unionByName(ends)
-    return write_placed(placed, folder, scratch)
+    placed = records.unionByName(directories.mapInArrow(_ends, PLACED_SCHEMA))
+    none = {"body": F.lit(None).cast("string"), "at": F.lit(None).cast("long")}
+    return bodies.unionByName(placed.withColumn("size", F.octet_length("content").cast("long")).withColumns(none))

@@ -1,21 +1,39 @@
 """Files assembled in place by many tasks.
 
 Every task writes its parts of a file at their offsets, so a file of any size is never collected
-anywhere. The target must be a folder all executors have mounted. Writing a part twice
-writes the same bytes to the same place, so a repeated task does no harm.
+anywhere. What a file is made of need not go through the plan: a task may put bytes aside in a body file of its own, and later
+tasks copy ranges of such files, or of any others, to their places. The target must be a folder all executors have mounted.
+
+The writer is a data source of Spark: files grow in a hidden folder of the run; when all tasks are done the driver checks
+their sizes and gives them their names, and if the job fails it removes the hidden folder. Writing a part twice writes the
+same bytes to the same place, so a repeated task does no harm.
 """
 
 from __future__ import annotations
 
 import contextlib
 import os
-from collections.abc import Iterable, Iterator
+import shutil
+import uuid
+from collections import Counter
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+from pyspark.sql.types import StructType
+
+from kelpline.session import ship_package
 
 BLOCK = 131_072
+#: So many bytes of a file next to each other are written by one task.
+RANGE_BYTES = 8 * 1024 * 1024
+COPY_BYTES = 1024 * 1024
+#: Names are given by so many threads of the driver.
+NAMING_THREADS = 16
 
 
 def local_folder(path: str) -> str:
@@ -50,70 +68,165 @@ def sums_before(df: DataFrame, keys: list[str], order: str, values: list[str]) -
     )
 
 
-def _writer(folder: str, run: str):
-    def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            files, offsets = batch["file"].to_pylist(), batch["offset"].to_pylist()
-            sizes = []
-            for file, offset, content in zip(files, offsets, batch["content"]):
-                data = content.as_buffer()
-                handle = os.open(f"{folder}/.{run}.{file}", os.O_WRONLY | os.O_CREAT, 0o644)
-                try:
-                    done = 0
-                    while done < data.size:
-                        done += os.pwrite(handle, memoryview(data)[done:], offset + done)
-                finally:
-                    os.close(handle)
-                sizes.append(data.size)
-            yield pa.RecordBatch.from_pydict({"file": files, "size": pa.array(sizes, pa.int64())})
-
-    return write
-
-
-def _finisher(folder: str, run: str):
-    """Give complete files their names. A file is complete if it has as many bytes as its parts; one that
-    stands already counts only if this run has marked it so."""
-
-    def finish(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for file, size in zip(batch["file"].to_pylist(), batch["size"].to_pylist()):
-                part, whole, mark = f"{folder}/.{run}.{file}", f"{folder}/{file}", f"{folder}/.{run}.{file}.done"
-                if os.path.exists(part):
-                    found = os.path.getsize(part)
-                    if found != size:
-                        raise OSError(f"{part} has {found} bytes of {size}: is {folder} mounted on all executors?")
-                    open(mark, "w").close()
-                    os.replace(part, whole)
-                elif not (os.path.exists(mark) and os.path.exists(whole) and os.path.getsize(whole) == size):
-                    raise FileNotFoundError(f"{part} was not written: is {folder} mounted on all executors?")
-            yield batch
-
-    return finish
-
-
-def _unmarker(folder: str, run: str):
-    def unmark(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for file in batch["file"].to_pylist():
-                with contextlib.suppress(FileNotFoundError):
-                    os.remove(f"{folder}/.{run}.{file}.done")
-            yield batch
-
-    return unmark
-
-
-def write_placed(parts: DataFrame, folder: str, scratch: str) -> DataFrame:
-    """Write ``parts(file, offset, content)`` as files of ``folder`` and list them with their sizes.
-
-    Files get their names only when complete; a file that exists is replaced. Parts must not overlap.
+def run_folder(folder: str, run: str) -> str:
+    """Where a run keeps its bodies and the files that have no name yet."""
+    return f"{folder}/.{run}"
+
+
+def discard(folder: str, run: str) -> None:
+    shutil.rmtree(run_folder(folder, run), ignore_errors=True)
+
+
+class BodyFile:
+    """Bytes a task puts aside. The name is that of an attempt, so attempts never meet; rows tell the one that counts."""
+
+    def __init__(self, folder: str, run: str):
+        self.path = f"{run_folder(folder, run)}/bodies/{uuid.uuid4().hex}"
+        self.file, self.size = None, 0
+
+    def put(self, data: bytes) -> int:
+        """Add bytes; where they begin."""
+        if self.file is None:
+            os.makedirs(os.path.dirname(self.path), exist_ok=True)
+            self.file = open(self.path, "wb")
+        self.file.write(data)
+        self.size += len(data)
+        return self.size - len(data)
+
+    def close(self) -> None:
+        if self.file is not None:
+            self.file.close()
+
+
+class _Open:
+    """The file used last, by its path, since rows are in the order of files."""
+
+    def __init__(self, flags: int):
+        self.flags, self.path, self.handle = flags, None, None
+
+    def at(self, path: str) -> int:
+        if path != self.path:
+            self.close()
+            if self.flags & os.O_CREAT:
+                os.makedirs(os.path.dirname(path), exist_ok=True)
+            self.handle, self.path = os.open(path, self.flags, 0o644), path
+        return self.handle
+
+    def close(self) -> None:
+        if self.handle is not None:
+            os.close(self.handle)
+        self.path = self.handle = None
+
+
+def _put(target: int, offset: int, data: memoryview) -> None:
+    done = 0
+    while done < len(data):
+        done += os.pwrite(target, data[done:], offset + done)
+
+
+def _copy(source: int, at: int, target: int, offset: int, size: int, path: str) -> None:
+    """A range of one file to a place in another; the kernel does it where it can."""
+    in_kernel = hasattr(os, "copy_file_range")
+    while size:
+        n = 0
+        if in_kernel:
+            try:
+                n = os.copy_file_range(source, target, size, at, offset)
+            except OSError:
+                in_kernel = False
+                continue
+        else:
+            data = os.pread(source, min(size, COPY_BYTES), at)
+            _put(target, offset, memoryview(data))
+            n = len(data)
+        if not n:
+            raise OSError(f"{path} is shorter than it was")
+        at, offset, size = at + n, offset + n, size - n
+
+
+@dataclass
+class Written(WriterCommitMessage):
+    """Bytes that a task wrote, by file."""
+
+    sizes: dict[str, int] = field(default_factory=dict)
+
+
+class PlacedWriter(DataSourceArrowWriter):
+    def __init__(self, folder: str, run: str):
+        self.folder, self.run = folder, run
+
+    def _part(self, file: str) -> str:
+        return f"{run_folder(self.folder, self.run)}/parts/{file}"
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
+        sizes: Counter[str] = Counter()
+        target, source = _Open(os.O_WRONLY | os.O_CREAT), _Open(os.O_RDONLY)
+        with contextlib.closing(target), contextlib.closing(source):
+            for batch in iterator:
+                columns = (batch[c].to_pylist() for c in ("file", "offset", "size", "body", "at"))
+                for file, offset, size, body, at, content in zip(*columns, batch["content"]):
+                    handle = target.at(self._part(file))
+                    if body is None:
+                        _put(handle, offset, memoryview(content.as_buffer()))
+                    else:
+                        _copy(source.at(body), at, handle, offset, size, body)
+                    sizes[file] += size
+        return Written(dict(sizes))
+
+    def _name(self, file: str, size: int) -> None:
+        part, whole = self._part(file), f"{self.folder}/{file}"
+        found = os.path.getsize(part) if os.path.exists(part) else None
+        if found != size:
+            raise OSError(f"{part} has {found} bytes of {size}: is {self.folder} mounted on all executors?")
+        os.makedirs(os.path.dirname(whole), exist_ok=True)
+        os.replace(part, whole)
+
+    def commit(self, messages: list[WriterCommitMessage | None]) -> None:
+        """Give the files their names; each is complete or has none."""
+        sizes: Counter[str] = Counter()
+        # as many names as there are files; their parts are the tasks'
+        for message in messages:
+            sizes.update(message.sizes if isinstance(message, Written) else {})
+        with ThreadPoolExecutor(NAMING_THREADS) as pool:
+            for _ in pool.map(lambda item: self._name(*item), sizes.items()):
+                pass
+        discard(self.folder, self.run)
+
+    def abort(self, messages: list[WriterCommitMessage | None]) -> None:
+        discard(self.folder, self.run)
+
+
+class PlacedFiles(DataSource):
+    """Only to be written: ``file, offset, size, content, body, at``; options ``folder`` and ``run``."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "placed_files"
+
+    def writer(self, schema: StructType, overwrite: bool) -> PlacedWriter:
+        return PlacedWriter(self.options["folder"], self.options["run"])
+
+
+def write_placed(parts: DataFrame, folder: str, run: str | None = None) -> DataFrame:
+    """Write ``parts`` as files of ``folder`` and list them: ``(file, size)``.
+
+    A part is ``(file, offset, content)``, or without content ``(file, offset, size, body, at)``: a range of the file
+    ``body``. Parts must not overlap. Files get their names only when all are complete; a file that exists is replaced.
     """
     spark, folder = parts.sparkSession, local_folder(folder)
-    run = scratch.rstrip("/").rsplit("/", 1)[-1]
+    ship_package(spark)
     os.makedirs(folder, exist_ok=True)
-    written = parts.select("file", "offset", "content").mapInArrow(_writer(folder, run), "file string, size long")
-    written.groupBy("file").agg(F.sum("size").alias("size")).write.parquet(f"{scratch}/written")
-    sizes = spark.read.parquet(f"{scratch}/written")
-    sizes.mapInArrow(_finisher(folder, run), "file string, size long").write.parquet(f"{scratch}/named")
-    named = spark.read.parquet(f"{scratch}/named")
-    named.mapInArrow(_unmarker(folder, run), "file string, size long").write.parquet(f"{scratch}/manifest")
-    return spark.read.parquet(f"{scratch}/manifest")
+    if "body" not in parts.columns:
+        parts = parts.withColumns({"size": F.octet_length("content").cast("long"), "body": F.lit(None).cast("string"), "at": F.lit(None).cast("long")})
+    run = uuid.uuid4().hex if run is None else run
+    # the rows are small and the bytes they stand for are not, so the rows are dealt out by number
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = parts.select("file", "offset", "size", "content", "body", "at").repartition(tasks, "file", F.floor(F.col("offset") / RANGE_BYTES))
+    spark.dataSource.register(PlacedFiles)
+    try:
+        dealt.sortWithinPartitions("file", "offset").write.format(PlacedFiles.name()).mode("append").option("folder", folder).option("run", run).save()
+    except Exception:
+        # the job may have failed before the writer began
+        discard(folder, run)
+        raise
+    return parts.groupBy("file").agg(F.sum("size").alias("size"))

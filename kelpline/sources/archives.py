@@ -1,33 +1,41 @@
 """Zip packages to tables.
 
-Each archive is opened once, in the task that holds it, and streamed into one staged
-table in the shared scratch folder. From there on every read is a Parquet scan that
-splits, so one large package no longer means one long task. Archives on mounted folders are opened by
-path; those on other file systems are read by Spark itself.
+The directory of each archive is read first: a row per member, with the place of its bytes. Members are then dealt out, so one archive is
+inflated by many tasks, and streamed into one staged table in the shared scratch folder; from there on every read is a Parquet scan that
+splits. Archives on mounted folders are opened by path, and so are those on file systems that the caller lets Arrow read; others
+come as rows of Spark, one task each and up to ``ROW_BYTES``: a larger one fails by itself.
 
 What cannot be kept as it is gets told: a package whose lines hold more cells than the header names, or that names a column
-with a meaning twice, fails; line ends inside cells and characters outside the encoding are counted in the log.
+with a meaning twice, fails; line ends inside cells, blank lines, characters outside the encoding, and members that are listed more than once are counted in
+the log. Of members of one name the last listed counts, as when an archive is unpacked.
 """
 
 from __future__ import annotations
 
+import codecs
 import hashlib
 import io
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kelpline import model
 from kelpline.functions.headers import HeaderColumn, column_names, repeated_known
 from kelpline.functions.names import base_name, version
-from kelpline.operators.lookups import lookup_join
-from kelpline.session import setting
+from kelpline.operators.lookups import fits_broadcast, lookup_join
+from kelpline.session import scratch_folder, setting, ship_package
 
 PART_BYTES = 1024 * 1024
 BATCH_BYTES = 8 * 1024 * 1024
+#: An archive that only Spark can read must fit a row.
+ROW_BYTES = 1024 * 1024 * 1024
+UTF_16_MARKS = (codecs.BOM_UTF16_LE, codecs.BOM_UTF16_BE)
+ENCRYPTED = 1
 
 STAGED_SCHEMA = (
     "kind string, package string, layout long, data_type_internal string, data_type string, member string, "
@@ -69,27 +77,40 @@ def list_packages(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     )
 
 
-def _open(path: str, content: bytes | None):
-    if content is not None:
-        return io.BytesIO(content)
-    return open("/" + path[len("file:") :].lstrip("/"), "rb")
+def _open(path: str):
+    """An archive by its path: mounted, or on a file system that Arrow knows."""
+    if path.startswith("/") or path.startswith("file:"):
+        return open("/" + path.removeprefix("file:").lstrip("/"), "rb")
+    for hadoop, arrow in (("s3a://", "s3://"), ("s3n://", "s3://")):
+        if path.startswith(hadoop):
+            path = arrow + path[len(hadoop) :]
+    system, name = fs.FileSystem.from_uri(path)
+    return pa.PythonFile(system.open_input_file(name), mode="r")
 
 
-def _text_lines(stream) -> Iterator[list[str]]:
+def _text_blocks(stream, told: dict[str, int | None]) -> Iterator[list[str]]:
     """Lines of a text member, some thousands at a time; only line feeds end a line."""
-    rest = b""
-    while chunk := stream.read(PART_BYTES):
-        chunk = rest + chunk
-        cut = chunk.rfind(b"\n") + 1
-        rest = chunk[cut:]
+    rest, encoding = stream.read(PART_BYTES), model.ENCODING
+    if rest.startswith(UTF_16_MARKS):
+        raise ValueError("the data table is marked as UTF-16")
+    if rest.startswith(codecs.BOM_UTF8):
+        # the mark tells the encoding, and is no part of the first name
+        rest, encoding = rest[len(codecs.BOM_UTF8) :], "utf-8"
+        told["Read as UTF-8, as the data table is marked"] = None
+    while rest:
+        cut = rest.rfind(b"\n") + 1
         if cut:
-            yield _decode(chunk[: cut - 1]).split("\n")
-    if rest:
-        yield _decode(rest).split("\n")
+            yield _decode(rest[: cut - 1], encoding).split("\n")
+        chunk = stream.read(PART_BYTES)
+        if not chunk:
+            if rest[cut:]:
+                yield _decode(rest[cut:], encoding).split("\n")
+            return
+        rest = rest[cut:] + chunk
 
 
-def _decode(data: bytes) -> str:
-    text = data.decode(model.ENCODING, errors="replace").replace("\r\n", "\n")
+def _decode(data: bytes, encoding: str = model.ENCODING) -> str:
+    text = data.decode(encoding, errors="replace").replace("\r\n", "\n")
     return text.removesuffix("\r")
 
 
@@ -113,24 +134,27 @@ class _Table:
     def __init__(self, package: str, rule: TypeRule):
         self.package, self.rule = package, rule
         self.common: dict = {}
-        self.notes = {"Unreadable characters": 0, "Line ends inside cells": 0, "Blank cells beyond the header": 0}
+        counted = ("Unreadable characters", "Line ends inside cells", "Blank cells beyond the header", "Blank lines left out")
+        self.notes: dict[str, int | None] = dict.fromkeys(counted, 0)
 
-    def rows(self, blocks: Iterable[list[str]]) -> Iterator[dict]:
-        header, described, seq = None, False, 0
-        for block in blocks:
-            block = [line for line in block if line]
+    def rows(self, stream) -> Iterator[dict]:
+        header, described, seq, place, blank = None, False, 0, 0, 0
+        for lines in _text_blocks(stream, self.notes):
+            block = [line for line in lines if line]
             if header is None and block:
-                header, block = block[0], block[1:]
+                header = block[0]
                 names = header.split(model.SEPARATOR)
                 if repeated := repeated_known(names):
                     raise ValueError(f"the header names {', '.join(repeated)} more than once")
-            if header is None:
-                continue
-            if not described and block:
-                yield self._header(header, *self.rule(names, block[0].split(model.SEPARATOR)))
+                skipped = lines.index(header) + 1
+                blank, place = blank + skipped - 1, place + skipped
+                lines, block = lines[skipped:], block[1:]
+            blank += len(lines) - len(block)
+            if header is not None and not described and block:
+                yield self._header(header, *self.rule(names, block[0].split(model.SEPARATOR)), some=True)
                 described = True
             if block:
-                self._check(block, seq, len(names))
+                self._check(lines, place, len(names))
                 n = len(block)
                 yield {
                     "kind": ["line"] * n,
@@ -139,46 +163,114 @@ class _Table:
                     "text": block,
                 }
                 seq += n
+            place += len(lines)
         if header is not None and not described:
-            yield self._header(header, "", "")
+            yield self._header(header, "", "", some=False)
+        self.notes["Blank lines left out"] = blank
         for text, n in self.notes.items():
-            if n:
+            if n != 0:
                 yield {"kind": ["note"], "package": [self.package], "seq": [n], "text": [text]}
 
-    def _header(self, header: str, internal: str, display: str) -> dict:
+    def _header(self, header: str, internal: str, display: str, some: bool) -> dict:
+        """``seq`` tells whether lines follow."""
         self.common = {"package": self.package, "layout": layout_id(header), "data_type_internal": internal}
-        return {"kind": ["header"], **{k: [v] for k, v in self.common.items()}, "data_type": [display], "seq": [0], "text": [header]}
+        return {"kind": ["header"], **{k: [v] for k, v in self.common.items()}, "data_type": [display], "seq": [int(some)], "text": [header]}
 
-    def _check(self, block: list[str], seq: int, width: int) -> None:
-        for i, line in enumerate(block):
+    def _check(self, lines: list[str], place: int, width: int) -> None:
+        for i, line in enumerate(lines):
             if line.count(model.SEPARATOR) >= width:
                 if any(line.split(model.SEPARATOR)[width:]):
-                    raise ValueError(f"line {seq + i + 1} has more cells than the header names")
+                    raise ValueError(f"line {place + i + 1} has more cells than the header names")
                 self.notes["Blank cells beyond the header"] += 1
             self.notes["Line ends inside cells"] += "\r" in line
             self.notes["Unreadable characters"] += "\ufffd" in line
 
 
-def _archive_rows(package: str, body, rule: TypeRule) -> Iterator[dict]:
-    with body, zipfile.ZipFile(body) as archive:
-        # the data table first, as its data type goes with the other members
-        infos = sorted(archive.infolist(), key=lambda i: (i.filename != model.DATA_FILE, i.filename))
-        if not infos or infos[0].filename != model.DATA_FILE:
-            raise ValueError(f"no {model.DATA_FILE}")
-        table = _Table(package, rule)
-        with archive.open(infos[0]) as stream:
-            yield from table.rows(_text_lines(stream))
-        kind = table.common.get("data_type_internal", "")
-        for info in infos[1:]:
-            common = {"package": [package], "data_type_internal": [kind], "member": [info.filename]}
-            if info.is_dir():
-                yield {"kind": ["folder"], **common, "seq": [0], "content": [b""]}
-                continue
-            with archive.open(info) as stream:
-                part, data = 0, stream.read(PART_BYTES)
-                while data or part == 0:
-                    yield {"kind": ["file"], **common, "seq": [part], "content": [data]}
-                    part, data = part + 1, stream.read(PART_BYTES)
+DIRECTORY_SCHEMA = (
+    "package string, path string, place int, member string, method int, flags int, header_at long, comp long, raw long, crc long, error string"
+)
+_DIRECTORY_ARROW = pa.schema(
+    [
+        ("package", pa.string()), ("path", pa.string()), ("place", pa.int32()), ("member", pa.string()), ("method", pa.int32()), ("flags", pa.int32()),
+        ("header_at", pa.int64()), ("comp", pa.int64()), ("raw", pa.int64()), ("crc", pa.int64()), ("error", pa.string()),
+    ]
+)
+LOCAL_MAGIC, LOCAL_BYTES = b"PK\3\4", 30
+AGAIN = "Listed more than once, the last one is used: "
+
+
+def _directory(package: str, path: str, body) -> Iterator[dict]:
+    """A row per member with the place of its bytes; of a name that is listed again the last, and a row that tells of it."""
+    with zipfile.ZipFile(body) as archive:
+        infos = archive.infolist()
+    last = {info.filename: place for place, info in enumerate(infos)}
+    if model.DATA_FILE not in last:
+        raise ValueError(f"no {model.DATA_FILE}")
+    own = {"package": package, "path": path}
+    for place, info in enumerate(infos):
+        if last[info.filename] == place:
+            yield {
+                **own, "place": place, "member": info.filename, "method": info.compress_type, "flags": info.flag_bits, "header_at": info.header_offset,
+                "comp": info.compress_size, "raw": info.file_size, "crc": info.CRC,
+            }
+    for name in sorted({info.filename for place, info in enumerate(infos) if last[info.filename] != place}):
+        yield {**own, "error": AGAIN + name}
+
+
+def _directories(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for package, path in zip(batch["package"].to_pylist(), batch["path"].to_pylist()):
+            try:
+                with _open(path) as body:
+                    rows = list(_directory(package, path, body))
+            except Exception as e:
+                rows = [{"package": package, "path": path, "place": -1, "error": f"{type(e).__name__}: {e}"}]
+            yield pa.RecordBatch.from_pylist(rows, schema=_DIRECTORY_ARROW)
+
+
+def _member_stream(body, row: dict):
+    """The inflated bytes of a member, checked against its checksum at their end."""
+    if row["flags"] & ENCRYPTED:
+        raise ValueError(f"{row['member']} is encrypted")
+    body.seek(row["header_at"])
+    fixed = body.read(LOCAL_BYTES)
+    if fixed[:4] != LOCAL_MAGIC:
+        raise zipfile.BadZipFile(f"{row['member']} is not where the directory tells")
+    # names and extra fields of a member's own header may differ from the directory's
+    body.seek(int.from_bytes(fixed[26:28], "little") + int.from_bytes(fixed[28:30], "little"), io.SEEK_CUR)
+    info = zipfile.ZipInfo(row["member"])
+    info.compress_type, info.compress_size, info.file_size, info.CRC = row["method"], row["comp"], row["raw"], row["crc"]
+    return zipfile.ZipExtFile(body, "r", info)
+
+
+def _member_rows(body, row: dict, rule: TypeRule) -> Iterator[dict]:
+    common = {"package": [row["package"]], "member": [row["member"]]}
+    if row["member"].endswith("/"):
+        yield {"kind": ["folder"], **common, "seq": [0], "content": [b""]}
+        return
+    stream = _member_stream(body, row)
+    if row["member"] == model.DATA_FILE:
+        yield from _Table(row["package"], rule).rows(stream)
+        return
+    part, data = 0, stream.read(PART_BYTES)
+    while data or part == 0:
+        yield {"kind": ["file"], **common, "seq": [part], "content": [data]}
+        part, data = part + 1, stream.read(PART_BYTES)
+
+
+def _error(package: str, e: Exception) -> dict:
+    return {"kind": ["error"], "package": [package], "text": [f"{type(e).__name__}: {e}"]}
+
+
+def _in_batches(rows: Iterable[dict]) -> Iterator[pa.RecordBatch]:
+    pending, size = [], 0
+    for columns in rows:
+        pending.append(_batch(columns))
+        size += pending[-1].nbytes
+        if size >= BATCH_BYTES:
+            yield from _joined(pending)
+            pending, size = [], 0
+    yield from _joined(pending)
 
 
 def _batch(columns: dict) -> pa.RecordBatch:
@@ -188,57 +280,112 @@ def _batch(columns: dict) -> pa.RecordBatch:
     )
 
 
-def _unzipper(rule: TypeRule):
-    def unzip(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _inflater(rule: TypeRule):
+    """Members, sorted by where they lie, to staged rows; an archive stays open while its members follow each other."""
+
+    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
+        path, body = None, None
+        try:
+            for batch in batches:
+                for row in batch.to_pylist():
+                    try:
+                        if row["path"] != path:
+                            if body is not None:
+                                body.close()
+                            path, body = None, None
+                            body = _open(row["path"])
+                            path = row["path"]
+                        yield from _member_rows(body, row, rule)
+                    except Exception as e:
+                        yield _error(row["package"], e)
+        finally:
+            if body is not None:
+                body.close()
+
+    return lambda batches: _in_batches(rows(batches))
+
+
+def _whole(rule: TypeRule):
+    """Archives in rows to staged rows."""
+
+    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            for package, path, content in zip(batch["package"].to_pylist(), batch["path"].to_pylist(), batch["content"]):
-                pending, size = [], 0
+            for package, content in zip(batch["package"].to_pylist(), batch["content"]):
                 try:
-                    for columns in _archive_rows(package, _open(path, content.as_py()), rule):
-                        pending.append(_batch(columns))
-                        size += pending[-1].nbytes
-                        if size >= BATCH_BYTES:
-                            yield from _joined(pending)
-                            pending, size = [], 0
+                    body = pa.BufferReader(content.as_buffer())
+                    for row in _directory(package, "", pa.PythonFile(body, mode="r")):
+                        if row.get("member") is None:
+                            yield {"kind": ["note"], "package": [package], "seq": [None], "text": [row["error"]]}
+                        else:
+                            yield from _member_rows(body, row, rule)
                 except Exception as e:
-                    pending.append(_batch({"kind": ["error"], "package": [package], "text": [f"{type(e).__name__}: {e}"]}))
-                yield from _joined(pending)
+                    yield _error(package, e)
 
-    return unzip
+    return lambda batches: _in_batches(rows(batches))
 
 
 def _joined(pending: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from pa.Table.from_batches(pending, _ARROW).combine_chunks().to_batches()
 
 
-def _opened(packages: DataFrame) -> DataFrame:
-    """Packages with their bodies where they are not on a mounted folder."""
-    mounted = F.startswith("path", F.lit("file:")) | F.startswith("path", F.lit("/"))
-    by_path = packages.select("package", "path", F.lit(None).cast("binary").alias("content"))
-    if "content" not in packages.columns or packages.where(~mounted).isEmpty():
-        return by_path
-    return packages.select("package", "path", "content")
+def member_rows(directory: DataFrame, data_type: TypeRule = default_data_type) -> DataFrame:
+    """Rows of a directory to staged rows. Members are dealt by number over as many tasks as the session shuffles to, so neither many
+    archives nor one with many members is the work of one task."""
+    tasks = int(directory.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = directory.where("member is not null").repartition(tasks, "package", "place").sortWithinPartitions("path", "header_at")
+    return dealt.mapInArrow(_inflater(data_type), STAGED_SCHEMA)
+
+
+def _told(rows: DataFrame, kind: str, text: Column) -> DataFrame:
+    missing = {"layout": "long", "data_type_internal": "string", "data_type": "string", "member": "string", "seq": "long", "content": "binary"}
+    return rows.select(F.lit(kind).alias("kind"), "package", text.alias("text"), *[F.lit(None).cast(t).alias(c) for c, t in missing.items()])
 
 
-def stage_packages(packages: DataFrame, folder: str, data_type: TypeRule = default_data_type) -> DataFrame:
-    """Unzip packages into a table, one pass over each archive.
+def stage_packages(
+    packages: DataFrame,
+    folder: str,
+    data_type: TypeRule = default_data_type,
+    by_arrow: Iterable[str] = (),
+    row_bytes: int = ROW_BYTES,
+) -> DataFrame:
+    """Unzip packages into a table, one pass over each member.
 
     Rows by ``kind``: ``header`` and ``line`` of the data table, ``file`` (other members, in
     parts of bounded size), ``folder``, ``note`` (what the log should tell), ``error`` (the package could not be read to its end),
     ``replaced``. Of several archives of one name, as of several folders, the one with the greatest path counts, as if they
-    had been published one after the other; the others are told.
+    had been published one after the other; the others are told. ``by_arrow`` names schemes of file systems that executors
+    may open by themselves, with their own credentials, such as ``s3a``; archives elsewhere off the mounts are rows of at most ``row_bytes``.
     """
     spark = packages.sparkSession
+    ship_package(spark)
     last = packages.groupBy("package").agg(F.max("path").alias("path"), F.count("*").alias("n"))
     repeated = last.where("n > 1").select("package", F.col("path").alias("_last"))
     other = packages.select("package", "path").join(repeated, "package").where("path <> _last")
     chosen = packages.join(other.select("path"), "path", "left_anti")
-    rows = _opened(chosen).mapInArrow(_unzipper(data_type), STAGED_SCHEMA)
-    missing = {"layout": "long", "data_type_internal": "string", "data_type": "string", "member": "string", "seq": "long", "content": "binary"}
-    told = other.select(F.lit("replaced").alias("kind"), "package", F.col("path").alias("text"), *[F.lit(None).cast(t).alias(c) for c, t in missing.items()])
+    opened = F.startswith("path", F.lit("/"))
+    for scheme in ("file", *by_arrow):
+        opened = opened | F.startswith("path", F.lit(f"{scheme}:"))
+    catalogue = f"{scratch_folder(spark)}/directory"
+    chosen.where(opened).select("package", "path").mapInArrow(_directories, DIRECTORY_SCHEMA).write.parquet(catalogue)
+    directory = spark.read.schema(DIRECTORY_SCHEMA).parquet(catalogue)
+    found = [
+        member_rows(directory, data_type),
+        _told(directory.where("place = -1"), "error", F.col("error")),
+        _told(directory.where("place is null"), "note", F.col("error")),
+        _told(other, "replaced", F.col("path")),
+    ]
+    if "content" in packages.columns and not packages.where(~opened).isEmpty():
+        # the length reaches the scan, which does not read what is too long
+        within = chosen.where((F.col("length") <= row_bytes) & ~opened)
+        found.append(within.select("package", "content").mapInArrow(_whole(data_type), STAGED_SCHEMA))
+        long = chosen.where((F.col("length") > row_bytes) & ~opened)
+        found.append(_told(long, "error", F.concat(F.lit("OSError: more than "), F.lit(row_bytes), F.lit(" bytes on a file system that is not mounted"))))
+    rows = found[0]
+    for more in found[1:]:
+        rows = rows.unionByName(more)
     # a writer per kind, so that no task sorts its rows by kind
     with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "8"):
-        rows.unionByName(told).write.partitionBy("kind").parquet(folder)
+        rows.write.partitionBy("kind").parquet(folder)
     return spark.read.schema(STAGED_SCHEMA).parquet(folder)
 
 
@@ -248,20 +395,33 @@ def _kind(staged: DataFrame, kind: str) -> DataFrame:
 
 def failed_packages(staged: DataFrame) -> DataFrame:
     """Packages that could not be read, with the reason; the others go on."""
-    return _kind(staged, "error").select(
-        "package", "text", F.concat("package", F.lit(" -> "), "text").alias("msg")
-    ).withColumnRenamed("text", "error")
+    failed = _kind(staged, "error").groupBy("package").agg(F.min("text").alias("error"))
+    return failed.select("package", "error", F.concat("package", F.lit(" -> "), "error").alias("msg"))
 
 
-def _readable(staged: DataFrame, rows: DataFrame) -> DataFrame:
-    """Rows of packages without an error: what was read before one occurred does not count."""
+class Unreadable(NamedTuple):
+    """Packages that failed, and what is known of their number; measured once, used by every read."""
+
+    packages: DataFrame
+    none: bool
+    small: bool
+
+
+def unreadable(staged: DataFrame) -> Unreadable:
     failed = _kind(staged, "error").select("package").distinct()
-    return lookup_join(rows, failed, ["package"], how="left_anti")
+    none = failed.isEmpty()
+    return Unreadable(failed, none, none or fits_broadcast(failed))
 
 
-def package_info(staged: DataFrame) -> DataFrame:
-    """One row per readable package: its names, data types, layout and header."""
-    rows = _readable(staged, _kind(staged, "header"))
+def _readable(staged: DataFrame, rows: DataFrame, failed: Unreadable | None = None) -> DataFrame:
+    """Rows of packages without an error: what was read before one occurred does not count."""
+    failed = unreadable(staged) if failed is None else failed
+    return rows if failed.none else lookup_join(rows, failed.packages, ["package"], how="left_anti", small=failed.small)
+
+
+def package_info(staged: DataFrame, failed: Unreadable | None = None) -> DataFrame:
+    """One row per readable package: its names, data types, layout and header, and whether it has lines."""
+    rows = _readable(staged, _kind(staged, "header"), failed)
     return rows.select(
         "package",
         base_name(F.col("package")).alias("base_name"),
@@ -270,6 +430,7 @@ def package_info(staged: DataFrame) -> DataFrame:
         "data_type",
         "layout",
         F.split("text", model.SEPARATOR, -1).alias("header"),
+        (F.col("seq") > 0).alias("has_lines"),
     )
 
 
@@ -280,10 +441,14 @@ def read_members(staged: DataFrame) -> DataFrame:
     return _readable(staged, other.unionByName(data))
 
 
-def read_files(staged: DataFrame) -> DataFrame:
-    """The bodies of all members but the data table, in parts; a folder is an empty member whose name ends in a slash."""
-    files = staged.where(F.col("kind").isin("file", "folder"))
-    return _readable(staged, files.select("package", "data_type_internal", "member", "seq", "content"))
+def read_files(staged: DataFrame, info: DataFrame | None = None, small: bool | None = None) -> DataFrame:
+    """The bodies of all members but the data table, in parts; a folder is an empty member whose name ends in a slash.
+
+    Of the packages of ``info``, whose data types go with them.
+    """
+    types = (package_info(staged) if info is None else info).select("package", "data_type_internal")
+    files = staged.where(F.col("kind").isin("file", "folder")).select("package", "member", "seq", "content")
+    return lookup_join(files, types, ["package"], how="inner", small=small).select("package", "data_type_internal", "member", "seq", "content")
 
 
 def numbered_header(header: Column) -> Column:
@@ -313,6 +478,7 @@ def read_data_table(
     data_types: Iterable[str] | None = None,
     columns: list[HeaderColumn] | None = None,
     info: DataFrame | None = None,
+    failed: Unreadable | None = None,
 ) -> DataFrame:
     """The data tables of all readable packages, or of some data types, as one table of text cells.
 
@@ -321,14 +487,16 @@ def read_data_table(
     package lacks, are blank. ``info`` may be given if it is at hand. Cells are cut in generated code; the place of
     each column is looked up per header.
     """
-    info = package_info(staged) if info is None else info
-    lines = _readable(staged, _kind(staged, "line"))
+    failed = unreadable(staged) if failed is None else failed
+    info = package_info(staged, failed) if info is None else info
+    lines = _readable(staged, _kind(staged, "line"), failed)
     if data_types is not None:
         chosen = F.col("data_type_internal").isin(*data_types)
         info, lines = info.where(chosen), lines.where(chosen)
     if columns is None:
-        every = {(c.name, c.number) for names in union_headers(info).values() for c in names}
-        order = {key: i for i, key in enumerate((c.name, c.number) for names in union_headers(info).values() for c in names)}
+        headers = union_headers(info).values()
+        every = {(c.name, c.number) for names in headers for c in names}
+        order = {key: i for i, key in enumerate((c.name, c.number) for names in headers for c in names)}
         columns = column_names(sorted(every, key=order.__getitem__))
     places = F.array(*[_place(c) for c in columns]).cast("array<int>")
     headers = info.select("layout", "header").dropDuplicates(["layout"]).withColumn("_h", numbered_header(F.col("header")))
@@ -350,15 +518,15 @@ def _place(column: HeaderColumn) -> Column:
     return F.get(own, F.lit(0))["pos"]
 
 
-def reading_notes(staged: DataFrame) -> DataFrame:
+def reading_notes(staged: DataFrame, failed: Unreadable | None = None) -> DataFrame:
     """Log rows for what reading changed or left out, counted when the archives were opened."""
-    notes = _readable(staged, _kind(staged, "note")).select(
+    notes = _readable(staged, _kind(staged, "note"), failed).select(
         "package", F.lit("warning").alias("level"), F.lit("validation").alias("log_type"),
-        F.concat("text", F.lit(" in "), F.col("seq"), F.lit(" lines")).alias("msg"),
+        F.when(F.col("seq").isNull(), F.col("text")).otherwise(F.concat("text", F.lit(" in "), F.col("seq"), F.lit(" lines"))).alias("msg"),
     )
-    failed = failed_packages(staged).select("package", F.lit("error").alias("level"), F.lit("workflow").alias("log_type"), "msg")
+    errors = failed_packages(staged).select("package", F.lit("error").alias("level"), F.lit("workflow").alias("log_type"), "msg")
     replaced = _kind(staged, "replaced").select(
         "package", F.lit("warning").alias("level"), F.lit("workflow").alias("log_type"),
         F.concat(F.lit("Another package of this name is used instead of "), "text").alias("msg"),
     )
-    return notes.unionByName(failed).unionByName(replaced)
+    return notes.unionByName(errors).unionByName(replaced)

@@ -136,7 +136,10 @@ def test_environment_and_removal(spark, incoming, tmp_path, lookups):
     )
     assert set(results) == {"PROD", "UTVTST"}
     stored = sorted(p.name for p in (tmp_path / "PROD" / "store").iterdir())
-    assert stored == ["hollow_version_1.zip", "noversion.zip", "Å_version_2020-01-01.zip"]
+    # nothing tells what to mask in a package of unknown type: it only goes where nothing is masked
+    assert stored == ["hollow_version_1.zip", "Å_version_2020-01-01.zip"]
+    assert any(r.package == "noversion.zip" and "no data type" in r.error for r in results["PROD"].failed.collect())
+    assert (tmp_path / "UTVTST" / "store" / "noversion.zip").exists() and results["UTVTST"].failed.count() == 2
     prod = read_zip(tmp_path / "PROD" / "data" / "Å_version_2020-01-01.zip")[model.DATA_FILE].decode("cp1252")
     follower = read_zip(tmp_path / "UTVTST" / "data" / "Å_version_2020-01-01.zip")[model.DATA_FILE].decode("cp1252")
     assert "\t999\t" in prod and "\t999\t" not in follower

@@ -11,6 +11,7 @@ from kelpline.operators.masks import select_columns_like
 from kelpline.plans.archives import Target, copy_to_environment, publish_archives
 from kelpline.policy import Policy
 from kelpline.session import scratch_folder
+from kelpline.sinks import packages as pk
 from kelpline.sinks import placed, stores
 from kelpline.sources import archives as src
 from kelpline.sources import tables
@@ -103,17 +104,34 @@ def test_names_in_headers():
 
 def test_a_lost_part_is_no_success(spark, tmp_path):
     (tmp_path / "x.bin").write_bytes(b"old content")
-    rows = spark.createDataFrame([("x.bin", 4)], "file string, size long")
+    writer = placed.PlacedWriter(str(tmp_path), "run")
     for size, part in ((11, None), (4, b"abc")):
         if part is not None:
-            (tmp_path / ".run.x.bin").write_bytes(part)
-        with pytest.raises(Exception, match="mounted on all executors"):
-            rows.withColumn("size", F.lit(size).cast("long")).mapInArrow(placed._finisher(str(tmp_path), "run"), "file string, size long").collect()
-    assert (tmp_path / "x.bin").read_bytes() == b"old content"
-    parts = spark.createDataFrame([("x.bin", 0, b"ne"), ("x.bin", 2, b"w")], "file string, offset long, content binary")
-    done = placed.write_placed(parts, str(tmp_path), scratch_folder(spark)).collect()
-    assert [(r.file, r["size"]) for r in done] == [("x.bin", 3)] and (tmp_path / "x.bin").read_bytes() == b"new"
-    assert not list(tmp_path.glob(".*.done"))
+            (tmp_path / ".run" / "parts").mkdir(parents=True)
+            (tmp_path / ".run" / "parts" / "x.bin").write_bytes(part)
+        with pytest.raises(OSError, match="mounted on all executors"):
+            writer.commit([placed.Written({"x.bin": size - 1}), None, placed.Written({"x.bin": 1})])
+    writer.abort([])
+    assert (tmp_path / "x.bin").read_bytes() == b"old content" and [p.name for p in tmp_path.iterdir()] == ["x.bin"]
+    parts = spark.createDataFrame([("x.bin", 0, b"ne"), ("x.bin", 2, b"w"), ("a/b.bin", 0, b"")], "file string, offset long, content binary")
+    done = placed.write_placed(parts, str(tmp_path)).collect()
+    assert {(r.file, r["size"]) for r in done} == {("x.bin", 3), ("a/b.bin", 0)} and (tmp_path / "x.bin").read_bytes() == b"new"
+    assert sorted(str(p.relative_to(tmp_path)) for p in tmp_path.rglob("*")) == ["a", "a/b.bin", "x.bin"]
+
+
+def test_a_failed_run_leaves_nothing(spark, tmp_path):
+    """A task that fails in the middle, also one that has written: no file, no hidden folder."""
+    (tmp_path / "body").write_bytes(b"0123456789")
+    out = tmp_path / "out"
+    rows = [("x.bin", 0, 10, None, str(tmp_path / "body"), 0), ("x.bin", 10, 10, None, str(tmp_path / "body"), 5)]
+    parts = spark.createDataFrame(rows, "file string, offset long, size long, content binary, body string, at long")
+    with pytest.raises(Exception, match="shorter than it was"):
+        placed.write_placed(parts, str(out))
+    assert list(out.iterdir()) == []
+    lines = spark.createDataFrame([("p", 0, "a"), ("p", 1, "b")], "package string, seq long, text string")
+    with pytest.raises(Exception, match="(?i)divi"):
+        pk.write_packages(lines.withColumn("text", F.when(F.col("seq") / (F.col("seq") - 1) > -5, "x")), str(out), scratch_folder(spark))
+    assert list(out.iterdir()) == []
 
 
 def test_copies_are_spread(spark, tmp_path):
