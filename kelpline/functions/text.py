@@ -43,7 +43,8 @@ def separated_line(joined: Column) -> Column:
 
     Lines that hold any are rare, so the slow replacement only meets those.
     """
-    clean = F.when(joined.rlike("[\t\r\n]"), F.translate(joined, "\t\r\n", "   ")).otherwise(joined)
+    control = F.contains(joined, F.lit("\t")) | F.contains(joined, F.lit("\r")) | F.contains(joined, F.lit("\n"))
+    clean = F.when(control, F.translate(joined, "\t\r\n", "   ")).otherwise(joined)
     return F.replace(clean, F.lit(NO_CHARACTER), F.lit(model.SEPARATOR))
 
 

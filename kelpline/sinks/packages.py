@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from kelpline import model
 from kelpline.functions.headers import HeaderColumn, shown
-from kelpline.functions.text import cell, joined_cells, printable_cell, separated_line
+from kelpline.functions.text import NO_CHARACTER, cell, joined_cells, printable_cell, separated_line
 from kelpline.operators.lookups import lookup_join, measured
 from kelpline.session import setting, ship_package
 from kelpline.sinks.placed import BodyFile, discard, local_folder, sums_before, write_placed
@@ -28,6 +28,8 @@ BLOCK_LINES = 16_384
 #: Parts in which the members of a package are placed.
 MEMBER_CUTS = 4096
 INTERNAL_COLUMNS = ["package", "layout", "_line", "_type", "_notes", "_removed"]
+#: With so many headers at most, the order of cells is part of the expressions.
+FOLDED_LAYOUTS = 4
 #: Between the notes of a line.
 NOTE_END = "\x1f"
 
@@ -122,17 +124,28 @@ def render_lines(
     layouts = typed.dropDuplicates(key).select(*key, order.alias("_places"))
     removed = F.col("_removed") if "_removed" in df.columns else F.lit(False)
     rows = df.where(~removed | notes.isNotNull()) if "_removed" in df.columns else df
-    rows = rows.select("package", *key, F.col("_line").alias("seq"), cells.alias("_cells"), notes.alias("notes"), removed.alias("_gone"))
-
-    def line(values: Column) -> Column:
-        return joined_cells(F.transform("_places", lambda i: F.get(values, i)))
-
-    layouts, small = measured(layouts)
-    body = lookup_join(rows, layouts, key, how="inner", small=small)
-    text = F.when(~F.col("_gone"), separated_line(line(F.col("_cells"))))
-    head = lookup_join(typed.select("package", *key), layouts, key, how="inner", small=small)
-    return body.select("package", "seq", text.alias("text"), "notes").unionByName(
-        head.select("package", head_of, separated_line(line(names)).alias("text"), F.lit(None).cast("string").alias("notes"))
+    blank = F.lit(None).cast("string").alias("notes")
+    few = layouts.limit(FOLDED_LAYOUTS + 1).collect()
+    if len(few) <= FOLDED_LAYOUTS:
+        # few headers: the order of cells is part of the expression, and rows meet no table
+        def chosen(of: Callable[[list[int]], Column]) -> Column:
+            out = F.lit(None).cast("string")
+            for r in few:
+                same = F.col("layout") == r["layout"]
+                out = F.when(same & F.col("_type").eqNullSafe(r["_type"]) if "_type" in key else same, of(r["_places"])).otherwise(out)
+            return of(few[0]["_places"]) if len(few) == 1 else out
+
+        listed = [cell(F.col(c)) for c in columns]
+        body = rows.withColumn("text", chosen(lambda places: F.concat_ws(NO_CHARACTER, *[listed[i] for i in places])))
+        head = typed.select("package", *key).withColumn("text", chosen(lambda places: F.lit(NO_CHARACTER.join(shown(columns[i]) for i in places))))
+    else:
+        line = lambda values: joined_cells(F.transform("_places", lambda i: F.get(values, i)))
+        layouts, small = measured(layouts)
+        body = lookup_join(rows.withColumn("_cells", cells), layouts, key, how="inner", small=small).withColumn("text", line(F.col("_cells")))
+        head = lookup_join(typed.select("package", *key), layouts, key, how="inner", small=small).withColumn("text", line(names))
+    text = F.when(~removed, separated_line(F.col("text")))
+    return body.select("package", F.col("_line").alias("seq"), text.alias("text"), notes.alias("notes")).unionByName(
+        head.select("package", head_of, separated_line(F.col("text")).alias("text"), blank)
     )
 
 

@@ -32,6 +32,8 @@ from kelpline.session import scratch_folder, setting, ship_package
 
 PART_BYTES = 1024 * 1024
 BATCH_BYTES = 8 * 1024 * 1024
+#: With so many headers at most, the places of cells are part of the expressions.
+FOLDED_LAYOUTS = 4
 #: An archive that only Spark can read must fit a row.
 ROW_BYTES = 1024 * 1024 * 1024
 UTF_16_MARKS = (codecs.BOM_UTF16_LE, codecs.BOM_UTF16_BE)
@@ -504,11 +506,27 @@ def read_data_table(
     named = lines.select(
         "package", "layout", F.col("data_type_internal").alias("_type"), F.col("seq").alias("_line"), "text"
     )
-    joined = lookup_join(named, layouts, ["layout"], how="inner")
+    few = layouts.limit(FOLDED_LAYOUTS + 1).collect()
+    if len(few) <= FOLDED_LAYOUTS:
+        # few headers: places are part of the expressions, and lines meet no table
+        joined = named.where(F.col("layout").isin([r["layout"] for r in few])) if few else named.where("false")
+
+        def place(i: int) -> Column:
+            places = {r["layout"]: r["_places"][i] for r in few}
+            if len({*places.values()}) <= 1:
+                return F.lit(next(iter(places.values()), None)).cast("int")
+            out = F.lit(None).cast("int")
+            for layout, at in places.items():
+                out = F.when(F.col("layout") == layout, F.lit(at)).otherwise(out)
+            return out
+
+    else:
+        joined = lookup_join(named, layouts, ["layout"], how="inner")
+        place = lambda i: F.get("_places", F.lit(i))
     joined = joined.withColumn("_cells", F.split("text", model.SEPARATOR, -1))
 
     def cell(i: int) -> Column:
-        return F.coalesce(F.get("_cells", F.get("_places", F.lit(i))), F.lit(""))
+        return F.coalesce(F.get("_cells", place(i)), F.lit(""))
 
     return joined.select("package", "layout", "_type", "_line", *[cell(i).alias(c.column) for i, c in enumerate(columns)])
 
