@@ -10,12 +10,11 @@ or not, has a Jaccard similarity of ``PERCENT`` or more with it; the order is th
    are in one line only are left out.
 4. Lines that share a prefix token are paired if their sizes, the places of the token, and the parities of
    their tokens over 128 places (which bound the symmetric difference) allow the similarity.
-5. All lines of a token that pass the filters are paired. A token of up to ``DENSE`` lines is one task's; the lines of one with more are
-   dealt over up to ``SALTS`` shares, each of which meets all of its lines.
-   Where only the removal counts (``dedup_lines``) each line with a token of more lines first meets only two of them: the first
-   line that has it, and the one that has the most copies, as an original has beside its variants (two stars, two pairs for
-   each member). Lines with a match are done with there, and only lines without any go on to meet all earlier lines of such tokens.
-6. Pairs are verified on all their tokens, which are read from the texts again for these lines only.
+5. The lines of a token of up to ``DENSE`` lines are paired by the task that has it, and verified on all their tokens, which are read from the texts
+   again for these lines only.
+6. The lines of a token with more, which may be any share of all, are cut into shares of bounded size, and two shares meet in a tile of
+   one task, with their tokens. A tile verifies its pairs itself and only tells, per line, how many similar lines come earlier and which is the first,
+   so its output grows with its lines and not with their pairs. A pair counts where its first shared token is, so it counts once.
 
 Defined results: a line without a word is no line: it is neither counted nor removed; a null text has no
 lines; rows that repeat both id and text are one document, and each gets its result; documents without an id come last,
@@ -29,7 +28,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kelpline.llm.marks import id_filter, passes
@@ -49,14 +48,12 @@ LINES_AT_ONCE = 1 << 16
 SIZE_BITS = 24
 #: The rank of a count (see ``count_table``) from which a token is dense: 2,048 lines.
 DENSE = 88
-#: Shares of the lines of a dense token: one for so many lines, as far as the bound goes.
-SHARE, SALTS = 4096, 32
-#: Tokens are counted when so many have come together.
-TOKENS_AT_ONCE = 1 << 22
-#: Pairs of lines that are looked at together.
-PAIRS_AT_ONCE = 1 << 17
-#: Places of the count table in one row.
-CHUNK = 4096
+#: Lines, and tokens of lines, in one share of a dense token.
+SHARE, SHARE_TOKENS = 4096, 1 << 20
+#: Pairs of lines that are looked at together, and tokens of pairs that are verified together.
+PAIRS_AT_ONCE, PAIR_TOKENS = 1 << 17, 1 << 20
+#: Places of the count table in one row, and rows of it at once.
+CHUNK, CHUNKS_AT_ONCE = 4096, 64
 LAST = (1 << 63) - 1
 #: So many lists of tokens at most are one partition.
 FEW_LISTS = 20_000
@@ -145,25 +142,33 @@ LISTED = f"kind string, {LINE_COLUMNS}, n int, f long, sig long, counts binary"
 
 def _list_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Every line with its fingerprints, and at the end the task's counts of tokens."""
-    counts, waiting = np.zeros(PLACES, np.int64), []
+    counts = np.zeros(PLACES, np.uint32)
     for whole in batches:
         for batch in small_slices(whole, "text"):
             lines = Lines(batch["text"])
             if not len(lines.size):
                 continue
-            waiting.append((lines.tokens & np.uint64(PLACES - 1)).astype(np.int32))
-            if sum(map(len, waiting)) >= TOKENS_AT_ONCE:
-                counts += np.bincount(np.concatenate(waiting), minlength=PLACES)
-                waiting = []
+            places, times = np.unique((lines.tokens & np.uint64(PLACES - 1)).astype(np.int32), return_counts=True)
+            counts[places] += times.astype(np.uint32)
             f, sig, _ = lines.fingerprints()
             yield _rows("line", batch, lines, np.arange(len(lines.size)), f, sig)
-    if waiting:
-        counts += np.bincount(np.concatenate(waiting), minlength=PLACES)
-    chunks = counts.reshape(-1, CHUNK)
-    used = np.flatnonzero(chunks.any(axis=1))
-    nulls = {c: pa.nulls(len(used), t) for c, t in (("key", pa.int64()), ("line", pa.int32()), ("n", pa.int32()), ("f", pa.int64()), ("sig", pa.int64()))}
-    packed = pa.array([chunks[c].tobytes() for c in used], pa.binary())
-    yield pa.RecordBatch.from_pydict({"kind": pa.array(["count"] * len(used), pa.string()), "at": pa.array(used, pa.int64()), **nulls, "counts": packed})
+    used = np.flatnonzero(counts.reshape(-1, CHUNK).any(axis=1))
+    for low in range(0, len(used), CHUNKS_AT_ONCE):
+        some = used[low : low + CHUNKS_AT_ONCE]
+        nulls = {c: pa.nulls(len(some), t) for c, t in (("key", pa.int64()), ("line", pa.int32()), ("n", pa.int32()), ("f", pa.int64()), ("sig", pa.int64()))}
+        packed = pa.array([packed_counts(counts[c * CHUNK : (c + 1) * CHUNK]) for c in some], pa.binary())
+        yield pa.RecordBatch.from_pydict({"kind": pa.array(["count"] * len(some), pa.string()), "at": pa.array(some, pa.int64()), **nulls, "counts": packed})
+
+
+def packed_counts(counts: np.ndarray) -> bytes:
+    """Places that count, and their counts: as long as there are such places."""
+    places = np.flatnonzero(counts)
+    return places.astype(np.uint16).tobytes() + counts[places].tobytes()
+
+
+def unpacked_counts(data) -> tuple[np.ndarray, np.ndarray]:
+    n = len(data) // 6
+    return np.frombuffer(data, np.uint16, n), np.frombuffer(data, np.uint32, n, 2 * n)
 
 
 def _rows(kind: str, batch: pa.RecordBatch, lines: Lines, chosen: np.ndarray, f: np.ndarray, sig: np.ndarray) -> pa.RecordBatch:
@@ -186,8 +191,10 @@ def _add_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for chunk, counts in zip(batch["at"].to_pylist(), batch["counts"]):
-            own = sums.setdefault(chunk, np.zeros(CHUNK, np.int64))
-            own += np.frombuffer(counts.as_buffer(), np.int64)
+            places, times = unpacked_counts(counts.as_buffer())
+            if chunk not in sums:
+                sums[chunk] = np.zeros(CHUNK, np.int64)
+            sums[chunk][places] += times
     ranks = [np.minimum(255, np.floor(np.log2(np.maximum(own, 1)) * 8)).astype(np.uint8).tobytes() for own in sums.values()]
     yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array(ranks, pa.binary())], names=["at", "ranks"])
 
@@ -262,20 +269,6 @@ def _token_lists(marks: np.ndarray):
     return read
 
 
-def _possible(percent: int) -> Column:
-    """Whether the sizes, the places of the shared token and the parities allow the similarity."""
-    size = lambda x: F.col(f"{x}.f").bitwiseAND((1 << SIZE_BITS) - 1)
-    n, m = size("x"), size("y")
-    long = (n == (1 << SIZE_BITS) - 1) | (m == (1 << SIZE_BITS) - 1)
-    # the least overlap: t / (1 + t) of both sizes
-    need = F.ceil(F.lit(percent) * (n + m) / F.lit(100 + percent))
-    sizes = (F.lit(100) * n >= F.lit(percent) * m) & (F.lit(100) * m >= F.lit(percent) * n)
-    reach = F.least(n - F.col("x.place"), m - F.col("y.place")) >= need
-    odd = [F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in ("sig", "sig2")]
-    parity = odd[0] + odd[1] <= n + m - 2 * need
-    return long | (sizes & reach & parity)
-
-
 #: Pairs; and, with their (negative) token and place, rows of dense tokens, whose second parity stands in ``gsig``.
 PAIRS = "f long, sig long, g long, gsig long, t long, place int"
 
@@ -283,9 +276,36 @@ PAIRS = "f long, sig long, g long, gsig long, t long, place int"
 _PAIR_NAMES = ["f", "sig", "g", "gsig", "t", "place"]
 
 
+def _candidates(t: np.ndarray, place: np.ndarray, sigs: tuple[np.ndarray, np.ndarray], size: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of a token that sizes, places and parities allow. Rows are sorted by token and size, so that a row's partners
+    are the next ones, as far as the size allows."""
+    # where a row's partners end: the next token, or a size too large
+    group = np.cumsum(np.r_[False, t[1:] != t[:-1]])
+    longest = size.max() + 1
+    reach = np.minimum(size * 100 // percent, longest - 1)
+    reach[size == (1 << SIZE_BITS) - 1] = longest - 1
+    end = np.searchsorted(group * longest + size, group * longest + reach, "right")
+    partners = end - np.arange(len(t)) - 1
+    ends = np.cumsum(partners)
+    low = 0
+    while low < len(t):
+        base = ends[low] - partners[low]
+        high = max(low + 1, int(np.searchsorted(ends, base + PAIRS_AT_ONCE, "right")))
+        n = partners[low:high]
+        x = np.repeat(np.arange(low, high), n)
+        y = x + 1 + np.arange(len(x)) - np.repeat(ends[low:high] - n - base, n)
+        both = size[x] + size[y]
+        need = -(-percent * both // (100 + percent))
+        # of a signed number the bits of its magnitude would be counted
+        odd = sum(np.bitwise_count((s[x] ^ s[y]).view(np.uint64)).astype(np.int64) for s in sigs)
+        possible = (np.minimum(size[x] - place[x], size[y] - place[y]) >= need) & (odd <= both - 2 * need)
+        possible |= size[y] == (1 << SIZE_BITS) - 1
+        yield x[possible], y[possible]
+        low = high
+
+
 def _sparse_pairs(percent: int):
-    """The possible pairs of a partition by token: rows are sorted by token and size, so that a row's partners
-    are the next ones, as far as the size allows. A token has few rows, whatever the number of lines."""
+    """The possible pairs of a partition by token. A token has few rows, whatever the number of lines."""
 
     def pair(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [[b[c].to_numpy() for c in ("t", "place", "sig", "sig2", "f")] for b in batches]
@@ -303,28 +323,7 @@ def _sparse_pairs(percent: int):
         size = f & ((1 << SIZE_BITS) - 1)
         order = np.lexsort((size, t))
         t, place, sig, sig2, f, size = (c[order] for c in (t, place, sig, sig2, f, size))
-        # where a row's partners end: the next token, or a size too large
-        group = np.cumsum(np.r_[False, t[1:] != t[:-1]])
-        longest = size.max() + 1
-        reach = np.minimum(size * 100 // percent, longest - 1)
-        reach[size == (1 << SIZE_BITS) - 1] = longest - 1
-        end = np.searchsorted(group * longest + size, group * longest + reach, "right")
-        partners = end - np.arange(len(t)) - 1
-        ends = np.cumsum(partners)
-        low = 0
-        while low < len(t):
-            base = ends[low] - partners[low]
-            high = max(low + 1, int(np.searchsorted(ends, base + PAIRS_AT_ONCE, "right")))
-            n = partners[low:high]
-            x = np.repeat(np.arange(low, high), n)
-            y = x + 1 + np.arange(len(x)) - np.repeat(ends[low:high] - n - base, n)
-            both = size[x] + size[y]
-            need = -(-percent * both // (100 + percent))
-            # of a signed number the bits of its magnitude would be counted
-            odd = sum(np.bitwise_count((s[x] ^ s[y]).view(np.uint64)).astype(np.int64) for s in (sig, sig2))
-            possible = (np.minimum(size[x] - place[x], size[y] - place[y]) >= need) & (odd <= both - 2 * need)
-            possible |= size[y] == (1 << SIZE_BITS) - 1
-            x, y = x[possible], y[possible]
+        for x, y in _candidates(t, place, (sig, sig2), size, percent):
             other = (f[x] != f[y]) | (sig[x] != sig[y])
             x, y = x[other], y[other]
             swap = (f[x] > f[y]) | ((f[x] == f[y]) & (sig[x] > sig[y]))
@@ -333,30 +332,101 @@ def _sparse_pairs(percent: int):
             x, y = x[first], y[first]
             columns = [pa.array(c) for c in (f[x], sig[x], f[y], sig[y])] + [pa.nulls(len(x), pa.int64()), pa.nulls(len(x), pa.int32())]
             yield pa.RecordBatch.from_arrays(columns, names=_PAIR_NAMES)
-            low = high
 
     return pair
 
 
-def _different() -> Column:
-    return (F.col("x.f") != F.col("y.f")) | (F.col("x.sig") != F.col("y.sig"))
-
-
-def _pairs(joined: DataFrame) -> DataFrame:
-    """Pairs of classes, each once, the lesser first."""
-    ids = lambda x: F.struct(F.col(f"{x}.f").alias("f"), F.col(f"{x}.sig").alias("sig"))
-    found = joined.select(F.least(ids("x"), ids("y")).alias("a"), F.greatest(ids("x"), ids("y")).alias("b"))
-    return found.select(F.col("a.f").alias("f"), F.col("a.sig").alias("sig"), F.col("b.f").alias("g"), F.col("b.sig").alias("gsig")).distinct()
-
-
-def _verified(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose sets are similar. Only the lines of pairs are read again."""
-    ids = pairs.select("f", "sig").union(pairs.select("g", "gsig")).distinct()
+# -- dense tokens ----------------------------------------------------------------------------
+
+TOLD = "f long, sig long, earlier struct<at:long,key:long,line:int>, links long"
+_PLACE_ARROW = pa.struct([("at", pa.int64()), ("key", pa.int64()), ("line", pa.int32())])
+_TOLD_ARROW = pa.schema([("f", pa.int64()), ("sig", pa.int64()), ("earlier", _PLACE_ARROW), ("links", pa.int64())])
+
+
+def _similar(x: np.ndarray, y: np.ndarray, keys: np.ndarray, begin: np.ndarray, size: np.ndarray, token: int, percent: int) -> np.ndarray:
+    """Which pairs of lines are similar on all their tokens, and share none before ``token`` in the order of rarity."""
+    n, m = size[x], size[y]
+    pair = np.repeat(np.arange(len(x)), n + m)
+    of = np.stack([x, y], axis=1).reshape(-1)
+    sizes = size[of]
+    take = np.arange(sizes.sum()) + np.repeat(begin[of] - (np.cumsum(sizes) - sizes), sizes)
+    # pairs are in order already: tokens of a pair next to each other, by rarity
+    both = np.lexsort((keys[take], pair))
+    found, pair = keys[take][both], pair[both]
+    twice = np.flatnonzero((found[1:] == found[:-1]) & (pair[1:] == pair[:-1]))
+    shared = np.bincount(pair[twice], minlength=len(x))
+    first = np.full(len(x), -1, np.int64)
+    # the last assignment stays: that of the first shared token
+    first[pair[twice[::-1]]] = found[twice[::-1]]
+    return (first == token) & (100 * shared >= percent * (n + m - shared))
+
+
+def _tile(ranks: np.ndarray, percent: int):
+    """The lines of two shares of a dense token to what each line has earlier: how many similar lines, and the first of them."""
+
+    def meet(rows: pa.Table) -> pa.Table:
+        token, one, two = (rows[c][0].as_py() for c in ("t", "i", "j"))
+        f, sig, sig2, place, share = (rows[c].to_numpy() for c in ("f", "sig", "sig2", "place", "share"))
+        where = rows["first"].combine_chunks()
+        at, key, line = (where.field(c).to_numpy() for c in ("at", "key", "line"))
+        items = rows["items"].combine_chunks()
+        tokens = items.flatten().to_numpy().astype(np.uint64)
+        size = np.diff(items.offsets.to_numpy()).astype(np.int64)
+        keys = ((ranks[(tokens & np.uint64(PLACES - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(40)) | (tokens & _LOW)).astype(np.int64)
+        begin = np.cumsum(size) - size
+        order = np.argsort(f & ((1 << SIZE_BITS) - 1), kind="stable")
+        f, sig, sig2, place, share, at, key, line, size, begin = (c[order] for c in (f, sig, sig2, place, share, at, key, line, size, begin))
+        rank = np.empty(len(f), np.int64)
+        rank[np.lexsort((line, key, at))] = np.arange(len(f))
+        links, earlier = np.zeros(len(f), np.int64), np.full(len(f), len(f))
+        for x, y in _candidates(np.zeros(len(f), np.int64), place, (sig, sig2), f & ((1 << SIZE_BITS) - 1), percent):
+            if one != two:
+                across = share[x] != share[y]
+                x, y = x[across], y[across]
+            total = np.cumsum(size[x] + size[y])
+            low = 0
+            while low < len(x):
+                high = max(low + 1, int(np.searchsorted(total, (total[low - 1] if low else 0) + PAIR_TOKENS, "right")))
+                a, b = x[low:high], y[low:high]
+                near = _similar(a, b, keys, begin, size, -token - 1, percent)
+                a, b = a[near], b[near]
+                late, soon = np.where(rank[a] > rank[b], a, b), np.minimum(rank[a], rank[b])
+                links += np.bincount(late, minlength=len(f))
+                np.minimum.at(earlier, late, soon)
+                low = high
+        told = np.flatnonzero(links)
+        by_rank = np.empty(len(f), np.int64)
+        by_rank[rank] = np.arange(len(f))
+        first = by_rank[earlier[told]]
+        places = pa.StructArray.from_arrays([pa.array(c[first], kind) for c, kind in ((at, pa.int64()), (key, pa.int64()), (line, pa.int32()))], fields=list(_PLACE_ARROW))
+        return pa.Table.from_arrays([pa.array(f[told]), pa.array(sig[told]), places, pa.array(links[told])], schema=_TOLD_ARROW)
+
+    return meet
+
+
+def _dense_matches(dense: DataFrame, ranks, percent: int) -> DataFrame:
+    """What the lines ``t, place, sig, sig2, f, first, items`` have earlier among the lines of the same dense tokens, tile by tile."""
+    size = F.size("items").cast("long")
+    shares = F.greatest(F.ceil(F.count("*") / SHARE), F.ceil(F.sum(size) / SHARE_TOKENS)).cast("int")
+    # how many shares a token has: a row per dense token
+    sized = dense.groupBy("t").agg(shares.alias("_n"), F.count("*").alias("_lines")).where("_lines > 1").drop("_lines")
+    dealt = dense.join(sized, "t").withColumn("share", F.pmod(F.xxhash64("f", "sig"), F.col("_n")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_o")
+    tiles = dealt.select("*", other).withColumns({"i": F.least("share", "_o"), "j": F.greatest("share", "_o")}).drop("_n", "_o")
+    tile = lambda rows: _tile(ranks.value, percent)(rows)
+    return tiles.groupBy("t", "i", "j").applyInArrow(tile, TOLD)
+
+
+def _lists(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """All tokens of the lines ``ids(f, sig)``. Only these lines are read again."""
     marks = texts.sparkSession.sparkContext.broadcast(id_filter(ids.select(F.shiftright("f", SIZE_BITS).alias("h")), "h"))
     read = lambda batches: _token_lists(marks.value)(batches)
     lists = texts.mapInArrow(read, "f long, sig long, items array<long>")
-    lists = lists.join(ids, ["f", "sig"], "left_semi").dropDuplicates(["f", "sig"])
-    lists = fitted(lists, FEW_LISTS)
+    return fitted(lists.join(ids, ["f", "sig"], "left_semi").dropDuplicates(["f", "sig"]), FEW_LISTS)
+
+
+def _verified(pairs: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose sets are similar."""
     other = lists.select(F.col("f").alias("g"), F.col("sig").alias("gsig"), F.col("items").alias("others"))
     both = pairs.join(lists, ["f", "sig"]).join(other, ["g", "gsig"])
     shared = F.size(F.array_intersect("items", "others"))
@@ -364,76 +434,39 @@ def _verified(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     return both.where(similar).select("f", "sig", "g", "gsig")
 
 
-def _matches(classes: DataFrame, links: DataFrame) -> DataFrame:
-    """``f, sig`` of classes with the first line of the earliest class that is similar and earlier, and how many such classes there are."""
+def _told(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """Links to what the later class of each has earlier."""
     firsts = classes.select("f", "sig", "first")
     ends = links.join(firsts, ["f", "sig"]).join(firsts.toDF("g", "gsig", "other"), ["g", "gsig"])
     later = F.col("first") > F.col("other")
-    told = ends.select(
-        F.when(later, F.struct("f", "sig")).otherwise(F.struct(F.col("g").alias("f"), F.col("gsig").alias("sig"))).alias("id"),
-        F.least("first", "other").alias("earlier"),
-    )
-    return told.groupBy("id.f", "id.sig").agg(F.min("earlier").alias("earlier"), F.count("*").alias("links"))
-
+    id = F.when(later, F.struct("f", "sig")).otherwise(F.struct(F.col("g").alias("f"), F.col("gsig").alias("sig")))
+    return ends.select(id.alias("id"), F.least("first", "other").alias("earlier")).select("id.f", "id.sig", "earlier", F.lit(1).cast("long").alias("links"))
 
-def _stars(dense: DataFrame, percent: int) -> DataFrame:
-    """Every line of a dense token with the first line that has it, and with the one that has the most copies."""
-    place, row = F.struct("at", "key", "line"), F.struct("place", "sig", "sig2", "f")
-    # the latest of those with as many copies: any will do
-    centres = dense.groupBy("t").agg(F.min_by(row, place).alias("a"), F.max_by(row, F.struct("copies", "at", "key", "line")).alias("b"), F.count("*").alias("_n"))
-    centres = centres.where("_n > 1").select("t", F.explode(F.array_distinct(F.array("a", "b"))).alias("y")).select("t", "y.*")
-    return dense.alias("x").join(centres.alias("y"), F.col("x.t") == F.col("y.t")).where(_possible(percent) & _different())
 
-
-def _all_met(dense: DataFrame, condition: Column) -> DataFrame:
-    """The pairs of lines of a dense token: the lines are dealt over shares by their sets, and each share meets all."""
-    shares = F.least(F.lit(SALTS), F.ceil(F.count("*") / SHARE)).cast("int")
-    dense = dense.join(dense.groupBy("t").agg(shares.alias("_n")), "t")
-    shared = dense.withColumn("_share", F.pmod(F.xxhash64("f", "sig"), F.col("_n")).cast("int"))
-    whole = dense.withColumn("_share", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    same = (F.col("x.t") == F.col("y.t")) & (F.col("x._share") == F.col("y._share"))
-    return shared.alias("x").join(whole.alias("y"), same).where(condition)
-
-
-def similar_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, dense_rank: int = DENSE, every: bool = True) -> DataFrame:
+def similar_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, dense_rank: int = DENSE) -> DataFrame:
     """A row per line with a word: ``at, key, line`` (document order and key, line from 0), ``n`` distinct tokens,
-    ``first`` (the place of the first line of equal tokens), ``match`` (the place of an earlier line that it repeats, null
-    if there is none), ``kept``, and ``links``, the number of other sets of tokens that are similar and stand earlier than the first line of its own.
-
-    Of lines of other sets ``match`` is the earliest similar one. Without ``every`` it is any, and ``links`` is at least 1 where there are some."""
+    ``first`` (the place of the first line of equal tokens), ``match`` (the place of the earliest line that it repeats, null
+    if there is none), ``kept``, and ``links``, the number of other sets of tokens that are similar and stand earlier than the first line of its own."""
     spark = docs.sparkSession
     ship_package(spark)
     texts = _documents(docs, doc_id, text)
     listed = staged(texts.mapInArrow(_list_lines, LISTED))
     lines = listed.where("kind = 'line'").drop("kind")
     place = F.struct("at", "key", "line")
-    classes = staged(lines.groupBy("f", "sig", "n").agg(F.min(place).alias("first"), F.count("*").alias("copies")))
+    classes = staged(lines.groupBy("f", "sig", "n").agg(F.min(place).alias("first")))
     ranks = spark.sparkContext.broadcast(count_table(listed.where("kind = 'count'")))
     # sparse tokens: all pairs, a bounded number for each line; rows of dense tokens go through
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     index = texts.mapInArrow(lambda b: _prefixes(ranks.value, percent, dense_rank)(b), INDEX).repartition(tasks, "d").drop("d")
     met = staged(index.mapInArrow(_sparse_pairs(percent), PAIRS))
     dense = met.where("t is not null").select("t", "place", "sig", F.col("gsig").alias("sig2"), "f").distinct()
-    dense = fitted(dense.join(classes.select("f", "sig", "copies", "first.*"), ["f", "sig"]))
-    here = lambda x: F.struct(f"{x}.at", f"{x}.key", f"{x}.line")
-    earlier = _possible(percent) & _different() & (here("y") < here("x"))
-    if every:
-        first = _all_met(dense, earlier)
-    else:
-        first = _stars(dense, percent)
-    met = met.where("t is null").select("f", "sig", "g", "gsig")
-    near = fitted(met.union(_pairs(first)).distinct())
-    links = fitted(_verified(texts, near, percent))
-    found = fitted(_matches(classes, links))
-    if not every:
-        # lines without a match meet all earlier lines of their dense tokens
-        rest = dense.join(found, ["f", "sig"], "left_anti")
-        full = rest.alias("x").join(dense.alias("y"), F.col("x.t") == F.col("y.t")).where(earlier)
-        more = fitted(_pairs(full).join(near, ["f", "sig", "g", "gsig"], "left_anti"))
-        if not more.isEmpty():
-            links = links.union(_verified(texts, more, percent))
-            found = fitted(_matches(classes, links))
-    classes = classes.drop("copies").join(found, ["f", "sig"], "left")
+    near = fitted(met.where("t is null").select("f", "sig", "g", "gsig").distinct())
+    ids = near.select("f", "sig").union(near.select("g", "gsig")).union(dense.select("f", "sig")).distinct()
+    lists = _lists(texts, ids)
+    whole = dense.join(classes.select("f", "sig", "first"), ["f", "sig"]).join(lists, ["f", "sig"])
+    told = _told(classes, _verified(near, lists, percent)).unionByName(_dense_matches(whole, ranks, percent))
+    found = fitted(told.groupBy("f", "sig").agg(F.min("earlier").alias("earlier"), F.sum("links").alias("links")))
+    classes = classes.join(found, ["f", "sig"], "left")
     told = lines.join(classes, ["f", "sig", "n"])
     match = F.when(place != F.col("first"), F.col("first")).otherwise(F.col("earlier"))
     return told.select("at", "key", "line", "n", "first", match.alias("match"), match.isNull().alias("kept"), F.coalesce("links", F.lit(0)).alias("links"))
@@ -445,7 +478,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
     Blank lines stay where they are; other columns are carried whatever their names.
     """
     # the numbers of a document's lines are never more than its text
-    gone = similar_lines(docs, doc_id, text, percent, every=False).where("not kept").groupBy("at", "key").agg(F.collect_set("line").alias("gone"))
+    gone = similar_lines(docs, doc_id, text, percent).where("not kept").groupBy("at", "key").agg(F.collect_set("line").alias("gone"))
     body, number = F.coalesce(F.col(text).cast("string"), F.lit("")), F.col(doc_id).cast("long")
     wrapped = docs.select(F.struct(*docs.columns).alias("doc"), F.coalesce(number, F.lit(LAST)).alias("at"), F.xxhash64(number, body).alias("key"))
     joined = wrapped.join(staged(gone), ["at", "key"], "left")

@@ -5,6 +5,7 @@ import random
 import re
 
 import brute
+import numpy as np
 import pytest
 from conftest import ROWS
 from pyspark.sql import functions as F
@@ -82,7 +83,6 @@ def test_words_begin_where_tokens_do(tokenizer):
 
 
 def test_packing():
-    import numpy as np
 
     numbers = np.array([0, 1, 127, 128, 16383, 16384, 2**21 - 1, 2**21, 2**28 - 1])
     assert (word_bpe.unpack(word_bpe.pack(numbers)) == numbers).all()
@@ -157,7 +157,6 @@ def test_near_duplicates_of_a_variant(spark):
 
 
 def test_densified_bins_agree_with_the_similarity():
-    import numpy as np
 
     rng = np.random.default_rng(5)
     hits = []
@@ -182,7 +181,8 @@ def check_lines(found, rows, with_id):
         assert r.kept == (first == key and not earlier), key
         if not r.kept:
             match = (r.match.at, r.match.line)
-            assert match == first if first != key else match in earlier
+            assert match == (first if first != key else min(earlier))
+        assert r.links == len(earlier), key
 
 
 def test_lines_odd(odd, empty):
@@ -234,6 +234,43 @@ def test_links_of_dense_tokens(spark):
             assert match == (r.match and (r.match.at, r.match.line))
 
 
+@pytest.mark.parametrize("share", [7, 64])
+def test_shares_of_dense_tokens(spark, monkeypatch, share):
+    """Tiles of two shares find what one task would."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(400):
+        line = [f"common{k}" for k in range(10)] + [f"w{rng.randint(0, 30)}" for _ in range(rng.randint(0, 6))]
+        for _ in range(rng.randint(0, 3)):
+            line[rng.randrange(len(line))] = f"own{rng.randint(0, 60)}"
+        rows.append((i, " ".join(line)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(line_dedup, "SHARE", share)
+    for tokens in (1 << 20, 50):
+        monkeypatch.setattr(line_dedup, "SHARE_TOKENS", tokens)
+        found = line_dedup.similar_lines(df, dense_rank=8).collect()
+        check_lines(found, rows, collections.Counter((r.at, r.line) for r in found))
+
+
+def test_one_token_in_fifty_thousand_lines(spark):
+    """Every line has it; each has one partner besides, which is all that is found."""
+    n = 50_000
+    tokens = F.concat_ws(" ", F.lit("everywhere"), *[F.concat(F.lit(f"g{k}x"), F.floor(F.col("id") / 2)) for k in range(7)], F.concat(F.lit("own"), "id"))
+    df = spark.range(n).select(F.col("id").alias("doc_id"), tokens.alias("text"))
+    found = line_dedup.similar_lines(df)
+    assert found.groupBy("kept", "links").count().orderBy("kept").collect() == [(False, 1, n // 2), (True, 0, n // 2)]
+    assert found.where("not kept and match.at <> at - 1").count() == 0
+
+
+def test_what_a_task_sends_of_counts_follows_its_text():
+    counts = np.zeros(line_dedup.CHUNK, np.uint32)
+    assert line_dedup.packed_counts(counts) == b""
+    counts[[0, 7, 4095]] = [1, 2**32 - 1, 9]
+    packed = line_dedup.packed_counts(counts)
+    places, times = line_dedup.unpacked_counts(packed)
+    assert len(packed) == 18 and places.tolist() == [0, 7, 4095] and times.tolist() == [1, 2**32 - 1, 9]
+
+
 def test_dedup_lines(odd, empty):
     found = line_dedup.dedup_lines(odd)
     assert found.columns == odd.columns
@@ -246,7 +283,6 @@ def test_dedup_lines(odd, empty):
 
 
 def test_compact_windows():
-    import numpy as np
 
     rng = np.random.default_rng(3)
     for _ in range(200):
@@ -426,7 +462,6 @@ def test_mix_given(docs):
 
 def test_splitting_tree():
     """Quotas add up, shards are alike, and sources are spread as in a random permutation."""
-    import numpy as np
 
     draws = [1000, 10, 0, 490]
     quotas = np.array([mixing.shard_quota(draws, k, 12, 1) for k in range(12)])
