@@ -73,6 +73,16 @@ FROM (VALUES ('RC', 58e0, 14e0), ('RG', 60e0, 17e0), ('RO', 56e0, 19e0)) AS a(ar
 CROSS JOIN (SELECT cast({i} AS int) AS i FROM {series}) AS s
 """
 
+#: A coast of 20,000 vertices within a hundredth of a degree, one of as many within a ten-thousandth, and a coarse area.
+CLUSTERED_AREAS = """
+SELECT a.area, i + 1 AS seq,
+  a.lat + a.size * (1e0 + 0.3e0 * sin(37e0 * i * 6.283185307179586e0 / 20000e0)) * sin(i * 6.283185307179586e0 / 20000e0) AS lat,
+  a.lon + a.size * (1e0 + 0.3e0 * sin(53e0 * i * 6.283185307179586e0 / 20000e0)) * cos(i * 6.283185307179586e0 / 20000e0) AS lon
+FROM (VALUES ('RC', 58.0011e0, 14.0012e0, 0.004e0), ('RG', 60.00001e0, 16.99998e0, 0.00004e0)) AS a(area, lat, lon, size)
+CROSS JOIN (SELECT cast({i} AS int) AS i FROM {series}) AS s
+UNION ALL SELECT * FROM (VALUES ('RO', 1, 55.05e0, 11.05e0), ('RO', 2, 55.05e0, 19.95e0), ('RO', 3, 60.45e0, 19.95e0), ('RO', 4, 60.45e0, 11.05e0)) AS t(area, seq, lat, lon)
+"""
+
 CODES = """
 SELECT f.field, cast(n_nationkey AS string) AS code, n_name || ' SV' AS name_sv
 FROM nation CROSS JOIN (VALUES ('sample_project'), ('sample_orderer'), ('sampling_laboratory'),
@@ -122,6 +132,7 @@ SQL = {
     "observations": OBSERVATIONS.format(**_TABLES),
     "areas": AREAS,
     "dense_areas": DENSE_AREAS.format(i="r", series="(SELECT unnest(range(20000)) AS r) AS q"),
+    "clustered_areas": CLUSTERED_AREAS.format(i="r", series="(SELECT unnest(range(20000)) AS r) AS q"),
     "codes": CODES,
     "packages": PACKAGES.format(**_TABLES),
     "removals": REMOVALS.format(**_TABLES),
@@ -150,6 +161,10 @@ def dense_areas(spark: SparkSession) -> DataFrame:
     return spark.sql(DENSE_AREAS.format(i="id", series="range(20000)"))
 
 
+def clustered_areas(spark: SparkSession) -> DataFrame:
+    return spark.sql(CLUSTERED_AREAS.format(i="id", series="range(20000)"))
+
+
 def codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = F.explode(F.array(*map(F.lit, model.NAME_SV_FIELDS)))
     return table(spark, sf_dir, "nation").select(

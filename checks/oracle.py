@@ -5,7 +5,7 @@ from __future__ import annotations
 from checks.fixtures import SQL
 
 NAME_FIELDS = ["sample_project", "sample_orderer", "sampling_laboratory", "analytical_laboratory", "reporting_institute"]
-NEEDS = {"codes": (), "areas": (), "dense_areas": (), "rules": (), "members": ("packages",)}
+NEEDS = {"codes": (), "areas": (), "dense_areas": (), "clustered_areas": (), "rules": (), "members": ("packages",)}
 
 
 def with_tables(names: str, body: str, extra: str = "") -> str:
@@ -543,6 +543,9 @@ def _file_sql() -> dict[str, str]:
         "read_codes": with_tables("codes", "SELECT field, code, name_sv FROM codes"),
         "read_areas": _obs("SELECT row_number, location_rc, location_rg, location_ro FROM located", OBS_MASKED, "observations areas"),
         "read_rules": _obs(f"SELECT row_number, {RULED_PARAMETER} AS parameter, {RULED_SUBSTRATE} AS substrate FROM observations"),
+        "add_locations_clustered": _obs(
+            "SELECT row_number, location_rc, location_rg, location_ro FROM located", OBS_MASKED.replace("areas", "clustered_areas"), "observations clustered_areas"
+        ),
         "add_locations_dense": _obs(
             "SELECT row_number, location_rc, location_rg, location_ro FROM located", OBS_MASKED.replace("areas", "dense_areas"), "observations dense_areas"
         ),

@@ -505,6 +505,12 @@ def q_add_locations_dense(spark, sf):
     return geo.add_locations(df, fx.dense_areas(spark)).drop(model.LATITUDE, model.LONGITUDE)
 
 
+def q_add_locations_clustered(spark, sf):
+    """Coasts of 20,000 vertices in a hundredth and in a ten-thousandth of a degree, beside a coarse area."""
+    df = fx.observations(spark, sf).select("row_number", model.LATITUDE, model.LONGITUDE)
+    return geo.add_locations(df, fx.clustered_areas(spark)).drop(model.LATITUDE, model.LONGITUDE)
+
+
 def q_write_reports(spark, sf):
     folder = scratch_folder(spark)
     report.write_reports(fx.log(spark, sf), folder)

@@ -221,8 +221,8 @@ def inside(ring, y, x):
     return hit
 
 
-@pytest.mark.parametrize("per_degree,small", [(1, True), (4, None), (7, False), (None, None)])
-def test_locations_against_brute_force(spark, per_degree, small):
+@pytest.mark.parametrize("edges_per_cell,small", [(1000, True), (4, None), (1, False), (geo.EDGES_PER_CELL, None)])
+def test_locations_against_brute_force(spark, edges_per_cell, small):
     rng = random.Random(3)
     rings = {}
     for area in ("RC", "RG"):
@@ -238,7 +238,7 @@ def test_locations_against_brute_force(spark, per_degree, small):
     points += [(float(y), float(x)) for y in range(56, 60) for x in range(14, 19)]
     points += [v for ring in rings.values() for v in ring]
     df = spark.createDataFrame(points, "sample_latitude_dd double, sample_longitude_dd double")
-    found = geo.add_locations(df, areas, per_degree=per_degree, small=small).collect()
+    found = geo.add_locations(df, areas, edges_per_cell=edges_per_cell, small=small).collect()
     assert len(found) == len(points)
     for r in found:
         y, x = r.sample_latitude_dd, r.sample_longitude_dd
@@ -246,6 +246,44 @@ def test_locations_against_brute_force(spark, per_degree, small):
         assert (r.location_rc, r.location_rg, r.location_ro) == (want["RC"], want["RG"], want["RO"]), (y, x)
 
 
+def test_crowded_vertices(spark):
+    """Rings of hundreds of vertices in a few metres beside coarse ones: cells are cut there, and hold few edges all the same."""
+    rng = random.Random(8)
+    rings = {("RG", 1): [(50.0, 5.0), (50.0, 25.0), (62.0, 25.0), (62.0, 5.0)]}
+    for n, (cy, cx, size) in enumerate([(57.3, 12.4, 1e-2), (57.3001, 12.4002, 1e-4), (58.0, 13.0, 1e-3)]):
+        turns = [2 * math.pi * i / 700 for i in range(700)]
+        far = [size * (1 + 0.4 * math.sin(9 * t) + 0.05 * rng.random()) for t in turns]
+        rings[("RC", "RC", "RO")[n], n + 1] = [(cy + r * math.sin(t), cx + r * math.cos(t)) for t, r in zip(turns, far)]
+    areas = spark.createDataFrame([(a, p, i, y, x) for (a, p), ring in rings.items() for i, (y, x) in enumerate(ring)], AREA_SCHEMA)
+    points = [(c + rng.gauss(0, s), d + rng.gauss(0, s)) for c, d, s in ((57.3, 12.4, 1e-2), (57.3001, 12.4002, 1e-4), (58.0, 13.0, 1e-3), (57.0, 12.0, 3.0)) for _ in range(300)]
+    points += [v for ring in rings.values() for v in ring[::50]]
+    df = spark.createDataFrame(points, "sample_latitude_dd double, sample_longitude_dd double")
+    tables = geo.area_index(areas, ["RC", "RG", "RO"], few=False)
+    assert len(tables) > 3 and [t.count() for t in geo.area_index(areas, ["RC", "RG", "RO"])] == [t.count() for t in tables]
+    most = [t.select(F.max(F.greatest(*[F.aggregate(f"_cell_{a}", F.lit(0), lambda n, p: n + F.size(p["edges"])) for a in ("RC", "RG", "RO")]))).first()[0] for t in tables]
+    assert max(most) <= geo.EDGES_PER_CELL
+    assert sum(t.count() for t in tables) < 60_000
+    for r in geo.add_locations(df, areas).collect():
+        y, x = r.sample_latitude_dd, r.sample_longitude_dd
+        want = [any(inside(ring, y, x) for (b, _), ring in rings.items() if b == a) for a in ("RC", "RG", "RO")]
+        assert [r.location_rc, r.location_rg, r.location_ro] == want, (y, x)
+
+
+def test_many_edges_at_one_point(spark):
+    """What no cut can part stays together: forty triangles with a common corner."""
+    rings = {}
+    for i in range(40):
+        t = 2 * math.pi * i / 40
+        rings["RC", i] = [(57.0, 12.0), (57 + math.sin(t), 12 + math.cos(t)), (57 + math.sin(t + 0.1), 12 + math.cos(t + 0.1))]
+    areas = spark.createDataFrame([(a, p, i, y, x) for (a, p), ring in rings.items() for i, (y, x) in enumerate(ring)], AREA_SCHEMA)
+    rng = random.Random(2)
+    points = [(57 + rng.gauss(0, s), 12 + rng.gauss(0, s)) for s in (0.5, 1e-3, 1e-6, 1e-8) for _ in range(100)]
+    df = spark.createDataFrame(points, "sample_latitude_dd double, sample_longitude_dd double")
+    for r in geo.add_locations(df, areas).collect():
+        y, x = r.sample_latitude_dd, r.sample_longitude_dd
+        assert r.location_rc == any(inside(ring, y, x) for ring in rings.values())
+
+
 def test_projection(spark):
     grid = TransverseMercator(
         central_meridian=13 + 35 / 60 + 7.692 / 3600, scale=1.00000254, false_northing=-6226307.8640, false_easting=84182.8790
