@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from checks.compare import compare, connect
-from kelpline.llm import oracle, queries
+from kelpline.llm import line_dedup, oracle, queries
 from kelpline.llm.tables import DOCUMENT_COLUMNS, staged
 
 
@@ -92,6 +92,48 @@ def test_near_duplicate_stage_keeps_one_row_of_a_document(spark, odd, sf_dir):
     assert ids[1] == 1 and ids[2] == 0 and ids[None] == 1 and max(ids.values()) == 1
 
 
+def test_results_of_stages_stand_side_by_side(spark, odd, sf_dir):
+    """No call takes away what the result of another reads."""
+    for _, stage in corpus_pipeline.STAGES:
+        one, two = stage(spark, odd, sf_dir), stage(spark, odd, sf_dir)
+        assert one.count() == two.count() == one.count()
+
+
+def test_stages_on_odd_rows(spark, odd, sf_dir):
+    """What the docstrings state of nulls, empty texts, ties and repeated rows, against plain versions."""
+    rows = [r.asDict() for r in odd.select(*DOCUMENT_COLUMNS).collect()]
+    key = lambda d: (line_dedup.LAST if d["doc_id"] is None else d["doc_id"])
+    kept = collections.Counter(r.doc_id for r in corpus_pipeline.quality(spark, odd, sf_dir).collect())
+    assert not {d["doc_id"] for d in rows if not rules_pass(d["text"] or "")} & set(kept) and set(kept) <= {7, 8}
+
+    told = brute.lines(sorted({(key(d), d["text"]) for d in rows}, key=lambda x: x[0]))
+    expected = collections.Counter()
+    for d in rows:
+        lines = (d["text"] or "").split("\n")
+        left = "\n".join(x for n, x in enumerate(lines) if (y := told.get((key(d), n))) is None or y[1] == (key(d), n) and not y[2])
+        if brute.words(left):
+            expected[d["doc_id"], left] += 1
+    assert collections.Counter((r.doc_id, r.text) for r in corpus_pipeline.lines(spark, odd, sf_dir).collect()) == expected
+
+    groups = brute.near_duplicates(list({(d["doc_id"], d["text"]) for d in rows if d["doc_id"] is not None}))
+    near = collections.Counter((r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, odd, sf_dir).collect())
+    assert near == collections.Counter({(d["doc_id"], d["text"]) for d in rows if d["doc_id"] is None or groups[d["doc_id"]][1] == d["doc_id"]})
+
+    sizes = collections.Counter()
+    for d in rows:
+        sizes[d["source"]] += len(brute.words(d["text"], fold=False))
+    taken = collections.Counter()
+    for r in corpus_pipeline.mixed(spark, odd, sf_dir).collect():
+        assert brute.words(r.text) and r.n_chars == len(r.text)
+        taken[r.source] += len(brute.words(r.text, fold=False))
+    targets = brute.targets(dict(sizes))
+    assert all(abs(taken[s] - t) <= 1 for s, t in targets.items())
+
+    tokens = [(r.doc_id, r.text, r.n_tokens) for r in corpus_pipeline.tokens(spark, odd, sf_dir).collect()]
+    assert collections.Counter(t[:2] for t in tokens) == collections.Counter((d["doc_id"], d["text"] or "") for d in rows)
+    assert all(n == 0 for _, text, n in tokens if not text)
+
+
 def test_run(spark, sf_dir):
     assert entry.queries()["pipeline"](spark, sf_dir).where(F.col("n_tokens") > 0).count() > 0
 
@@ -104,5 +146,5 @@ def test_sql(spark, sf_dir, name):
 def test_all_are_registered():
     found = entry.queries()
     assert "pipeline" in found
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([q for q in found if q.startswith(f"op{n}_")]) == 1
