@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from kelpline.llm.marks import id_filter, passes
 from kelpline.llm.tables import fitted, shuffles_removed, staged
-from kelpline.llm.words import mix, small_slices, split_words, text_bytes
+from kelpline.llm.words import give_back, mix, small_slices, split_words, text_bytes
 from kelpline.session import ship_package
 
 PERCENT = 75
@@ -51,7 +51,7 @@ DENSE = 88
 #: Lines, and tokens of lines, in one share of a dense token.
 SHARE, SHARE_TOKENS = 4096, 1 << 20
 #: Pairs of lines that are looked at together, and tokens of pairs that are verified together.
-PAIRS_AT_ONCE, PAIR_TOKENS = 1 << 17, 1 << 20
+PAIRS_AT_ONCE, PAIR_TOKENS = 1 << 16, 1 << 19
 #: Places of the count table in one row, and rows of it at once.
 CHUNK, CHUNKS_AT_ONCE = 4096, 64
 LAST = (1 << 63) - 1
@@ -332,6 +332,8 @@ def _sparse_pairs(percent: int):
             x, y = x[first], y[first]
             columns = [pa.array(c) for c in (f[x], sig[x], f[y], sig[y])] + [pa.nulls(len(x), pa.int64()), pa.nulls(len(x), pa.int32())]
             yield pa.RecordBatch.from_arrays(columns, names=_PAIR_NAMES)
+        t = place = sig = sig2 = f = size = order = None
+        give_back()
 
     return pair
 

@@ -8,13 +8,15 @@
    Targets are therefore met exactly, to the word, but for the fraction.
 3. The block draws of all sources are split among the output shards by a binary tree: at each node the draws of the left half
    are a multivariate hypergeometric sample of the node's, so that shards have equal numbers of draws
-   and the mix of each is that of a random permutation of all, without making one. Every shard walks its own path
-   from the root with generators seeded by the nodes, so nothing but one row per source is in one place.
+   and the mix of each is that of a random permutation of all, without making one. Sources are taken in bundles of ``BUNDLE``: the draws of a node
+   are split among bundles, and those of a bundle among its sources, which is the same distribution. Every bundle walks the tree by itself
+   with generators seeded by the nodes, so nothing but the sources of a bundle, and one number per bundle, is in one place.
 4. A shard takes the next draws of a source's permuted order, as many as its quota says: shards are disjoint and
    together hold every draw. Documents are shuffled inside a shard by a hash.
 
 The number of blocks of a source is bounded (``MAX_BLOCKS``), so prefix sums over blocks are small whatever the
-number of documents; the mix is refused if there are more than ``MAX_SOURCES`` sources.
+number of documents. Any number of sources is mixed: their order comes from a range shuffle, the level of targets from sums over all, and tables
+of sources are broadcast only as far as their measured size allows.
 
 Defined results: a null text has no words and is never taken; a null source is one more source, the last; repeated rows are
 documents of their own; equal hashes are ordered by the row itself; an empty table, or one without words, gives
@@ -24,7 +26,7 @@ rows and seed give the same mix, whatever the partitions.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -32,6 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kelpline.llm.tables import BLANKS, WORD, staged
+from kelpline.operators.lookups import fits_broadcast, lookup_join
 from kelpline.session import ship_package
 
 WEIGHTS = (1, 2, 3)
@@ -39,8 +42,11 @@ MAX_REPEATS = 3
 SHARDS = 64
 BLOCK_WORDS = 65_536
 MAX_BLOCKS = 16_384
-MAX_SOURCES = 10_000
+#: Sources whose draws are split in one task.
+BUNDLE = 10_000
 SEED = 20
+#: Low bits of Spark's row numbers: the place in a partition.
+_IN_PARTITION = (1 << 33) - 1
 
 
 def text_size(text: str = "text") -> Column:
@@ -48,77 +54,90 @@ def text_size(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def _placed(rows: DataFrame, column: str) -> DataFrame:
+    """``rows`` with ``place``, from 0 in the order of ``column``, null last. ``column`` has no value twice."""
+    order = F.col(column).asc_nulls_last()
+    numbered = staged(rows.repartitionByRange(order).sortWithinPartitions(order).withColumn("_id", F.monotonically_increasing_id()))
+    part = F.shiftright("_id", 33).alias("_part")
+    # as many rows as partitions
+    sizes = sorted((r["_part"], r["n"]) for r in numbered.groupBy(part).agg(F.count("*").alias("n")).collect())
+    begins, before = [], 0
+    for number, n in sizes:
+        begins.append((number, before))
+        before += n
+    parts = numbered.sparkSession.createDataFrame(begins, "_part long, _begin long")
+    joined = numbered.withColumn("_part", part).join(F.broadcast(parts), "_part")
+    return joined.withColumn("place", F.col("_begin") + F.col("_id").bitwiseAND(_IN_PARTITION)).drop("_part", "_begin", "_id")
+
+
 def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
-    """``sizes(source, size)`` to ``source, source_size, weight, target``: weights by order of code points, null last."""
-    per_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
-    per_source = staged(per_source)
-    n = per_source.count()
-    if n > MAX_SOURCES:
-        raise ValueError(f"{n} sources; a mix takes {MAX_SOURCES} at most")
-    # one row per source
-    place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
+    """``sizes(source, size)`` to ``source, place, source_size, weight, target``: weights by order of code points, null last."""
+    per_source = staged(sizes.groupBy("source").agg(F.sum("size").alias("source_size")))
     listed = F.array(*[F.lit(float(w)) for w in weights])
-    weighed = staged(per_source.withColumn("weight", F.get(listed, F.pmod(place, F.lit(len(weights))))))
-    rows = weighed.select("source_size", "weight").collect()
-    level = _level([r.source_size for r in rows], [r.weight for r in rows], max_repeats)
+    weighed = staged(_placed(per_source, "source").withColumn("weight", F.get(listed, F.pmod("place", F.lit(len(weights))).cast("int"))))
     most = F.col("source_size").cast("double") * max_repeats
-    return weighed.withColumn("target", F.least(most, F.col("weight") * F.lit(level)))
+    return weighed.withColumn("target", F.least(most, F.col("weight") * F.lit(_level(weighed, max_repeats))))
 
 
-def _level(sizes: list[int], weights: list[float], max_repeats: int) -> float:
-    """Words per unit of weight, so that all targets, none above its bound, add up to all words."""
-    left, weight, level = float(sum(sizes)), sum(weights), 0.0
-    for size, own in sorted(zip(sizes, weights), key=lambda p: p[0] / p[1]):
-        level = left / weight
-        if max_repeats * size > level * own:
-            break
-        left -= max_repeats * size
-        weight -= own
-    return level
+def _level(weighed: DataFrame, max_repeats: int) -> float:
+    """Words per unit of weight, so that all targets, none above its bound, add up to all words.
+
+    The sum of targets is a concave function of the level, made of straight pieces: Newton's steps rise to the exact level and end
+    when no more sources are at their bound. A step is a sum over all sources.
+    """
+    total = weighed.agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("n")).first().n
+    level, bounded = 0.0, -1
+    while True:
+        full = F.lit(max_repeats) * F.col("source_size") <= F.col("weight") * F.lit(level)
+        found = weighed.agg(
+            F.sum(F.when(full, F.col("source_size"))).alias("full"), F.sum(F.when(~full, F.col("weight"))).alias("weight"), F.count(F.when(full, 1)).alias("n")
+        ).first()
+        if found.weight is None or found.n == bounded:
+            return level
+        bounded, level = found.n, (total - max_repeats * (found.full or 0)) / found.weight
 
 
 def _hashed(*columns: Column | str, seed: int, salt: str) -> Column:
     return F.xxhash64(F.lit(f"{salt}-{seed}"), *columns)
 
 
-def _split(counts: np.ndarray, capacity: int, seed: int, node: int) -> np.ndarray:
-    """How many draws of each source go left, if ``capacity`` of all do."""
-    generator = np.random.Generator(np.random.PCG64([seed, node]))
-    return generator.multivariate_hypergeometric(counts, capacity, method="marginals")
+def _split(counts: np.ndarray, capacity: int, seed: Sequence[int]) -> np.ndarray:
+    """How many draws of each go left, if ``capacity`` of all do."""
+    return np.random.Generator(np.random.PCG64(list(seed))).multivariate_hypergeometric(counts, capacity, method="marginals")
 
 
-def shard_quota(draws: Sequence[int], shard: int, shards: int, seed: int) -> np.ndarray:
-    """Draws of each source for one shard, found on the path from the root to its leaf."""
-    counts, low, high, node = np.asarray(draws, np.int64), 0, shards, 1
-    while high - low > 1:
+def bundle_quotas(own: Sequence[int], bundle: int, bundles: Sequence[int], shards: int, seed: int) -> np.ndarray:
+    """Draws for each shard (rows) of each source (columns) of one bundle, by the tree over shards."""
+    out = np.zeros((shards, len(own)), np.int64)
+    nodes = [(1, 0, shards, np.asarray(bundles, np.int64), np.asarray(own, np.int64))]
+    while nodes:
+        node, low, high, all_of_them, mine = nodes.pop()
+        if high - low == 1:
+            out[low] = mine
+            continue
         middle = (low + high) // 2
-        total = int(counts.sum())
-        left = _split(counts, total * (middle - low) // (high - low), seed, node)
-        if shard < middle:
-            counts, high, node = left, middle, 2 * node
-        else:
-            counts, low, node = counts - left, middle, 2 * node + 1
-    return counts
+        left = _split(all_of_them, int(all_of_them.sum()) * (middle - low) // (high - low), (seed, node))
+        of_mine = _split(mine, int(left[bundle]), (seed, node, bundle + 1))
+        nodes.append((2 * node, low, middle, left, of_mine))
+        nodes.append((2 * node + 1, middle, high, all_of_them - left, mine - of_mine))
+    return out
 
 
 def _quotas(sources: DataFrame, shards: int, seed: int) -> DataFrame:
     """``source, draws_before``: per source, the draws that the shards before each shard take."""
-    spark = sources.sparkSession
-    ordered = sources.orderBy(F.col("source").asc_nulls_last()).select("draws").collect()
-    draws = [r.draws for r in ordered]
+    bundled = sources.withColumn("_bundle", F.floor(F.col("place") / BUNDLE))
+    # one number for each bundle of sources
+    totals = {r["_bundle"]: r["n"] for r in bundled.groupBy("_bundle").agg(F.sum("draws").alias("n")).collect()}
+    bundles = [totals.get(i, 0) for i in range(max(totals, default=-1) + 1)]
 
-    def walk(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for shard in frame["id"]:
-                quota = shard_quota(draws, int(shard), shards, seed)
-                yield pd.DataFrame({"place": range(len(draws)), "shard": int(shard), "quota": quota})
+    def walk(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("place")
+        quotas = bundle_quotas(frame["draws"].tolist(), int(frame["_bundle"].iloc[0]), bundles, shards, seed)
+        before = np.cumsum(quotas, axis=0) - quotas
+        return pd.DataFrame({"place": frame["place"].to_numpy(), "draws_before": list(before.T)})
 
-    quotas = spark.range(shards).mapInPandas(walk, "place long, shard long, quota long")
-    listed = quotas.groupBy("place").agg(F.sort_array(F.collect_list(F.struct("shard", "quota"))).alias("q"))
-    before = F.transform("q", lambda x, i: F.aggregate(F.slice("q", 1, i), F.lit(0).cast("long"), lambda a, y: a + y["quota"]))
-    place = (F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1).cast("long")
-    numbered = sources.select("source", place.alias("place"))
-    return numbered.join(listed.select("place", before.alias("draws_before")), "place").drop("place")
+    walked = bundled.select("_bundle", "place", "draws").groupBy("_bundle").applyInPandas(walk, "place long, draws_before array<long>")
+    return sources.select("source", "place").join(walked, "place").drop("place")
 
 
 def _sizes(docs: DataFrame, text: str, row: str, seed: int) -> DataFrame:
@@ -150,20 +169,21 @@ def _plan(sizes: DataFrame, weights: Sequence[float], shards: int, max_repeats:
     targets = source_targets(sizes, weights, max_repeats)
     size, whole = F.col("source_size"), F.floor(F.col("target"))
     sources = targets.select(
-        "source", "source_size", "target",
+        "source", "place", "source_size", "target",
         F.least(F.lit(MAX_BLOCKS), F.greatest(F.lit(1), F.ceil(size / F.lit(block_words)))).cast("long").alias("n_blocks"),
         F.when(size > 0, F.floor(whole / size)).otherwise(0).alias("passes"),
         F.when(size > 0, whole % size).otherwise(0).cast("long").alias("rest"),
     )
     # a source is a key that may be null: a struct of it meets its like
     sources = staged(sources.withColumn("_source", F.struct("source")))
-    docs = sizes.withColumn("_source", F.struct("source")).join(F.broadcast(sources.drop("source")), "_source")
+    small = fits_broadcast(sources)
+    docs = lookup_join(sizes.withColumn("_source", F.struct("source")), sources.drop("source", "place"), ["_source"], "inner", small)
     docs = docs.withColumn("_block", F.pmod("_key", "n_blocks"))
     blocks = docs.groupBy("_source", "_block").agg(F.sum("size").alias("words"))
     # the order of blocks in the last pass; at most MAX_BLOCKS rows of a source
     order = Window.partitionBy("_source").orderBy(_hashed("_source", "_block", seed=seed, salt="rest"), "_block")
     blocks = blocks.withColumns({"_rank": F.row_number().over(order) - 1, "_before": F.sum("words").over(order) - F.col("words")})
-    blocks = blocks.join(F.broadcast(sources.select("_source", "rest", "passes", "n_blocks")), "_source")
+    blocks = lookup_join(blocks, sources.select("_source", "rest", "passes", "n_blocks"), ["_source"], "inner", small)
     left = F.greatest(F.lit(0).cast("long"), F.least(F.col("words"), F.col("rest") - F.col("_before")))
     blocks = blocks.withColumn("_left", left)
     # in a whole pass the order is that of another hash
@@ -177,7 +197,7 @@ def _plan(sizes: DataFrame, weights: Sequence[float], shards: int, max_repeats:
     blocks = staged(blocks.withColumns(ranks))
     last = blocks.groupBy("_source").agg(F.sum(F.when(F.col("_left") > 0, 1).otherwise(0)).alias("_partial"))
     drawn = sources.join(last, "_source", "left").select(
-        "source", "_source", (F.col("passes") * F.col("n_blocks") + F.coalesce("_partial", F.lit(0))).cast("long").alias("draws")
+        "source", "place", "_source", (F.col("passes") * F.col("n_blocks") + F.coalesce("_partial", F.lit(0))).cast("long").alias("draws")
     )
     drawn = staged(drawn)
     quotas = staged(_quotas(drawn, shards, seed).withColumn("_source", F.struct("source")).drop("source"))
@@ -186,7 +206,7 @@ def _plan(sizes: DataFrame, weights: Sequence[float], shards: int, max_repeats:
         F.when(F.col("passes") > p, F.struct(shard(F.col("n_blocks") * p + F.col(f"_rank{p}")).alias("shard"), F.lit(p).alias("pass")))
         for p in range(max_repeats)
     ]
-    placed = blocks.join(F.broadcast(quotas), "_source").select(
+    placed = lookup_join(blocks, quotas, ["_source"], "inner").select(
         "_source", "_block", "_left", (F.col("_left") < F.col("words")).alias("_cut"),
         F.filter(F.array(*full), lambda x: x.isNotNull()).alias("_full"),
         shard(F.col("n_blocks") * F.col("passes") + F.col("_rank")).alias("_shard"),

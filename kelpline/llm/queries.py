@@ -39,7 +39,7 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op5(spark: SparkSession, sf: str) -> DataFrame:
-    return mixing.plan_mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.plan_mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken", "draws")
 
 
 def op6(spark: SparkSession, sf: str) -> DataFrame:

@@ -25,6 +25,9 @@ def shuffles_removed(spark: SparkSession) -> contextlib.AbstractContextManager:
     return setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
+#: Rows in a batch that crosses to Python.
+BATCH_ROWS = 2000
+
 _watched: list[list[str]] = []
 
 
@@ -37,8 +40,8 @@ def staged(df: DataFrame) -> DataFrame:
     spark, folder = df.sparkSession, scratch_folder(df.sparkSession)
     for folders in _watched:
         folders.append(folder)
-    # nobody needs the shuffles of a plan that ends here
-    with shuffles_removed(spark):
+    # nobody needs the shuffles of a plan that ends here; batches that cross to Python are held by both sides
+    with shuffles_removed(spark), setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS)):
         df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,6 +19,16 @@ _FOLD[65:91] += 32
 _KEEP = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Hand memory that is not used any more back to the system: a worker lives on, and its executor's memory is shared."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers in which every bit depends on all."""
     x = x ^ (x >> np.uint64(30))
@@ -119,4 +130,4 @@ def small_slices(batch: pa.RecordBatch, column: str, most: int = SEGMENT) -> Ite
         end = max(begin + 1, int(np.searchsorted(offsets, offsets[begin] + most, "right")) - 1)
         yield batch.slice(begin, end - begin)
         begin = end
-    pa.default_memory_pool().release_unused()
+    give_back()

@@ -464,18 +464,45 @@ def test_splitting_tree():
     """Quotas add up, shards are alike, and sources are spread as in a random permutation."""
 
     draws = [1000, 10, 0, 490]
-    quotas = np.array([mixing.shard_quota(draws, k, 12, 1) for k in range(12)])
+    quotas = mixing.bundle_quotas(draws, 0, [sum(draws)], 12, 1)
     assert quotas.sum(axis=0).tolist() == draws and quotas.sum(axis=1).tolist() == [125] * 12
     assert np.std(quotas[:, 0]) < 12 and quotas[:, 0].min() > 60
 
 
-@pytest.mark.parametrize("sizes", [{"a": 10, "b": 0, None: 5}, {"a": 1}, {}, {"a": 1, "b": 1000, "c": 1}])
-def test_targets(sizes):
-    order = sorted((s for s in sizes if s is not None)) + ([None] if None in sizes else [])
-    weights = [mixing.WEIGHTS[i % 3] for i in range(len(order))]
-    level = mixing._level([sizes[s] for s in order], weights, 3)
+def test_bundles_of_the_splitting_tree(spark, monkeypatch):
+    """Bundles together give every draw, shards of equal numbers, and a source its share of each."""
+    draws, bundles = [[600, 0, 3], [40], [700, 57]], [603, 40, 757]
+    parts = [mixing.bundle_quotas(own, i, bundles, 8, 3) for i, own in enumerate(draws)]
+    whole = np.hstack(parts)
+    assert whole.sum(axis=0).tolist() == sum(draws, []) and whole.sum(axis=1).tolist() == [175] * 8
+    assert abs(whole[:, 0] - 75).max() < 25
+    rows = [(i, " ".join(["w"] * (1 + i % 7)), f"s{i % 60:02d}" if i % 11 else None) for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    one = {r.doc_id: (r.taken, r.target) for r in mixing.plan_mix(df, block_words=20, shards=4).collect()}
+    monkeypatch.setattr(mixing, "BUNDLE", 7)
+    many = mixing.plan_mix(df.repartition(5), block_words=20, shards=4).collect()
+    assert {r.doc_id: (r.taken, r.target) for r in many} == one
+    drawn = collections.Counter(d.shard for r in many for d in r.draws)
+    assert len(drawn) == 4 and min(drawn.values()) > 0.5 * max(drawn.values())
+
+
+def test_more_sources_than_fit_a_bundle(spark):
+    n = 10_001
+    df = spark.range(n).select(F.col("id").alias("doc_id"), F.repeat(F.lit("w "), 3).alias("text"), F.concat(F.lit("s"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("source"))
+    found = mixing.plan_mix(df, shards=4)
+    weights = [1 + i % 3 for i in range(n)]
+    level = 3 * n / sum(weights)
+    rows = found.orderBy("doc_id").collect()
+    assert len(rows) == n and all(abs(r.target - min(9, level * w)) < 1e-6 for r, w in zip(rows, weights))
+    assert all(abs(r.taken - r.target) < 1 for r in rows)
+
+
+@pytest.mark.parametrize("sizes", [{"a": 10, "b": 0, None: 5}, {"a": 1}, {}, {"a": 1, "b": 1000, "c": 1}, {"a": 0}, {f"{i:03d}": 3**i for i in range(20)}])
+def test_targets(spark, sizes):
+    df = spark.createDataFrame([(s, n // 2) for s, n in sizes.items()] + [(s, n - n // 2) for s, n in sizes.items()], "source string, size long")
+    found = {r.source: r.target for r in mixing.source_targets(df).collect()}
     expected = brute.targets(sizes) if sizes else {}
-    assert all(abs(min(3 * sizes[s], level * w) - expected[s]) < 1e-9 for s, w in zip(order, weights))
+    assert set(found) == set(expected) and all(abs(found[s] - t) <= 1e-9 * max(1, t) for s, t in expected.items())
 
 
 def test_rows_are_numbered_apart(spark):
