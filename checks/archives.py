@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from kelpline.session import scratch_folder, ship_package
-from kelpline.sinks.packages import number_lines, render_lines, write_packages
+from kelpline.sinks.packages import number_lines, render_lines, write_packages, write_table_files
 from kelpline.sinks.placed import local_folder, write_placed
 from kelpline.sources.archives import list_packages
 
@@ -105,6 +105,14 @@ def built_repeated(spark: SparkSession, sf_dir: str) -> str:
     return folder
 
 
+def built_tree(spark: SparkSession, sf_dir: str) -> str:
+    """Unzipped packages: a folder for each, with its table."""
+    folder = scratch_folder(spark)
+    lines = rendered(package_rows(spark, sf_dir)).withColumn("package", F.replace("package", F.lit(".zip"), F.lit("")))
+    write_table_files(lines, folder, scratch_folder(spark))
+    return folder
+
+
 def built_marked(spark: SparkSession, sf_dir: str) -> str:
     """Archives whose tables begin with the mark of UTF-8 and have blank lines; their other text is ASCII."""
     lines = rendered(package_rows(spark, sf_dir))

@@ -483,6 +483,7 @@ def _file_sql() -> dict[str, str]:
         ),
         "package_info": _obs(f"SELECT DISTINCT {package} AS package, data_type_internal, {len(OBSERVED_TEXT)} AS n_columns FROM observations"),
         "read_data_table": _obs(f"SELECT {package} AS package, {as_text(OBSERVED_TEXT)} FROM observations"),
+        "read_data_table_tree": _obs(f"SELECT {package} AS package, {as_text(OBSERVED_TEXT)} FROM observations"),
         "failed_packages": _obs(
             "SELECT DISTINCT dataset_name || '_version_broken.zip -> BadZipFile: File is not a zip file' AS msg FROM observations"
         ),

@@ -25,6 +25,7 @@ from kelpline.sinks import packages as pk
 from kelpline.sinks.packages import write_data_table
 from kelpline.sinks.stores import copy_to_store, remove_from_store, update_store, write_removal_list
 from kelpline.sources import archives as src
+from kelpline.sources import trees
 from kelpline.sources.tables import read_areas, read_codes, read_name_list, read_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -370,6 +371,13 @@ def q_read_data_table(spark, sf):
     return table.drop("layout", "_line", "_type")
 
 
+def q_read_data_table_tree(spark, sf):
+    """The same from unzipped packages, in ranges of a few kilobytes."""
+    root = ar.built_tree(spark, sf)
+    table = src.read_data_table(trees.stage_trees(spark, root, scratch_folder(spark), range_bytes=50_000))
+    return table.drop("layout", "_line", "_type")
+
+
 def q_failed_packages(spark, sf):
     return src.failed_packages(_staged(spark, ar.built_with_corrupt(spark, sf))).select("msg")
 
