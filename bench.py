@@ -32,6 +32,8 @@ HEADLINE = [
     "publish_log",
     "update_stores",
     "add_locations_dense",
+    "add_locations_clustered",
+    "write_table_files",
 ]
 
 
