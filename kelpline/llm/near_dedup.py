@@ -8,13 +8,16 @@
    sets (two 64-bit fingerprints and the size) are one class before that, so copies cost nothing.
 3. Each bucket gives the edges of a star, one per member and not one per pair. Its centre is the member that meets most others in all
    its buckets, ties to the least id: an original meets its copies more often than they meet each other.
-4. Edges are confirmed on the full sets. Members that are not yet in the component of their centre form a new, smaller star, until
-   a round confirms nothing new.
-5. What is left are buckets with members in several components. All of their members of different components that have a possible size
-   and were not tried meet each other, so in the end any two members of a bucket are in one component or were compared.
+4. Edges whose signatures agree in too few bins cannot be similar and go. The others are confirmed on the full sets. Members that are not yet in
+   the component of their centre form a new, smaller star, until a round confirms nothing new.
+5. What is left are buckets with members in several components. Their members meet in tiles of bounded size, each in one task, which compares their
+   signatures and only tells those of different components that agree in enough bins. So in the end any two members of a bucket are
+   in one component or were compared, and rows grow with pairs that are nearly similar, not with the square of a bucket.
 6. Components of confirmed edges get the least document id.
 
-With 40 bands of 3 of 120 bins, a pair of similarity 0.75 shares no bucket with a chance of 1e-10.
+With 40 bands of 3 of 120 bins, a pair of similarity 0.75 shares no bucket with a chance of 1e-10. Four bits of each bin are compared: such a pair agrees
+in 92 of 120 on average, with a deviation of 4.6, and in fewer than the 64 asked for with a chance of 1e-9. Sets of fewer than ``SMALL_SET``
+shingles leave bins empty, whose fillings are not independent, so only 48 are asked for.
 
 Defined results: a null, empty or blank text has no shingles and is linked with nothing; with one to four words the
 whole sequence is the only shingle; rows that share an id are one document, of which each row
@@ -34,7 +37,7 @@ from pyspark.sql import functions as F
 from kelpline.llm.components import components, joined_by
 from kelpline.llm.marks import id_filter, passes
 from kelpline.llm.tables import fitted, staged
-from kelpline.llm.words import hashed_words, mix, shingles, small_slices
+from kelpline.llm.words import give_back, hashed_words, mix, shingles, small_slices
 from kelpline.session import ship_package
 
 SHINGLE_WORDS = 5
@@ -45,6 +48,14 @@ FEW_SETS = 10_000
 #: Similarity in percent.
 PERCENT = 75
 EMPTY = np.uint64(2**64 - 1)
+#: Bins that have to agree in their four bits, and for sets that are small.
+AGREE, AGREE_SMALL, SMALL_SET = 64, 48, 240
+#: 64-bit words of a signature of four bits per bin.
+WORDS = -(-BINS // 16)
+#: Members of a bucket in one share; a tile holds two shares.
+SHARE = 2048
+#: Pairs whose signatures are looked at together.
+PAIRS_AT_ONCE = 1 << 16
 
 
 def text_sets(texts: pa.Array, size: int = SHINGLE_WORDS) -> Iterator[np.ndarray]:
@@ -93,20 +104,57 @@ def band_keys(signatures: np.ndarray, rows: int = ROWS) -> np.ndarray:
     return keys
 
 
+def short_signatures(signatures: np.ndarray) -> np.ndarray:
+    """Four bits of each bin, a row of ``WORDS`` words per set."""
+    low = np.zeros((len(signatures), 16 * WORDS), np.uint8)
+    low[:, : signatures.shape[1]] = signatures & np.uint64(15)
+    return np.ascontiguousarray(low[:, ::2] | (low[:, 1::2] << np.uint8(4))).view(np.uint64)
+
+
+def agreeing(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """In how many bins rows of short signatures agree."""
+    odd = one ^ two
+    odd = odd | (odd >> np.uint64(1))
+    odd = (odd | (odd >> np.uint64(2))) & np.uint64(0x1111111111111111)
+    return BINS - np.bitwise_count(odd).sum(axis=1, dtype=np.int64)
+
+
+def agree_enough(one: np.ndarray, two: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Which rows may be similar, by their signatures; the bounds are those of ``PERCENT`` and hold above it, too."""
+    if percent < PERCENT:
+        return np.ones(len(one), bool)
+    return agreeing(one, two) >= np.where(np.minimum(n, m) < SMALL_SET, AGREE_SMALL, AGREE)
+
+
+def _packed(signatures: np.ndarray) -> pa.Array:
+    width = 8 * WORDS
+    ends = pa.py_buffer(np.arange(len(signatures) + 1, dtype=np.int32) * np.int32(width))
+    return pa.Array.from_buffers(pa.binary(), len(signatures), [None, ends, pa.py_buffer(np.ascontiguousarray(signatures))])
+
+
+def _unpacked(column: pa.Array) -> np.ndarray:
+    _, ends, data = column.buffers()
+    if data is None or not len(column):
+        return np.zeros((0, WORDS), np.uint64)
+    begin = int(np.frombuffer(ends, np.int32)[column.offset])
+    return np.frombuffer(data, np.uint8)[begin : begin + 8 * WORDS * len(column)].copy().view(np.uint64).reshape(-1, WORDS)
+
+
 def _fingerprint(values: np.ndarray) -> tuple[int, int]:
     one = mix(values ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)
     two = mix(values ^ np.uint64(0x14057B7EF767814F)).sum(dtype=np.uint64)
     return int(one.view(np.int64)), int(two.view(np.int64))
 
 
-SIGNED = "doc_id long, n_shingles long, f1 long, f2 long, keys array<long>"
+SIGNED = "doc_id long, n_shingles long, f1 long, f2 long, keys array<long>, bins binary"
 
 
 def _sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in small_slices(whole, "text"):
             sets = list(text_sets(batch["text"]))
-            keys = band_keys(densified(bin_minima(sets))).view(np.int64)
+            signatures = densified(bin_minima(sets))
+            keys = band_keys(signatures).view(np.int64)
             prints = [_fingerprint(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -115,8 +163,9 @@ def _sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array([p[0] for p in prints], pa.int64()),
                     pa.array([p[1] for p in prints], pa.int64()),
                     pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * keys.shape[1], pa.int32()), pa.array(keys.reshape(-1))),
+                    _packed(short_signatures(signatures)),
                 ],
-                names=["doc_id", "n_shingles", "f1", "f2", "keys"],
+                names=["doc_id", "n_shingles", "f1", "f2", "keys", "bins"],
             )
 
 
@@ -174,20 +223,100 @@ def _labelled(members: DataFrame, joined: DataFrame) -> DataFrame:
     return found.withColumn("component", F.coalesce("component", "doc_id"))
 
 
-def _across(members: DataFrame, joined: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a bucket in different components, of a possible size, that were not tried."""
+EDGE = "a long, f_a long, b long, f_b long"
+_EDGE_NAMES = ["a", "f_a", "b", "f_b"]
+
+
+def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose signatures agree in enough bins."""
+
+    def chosen(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = batch["n_a"].to_numpy(), batch["n_b"].to_numpy()
+            enough = agree_enough(_unpacked(batch["bins_a"]), _unpacked(batch["bins_b"]), n, m, percent)
+            yield batch.select(_EDGE_NAMES).filter(pa.array(enough))
+
+    of = lambda c: classes.select(
+        F.col("doc_id").alias(c), F.col("f1").alias(f"f_{c}"), F.col("n_shingles").alias(f"n_{c}"), F.col("bins").alias(f"bins_{c}")
+    )
+    return pairs.join(of("a"), ["a", "f_a"]).join(of("b"), ["b", "f_b"]).mapInArrow(chosen, EDGE)
+
+
+def _next_rows(group: np.ndarray, n: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of a group whose sizes allow the similarity; rows are sorted by group and size."""
+    longest = int(n.max()) + 1
+    reach = np.minimum(n * 100 // percent, longest - 1)
+    end = np.searchsorted(group * longest + n, group * longest + reach, "right")
+    partners = end - np.arange(len(n)) - 1
+    # a row's partners may be more than what is looked at together
+    ends = np.cumsum(partners)
+    for low in range(0, int(ends[-1]), PAIRS_AT_ONCE):
+        number = np.arange(low, min(low + PAIRS_AT_ONCE, int(ends[-1])))
+        x = np.searchsorted(ends, number, "right")
+        yield x, x + 1 + number - (ends[x] - partners[x])
+
+
+_TILE = ["key", "i", "j"]
+
+
+def _tile_pairs(percent: int):
+    """Pairs of members of a tile in different components that may be similar. Tiles stand one after another, and are of bounded size."""
+
+    def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        keys = [rows[c].to_numpy() for c in _TILE]
+        group = np.cumsum(np.r_[False, np.any([k[1:] != k[:-1] for k in keys], axis=0)])
+        n = rows["n"].to_numpy()
+        order = np.lexsort((n, group))
+        group, n = group[order], n[order]
+        doc, f, component, share, i, j = (rows[c].to_numpy()[order] for c in ("doc_id", "f1", "component", "share", "i", "j"))
+        bins = _unpacked(rows["bins"].combine_chunks())[order]
+        for x, y in _next_rows(group, n, percent):
+            apart = (component[x] != component[y]) & ((i[x] == j[x]) | (share[x] != share[y]))
+            x, y = x[apart], y[apart]
+            near = agree_enough(bins[x], bins[y], n[x], n[y], percent)
+            x, y = x[near], y[near]
+            x, y = np.where(component[x] < component[y], x, y), np.where(component[x] < component[y], y, x)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (doc[x], f[x], doc[y], f[y])], names=_EDGE_NAMES)
+
+    def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: pa.Table | None = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            kept = table if kept is None else pa.concat_tables([kept, table])
+            if not len(kept):
+                continue
+            # the last tile may go on in the next batch
+            last = np.logical_and.reduce([kept[c].to_numpy() == kept[c][-1].as_py() for c in _TILE])
+            if last.all():
+                continue
+            cut = len(last) - int(np.argmin(last[::-1]))
+            yield from pairs(kept.slice(0, cut))
+            kept = kept.slice(cut)
+        if kept is not None and len(kept):
+            yield from pairs(kept)
+        kept = None
+        give_back()
+
+    return meet
+
+
+def _across(members: DataFrame, joined: DataFrame, classes: DataFrame, tried: DataFrame, percent: int, share: int) -> DataFrame:
+    """Pairs of a bucket in different components, of a possible size and with signatures that agree enough, that were not tried."""
     labelled = _labelled(members, joined)
-    several = labelled.groupBy("key").agg(F.min("component").alias("_x"), F.max("component").alias("_y")).where("_x < _y")
-    left = staged(labelled.join(several, "key", "left_semi").select("key", F.struct("doc_id", "f1", "n", "component").alias("x")))
-    met = left.join(left.withColumnRenamed("x", "y"), "key").where("x.component < y.component")
-    small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
-    met = met.where(F.lit(100) * small >= F.lit(percent) * large)
-    met = met.select(F.col("x.doc_id").alias("a"), F.col("x.f1").alias("f_a"), F.col("y.doc_id").alias("b"), F.col("y.f1").alias("f_b")).distinct()
+    several = labelled.groupBy("key").agg(F.min("component").alias("_x"), F.max("component").alias("_y"), F.count("*").alias("_m")).where("_x < _y")
+    shares = F.ceil(F.col("_m") / share).cast("int").alias("_n")
+    left = labelled.join(several.select("key", shares), "key").select("key", "doc_id", "f1", "n", "component", "_n")
+    left = left.withColumn("share", F.pmod(F.xxhash64("doc_id", "f1"), F.col("_n")).cast("int"))
+    left = left.join(classes.select("doc_id", "f1", "bins"), ["doc_id", "f1"])
+    tiles = left.select("*", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_o"))
+    tiles = tiles.withColumns({"i": F.least("share", "_o"), "j": F.greatest("share", "_o")}).drop("_n", "_o")
+    placed = tiles.repartition(*_TILE).sortWithinPartitions(*_TILE)
+    met = placed.mapInArrow(_tile_pairs(percent), EDGE).distinct()
     both = tried.union(tried.select("b", "f_b", "a", "f_a"))
-    return met.join(both, ["a", "f_a", "b", "f_b"], "left_anti")
+    return met.join(both, _EDGE_NAMES, "left_anti")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, share: int = SHARE) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept``, a row per row of ``docs``."""
     spark = docs.sparkSession
     ship_package(spark)
@@ -195,7 +324,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     signed = staged(texts.mapInArrow(_sign, SIGNED))
     named = signed.where("n_shingles > 0 and doc_id is not null")
     key = ["f1", "f2", "n_shingles"]
-    classes = named.groupBy(*key).agg(F.min("doc_id").alias("doc_id"), F.min_by("keys", "doc_id").alias("keys"))
+    classes = named.groupBy(*key).agg(F.min("doc_id").alias("doc_id"), F.min_by(F.struct("keys", "bins"), "doc_id").alias("_s"))
+    classes = classes.select(*key, "doc_id", "_s.*")
     classes = staged(classes)
     buckets = classes.select("doc_id", "f1", F.col("n_shingles").alias("n"), F.explode("keys").alias("key"))
     # only buckets with company go on; a member's degree is how often it meets another
@@ -203,7 +333,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     met = staged(buckets.join(shared, "key"))
     degrees = met.groupBy("doc_id", "f1").agg(F.sum(F.col("_size") - 1).alias("degree"))
     members = staged(met.drop("_size").join(degrees, ["doc_id", "f1"]))
-    tried = fitted(_star(members, percent))
+    tried = fitted(_likely(_star(members, percent), classes, percent))
     links = fitted(_confirmed(texts, classes, tried, percent))
     # rows that share an id are one document
     joined, everyone = components(links), members
@@ -212,7 +342,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         top = F.max(F.struct("degree", (-F.col("doc_id")).alias("order"), "component")).alias("c")
         centred = labelled.groupBy("key").agg(top).select("key", F.col("c.component").alias("_taken"))
         members = fitted(labelled.join(centred, "key").where("component <> _taken").drop("component", "_taken"))
-        fresh = fitted(_star(members, percent).join(tried, ["a", "f_a", "b", "f_b"], "left_anti"))
+        fresh = fitted(_likely(_star(members, percent).join(tried, _EDGE_NAMES, "left_anti"), classes, percent))
         if fresh.isEmpty():
             break
         tried = tried.unionByName(fresh)
@@ -220,7 +350,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         if more.isEmpty():
             break
         joined = joined_by(joined, more)
-    fresh = fitted(_across(everyone, joined, tried, percent))
+    fresh = fitted(_across(everyone, joined, classes, tried, percent, share))
     if not fresh.isEmpty():
         joined = joined_by(joined, fitted(_confirmed(texts, classes, fresh, percent)))
     # a class of several documents is linked to its representative, and so are documents of several classes

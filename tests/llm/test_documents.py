@@ -168,6 +168,51 @@ def test_densified_bins_agree_with_the_similarity():
     assert abs(np.mean(hits) - 40 / 60) < 0.03
 
 
+@pytest.mark.parametrize("size", [1, 2, 7, 40, 239, 240, 1000, 20_000])
+def test_similar_sets_agree_enough(size):
+    """Pairs of just the similarity asked for pass the comparison of signatures; unrelated sets of some size do not."""
+    rng = np.random.default_rng(size)
+    for _ in range(300 if size < 10_000 else 20):
+        union = rng.integers(0, 2**64, -(-size * 8 // 7), np.uint64)
+        gone = len(union) // 4
+        split = int(rng.integers(0, gone + 1))
+        one, two = np.unique(union[split:]), np.unique(union[: len(union) - (gone - split)])
+        other = np.unique(rng.integers(0, 2**64, size, np.uint64))
+        marks = near_dedup.short_signatures(near_dedup.densified(near_dedup.bin_minima([one, two, other])))
+        sizes = [np.array([len(s)]) for s in (one, two, other)]
+        assert near_dedup.agree_enough(marks[:1], marks[1:2], sizes[0], sizes[1])[0]
+        if size > 7:
+            assert not near_dedup.agree_enough(marks[:1], marks[2:], sizes[0], sizes[2])[0]
+
+
+def test_short_signatures_count_bins():
+    rng = np.random.default_rng(3)
+    one, two = rng.integers(0, 2**64, (2, 50, near_dedup.BINS), np.uint64)
+    equal = ((one & np.uint64(15)) == (two & np.uint64(15))).sum(axis=1)
+    assert (near_dedup.agreeing(near_dedup.short_signatures(one), near_dedup.short_signatures(two)) == equal).all()
+    packed = near_dedup._packed(near_dedup.short_signatures(one))
+    assert (near_dedup._unpacked(packed.slice(7, 20)) == near_dedup.short_signatures(one)[7:27]).all()
+
+
+@pytest.mark.parametrize("share", [3, 50, 2048])
+def test_near_duplicates_of_a_common_passage(spark, share):
+    """Hundreds of documents with a passage in common, in many components, some of which are joined by chains only."""
+    rng, rows = random.Random(11), []
+    passage = [f"p{k}" for k in range(120)]
+    for g in range(100):
+        base = passage + [f"g{g}w{k}" for k in range(180)]
+        rows.append((len(rows), " ".join(base)))
+        for _ in range(g % 5):
+            changed = set(rng.sample(range(5, 295, 10), 7))
+            base = [f"x{len(rows)}c{k}" if k in changed else w for k, w in enumerate(base)]
+            rows.append((len(rows), " ".join(base)))
+    rng.shuffle(rows)
+    expected = brute.near_duplicates(rows)
+    assert 90 < len({c for _, c in expected.values()}) < len(rows) - 50
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), share=share).collect()
+    assert {r.doc_id: r.component_id for r in found} == {i: c for i, (_, c) in expected.items()}
+
+
 # -- line dedup -----------------------------------------------------------------------------
 
 
