@@ -168,7 +168,7 @@ def test_densified_bins_agree_with_the_similarity():
     assert abs(np.mean(hits) - 40 / 60) < 0.03
 
 
-@pytest.mark.parametrize("size", [1, 2, 7, 40, 239, 240, 1000, 20_000])
+@pytest.mark.parametrize("size", [1, 2, 7, 39, 40, 100, 1000, 20_000])
 def test_similar_sets_agree_enough(size):
     """Pairs of just the similarity asked for pass the comparison of signatures; unrelated sets of some size do not."""
     rng = np.random.default_rng(size)
@@ -178,7 +178,7 @@ def test_similar_sets_agree_enough(size):
         split = int(rng.integers(0, gone + 1))
         one, two = np.unique(union[split:]), np.unique(union[: len(union) - (gone - split)])
         other = np.unique(rng.integers(0, 2**64, size, np.uint64))
-        marks = near_dedup.short_signatures(near_dedup.densified(near_dedup.bin_minima([one, two, other])))
+        marks = near_dedup.short_signatures(near_dedup.densified(near_dedup.bin_minima([one, two, other], near_dedup.COMPARED)))
         sizes = [np.array([len(s)]) for s in (one, two, other)]
         assert near_dedup.agree_enough(marks[:1], marks[1:2], sizes[0], sizes[1])[0]
         if size > 7:
@@ -187,7 +187,7 @@ def test_similar_sets_agree_enough(size):
 
 def test_short_signatures_count_bins():
     rng = np.random.default_rng(3)
-    one, two = rng.integers(0, 2**64, (2, 50, near_dedup.BINS), np.uint64)
+    one, two = rng.integers(0, 2**64, (2, 50, near_dedup.COMPARED), np.uint64)
     equal = ((one & np.uint64(15)) == (two & np.uint64(15))).sum(axis=1)
     assert (near_dedup.agreeing(near_dedup.short_signatures(one), near_dedup.short_signatures(two)) == equal).all()
     packed = near_dedup._packed(near_dedup.short_signatures(one))
