@@ -2,18 +2,21 @@
 
 A page is read once. Tags go through a stack of open elements that closes what HTML closes by itself
 (paragraphs before blocks, list items, table rows and cells), ignores what was never opened, and puts text that stands between rows before its
-table. What a browser does not show is left out: the head, scripts, styles, templates, embedded objects, of drawings all but their text, elements with
-``hidden``, ``display:none`` or ``visibility:hidden``, hidden inputs. All other text is emitted: blank runs
+table. What a browser does not show is left out: the head, scripts, styles, templates, embedded objects, of drawings all but their text, closed dialogs, of closed details all but the first summary, fallbacks of
+ruby, annotations of formulas, elements with ``hidden``, ``display:none`` or ``visibility:hidden`` (the last declaration of a property counts, unless
+an earlier one is important), hidden inputs. All other text is emitted, also the values of inputs that show theirs: blank runs
 collapse except in preformatted text, blocks begin a line, paragraphs, headings, lists and tables are set apart by an empty line,
 list items get bullets or numbers and an indent by depth, and table cells are padded to columns, with spans.
 
 Defined results: a null or empty page has an empty text; tags that never end are read to the end of the page;
-repeated rows are rendered one by one; an empty table gives no rows; other columns are ignored whatever their names. Time and memory are in
-proportion to the page, whatever its nesting: there is no recursion, and padding is bounded by ``MAX_WIDTH`` per cell.
+repeated rows are rendered one by one; an empty table gives no rows; other columns are ignored whatever their names. There is no recursion;
+indents end at ``MAX_DEPTH`` levels, columns are padded to ``MAX_WIDTH`` and begin at ``MAX_START`` at most, so the text is in proportion to
+the page. So is the time, but that lines of a table in a table are laid out once per level.
 """
 
 from __future__ import annotations
 
+import bisect
 import html
 import re
 from collections import Counter
@@ -28,11 +31,15 @@ from kelpline.session import ship_package
 #: A column is padded to the width of its widest cell, or to this if that is less.
 MAX_WIDTH = 120
 MAX_SPAN = 1000
+#: Columns further to the right are set apart by two blanks only.
+MAX_START = 480
+#: Lists and quotations inside so many others are not indented further.
+MAX_DEPTH = 32
 
 # Element names by their role in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes noscript textarea title plaintext".split())
-HIDDEN = frozenset("head script style template iframe noembed noframes noscript title object audio video canvas datalist".split())
+HIDDEN = frozenset("head script style template iframe noembed noframes noscript title object audio video canvas datalist rp annotation annotation-xml".split())
 #: Of a drawing only the content of the first is shown, and of that nothing in the second.
 DRAWN = frozenset("text foreignobject".split())
 NOT_DRAWN = frozenset("defs desc metadata symbol clippath mask pattern marker".split())
@@ -50,8 +57,15 @@ TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?>[^>"'=]+|=[ \t\n\r\f]*+(?>"[^"]*
 COMMENT = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))", re.DOTALL)
 ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:[ \t\n\r\f]*=[ \t\n\r\f]*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 BLANK = re.compile(r"[ \t\n\r\f]+")
-NO_DISPLAY = re.compile(r"display\s*:\s*none", re.IGNORECASE)
-VISIBILITY = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.IGNORECASE)
+STYLE_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.DOTALL)
+IMPORTANT = re.compile(r"!\s*important\s*\Z", re.IGNORECASE)
+# Inputs that do not show their value; words that values of two properties are made of.
+NO_VALUE = frozenset("hidden checkbox radio file image color range password".split())
+WIDE = frozenset("inherit initial unset revert revert-layer".split())
+STYLES = {
+    "display": WIDE | frozenset("none block inline inline-block flow flow-root flex inline-flex grid inline-grid table inline-table table-row table-cell table-row-group table-header-group table-footer-group table-column table-column-group table-caption list-item contents run-in ruby ruby-base ruby-text math".split()),
+    "visibility": WIDE | frozenset("visible hidden collapse".split()),
+}
 _ends: dict[str, re.Pattern] = {}
 
 
@@ -62,6 +76,25 @@ def _attributes(text: str) -> dict[str, str]:
     return found
 
 
+def declared(style: str) -> dict[str, str]:
+    """The values of ``STYLES`` that count; what is no value of its property is left out, as browsers do."""
+    found: dict[str, str] = {}
+    fixed: set[str] = set()
+    for part in STYLE_COMMENT.sub(" ", style).split(";"):
+        name, _, value = part.partition(":")
+        name = name.strip().lower()
+        if name not in STYLES:
+            continue
+        plain = IMPORTANT.sub("", value.strip())
+        words = plain.lower().split()
+        if not words or not STYLES[name].issuperset(words) or (name in fixed and plain == value.strip()):
+            continue
+        found[name] = " ".join(words)
+        if plain != value.strip():
+            fixed.add(name)
+    return found
+
+
 def _number(text: str | None, default: int) -> int:
     match = re.match(r"\s*([+-]?\d{1,9})", text or "")
     return int(match[1]) if match else default
@@ -76,6 +109,7 @@ class Canvas:
         self.gap = False
         #: The line holds preformatted text: blanks at its begin stay.
         self.solid = False
+        #: The whole indent at each level.
         self.indents: list[str] = []
         self.marker: str | None = None
 
@@ -111,7 +145,7 @@ class Canvas:
         if self.gap and self.lines and self.lines[-1]:
             self.lines.append("")
         self.gap = False
-        indent = "".join(self.indents)
+        indent = self.indents[-1] if self.indents else ""
         for text in lines:
             if self.marker is not None and text:
                 self.lines.append(indent[: len(indent) - len(self.marker)] + self.marker + text)
@@ -138,48 +172,99 @@ class Table:
             self.rows.append([])
         self.rows[-1].append((lines, columns, rows))
 
-    def layout(self) -> list[str]:
-        grid, taken, width = [], {}, Counter()
-        for cells in self.rows:
-            placed, at = [], 0
+    def placed(self) -> list[list[tuple[int, int, list[str]]]]:
+        """The cells of each row with their first column and how many they span.
+
+        Columns that cells of earlier rows reach down to are stretches with the row they end before, in order.
+        """
+        grid, busy = [], []
+        for row, cells in enumerate(self.rows):
+            if busy and min(until for _, _, until in busy) <= row:
+                busy = [stretch for stretch in busy if stretch[2] > row]
+            placed, new, at, passed = [], [], 0, 0
             for lines, columns, rows in cells:
-                while taken.get(at, 0):
-                    at += 1
+                while passed < len(busy) and busy[passed][0] <= at:
+                    at = max(at, busy[passed][1])
+                    passed += 1
                 placed.append((at, columns, lines))
-                for column in range(at, at + columns):
-                    taken[column] = rows
+                if rows > 1:
+                    new.append((at, at + columns, row + rows))
                 at += columns
-            taken = {c: n - 1 for c, n in taken.items() if n > 1}
+            if new:
+                busy = self._merged(sorted(busy + new))
             grid.append(placed)
+        return grid
+
+    @staticmethod
+    def _merged(stretches: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+        out: list[tuple[int, int, int]] = []
+        for begin, end, until in stretches:
+            if out and out[-1][1] == begin and out[-1][2] == until:
+                out[-1] = (out[-1][0], end, until)
+            else:
+                out.append((begin, end, until))
+        return out
+
+    def layout(self) -> list[str]:
+        grid, width = self.placed(), Counter()
         for placed in grid:
             for at, columns, lines in placed:
                 if columns == 1:
                     width[at] = max(width[at], min(MAX_WIDTH, max(map(len, lines), default=0)))
-        for placed in grid:
-            for at, columns, lines in placed:
-                if columns > 1 and lines:
-                    have = sum(width[c] + 2 for c in range(at, at + columns)) - 2
-                    width[at + columns - 1] += max(0, min(MAX_WIDTH, max(map(len, lines))) - have)
+        wide = [(at, columns, lines) for placed in grid for at, columns, lines in placed if columns > 1 and lines]
+        sums = Sums(set(width) | {at + columns - 1 for at, columns, _ in wide})
+        for column, own in width.items():
+            sums.add(column, own)
+        for at, columns, lines in wide:
+            more = min(MAX_WIDTH, max(map(len, lines))) - (sums.before(at + columns) - sums.before(at) + 2 * columns - 2)
+            if more > 0:
+                width[at + columns - 1] += more
+                sums.add(at + columns - 1, more)
         used = sorted(c for c in width if width[c])
-        starts, x = {}, 0
+        starts, x = [], 0
         for column in used:
-            starts[column] = x
+            starts.append(min(x, MAX_START))
             x += width[column] + 2
         out = list(self.caption)
         for placed in grid:
-            cells = [(self._start(starts, used, at, columns), lines) for at, columns, lines in placed if lines]
-            for i in range(max((len(lines) for _, lines in cells), default=0)):
-                row = ""
+            cells = []
+            for at, columns, lines in placed:
+                if lines:
+                    first = bisect.bisect_left(used, at)
+                    cells.append((starts[first] if first < len(used) and used[first] < at + columns else 0, lines))
+            i = 0
+            while cells:
+                row, size = [], 0
                 for start, lines in cells:
-                    if i < len(lines) and lines[i]:
-                        row = row.ljust(start) if len(row) < start or not row else row + "  "
-                        row += lines[i]
-                out.append(row)
+                    if lines[i]:
+                        blanks = start - size if size < start or not size else 2
+                        row += [" " * blanks, lines[i]]
+                        size += blanks + len(lines[i])
+                out.append("".join(row))
+                i += 1
+                cells = [cell for cell in cells if len(cell[1]) > i]
         return out
 
-    @staticmethod
-    def _start(starts: dict[int, int], used: list[int], at: int, columns: int) -> int:
-        return starts[at] if at in starts else min((starts[c] for c in used if at <= c < at + columns), default=0)
+
+class Sums:
+    """Sums of numbers at some places, up to a place; adding and asking take steps by the logarithm of the places."""
+
+    def __init__(self, places: Iterable[int]):
+        self.places = sorted(places)
+        self.tree = [0] * (len(self.places) + 1)
+
+    def add(self, place: int, value: int) -> None:
+        i = bisect.bisect_left(self.places, place) + 1
+        while i < len(self.tree):
+            self.tree[i] += value
+            i += i & -i
+
+    def before(self, place: int) -> int:
+        i, total = bisect.bisect_left(self.places, place), 0
+        while i:
+            total += self.tree[i]
+            i -= i & -i
+        return total
 
 
 class Renderer:
@@ -197,6 +282,8 @@ class Renderer:
         self.visible = True
         self.preformatted = 0
         self.numbers: list[int | None] = []
+        #: Places of open details whose summary was there.
+        self.summarized: set[int] = set()
 
     def last(self, name: str) -> int:
         places = self.where.get(name)
@@ -296,16 +383,23 @@ class Renderer:
         if drawing and rest and rest.rstrip().endswith("/"):
             return
         low = rest.lower() if rest else ""
-        attributes = _attributes(rest) if rest and (name in ("ol", "li", "td", "th", "input") or "hidden" in low or "style" in low) else {}
-        hides = name in HIDDEN or "hidden" in attributes or (name == "input" and attributes.get("type", "").lower() == "hidden")
-        style = attributes.get("style", "")
-        hides = int(hides or bool(style and NO_DISPLAY.search(style)) or (drawing and name in NOT_DRAWN))
+        attributes = _attributes(rest) if rest and (name in ("ol", "li", "td", "th", "input", "dialog", "details") or "hidden" in low or "style" in low) else {}
+        style = declared(attributes["style"]) if "style" in attributes else {}
+        # a declared display wins over the attribute
+        unseen = style["display"] == "none" if style.get("display", "inherit") not in WIDE else "hidden" in attributes
+        unseen |= name in HIDDEN or (name == "input" and attributes.get("type", "").lower() == "hidden")
+        unseen |= name in ("dialog", "details") and "open" not in attributes and not drawing
+        hides = int(unseen or (drawing and name in NOT_DRAWN))
         if name == "svg":
             hides += 1
         elif drawing and name in DRAWN and self.last("text") < self.last("svg"):
             # takes back what the drawing hides
             hides -= 1
-        shows = VISIBILITY.search(style) if style else None
+        elif name == "summary" and not hides and self.open and self.open[-1][0] == "details" and len(self.open) - 1 not in self.summarized:
+            # takes back what closed details hide
+            self.summarized.add(len(self.open) - 1)
+            hides -= int(self.open[-1][1] > 0)
+        shows = style.get("visibility", "inherit")
         if name == "br":
             if not self.hidden and self.visible:
                 self.canvas.end(keep=True) if self.preformatted else self.line_break()
@@ -315,7 +409,7 @@ class Renderer:
                 self.canvas.block(True)
             elif name == "input" and not hides and not self.hidden and self.visible and rest:
                 values = _attributes(rest)
-                if values.get("type", "").lower() in ("submit", "button", "reset") and values.get("value"):
+                if values.get("type", "").lower() not in NO_VALUE and values.get("value"):
                     self.canvas.text(values["value"], False)
             return
         if name in ("tr", "caption", *CELLS, *SECTIONS) and not self.tables:
@@ -341,12 +435,14 @@ class Renderer:
                 self.start("tr", "")
         elif name in ("html", "body") and self.last(name) >= 0:
             return
-        does = self.enter(name, attributes, bool(self.hidden or hides))
+        does = self.enter(name, attributes, self.hidden + hides > 0)
+        if name == "details":
+            self.summarized.discard(len(self.open))
         self.push(name, hides, does)
         if hides < 0:
             self.text(" ")
-        if shows:
-            self.visible = shows[1].lower() == "visible"
+        if shows not in WIDE or shows == "initial":
+            self.visible = shows in ("visible", "initial")
 
     def enter(self, name: str, attributes: dict[str, str], hidden: bool) -> object:
         """What the begin of an element does to the layout; its end gets what is returned."""
@@ -382,7 +478,8 @@ class Renderer:
         elif name in ("blockquote", "dd"):
             indent = "  "
         if indent is not None:
-            canvas.indents.append(indent)
+            above = canvas.indents[-1] if canvas.indents else ""
+            canvas.indents.append(above + indent if len(canvas.indents) < MAX_DEPTH else above)
         return indent
 
     def line_break(self) -> None:

@@ -4,6 +4,7 @@ import base64
 import collections
 import hashlib
 import io
+import time
 
 import pytest
 import zstandard
@@ -149,6 +150,42 @@ def test_deep_and_broken_pages_take_linear_time():
     assert html_text.render("<table><tr><td>" * 500 + "x").strip() == "x"
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<p style='backface-visibility:hidden'>a", "a"),
+        ("<p style='--x:display:none'>a", "a"),
+        ("<p style='display:none;display:block'>a", "a"),
+        ("<p style='display:none!important;display:block'>a</p>b", "b"),
+        ("<p style='display:block;display:none'>a</p>b", "b"),
+        ("<p style='display:none;display:nonsense'>a</p>b", "b"),
+        ("<p style='/* display:none */ visibility:hidden;visibility:visible'>a", "a"),
+        ("<p hidden style='display:block'>a", "a"),
+        ("<input type=text value='a'><input type=hidden value=b><input type=password value=c>", "a"),
+        ("<dialog>a</dialog><dialog open>b</dialog>", "b"),
+        ("<details>a<summary>b</summary>c<summary>d</summary></details>e", "b\ne"),
+        ("<details open>a<summary>b</summary>c</details>", "a\nb\nc"),
+        ("<details><div><summary>a</summary></div><details><summary>b</summary></details></details>c", "c"),
+        ("<ruby>a<rp>(</rp><rt>b</rt><rp>)</rp></ruby>", "ab"),
+        ("<table><tr><td rowspan=2>a<td colspan=2>bb<tr><td>c<td>d</table>", "a  bb\n   c  d"),
+    ],
+)
+def test_what_browsers_show(page, text):
+    assert html_text.render(page) == text
+
+
+def test_time_and_size_of_spans_and_nesting():
+    def seconds(page):
+        begin = time.perf_counter()
+        size = len(html_text.render(page))
+        assert size < 40 * len(page)
+        return time.perf_counter() - begin
+
+    for piece in ("<tr><td rowspan=1000 colspan=1000>x", "<ul><li>x", "<td>x", "<td rowspan=1000>x<br>y", "<blockquote>x"):
+        small, large = (seconds("<table><tr>" * (piece[1] == "t") + piece * n) for n in (1000, 8000))
+        assert large < 24 * small + 0.5, piece
+
+
 def test_visible_text(spark, pages, sf_dir):
     found = {r.page_id: r.text for r in html_text.visible_text(pages).collect()}
     assert found[1] == "same" and found[3] == found[4] == "" and found[None] == "no id"
