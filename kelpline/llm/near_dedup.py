@@ -11,8 +11,10 @@
 4. Edges whose signatures agree in too few bins cannot be similar and go. The others are confirmed on the full sets. Members that are not yet in
    the component of their centre form a new, smaller star, until a round confirms nothing new.
 5. What is left are buckets with members in several components. Their members meet in tiles of bounded size, each in one task, which compares their
-   signatures and only tells those of different components that agree in enough bins. So in the end any two members of a bucket are
-   in one component or were compared, and rows grow with pairs that are nearly similar, not with the square of a bucket.
+   signatures. Pairs of different components that agree in enough bins may be many and are hardly ever similar, so they are no rows: a tile tells
+   a forest that ties them to groups, and the members of a group meet once more in tiles, now with their full sets. Such a tile confirms its pairs itself
+   and tells a forest of confirmed edges between components. A group of more than ``MANY`` meets by its buckets instead.
+   So in the end any two members of a bucket are in one component or were compared, and rows grow with members, not with pairs.
 6. Components of confirmed edges get the least document id.
 
 With 40 bands of 3 of 120 bins, a pair of similarity 0.75 shares no bucket with a chance of 1e-10. The signatures that are compared are others, of four
@@ -32,7 +34,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kelpline.llm.components import components, joined_by
@@ -54,8 +56,10 @@ COMPARED = 256
 AGREE, AGREE_SMALL, SMALL_SET = 148, 128, 40
 #: 64-bit words of a signature of four bits per bin.
 WORDS = -(-COMPARED // 16)
-#: Members of a bucket in one share; a tile holds two shares.
-SHARE = 2048
+#: Members of a bucket or group in one share, and shingles of their sets where these go with them; a tile holds two shares.
+SHARE, SHARE_ITEMS = 2048, 1 << 20
+#: Members of a group that meet without regard to their buckets.
+MANY = 1 << 15
 #: Pairs whose signatures are looked at together.
 PAIRS_AT_ONCE = 1 << 16
 
@@ -193,16 +197,20 @@ def _documents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
 
 
-def _confirmed(texts: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs of class representatives whose full sets are similar. Only the texts of the pairs are read into sets."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+def _sets(texts: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
+    """``doc_id, f1, items``: the full sets of the classes of ``ids``. Only their texts are read into sets."""
     marks = id_filter(ids, "doc_id")
     shipped = texts.sparkSession.sparkContext.broadcast(marks)
     read = lambda batches: _chosen_sets(shipped.value)(batches)
     sets = texts.mapInArrow(read, "doc_id long, f1 long, items array<long>")
     # rows that share an id may have several sets: the class's own is the one with its fingerprint
     own = classes.select("doc_id", "f1").join(ids, "doc_id", "left_semi")
-    sets = fitted(sets.join(own, ["doc_id", "f1"], "left_semi").dropDuplicates(["doc_id", "f1"]), FEW_SETS)
+    return fitted(sets.join(own, ["doc_id", "f1"], "left_semi").dropDuplicates(["doc_id", "f1"]), FEW_SETS)
+
+
+def _confirmed(texts: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """Pairs of class representatives whose full sets are similar."""
+    sets = _sets(texts, classes, pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
     of = lambda c: sets.select(F.col("doc_id").alias(c), F.col("f1").alias(f"f_{c}"), F.col("items").alias(f"s_{c}"))
     both = pairs.join(of("a"), ["a", "f_a"]).join(of("b"), ["b", "f_b"])
     shared = F.size(F.array_intersect("s_a", "s_b"))
@@ -261,24 +269,68 @@ def _next_rows(group: np.ndarray, n: np.ndarray, percent: int) -> Iterator[tuple
 _TILE = ["key", "i", "j"]
 
 
-def _tile_pairs(percent: int):
-    """Pairs of members of a tile in different components that may be similar. Tiles stand one after another, and are of bounded size."""
+TIES = "a long, b long"
+
+
+def _ties(x: np.ndarray, y: np.ndarray, labels: np.ndarray, similar=None) -> list[tuple[int, int]]:
+    """Of the pairs of rows, one for each two labels that they tie; ``x`` is in order. Labels that are tied become one."""
+    found = []
+    begins = np.flatnonzero(np.r_[True, x[1:] != x[:-1]]) if len(x) else x
+    for begin, end in zip(begins, np.append(begins[1:], len(x))):
+        one, others = x[begin], y[begin:end]
+        others = others[labels[others] != labels[one]]
+        if similar is not None and len(others):
+            others = others[similar(one, others)]
+        if len(others):
+            tied, first = np.unique(labels[others], return_index=True)
+            found += [(one, other) for other in others[first]]
+            labels[np.isin(labels, tied)] = labels[one]
+    return found
+
 
-    def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+def _similar_to(items: pa.ListArray, order: np.ndarray, percent: int):
+    """Whether rows, by their number in ``order``, hold sets similar to that of one row."""
+    values, ids = np.unique(items.flatten().to_numpy(), return_inverse=True)
+    ends = items.offsets.to_numpy().astype(np.int64)
+    begin, size = (ends[:-1] - ends[0])[order], np.diff(ends)[order]
+    mark = np.zeros(len(values), bool)
+
+    def similar(one: int, others: np.ndarray) -> np.ndarray:
+        own, sizes = ids[begin[one] : begin[one] + size[one]], size[others]
+        first = np.cumsum(sizes) - sizes
+        mark[own] = True
+        held = mark[ids[np.arange(sizes.sum()) + np.repeat(begin[others] - first, sizes)]]
+        mark[own] = False
+        shared = np.add.reduceat(held, first, dtype=np.int64)
+        return 100 * shared >= percent * (size[one] + sizes - shared)
+
+    return similar
+
+
+def _tile_ties(percent: int):
+    """A forest of the pairs of members of a tile in different components that may be similar or, where the sets ``items`` are at hand, are.
+    Tiles stand one after another, and are of bounded size."""
+
+    def ties(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         keys = [rows[c].to_numpy() for c in _TILE]
         group = np.cumsum(np.r_[False, np.any([k[1:] != k[:-1] for k in keys], axis=0)])
         n = rows["n"].to_numpy()
         order = np.lexsort((n, group))
         group, n = group[order], n[order]
-        doc, f, component, share, i, j = (rows[c].to_numpy()[order] for c in ("doc_id", "f1", "component", "share", "i", "j"))
+        doc, component, share, i, j = (rows[c].to_numpy()[order] for c in ("doc_id", "component", "share", "i", "j"))
         bins = _unpacked(rows["bins"].combine_chunks())[order]
+        # what is tied: components by similar members, or documents by members that may be similar
+        confirm = "items" in rows.column_names
+        similar = _similar_to(rows["items"].combine_chunks(), order, percent) if confirm else None
+        labels = component.copy() if confirm else doc.copy()
         for x, y in _next_rows(group, n, percent):
-            apart = (component[x] != component[y]) & ((i[x] == j[x]) | (share[x] != share[y]))
+            apart = (component[x] != component[y]) & (labels[x] != labels[y]) & ((i[x] == j[x]) | (share[x] != share[y]))
             x, y = x[apart], y[apart]
             near = agree_enough(bins[x], bins[y], n[x], n[y], percent)
-            x, y = x[near], y[near]
-            x, y = np.where(component[x] < component[y], x, y), np.where(component[x] < component[y], y, x)
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (doc[x], f[x], doc[y], f[y])], names=_EDGE_NAMES)
+            found = _ties(x[near], y[near], labels, similar)
+            if found:
+                one, two = np.array(found, np.int64).T
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(doc[one], doc[two])), pa.array(np.maximum(doc[one], doc[two]))], names=["a", "b"])
 
     def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: pa.Table | None = None
@@ -292,33 +344,49 @@ def _tile_pairs(percent: int):
             if last.all():
                 continue
             cut = len(last) - int(np.argmin(last[::-1]))
-            yield from pairs(kept.slice(0, cut))
+            yield from ties(kept.slice(0, cut))
             kept = kept.slice(cut)
         if kept is not None and len(kept):
-            yield from pairs(kept)
+            yield from ties(kept)
         kept = None
         give_back()
 
     return meet
 
 
-def _across(members: DataFrame, joined: DataFrame, classes: DataFrame, tried: DataFrame, percent: int, share: int) -> DataFrame:
-    """Pairs of a bucket in different components, of a possible size and with signatures that agree enough, that were not tried."""
-    labelled = _labelled(members, joined)
-    several = labelled.groupBy("key").agg(F.min("component").alias("_x"), F.max("component").alias("_y"), F.count("*").alias("_m")).where("_x < _y")
-    shares = F.ceil(F.col("_m") / share).cast("int").alias("_n")
-    left = labelled.join(several.select("key", shares), "key").select("key", "doc_id", "f1", "n", "component", "_n")
-    left = left.withColumn("share", F.pmod(F.xxhash64("doc_id", "f1"), F.col("_n")).cast("int"))
-    left = left.join(classes.select("doc_id", "f1", "bins"), ["doc_id", "f1"])
-    tiles = left.select("*", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_o"))
+def _met(members: DataFrame, shares: Column, percent: int) -> DataFrame:
+    """What the tiles of ``members`` by their ``key`` tell, with so many ``shares`` of a key."""
+    sized = members.groupBy("key").agg(shares.cast("int").alias("_n"))
+    dealt = members.join(sized, "key").withColumn("share", F.pmod(F.xxhash64("doc_id", "f1"), F.col("_n")).cast("int"))
+    tiles = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_o"))
     tiles = tiles.withColumns({"i": F.least("share", "_o"), "j": F.greatest("share", "_o")}).drop("_n", "_o")
     placed = tiles.repartition(*_TILE).sortWithinPartitions(*_TILE)
-    met = placed.mapInArrow(_tile_pairs(percent), EDGE).distinct()
-    both = tried.union(tried.select("b", "f_b", "a", "f_a"))
-    return met.join(both, _EDGE_NAMES, "left_anti")
+    return fitted(placed.mapInArrow(_tile_ties(percent), TIES).distinct())
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, share: int = SHARE) -> DataFrame:
+def _across(
+    texts: DataFrame, members: DataFrame, joined: DataFrame, classes: DataFrame, percent: int, share: int = SHARE, many: int = MANY
+) -> DataFrame:
+    """Confirmed edges ``a, b`` that tie the components of members of a bucket wherever two of them are similar."""
+    labelled = _labelled(members, joined)
+    several = labelled.groupBy("key").agg(F.min("component").alias("_x"), F.max("component").alias("_y")).where("_x < _y").select("key")
+    left = staged(labelled.join(several, "key").select("key", "doc_id", "f1", "n", "component"))
+    bins = classes.select("doc_id", "f1", "bins")
+    by_count = F.ceil(F.count("*") / share)
+    forest = _met(left.join(bins, ["doc_id", "f1"]), by_count, percent)
+    if forest.isEmpty():
+        return forest
+    groups = components(forest)
+    sized = groups.join(groups.groupBy("component").agg(F.count("*").alias("_size")), "component")
+    near = left.join(sized.select(F.col("node").alias("doc_id"), F.col("component").alias("_group"), "_size"), "doc_id")
+    block = F.when(F.col("_size") <= many, F.col("_group")).otherwise(F.col("key"))
+    near = near.select(block.alias("key"), "doc_id", "f1", "n", "component").distinct()
+    sets = _sets(texts, classes, groups.select(F.col("node").alias("doc_id")))
+    whole = near.join(bins, ["doc_id", "f1"]).join(sets, ["doc_id", "f1"])
+    return _met(whole, F.greatest(by_count, F.ceil(F.sum("n") / SHARE_ITEMS)), percent)
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, share: int = SHARE, many: int = MANY) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept``, a row per row of ``docs``."""
     spark = docs.sparkSession
     ship_package(spark)
@@ -352,9 +420,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         if more.isEmpty():
             break
         joined = joined_by(joined, more)
-    fresh = fitted(_across(everyone, joined, classes, tried, percent, share))
-    if not fresh.isEmpty():
-        joined = joined_by(joined, fitted(_confirmed(texts, classes, fresh, percent)))
+    ties = _across(texts, everyone, joined, classes, percent, share, many)
+    if not ties.isEmpty():
+        joined = joined_by(joined, ties)
     # a class of several documents is linked to its representative, and so are documents of several classes
     sets = named.select(*key, "doc_id").distinct().join(classes.select(*key, F.col("doc_id").alias("first")), key)
     return _result(signed, sets, joined, key)

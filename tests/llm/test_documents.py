@@ -6,6 +6,7 @@ import re
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import ROWS
 from pyspark.sql import functions as F
@@ -213,6 +214,53 @@ def test_near_duplicates_of_a_common_passage(spark, share):
     assert {r.doc_id: r.component_id for r in found} == {i: c for i, (_, c) in expected.items()}
 
 
+def _nearly_similar(copies: int) -> list[tuple[int, str]]:
+    """Copies of a text that hardly any two of are similar, though most may be by their signatures; some are joined by chains."""
+    rng, rows = random.Random(13), []
+    base = [f"p{k}" for k in range(300)]
+    for n in range(copies):
+        changed = set(rng.sample(range(5, 295, 5), 12 if n % 9 else 4))
+        rows.append((n, " ".join(f"x{n}c{k}" if k in changed else w for k, w in enumerate(base))))
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("share, many", [(2048, 1 << 15), (16, 1 << 15), (16, 1)])
+def test_near_duplicates_of_nearly_similar_copies(spark, share, many):
+    """Members of a group that is not met, and of one that meets by its buckets."""
+    rows = _nearly_similar(120)
+    expected = brute.near_duplicates(rows)
+    assert 50 < len({c for _, c in expected.values()}) < 120
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), share=share, many=many).collect()
+    assert {r.doc_id: r.component_id for r in found} == {i: c for i, (_, c) in expected.items()}
+
+
+@pytest.mark.parametrize("confirm", [False, True])
+def test_a_tile_tells_less_than_it_has_members(confirm):
+    """Pairs that agree in enough bins grow with the square of a tile, what it tells does not, and ties the same members."""
+    rows = _nearly_similar(200)
+    sets = list(near_dedup.text_sets(pa.array([t for _, t in rows])))
+    marks = near_dedup.short_signatures(near_dedup.densified(near_dedup.bin_minima(sets, near_dedup.COMPARED)))
+    n, ids = np.array([len(s) for s in sets]), np.array([i for i, _ in rows])
+    zeros = pa.array(np.zeros(len(rows), np.int64))
+    columns = {c: zeros for c in ("key", "i", "j", "share")} | {"doc_id": pa.array(ids), "component": pa.array(ids), "n": pa.array(n)}
+    columns["bins"] = near_dedup._packed(marks)
+    if confirm:
+        columns["items"] = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
+    table = pa.table(columns).combine_chunks()
+    told = [(a, b) for batch in near_dedup._tile_ties(75)(table.to_batches(max_chunksize=70)) for a, b in zip(*(c.to_pylist() for c in batch.columns))]
+    pairs = [(x, y) for x in range(len(rows)) for y in range(x)]
+    one, two = np.array(pairs).T
+    near = near_dedup.agree_enough(marks[one], marks[two], n[one], n[two])
+    assert near.sum() > 10 * len(rows)
+    if confirm:
+        similar = [100 * len(np.intersect1d(sets[x], sets[y])) >= 75 * len(np.union1d(sets[x], sets[y])) for x, y in pairs]
+        assert near[np.array(similar)].all()
+        near = np.array(similar)
+    assert 0 < len(told) < len(rows)
+    assert brute.smallest(told, ids.tolist()) == brute.smallest(zip(ids[one[near]].tolist(), ids[two[near]].tolist()), ids.tolist())
+
+
 # -- line dedup -----------------------------------------------------------------------------
 
 
