@@ -8,13 +8,14 @@ or not, has a Jaccard similarity of ``PERCENT`` or more with it; the order is th
    then the hash: any one order is correct, and this one puts rare tokens first. A token whose place counts 1 is in one line only.
 3. The prefix of a line is its first n - ceil(t n) + 1 tokens. Similar lines share a prefix token; tokens that
    are in one line only are left out.
-4. Lines that share a prefix token are paired if their sizes, the places of the token, and the parities of
-   their tokens over 128 places (which bound the symmetric difference) allow the similarity.
-5. The lines of a token of up to ``DENSE`` lines are paired by the task that has it, and verified on all their tokens, which are read from the texts
-   again for these lines only.
-6. The lines of a token with more, which may be any share of all, are cut into shares of bounded size, and two shares meet in a tile of
-   one task, with their tokens. A tile verifies its pairs itself and only tells, per line, how many similar lines come earlier and which is the first,
-   so its output grows with its lines and not with their pairs. A pair counts where its first shared token is, so it counts once.
+4. Lines that share a prefix token may be similar if their sizes, the places of the token, and the parities of
+   their tokens over 128 places (512 for long lines), which bound the symmetric difference, allow it.
+5. The task of a token ties lines that may be similar, and tells a forest of such ties, not the pairs. The lines of a token of more than ``DENSE``,
+   which may be any share of all, are cut into shares of bounded size, and two shares meet in a tile of one task.
+   What is tied over all tokens is a group: two similar lines are always in one.
+6. The lines of a group meet in such tiles, with all their tokens, which are read from the texts again for these lines only. A tile verifies
+   its pairs itself and only tells, per line, how many similar lines come earlier and which is the first, so its output grows with its lines and not with
+   their pairs.
 
 Defined results: a line without a word is no line: it is neither counted nor removed; a null text has no
 lines; rows that repeat both id and text are one document, and each gets its result; documents without an id come last,
@@ -24,13 +25,14 @@ Tokens are compared by 48 bits of a hash, in slices of a few megabytes of text,
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kelpline.llm.components import components
 from kelpline.llm.marks import id_filter, passes
 from kelpline.llm.tables import fitted, shuffles_removed, staged
 from kelpline.llm.words import give_back, mix, small_slices, split_words, text_bytes
@@ -46,12 +48,16 @@ LINES_AT_ONCE = 1 << 16
 #: The low bits of a fingerprint are the size of the set, as far as it goes; longer lines are all of this size to the filters of pairs,
 #: which then only let more pairs pass.
 SIZE_BITS = 24
-#: The rank of a count (see ``count_table``) from which a token is dense: 2,048 lines.
-DENSE = 88
-#: Lines, and tokens of lines, in one share of a dense token.
+#: The rank of a count (see ``count_table``) from which a token is dense: 16,384 lines.
+DENSE = 112
+#: Lines, and tokens of lines, in one share of a dense token or a group.
 SHARE, SHARE_TOKENS = 4096, 1 << 20
-#: Pairs of lines that are looked at together, and tokens of pairs that are verified together.
+#: Pairs of lines that are looked at together (their numbers take 16 bits), and tokens of pairs that are verified together.
 PAIRS_AT_ONCE, PAIR_TOKENS = 1 << 16, 1 << 19
+#: Words of the parities of lines of ``LONG`` tokens or more in the index; tiles make as many of all lines.
+WIDE, LONG = 8, 128
+#: The low bits of a token in the index are its place in the line; greater places are all this one to the filters of pairs.
+PLACE_BITS = 15
 #: Places of the count table in one row, and rows of it at once.
 CHUNK, CHUNKS_AT_ONCE = 4096, 64
 LAST = (1 << 63) - 1
@@ -216,12 +222,43 @@ def prefix_sizes(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return n - -(-n * percent // 100) + 1
 
 
-INDEX = "d long, t long, place int, sig long, sig2 long, f long"
+INDEX = "t long, sig long, sig2 long, f long, wide binary"
+
+
+def _parities(tokens: np.ndarray, begin: np.ndarray, words: int) -> np.ndarray:
+    """The parities of the tokens of each line over ``words`` x 64 places, a row per line."""
+    mixed = mix(tokens + np.uint64(0xC2B2AE3D27D4EB4F))
+    bit, word = np.uint64(1) << (mixed & np.uint64(63)), (mixed >> np.uint64(32)) % np.uint64(words)
+    return np.stack([np.bitwise_xor.reduceat(np.where(word == w, bit, np.uint64(0)), begin) for w in range(words)], axis=1)
+
+
+def _packed_wide(lines: Lines, own: np.ndarray) -> pa.Array:
+    """For rows of the lines ``own`` the parities over many places; nothing if the line is short."""
+    long = np.flatnonzero(lines.size >= LONG)
+    wide, number = np.zeros((0, WIDE), np.uint64), np.full(len(lines.size), -1)
+    if len(long):
+        size = lines.size[long]
+        begin = np.cumsum(size) - size
+        take = np.arange(size.sum()) + np.repeat(lines.begin[long] - begin, size)
+        wide, number[long] = _parities(lines.tokens[take], begin, WIDE), np.arange(len(long))
+    of = number[own]
+    ends = np.cumsum(np.where(of >= 0, 8 * WIDE, 0))
+    return pa.Array.from_buffers(pa.binary(), len(own), [None, pa.py_buffer(np.r_[0, ends].astype(np.int32)), pa.py_buffer(wide[of[of >= 0]].tobytes())])
+
+
+def _unpacked_wide(packed: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All parities over many places, and for each row which of them are its own, -1 for none."""
+    packed = packed.cast(pa.large_binary())
+    _, offsets, data = packed.buffers()
+    ends = np.frombuffer(offsets, np.int64)[packed.offset : packed.offset + len(packed) + 1]
+    wide = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].view(np.uint64).reshape(-1, WIDE) if ends[-1] > ends[0] else np.zeros((0, WIDE), np.uint64)
+    held = ends[1:] > ends[:-1]
+    return wide, np.where(held, np.cumsum(held) - 1, -1)
 
 
 def _prefixes(ranks: np.ndarray, percent: int, limit: int = DENSE):
-    """Prefix tokens ``t`` of each class of a slice with their places, the parities, and the class's fingerprint.
-    ``d`` says where a row is dealt: rows of a sparse token together, those of a dense one anywhere."""
+    """Prefix tokens of each class of a slice, with their places in the low bits of ``t``, the parities, those of long lines also over more places, and the class's
+    fingerprint. ``t`` of a dense token is ``-t - 1``."""
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -237,23 +274,18 @@ def _prefixes(ranks: np.ndarray, percent: int, limit: int = DENSE):
                 own, token, place, rank = lines.prefixes(np.flatnonzero(chosen), ranks, percent)
                 use = rank > 0
                 own, token, place, rank = own[use], token[use].view(np.int64), place[use], rank[use]
-                columns = {
-                    "d": pa.array(np.where(rank >= limit, f[own] ^ token, token)),
-                    "t": pa.array(np.where(rank >= limit, -token - 1, token)),
-                    "place": pa.array(place.astype(np.int32)),
-                    "sig": pa.array(sig[own]),
-                    "sig2": pa.array(sig2[own]),
-                    "f": pa.array(f[own]),
-                }
-                yield pa.RecordBatch.from_pydict(columns)
+                packed = (token << PLACE_BITS) | np.minimum(place, (1 << PLACE_BITS) - 1)
+                columns = [np.where(rank >= limit, -packed - 1, packed), sig[own], sig2[own], f[own]]
+                yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns), _packed_wide(lines, own)], names=["t", "sig", "sig2", "f", "wide"])
 
     return read
 
 
-def _token_lists(marks: np.ndarray):
+def _token_lists(marks: np.ndarray, documents: np.ndarray):
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in small_slices(whole, "text"):
+            picked = whole.filter(pa.array(passes(documents, whole["key"].to_numpy())))
+            for batch in small_slices(picked, "text"):
                 lines = Lines(batch["text"])
                 f, sig, _ = lines.fingerprints()
                 _, first = np.unique(f, return_index=True)
@@ -269,180 +301,259 @@ def _token_lists(marks: np.ndarray):
     return read
 
 
-#: Pairs; and, with their (negative) token and place, rows of dense tokens, whose second parity stands in ``gsig``.
-PAIRS = "f long, sig long, g long, gsig long, t long, place int"
-
+#: Ties of nodes ``a`` and ``b``; and, with their (negative) token and place, rows of dense tokens.
+TIES = "a long, b long, t long, place int, f long, sig long, sig2 long, wide binary"
+_LONG_COLUMNS = ("f", "sig", "sig2")
+_TIES_ARROW = pa.schema(
+    [("a", pa.int64()), ("b", pa.int64()), ("t", pa.int64()), ("place", pa.int32()), *((c, pa.int64()) for c in _LONG_COLUMNS), ("wide", pa.binary())]
+)
+#: The node of a class is its fingerprint without the sign.
+NODE = (1 << 63) - 1
 
-_PAIR_NAMES = ["f", "sig", "g", "gsig", "t", "place"]
 
-
-def _candidates(t: np.ndarray, place: np.ndarray, sigs: tuple[np.ndarray, np.ndarray], size: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _candidates(t: np.ndarray, place: np.ndarray, sigs: tuple[np.ndarray, ...], size: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of rows of a token that sizes, places and parities allow. Rows are sorted by token and size, so that a row's partners
-    are the next ones, as far as the size allows."""
+    are the next ones, as far as the size and what is left after the place allow."""
     # where a row's partners end: the next token, or a size too large
     group = np.cumsum(np.r_[False, t[1:] != t[:-1]])
     longest = size.max() + 1
-    reach = np.minimum(size * 100 // percent, longest - 1)
+    reach = np.minimum(np.minimum(size * 100 // percent, (size - place) * (100 + percent) // percent - size), longest - 1)
     reach[size == (1 << SIZE_BITS) - 1] = longest - 1
-    end = np.searchsorted(group * longest + size, group * longest + reach, "right")
-    partners = end - np.arange(len(t)) - 1
+    end = np.searchsorted(group * longest + size, group * longest + np.maximum(reach, 0), "right")
+    partners = np.maximum(end - np.arange(len(t)) - 1, 0)
     ends = np.cumsum(partners)
-    low = 0
-    while low < len(t):
-        base = ends[low] - partners[low]
-        high = max(low + 1, int(np.searchsorted(ends, base + PAIRS_AT_ONCE, "right")))
-        n = partners[low:high]
-        x = np.repeat(np.arange(low, high), n)
-        y = x + 1 + np.arange(len(x)) - np.repeat(ends[low:high] - n - base, n)
+    left = size - place
+    for low in range(0, int(ends[-1]), PAIRS_AT_ONCE):
+        number = np.arange(low, min(low + PAIRS_AT_ONCE, int(ends[-1])))
+        x = np.searchsorted(ends, number, "right")
+        y = x + 1 + number - (ends[x] - partners[x])
         both = size[x] + size[y]
         need = -(-percent * both // (100 + percent))
-        # of a signed number the bits of its magnitude would be counted
-        odd = sum(np.bitwise_count((s[x] ^ s[y]).view(np.uint64)).astype(np.int64) for s in sigs)
-        possible = (np.minimum(size[x] - place[x], size[y] - place[y]) >= need) & (odd <= both - 2 * need)
-        possible |= size[y] == (1 << SIZE_BITS) - 1
+        most = both - 2 * need
+        endless = size[y] == (1 << SIZE_BITS) - 1
+        possible = np.flatnonzero((left[y] >= need) & (left[x] >= need) | endless)
+        odd = np.zeros(len(possible), np.int64)
+        for s in sigs:
+            # of a signed number the bits of its magnitude would be counted
+            odd += np.bitwise_count((s[x[possible]] ^ s[y[possible]]).view(np.uint64))
+            fits = (odd <= most[possible]) | endless[possible]
+            possible, odd = possible[fits], odd[fits]
         yield x[possible], y[possible]
-        low = high
-
 
-def _sparse_pairs(percent: int):
-    """The possible pairs of a partition by token. A token has few rows, whatever the number of lines."""
 
-    def pair(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [[b[c].to_numpy() for c in ("t", "place", "sig", "sig2", "f")] for b in batches]
+class Forest:
+    """Which numbers up to ``n`` are tied; the root of a tree is its least number."""
+
+    def __init__(self, n: int):
+        self.parent = np.arange(n)
+
+    def roots(self, x: np.ndarray) -> np.ndarray:
+        found = self.parent[x]
+        while True:
+            above = self.parent[found]
+            if np.array_equal(above, found):
+                break
+            found = above
+        self.parent[x] = found
+        return found
+
+    def tie(self, x: np.ndarray, y: np.ndarray) -> None:
+        while len(x):
+            a, b = self.roots(x), self.roots(y)
+            apart = a != b
+            x, y, a, b = x[apart], y[apart], a[apart], b[apart]
+            np.minimum.at(self.parent, np.maximum(a, b), np.minimum(a, b))
+
+
+def _told_ties(columns: dict) -> pa.RecordBatch:
+    n = len(next(iter(columns.values())))
+    return pa.RecordBatch.from_arrays([pa.array(columns[c.name], c.type) if c.name in columns else pa.nulls(n, c.type) for c in _TIES_ARROW], schema=_TIES_ARROW)
+
+
+def _row_ties(token: np.ndarray, place: np.ndarray, f: np.ndarray, sigs: tuple[np.ndarray, ...], packed: pa.Array, percent: int, across=None) -> tuple[np.ndarray, np.ndarray]:
+    """A forest ``a, b`` of the nodes of rows that may be similar, and meet ``across`` shares where that is asked for. Rows are sorted as for ``_candidates``."""
+    size = f & ((1 << SIZE_BITS) - 1)
+    wide, number = _unpacked_wide(packed)
+    rows = Forest(len(token))
+    for x, y in _candidates(token, place, sigs, size, percent):
+        if across is not None:
+            meets = across(x, y)
+            x, y = x[meets], y[meets]
+        both = (number[x] >= 0) & (number[y] >= 0)
+        a, b = x[both], y[both]
+        odd = np.bitwise_count(wide[number[a]] ^ wide[number[b]]).sum(axis=1, dtype=np.int64)
+        total = size[a] + size[b]
+        both[both] = (odd > total - 2 * -(-percent * total // (100 + percent))) & (size[b] < (1 << SIZE_BITS) - 1)
+        rows.tie(x[~both], y[~both])
+    root = rows.roots(np.arange(len(token)))
+    low = np.flatnonzero(root != np.arange(len(token)))
+    # the rows of a class are one node, and its trees for several tokens are one
+    node = f & NODE
+    nodes, number = np.unique(np.concatenate([node[low], node[root[low]]]), return_inverse=True)
+    whole = Forest(len(nodes))
+    whole.tie(number[: len(low)], number[len(low) :])
+    root = whole.roots(np.arange(len(nodes)))
+    tied = np.flatnonzero(root != np.arange(len(nodes)))
+    return nodes[root[tied]], nodes[tied]
+
+
+def _sparse_ties(percent: int):
+    """A forest of the lines of a partition that may be similar. A token has few rows, whatever the number of lines."""
+
+    def tie(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, wide = [], []
+        for batch in batches:
+            parts.append([batch[c].to_numpy() for c in ("t", *_LONG_COLUMNS)])
+            wide.append(batch["wide"])
         if not parts:
             return
-        t, place, sig, sig2, f = (np.concatenate(c) for c in zip(*parts))
+        t, f, sig, sig2 = (np.concatenate(c) for c in zip(*parts))
+        wide = pa.concat_arrays([c.cast(pa.large_binary()) for c in wide])
         parts = None
         dense = t < 0
         if dense.any():
-            columns = [f[dense], sig[dense], np.zeros(dense.sum(), np.int64), sig2[dense], t[dense], place[dense]]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=_PAIR_NAMES)
-            t, place, sig, sig2, f = (c[~dense] for c in (t, place, sig, sig2, f))
-        if not len(t):
+            packed = -t[dense] - 1
+            place = (packed & ((1 << PLACE_BITS) - 1)).astype(np.int32)
+            columns = {"t": -(packed >> PLACE_BITS) - 1, "place": place, "f": f[dense], "sig": sig[dense], "sig2": sig2[dense]}
+            yield _told_ties(columns | {"wide": wide.filter(pa.array(dense)).cast(pa.binary())})
+        sparse = np.flatnonzero(~dense)
+        if not len(sparse):
             return
-        size = f & ((1 << SIZE_BITS) - 1)
-        order = np.lexsort((size, t))
-        t, place, sig, sig2, f, size = (c[order] for c in (t, place, sig, sig2, f, size))
-        for x, y in _candidates(t, place, (sig, sig2), size, percent):
-            other = (f[x] != f[y]) | (sig[x] != sig[y])
-            x, y = x[other], y[other]
-            swap = (f[x] > f[y]) | ((f[x] == f[y]) & (sig[x] > sig[y]))
-            x, y = np.where(swap, y, x), np.where(swap, x, y)
-            _, first = np.unique(np.stack([f[x], f[y]], axis=1), axis=0, return_index=True) if len(x) else (None, x)
-            x, y = x[first], y[first]
-            columns = [pa.array(c) for c in (f[x], sig[x], f[y], sig[y])] + [pa.nulls(len(x), pa.int64()), pa.nulls(len(x), pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, names=_PAIR_NAMES)
-        t = place = sig = sig2 = f = size = order = None
+        size, token = f[sparse] & ((1 << SIZE_BITS) - 1), t[sparse] >> PLACE_BITS
+        order = sparse[np.argsort((token << PLACE_BITS) | size) if size.max() < 1 << PLACE_BITS else np.lexsort((size, token))]
+        t, f, sig, sig2, wide = t[order], f[order], sig[order], sig2[order], wide.take(pa.array(order))
+        a, b = _row_ties(t >> PLACE_BITS, t & ((1 << PLACE_BITS) - 1), f, (sig, sig2), wide, percent)
+        yield _told_ties({"a": a, "b": b})
+        t = f = sig = sig2 = wide = size = token = order = sparse = None
         give_back()
 
-    return pair
+    return tie
 
 
-# -- dense tokens ----------------------------------------------------------------------------
+# -- tiles -----------------------------------------------------------------------------------
 
 TOLD = "f long, sig long, earlier struct<at:long,key:long,line:int>, links long"
 _PLACE_ARROW = pa.struct([("at", pa.int64()), ("key", pa.int64()), ("line", pa.int32())])
 _TOLD_ARROW = pa.schema([("f", pa.int64()), ("sig", pa.int64()), ("earlier", _PLACE_ARROW), ("links", pa.int64())])
+_TILE = ["t", "i", "j"]
+
+
+def _groups(rows: pa.Table) -> np.ndarray:
+    """The number of the tile of each row; tiles stand one after another."""
+    return np.cumsum(np.r_[False, np.any([c[1:] != c[:-1] for c in (rows[n].to_numpy() for n in _TILE)], axis=0)])
+
 
+def _tile_ties(rows: pa.Table, percent: int) -> pa.RecordBatch:
+    """A forest of the lines of some tiles of dense tokens that may be similar."""
+    f, group = rows["f"].to_numpy(), _groups(rows)
+    order = np.lexsort((f & ((1 << SIZE_BITS) - 1), group))
+    f, sig, sig2, place, share, one, two = (rows[c].to_numpy()[order] for c in ("f", "sig", "sig2", "place", "share", "i", "j"))
+    across = lambda x, y: (one[x] == two[x]) | (share[x] != share[y])
+    wide = rows["wide"].combine_chunks().take(pa.array(order))
+    a, b = _row_ties(group[order], place.astype(np.int64), f, (sig, sig2), wide, percent, across)
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-def _similar(x: np.ndarray, y: np.ndarray, keys: np.ndarray, begin: np.ndarray, size: np.ndarray, token: int, percent: int) -> np.ndarray:
-    """Which pairs of lines are similar on all their tokens, and share none before ``token`` in the order of rarity."""
+
+def _similar(x: np.ndarray, y: np.ndarray, tokens: np.ndarray, begin: np.ndarray, size: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of lines are similar on all their tokens."""
     n, m = size[x], size[y]
-    pair = np.repeat(np.arange(len(x)), n + m)
     of = np.stack([x, y], axis=1).reshape(-1)
     sizes = size[of]
     take = np.arange(sizes.sum()) + np.repeat(begin[of] - (np.cumsum(sizes) - sizes), sizes)
-    # pairs are in order already: tokens of a pair next to each other, by rarity
-    both = np.lexsort((keys[take], pair))
-    found, pair = keys[take][both], pair[both]
-    twice = np.flatnonzero((found[1:] == found[:-1]) & (pair[1:] == pair[:-1]))
-    shared = np.bincount(pair[twice], minlength=len(x))
-    first = np.full(len(x), -1, np.int64)
-    # the last assignment stays: that of the first shared token
-    first[pair[twice[::-1]]] = found[twice[::-1]]
-    return (first == token) & (100 * shared >= percent * (n + m - shared))
-
-
-def _tile(ranks: np.ndarray, percent: int):
-    """The lines of two shares of a dense token to what each line has earlier: how many similar lines, and the first of them."""
-
-    def meet(rows: pa.Table) -> pa.Table:
-        token, one, two = (rows[c][0].as_py() for c in ("t", "i", "j"))
-        f, sig, sig2, place, share = (rows[c].to_numpy() for c in ("f", "sig", "sig2", "place", "share"))
-        where = rows["first"].combine_chunks()
-        at, key, line = (where.field(c).to_numpy() for c in ("at", "key", "line"))
-        items = rows["items"].combine_chunks()
-        tokens = items.flatten().to_numpy().astype(np.uint64)
-        size = np.diff(items.offsets.to_numpy()).astype(np.int64)
-        keys = ((ranks[(tokens & np.uint64(PLACES - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(40)) | (tokens & _LOW)).astype(np.int64)
-        begin = np.cumsum(size) - size
-        order = np.argsort(f & ((1 << SIZE_BITS) - 1), kind="stable")
-        f, sig, sig2, place, share, at, key, line, size, begin = (c[order] for c in (f, sig, sig2, place, share, at, key, line, size, begin))
-        rank = np.empty(len(f), np.int64)
-        rank[np.lexsort((line, key, at))] = np.arange(len(f))
-        links, earlier = np.zeros(len(f), np.int64), np.full(len(f), len(f))
-        for x, y in _candidates(np.zeros(len(f), np.int64), place, (sig, sig2), f & ((1 << SIZE_BITS) - 1), percent):
-            if one != two:
-                across = share[x] != share[y]
-                x, y = x[across], y[across]
-            total = np.cumsum(size[x] + size[y])
-            low = 0
-            while low < len(x):
-                high = max(low + 1, int(np.searchsorted(total, (total[low - 1] if low else 0) + PAIR_TOKENS, "right")))
-                a, b = x[low:high], y[low:high]
-                near = _similar(a, b, keys, begin, size, -token - 1, percent)
-                a, b = a[near], b[near]
-                late, soon = np.where(rank[a] > rank[b], a, b), np.minimum(rank[a], rank[b])
-                links += np.bincount(late, minlength=len(f))
-                np.minimum.at(earlier, late, soon)
-                low = high
-        told = np.flatnonzero(links)
-        by_rank = np.empty(len(f), np.int64)
-        by_rank[rank] = np.arange(len(f))
-        first = by_rank[earlier[told]]
-        places = pa.StructArray.from_arrays([pa.array(c[first], kind) for c, kind in ((at, pa.int64()), (key, pa.int64()), (line, pa.int32()))], fields=list(_PLACE_ARROW))
-        return pa.Table.from_arrays([pa.array(f[told]), pa.array(sig[told]), places, pa.array(links[told])], schema=_TOLD_ARROW)
-
-    return meet
-
-
-def _dense_matches(dense: DataFrame, ranks, percent: int) -> DataFrame:
-    """What the lines ``t, place, sig, sig2, f, first, items`` have earlier among the lines of the same dense tokens, tile by tile."""
-    size = F.size("items").cast("long")
-    shares = F.greatest(F.ceil(F.count("*") / SHARE), F.ceil(F.sum(size) / SHARE_TOKENS)).cast("int")
-    # how many shares a token has: a row per dense token
-    sized = dense.groupBy("t").agg(shares.alias("_n"), F.count("*").alias("_lines")).where("_lines > 1").drop("_lines")
-    dealt = dense.join(sized, "t").withColumn("share", F.pmod(F.xxhash64("f", "sig"), F.col("_n")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_o")
-    tiles = dealt.select("*", other).withColumns({"i": F.least("share", "_o"), "j": F.greatest("share", "_o")}).drop("_n", "_o")
-    tile = lambda rows: _tile(ranks.value, percent)(rows)
-    return tiles.groupBy("t", "i", "j").applyInArrow(tile, TOLD)
+    # tokens of a pair next to each other: the number of the pair is the high bits
+    found = tokens[take] | np.repeat(np.arange(len(x), dtype=np.uint64) << np.uint64(TOKEN_BITS), n + m)
+    found.sort()
+    pair = (found[1:][found[1:] == found[:-1]] >> np.uint64(TOKEN_BITS)).astype(np.int64)
+    shared = np.bincount(pair, minlength=len(x))
+    return 100 * shared >= percent * (n + m - shared)
+
+
+def _tile_matches(rows: pa.Table, percent: int) -> pa.RecordBatch:
+    """The lines of some tiles of groups to what each line has earlier in its tile: how many similar lines, and the first of them."""
+    group = _groups(rows)
+    where = rows["first"].combine_chunks()
+    items = rows["items"].combine_chunks()
+    tokens = items.flatten().to_numpy().astype(np.uint64)
+    size = np.diff(items.offsets.to_numpy()).astype(np.int64)
+    begin = np.cumsum(size) - size
+    wide = _parities(tokens, begin, WIDE)
+    order = np.lexsort((size, group))
+    group, size, begin, wide = group[order], size[order], begin[order], wide[order]
+    f, sig, share, one, two = (rows[c].to_numpy()[order] for c in ("f", "sig", "share", "i", "j"))
+    at, key, line = (where.field(c).to_numpy()[order] for c in ("at", "key", "line"))
+    # the parities over fewer places follow from those over more
+    sigs = tuple(np.bitwise_xor.reduce(wide[:, w::2], axis=1) for w in range(2))
+    counted = np.minimum(size, (1 << SIZE_BITS) - 1)
+    rank = np.empty(len(f), np.int64)
+    rank[np.lexsort((line, key, at))] = np.arange(len(f))
+    links, earlier = np.zeros(len(f), np.int64), np.full(len(f), len(f))
+    for x, y in _candidates(group, np.zeros(len(f), np.int64), sigs, counted, percent):
+        across = (one[x] == two[x]) | (share[x] != share[y])
+        x, y = x[across], y[across]
+        both = size[x] + size[y]
+        odd = np.bitwise_count(wide[x] ^ wide[y]).sum(axis=1, dtype=np.int64)
+        fits = odd <= both - 2 * -(-percent * both // (100 + percent))
+        x, y, total = x[fits], y[fits], np.cumsum(both[fits])
+        low = 0
+        while low < len(x):
+            high = max(low + 1, int(np.searchsorted(total, (total[low - 1] if low else 0) + PAIR_TOKENS, "right")))
+            a, b = x[low:high], y[low:high]
+            near = _similar(a, b, tokens, begin, size, percent)
+            a, b = a[near], b[near]
+            late, soon = np.where(rank[a] > rank[b], a, b), np.minimum(rank[a], rank[b])
+            links += np.bincount(late, minlength=len(f))
+            np.minimum.at(earlier, late, soon)
+            low = high
+    told = np.flatnonzero(links)
+    by_rank = np.empty(len(f), np.int64)
+    by_rank[rank] = np.arange(len(f))
+    first = by_rank[earlier[told]]
+    places = pa.StructArray.from_arrays([pa.array(c[first], kind) for c, kind in ((at, pa.int64()), (key, pa.int64()), (line, pa.int32()))], fields=list(_PLACE_ARROW))
+    return pa.RecordBatch.from_arrays([pa.array(f[told]), pa.array(sig[told]), places, pa.array(links[told])], schema=_TOLD_ARROW)
+
+
+def _meeting(meet: Callable[[pa.Table], pa.RecordBatch]):
+    """Tiles stand one after another, and are of bounded size; those that end in a batch meet together."""
 
+    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: pa.Table | None = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            kept = table if kept is None else pa.concat_tables([kept, table])
+            if not len(kept):
+                continue
+            # the last tile may go on in the next batch
+            last = np.logical_and.reduce([kept[c].to_numpy() == kept[c][-1].as_py() for c in _TILE])
+            if last.all():
+                continue
+            cut = len(last) - int(np.argmin(last[::-1]))
+            yield meet(kept.slice(0, cut))
+            kept = kept.slice(cut)
+        if kept is not None and len(kept):
+            yield meet(kept)
+        kept = None
+        give_back()
 
-def _lists(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """All tokens of the lines ``ids(f, sig)``. Only these lines are read again."""
-    marks = texts.sparkSession.sparkContext.broadcast(id_filter(ids.select(F.shiftright("f", SIZE_BITS).alias("h")), "h"))
-    read = lambda batches: _token_lists(marks.value)(batches)
-    lists = texts.mapInArrow(read, "f long, sig long, items array<long>")
-    return fitted(lists.join(ids, ["f", "sig"], "left_semi").dropDuplicates(["f", "sig"]), FEW_LISTS)
+    return read
 
 
-def _verified(pairs: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose sets are similar."""
-    other = lists.select(F.col("f").alias("g"), F.col("sig").alias("gsig"), F.col("items").alias("others"))
-    both = pairs.join(lists, ["f", "sig"]).join(other, ["g", "gsig"])
-    shared = F.size(F.array_intersect("items", "others"))
-    similar = F.lit(100) * shared >= F.lit(percent) * (F.size("items") + F.size("others") - shared)
-    return both.where(similar).select("f", "sig", "g", "gsig")
+def _tiles(members: DataFrame, shares: Column) -> DataFrame:
+    """The lines of a token or a group ``t``, cut into ``shares``, once for each two shares ``i, j`` that meet."""
+    sized = members.groupBy("t").agg(shares.cast("int").alias("_n"), F.count("*").alias("_lines")).where("_lines > 1").drop("_lines")
+    dealt = members.join(sized, "t").withColumn("share", F.pmod(F.xxhash64("f", "sig"), F.col("_n")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_o")
+    tiles = dealt.select("*", other).withColumns({"i": F.least("share", "_o"), "j": F.greatest("share", "_o")}).drop("_n", "_o")
+    return tiles.repartition(*_TILE).sortWithinPartitions(*_TILE)
 
 
-def _told(classes: DataFrame, links: DataFrame) -> DataFrame:
-    """Links to what the later class of each has earlier."""
-    firsts = classes.select("f", "sig", "first")
-    ends = links.join(firsts, ["f", "sig"]).join(firsts.toDF("g", "gsig", "other"), ["g", "gsig"])
-    later = F.col("first") > F.col("other")
-    id = F.when(later, F.struct("f", "sig")).otherwise(F.struct(F.col("g").alias("f"), F.col("gsig").alias("sig")))
-    return ends.select(id.alias("id"), F.least("first", "other").alias("earlier")).select("id.f", "id.sig", "earlier", F.lit(1).cast("long").alias("links"))
+def _lists(texts: DataFrame, lines: DataFrame) -> DataFrame:
+    """All tokens of the classes ``f, sig, first``. Only the documents of their first lines are read again."""
+    send = texts.sparkSession.sparkContext.broadcast
+    marks = send(id_filter(lines.select(F.shiftright("f", SIZE_BITS).alias("h")), "h"))
+    documents = send(id_filter(lines.select("first.key"), "key"))
+    read = lambda batches: _token_lists(marks.value, documents.value)(batches)
+    lists = texts.mapInArrow(read, "f long, sig long, items array<long>")
+    return fitted(lists.join(lines.select("f", "sig"), ["f", "sig"], "left_semi").dropDuplicates(["f", "sig"]), FEW_LISTS)
 
 
 def similar_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, dense_rank: int = DENSE) -> DataFrame:
@@ -457,16 +568,19 @@ def similar_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     place = F.struct("at", "key", "line")
     classes = staged(lines.groupBy("f", "sig", "n").agg(F.min(place).alias("first")))
     ranks = spark.sparkContext.broadcast(count_table(listed.where("kind = 'count'")))
-    # sparse tokens: all pairs, a bounded number for each line; rows of dense tokens go through
+    # rows of a sparse token go to one task; those of a dense one go anywhere, and through
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    index = texts.mapInArrow(lambda b: _prefixes(ranks.value, percent, dense_rank)(b), INDEX).repartition(tasks, "d").drop("d")
-    met = staged(index.mapInArrow(_sparse_pairs(percent), PAIRS))
-    dense = met.where("t is not null").select("t", "place", "sig", F.col("gsig").alias("sig2"), "f").distinct()
-    near = fitted(met.where("t is null").select("f", "sig", "g", "gsig").distinct())
-    ids = near.select("f", "sig").union(near.select("g", "gsig")).union(dense.select("f", "sig")).distinct()
-    lists = _lists(texts, ids)
-    whole = dense.join(classes.select("f", "sig", "first"), ["f", "sig"]).join(lists, ["f", "sig"])
-    told = _told(classes, _verified(near, lists, percent)).unionByName(_dense_matches(whole, ranks, percent))
+    dealt = F.when(F.col("t") < 0, F.col("f").bitwiseXOR(F.col("t"))).otherwise(F.shiftright("t", PLACE_BITS))
+    index = texts.mapInArrow(lambda b: _prefixes(ranks.value, percent, dense_rank)(b), INDEX).repartition(tasks, dealt)
+    met = staged(index.mapInArrow(_sparse_ties(percent), TIES))
+    by_count = F.ceil(F.count("*") / SHARE)
+    dense = _tiles(met.where("t is not null").drop("a", "b").distinct(), by_count).mapInArrow(_meeting(lambda rows: _tile_ties(rows, percent)), "a long, b long")
+    ties = met.where("t is null").select("a", "b").unionByName(dense).distinct()
+    groups = components(ties).select(F.col("node").alias("_node"), F.col("component").alias("t"))
+    named = classes.select("f", "sig", "first")
+    members = staged(named.join(groups, named["f"].bitwiseAND(F.lit(NODE)) == groups["_node"]).drop("_node"))
+    tiles = _tiles(members.join(_lists(texts, members), ["f", "sig"]), F.greatest(by_count, F.ceil(F.sum(F.size("items").cast("long")) / SHARE_TOKENS)))
+    told = tiles.mapInArrow(_meeting(lambda rows: _tile_matches(rows, percent)), TOLD)
     found = fitted(told.groupBy("f", "sig").agg(F.min("earlier").alias("earlier"), F.sum("links").alias("links")))
     classes = classes.join(found, ["f", "sig"], "left")
     told = lines.join(classes, ["f", "sig", "n"])

@@ -355,6 +355,25 @@ def test_one_token_in_fifty_thousand_lines(spark):
     assert found.where("not kept and match.at <> at - 1").count() == 0
 
 
+def test_what_is_told_of_variants_follows_their_number(spark, monkeypatch):
+    """All variants of a line are similar: what is staged on the way grows with the lines, not with their pairs, and no link is lost."""
+    n, counts = 600, []
+    line = [f"seldom{k}" for k in range(40)]
+    rows = [(i, " ".join(line[: i % 40] + [f"own{i}"] + line[i % 40 :])) for i in range(n)]
+    staged = line_dedup.staged
+
+    def counted(df):
+        found = staged(df)
+        counts.append(found.count())
+        return found
+
+    monkeypatch.setattr(line_dedup, "staged", counted)
+    found = line_dedup.similar_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert max(counts) < 20 * n
+    assert sorted((r.at, r.links, r.kept) for r in found) == [(i, i, i == 0) for i in range(n)]
+    assert all(r.kept or (r.match.at, r.match.line) == (0, 0) for r in found)
+
+
 def test_what_a_task_sends_of_counts_follows_its_text():
     counts = np.zeros(line_dedup.CHUNK, np.uint32)
     assert line_dedup.packed_counts(counts) == b""
