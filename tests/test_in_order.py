@@ -91,3 +91,19 @@ def test_a_session_of_another_make_gets_the_limit_on_methods(spark):
     with session.setting(spark, key, "12345"):
         session.small_methods(spark)
         assert spark.conf.get(key) == "12345"
+
+
+def test_what_a_task_sorts_does_not_grow_with_the_table(spark, tmp_path):
+    """In a session of two partitions, 12 MB of rows are sorted and written by more tasks, and the session is as it was."""
+    text = F.concat_ws("-", *[F.sha2(F.concat("id", F.lit(f"/{k}")), 256) for k in range(4)])
+    rows = spark.range(50_000, numPartitions=4).select(F.lit("a.zip").alias("package"), F.sha2(F.col("id").cast("string"), 256).alias("key"), text.alias("text"))
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    for in_order in (True, False):
+        scratch = session.scratch_folder(spark)
+        with session.setting(spark, "spark.sql.shuffle.partitions", "2"):
+            lines = pk.number_lines(rows, ["key"]).select("package", F.col("_line").alias("seq"), "text")
+            pk.write_packages(lines, str(tmp_path / f"{in_order}"), scratch, in_order=in_order)
+        assert spark.read.parquet(f"{scratch}/segments").select("body").distinct().count() > 2
+        assert spark.conf.get(key, None) is None
+        expected = [r.text for r in rows.orderBy("key").select("text").collect()]
+        assert _table(tmp_path / f"{in_order}/a.zip") == expected
