@@ -65,3 +65,19 @@ def test_staged_lines_stay_for_validators(spark, tmp_path, monkeypatch):
     told = lambda rows: rows.select(F.lit("a").alias("package"), F.lit("info").alias("level"), F.lit("validation").alias("log_type"), F.col("value").alias("msg"))
     _, done = _published(spark, tmp_path, monkeypatch, (told,))
     assert {"1", "2"} <= {r.msg for r in done.log.collect()}
+
+
+def test_tables_are_put_aside_squeezed(spark, tmp_path, monkeypatch):
+    aside, real = [], pk.write_placed
+
+    def placed(parts, folder, run):
+        aside.append(sum(os.path.getsize(f"{at}/{name}") for at, _, names in os.walk(f"{folder}/.{run}/bodies") for name in names))
+        return real(parts, folder, run)
+
+    monkeypatch.setattr(pk, "write_placed", placed)
+    files = {r.file: r["size"] for r in pk.write_table_files(_lines(spark), str(tmp_path / "t"), session.scratch_folder(spark), in_order=True).collect()}
+    data = (tmp_path / "t/a.zip/shark_data.txt").read_bytes()
+    assert data == "".join(f"{x}\n" for x in ["name", *[f"x{i}" for i in range(40_000)]]).encode()
+    assert files == {"a.zip/shark_data.txt": len(data)}
+    # not as much again as the files will have
+    assert 0 < aside[0] < len(data) / 2
