@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,8 +21,8 @@ from kelpline import model
 from kelpline.functions.headers import HeaderColumn, shown
 from kelpline.functions.text import NO_CHARACTER, cell, joined_cells, printable_cell, separated_line
 from kelpline.operators.lookups import lookup_join, measured
-from kelpline.session import many_partitions, setting, ship_package, shuffles_removed
-from kelpline.sinks.placed import BLOCK, BodyFile, discard, local_folder, squeezed, sums_before, write_placed
+from kelpline.session import many_partitions, scratch_folder, setting, ship_package, shuffles_removed
+from kelpline.sinks.placed import BLOCK, BodyFile, discard, is_mounted, local_folder, squeezed, sums_before, write_placed
 
 SEGMENT_BYTES = 1024 * 1024
 BLOCK_LINES = 16_384
@@ -30,6 +31,15 @@ MEMBER_CUTS = 4096
 INTERNAL_COLUMNS = ["package", "layout", "_line", "_type", "_notes", "_removed"]
 #: With so many headers at most, the order of cells is part of the expressions.
 FOLDED_LAYOUTS = 4
+#: Bytes of a file of a table that is written on a mount, but for its last segment.
+FILE_BYTES = 128 * 1024 * 1024
+#: Bytes of lines of all packages that a task holds.
+HELD_BYTES = 32 * 1024 * 1024
+#: Segments that a task may make of a package; tells those of two tasks apart.
+PIECES = 1 << 32
+#: As Spark names the folder of a package without a name, and what it does not leave in the name of a folder.
+NO_NAME = "__HIVE_DEFAULT_PARTITION__"
+ESCAPED = "[\\x01-\\x1f\\x7f\"#%'*/:=?\\\\{}\\[\\]^]"
 #: Between the notes of a line.
 NOTE_END = "\x1f"
 
@@ -57,13 +67,26 @@ FOLDER_MODE = (0o40755 << 16) | 0x10
 def write_data_table(df: DataFrame, path: str, package: str = "package") -> None:
     """Write rows as separated text, a folder per package, in the output encoding.
 
-    Small packages are gathered into few files and large ones split over many by the
+    On a mount, rows are put aside squeezed where they lie, and files are put together of them: rows are wide and in no order, so that a
+    shuffle of them would take more disk than their files. Elsewhere small packages are gathered into few files and large ones split over many by the
     adaptive planner.
     """
-    columns = [c for c in df.columns if c not in (package, "layout", "_line")]
+    spark, columns = df.sparkSession, [c for c in df.columns if c not in (package, "layout", "_line")]
+    if is_mounted(path):
+        head = (model.SEPARATOR.join(columns) + "\n").encode(model.ENCODING, errors="replace")
+        text = F.concat_ws(model.SEPARATOR, *[printable_cell(F.col(c)) for c in columns])
+        lines = df.select(_folder_name(F.col(package)).alias("package"), text.alias("text"))
+
+        def segments(opened: Callable, scratch: str) -> DataFrame:
+            ship_package(spark)
+            with many_partitions(spark), shuffles_removed(spark):
+                lines.mapInArrow(_segment_rows(opened), SEGMENT_SCHEMA).write.parquet(f"{scratch}/segments")
+            return _segments_of(spark, scratch)
+
+        return _write_in_files(spark, path, package, segments, head)
     cells = df.select(package, *[printable_cell(F.col(c)).alias(c) for c in columns])
     # the encoding is only accepted with this setting
-    with setting(df.sparkSession, "spark.sql.legacy.javaCharsets", "true"), many_partitions(df.sparkSession):
+    with setting(spark, "spark.sql.legacy.javaCharsets", "true"), many_partitions(spark), shuffles_removed(spark):
         cells.hint("rebalance", F.col(package)).write.partitionBy(package).csv(
             path,
             sep=model.SEPARATOR,
@@ -78,6 +101,40 @@ def write_data_table(df: DataFrame, path: str, package: str = "package") -> None
         )
 
 
+def _folder_name(package: Column) -> Column:
+    return F.coalesce(F.nullif(package.cast("string"), F.lit("")), F.lit(NO_NAME))
+
+
+def _escaped(name: Column) -> Column:
+    """A value as Spark writes it in the name of a folder."""
+    one = lambda c: F.when(F.rlike(c, F.lit(ESCAPED)), F.concat(F.lit("%"), F.lpad(F.hex(F.ascii(c)), 2, "0"))).otherwise(c)
+    return F.array_join(F.transform(F.split(name, ""), one), "")
+
+
+def _write_in_files(spark: SparkSession, path: str, package: str, staged: Callable[[Callable, str], DataFrame], head: bytes = b"") -> None:
+    """Segments of tables as files of about ``FILE_BYTES``, a folder per package as Spark names it, each file beginning with ``head``.
+
+    The files of a folder follow each other in the order of their names. Files get their names together.
+    """
+    folder, scratch = local_folder(path), scratch_folder(spark)
+    if os.path.exists(folder):
+        raise FileExistsError(f"{folder} exists already")
+    run = _run(scratch)
+    with _bodies_of(folder, run):
+        segments = staged(_segmenter(folder, run, packed=False), scratch)
+        sized = sums_before(segments.where("raw > 0"), ["package"], "seq", ["raw"])
+        cut = sized.withColumn("_cut", F.floor(F.col("raw_before") / FILE_BYTES))
+        begin = F.min("raw_before").over(Window.partitionBy("package", "_cut"))
+        file = F.concat(F.lit(f"{package}="), _escaped(F.col("package")), F.format_string("/part-%08d.csv", "_cut"))
+        offset = F.col("raw_before") - begin + len(head)
+        parts = cut.select(file.alias("file"), offset.alias("offset"), F.col("raw").alias("size"), _no_content(), "body", "at", F.col("comp").alias("stored"))
+        if head:
+            none = {"body": F.lit(None).cast("string"), "at": F.lit(None).cast("long"), "stored": F.lit(None).cast("long")}
+            heads = parts.select("file").distinct().select("file", F.lit(0).cast("long").alias("offset"), F.lit(len(head)).cast("long").alias("size"), F.lit(head).alias("content"))
+            parts = parts.unionByName(heads.withColumns(none))
+        write_placed(parts, folder, run)
+
+
 # -- lines -----------------------------------------------------------------------------------
 
 
@@ -161,8 +218,12 @@ def write_package_tables(lines: DataFrame, path: str, in_order: bool = False) ->
     """``(package, seq, text)`` as text files, a folder per package with its own columns.
 
     The files of a folder follow each other in the order of their names; the first begins with the header. Lines that are
-    ``in_order``, the headers before all others, are written where they lie.
+    ``in_order``, the headers before all others, are written where they lie; on a mount by way of segments, as those of ``write_table_files``.
     """
+    spark = lines.sparkSession
+    if is_mounted(path):
+        named = lines.select(_folder_name(F.col("package")).alias("package"), "seq", F.coalesce("text", F.lit("")).alias("text"))
+        return _write_in_files(spark, path, "package", lambda opened, scratch: _staged_segments(named, opened, scratch, in_order))
     if in_order:
         # headers are few, and the first partition
         heads = lines.where("seq = 0").coalesce(1).sortWithinPartitions("package")
@@ -170,7 +231,7 @@ def write_package_tables(lines: DataFrame, path: str, in_order: bool = False) ->
     else:
         lines = lines.repartitionByRange("package", "seq").sortWithinPartitions("package", "seq")
     placed = lines.select("package", "text")
-    with setting(lines.sparkSession, "spark.sql.legacy.javaCharsets", "true"), many_partitions(lines.sparkSession):
+    with setting(spark, "spark.sql.legacy.javaCharsets", "true"), many_partitions(spark), shuffles_removed(spark):
         placed.write.partitionBy("package").csv(
             path, sep="\x01", header=False, encoding=model.JAVA_ENCODING, quote="", escapeQuotes=False, emptyValue="",
             ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
@@ -294,6 +355,55 @@ def _runs(batch: pa.RecordBatch) -> Iterator[tuple[str, int, int, int]]:
         yield packages.dictionary[codes[begin]].as_py(), int(blocks[begin]), begin, end
 
 
+def _encoded(lines: list[str]) -> tuple[bytes, int]:
+    """Lines in the output encoding, and how many hold characters that it lacks."""
+    text = "\n".join(lines) + "\n"
+    try:
+        return text.encode(model.ENCODING), 0
+    except UnicodeEncodeError:
+        replaced = sum(line.encode(model.ENCODING, errors="replace") != line.encode(model.ENCODING, errors="ignore") for line in lines)
+        return text.encode(model.ENCODING, errors="replace"), replaced
+
+
+def _segment_rows(opened: Callable) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Lines ``(package, text)`` in any order to segments of their packages; a task holds ``HELD_BYTES`` of them at most."""
+
+    def segment(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[str]] = {}
+        sizes: Counter[str] = Counter()
+        number = TaskContext.get().partitionId() * PIECES
+        with opened() as out:
+
+            def close(package: str) -> None:
+                nonlocal number
+                data, replaced = _encoded(held.pop(package))
+                out.add(package, model.DATA_FILE, number, data, replaced)
+                number += 1
+                del sizes[package]
+
+            for batch in batches:
+                packages = batch["package"].dictionary_encode()
+                codes = packages.indices.to_numpy()
+                order = np.argsort(codes, kind="stable")
+                texts, codes = batch["text"].take(pa.array(order)).to_pylist(), codes[order]
+                begins = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]][: len(codes)]).tolist()
+                for begin, end in zip(begins, [*begins[1:], len(codes)]):
+                    package = packages.dictionary[codes[begin]].as_py()
+                    held.setdefault(package, []).extend(texts[begin:end])
+                    sizes[package] += sum(map(len, texts[begin:end])) + end - begin
+                    if sizes[package] >= SEGMENT_BYTES:
+                        close(package)
+                if sizes.total() >= HELD_BYTES:
+                    for package in list(held):
+                        close(package)
+                yield from out.listed()
+            for package in list(held):
+                close(package)
+            yield from out.listed(True)
+
+    return segment
+
+
 def _segment_lines(opened: Callable) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Sorted lines to segments; a segment ends with its block of lines or at a bounded size."""
 
@@ -303,14 +413,7 @@ def _segment_lines(opened: Callable) -> Callable[[Iterable[pa.RecordBatch]], Ite
 
             def close() -> None:
                 nonlocal lines, size, notes
-                data, replaced = b"", 0
-                if lines:
-                    text = "\n".join(lines) + "\n"
-                    try:
-                        data = text.encode(model.ENCODING)
-                    except UnicodeEncodeError:
-                        data = text.encode(model.ENCODING, errors="replace")
-                        replaced = sum(line.encode(model.ENCODING, errors="replace") != line.encode(model.ENCODING, errors="ignore") for line in lines)
+                data, replaced = _encoded(lines) if lines else (b"", 0)
                 if lines or notes:
                     out.add(key[0], model.DATA_FILE, first, data, replaced, _single(notes), last)
                 lines, size, notes = [], 0, Counter()

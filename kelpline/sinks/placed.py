@@ -46,6 +46,10 @@ def local_folder(path: str) -> str:
     return path.rstrip("/")
 
 
+def is_mounted(path: str) -> bool:
+    return path.startswith("/") or path.startswith("file:")
+
+
 def sums_before(df: DataFrame, keys: list[str], order: str, values: list[str]) -> DataFrame:
     """For each row the sum of ``values`` over the earlier rows of its key, and the key's total.
 

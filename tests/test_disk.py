@@ -81,3 +81,52 @@ def test_tables_are_put_aside_squeezed(spark, tmp_path, monkeypatch):
     assert files == {"a.zip/shark_data.txt": len(data)}
     # not as much again as the files will have
     assert 0 < aside[0] < len(data) / 2
+
+
+def _files(folder):
+    return {str(p.relative_to(folder)): p.read_bytes() for p in sorted(folder.rglob("*.csv"))}
+
+
+def test_rows_of_data_tables_are_not_shuffled(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(pk, "FILE_BYTES", 50_000)
+    names = ["a:b.zip", "c.zip", None]
+    package = F.array(*map(F.lit, names))[(F.col("id") % 3).cast("int")]
+    rows = spark.range(30_000, numPartitions=4).select(package.alias("package"), F.concat(F.lit("x"), "id").alias("one"), F.when(F.col("id") % 2 == 0, F.lit("å\t€中")).alias("two"))
+    before = _shuffles(spark)
+    pk.write_data_table(rows, str(tmp_path / "t"))
+    # several files of a package, each with a header; folders are named as Spark names them
+    found = _files(tmp_path / "t")
+    assert {f.split("/")[0] for f in found} == {"package=a%3Ab.zip", "package=c.zip", "package=__HIVE_DEFAULT_PARTITION__"} and len(found) > 3
+    assert all(data.startswith(b"one\ttwo\n") and data.endswith(b"\n") for data in found.values())
+    lines = {f: [] for f in ("a%3Ab.zip", "c.zip", "__HIVE_DEFAULT_PARTITION__")}
+    for f, data in found.items():
+        lines[f.split("/")[0].split("=", 1)[1]] += data.decode("cp1252").split("\n")[1:-1]
+    expected = lambda k: sorted(f"x{i}\t" + ("å €?" if i % 2 == 0 else "") for i in range(k, 30_000, 3))
+    assert [sorted(v) for v in lines.values()] == [expected(k) for k in range(3)]
+    back = spark.read.csv(str(tmp_path / "t"), sep="\t", header=True, encoding="ISO-8859-1", quote="")
+    assert back.groupBy("package").count().collect() and back.count() == 30_000
+    # only what tells of segments was shuffled
+    assert sum(size for f, size in _shuffles(spark).items() if f not in before) < 10_000
+    assert not [p for p in os.listdir(tmp_path / "t") if p.startswith(".")]
+
+
+def test_package_tables_are_put_aside_squeezed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(pk, "FILE_BYTES", 50_000)
+    seen, real = [], pk._staged_segments
+    monkeypatch.setattr(pk, "_staged_segments", lambda lines, *a: seen.append(lines.columns) or real(lines, *a))
+    for name, lines, in_order in (("o", _lines(spark), True), ("m", _lines(spark).repartition(5, F.xxhash64("seq")), False)):
+        pk.write_package_tables(lines, str(tmp_path / name), in_order)
+        found = _files(tmp_path / name)
+        assert len(found) > 1 and {f.split("/")[0] for f in found} == {"package=a.zip"}
+        # the files follow each other in the order of their names
+        assert b"".join(found.values()).decode().split("\n")[:-1] == ["name", *[f"x{i}" for i in range(40_000)]]
+    assert len(seen) == 2
+
+
+def test_data_tables_hold_few_bytes(spark, tmp_path, monkeypatch):
+    """Many packages in a task: what is held of all is bounded."""
+    monkeypatch.setattr(pk, "HELD_BYTES", 1_000)
+    rows = spark.range(5_000, numPartitions=2).select(F.concat(F.lit("p"), F.col("id") % 50).alias("package"), F.col("id").alias("a"))
+    pk.write_data_table(rows, str(tmp_path / "t"))
+    found = _files(tmp_path / "t")
+    assert len(found) == 50 and sorted(int(x) for d in found.values() for x in d.decode().split("\n")[1:-1]) == [*range(5_000)]
